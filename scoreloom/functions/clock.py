@@ -73,6 +73,17 @@ def iso_timestamp(text: Column) -> Column:
     return whole.try_cast("timestamp_ntz") - F.make_dt_interval(mins=minutes)
 
 
+def instant(ts: Column) -> Column:
+    """A naive UTC timestamp as an instant: event time of a stream must be one."""
+    fields = [F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.extract(F.lit("SECOND"), ts)]
+    return F.make_timestamp_ltz(*fields, F.lit("UTC"))
+
+
+def utc_date(moment: Column) -> Column:
+    """The UTC day of an instant, whatever the session zone."""
+    return F.to_utc_timestamp(moment, F.current_timezone()).cast("date")
+
+
 def strict_date(text: Column) -> Column:
     """Exactly YYYY-MM-DD and a real day, else NULL."""
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))

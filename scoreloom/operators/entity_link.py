@@ -126,7 +126,8 @@ def entity_link(
 ) -> DataFrame:
     """Add matched_name, match_score, isin, ticker_bourso; unmatched entries stay with NULLs.
 
-    `referential` is (name, isin, ticker_bourso, ordinal); equal scores go to the lowest ordinal.
+    `referential` is (name, isin, ticker_bourso, ordinal); equal scores go to the lowest ordinal, which
+    may be of any type that sorts.
     Titles are linked once however often they repeat.  A token that a third of the titles share
     is split over `salts` tasks, for which the referential, the smaller side, is repeated.
     """
@@ -150,13 +151,13 @@ def entity_link(
     )
     candidates = (
         tokens.join(names, ["token", "salt"])
-        .where(F.col("cleaned").rlike(F.col("pattern")))
+        .where(F.rlike("cleaned", F.col("pattern")))
         .withColumn("score", match_score(F.col("name"), F.col("cleaned")))
         .where(F.col("score") >= threshold)
     )
     best = candidates.groupBy("title").agg(
         F.max("copies").alias("copies"),
-        F.max_by(F.struct("score", "company"), F.struct("score", -F.col("ordinal"))).alias("best"),
+        F.min_by(F.struct("score", "company"), F.struct(-F.col("score"), "ordinal")).alias("best"),
     ).select(
         "title", "copies", F.col("best.company.name").alias("matched_name"), F.col("best.score").alias("match_score"),
         F.col("best.company.isin").alias("isin"), F.col("best.company.ticker_bourso").alias("ticker_bourso"),

@@ -26,10 +26,9 @@ INDICATORS = ["RSI_14", "MACD", "MACD_signal", "BB_upper", "BB_lower", "SMA_50",
 BLOCK = 2048
 BLOCKS_BACK = 5
 
-SERIES = Window.partitionBy("isin").orderBy("_n")
-BLOCK_ROWS = Window.partitionBy("isin", "_block").orderBy("_n")
-SO_FAR = BLOCK_ROWS.rowsBetween(Window.unboundedPreceding, 0)
-EARLIER_BLOCKS = Window.partitionBy("isin").orderBy("_block").rangeBetween(-BLOCKS_BACK, -1)
+
+def _series():
+    return Window.partitionBy("isin").orderBy("_n")
 
 
 def _span_decay(days: int) -> float:
@@ -43,13 +42,15 @@ def decayed_sums(rows: DataFrame, inputs: dict[str, tuple[Column, float]]) -> Da
     ends of the blocks before it, folded in order.  Rows need `_n` (0, 1, ... per series),
     `_block`, `_k` (place in the block) and `_end` (last row of a full block).
     """
+    so_far = Window.partitionBy("isin", "_block").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    earlier_blocks = Window.partitionBy("isin").orderBy("_block").rangeBetween(-BLOCKS_BACK, -1)
     local = {
-        name: F.sum(term * F.pow(F.lit(1 / decay), F.col("_k"))).over(SO_FAR) * F.pow(F.lit(decay), F.col("_k"))
+        name: F.sum(term * F.pow(F.lit(1 / decay), F.col("_k"))).over(so_far) * F.pow(F.lit(decay), F.col("_k"))
         for name, (term, decay) in inputs.items()
     }
     inside = rows.withColumns({f"_{name}": c for name, c in local.items()})
     ends = F.collect_list(F.when(F.col("_end"), F.struct("_block", *[f"_{name}" for name in inputs])))
-    inside = inside.withColumn("_ends", F.array_sort(ends.over(EARLIER_BLOCKS)))
+    inside = inside.withColumn("_ends", F.array_sort(ends.over(earlier_blocks)))
 
     def taken_over(name: str, decay: float) -> Column:
         carry = F.aggregate("_ends", F.lit(0.0), lambda y, end: y * F.lit(decay**BLOCK) + end[f"_{name}"])
@@ -73,7 +74,7 @@ def _once_seen(value: Column, rows: int) -> Column:
 
 def _mean(days: int) -> Column:
     """Mean of the last `days` closes from running totals; a flat stretch gives its price exactly."""
-    before = F.coalesce(F.lag("_total", days).over(SERIES), F.lit(0.0))
+    before = F.coalesce(F.lag("_total", days).over(_series()), F.lit(0.0))
     mean = F.col("_start") + (F.col("_total") - before) / F.lit(float(days))
     return _once_seen(F.when(F.col("_flat") >= days, F.col("Close")).otherwise(mean), days)
 
@@ -84,10 +85,10 @@ def indicators(bars: DataFrame, as_of: dt.datetime) -> DataFrame:
     `bars` holds one row per (isin, Date).
     """
     by_date = Window.partitionBy("isin").orderBy("Date")
-    running = SERIES.rowsBetween(Window.unboundedPreceding, 0)
+    running = _series().rowsBetween(Window.unboundedPreceding, 0)
     rows = (
         bars.withColumn("_n", F.row_number().over(by_date) - 1)
-        .withColumn("_last_close", F.lag("Close").over(SERIES))
+        .withColumn("_last_close", F.lag("Close").over(_series()))
         .withColumn("_start", F.first("Close").over(running))
         .withColumn("_total", F.sum(F.col("Close") - F.col("_start")).over(running))
         .withColumn(
@@ -96,7 +97,7 @@ def indicators(bars: DataFrame, as_of: dt.datetime) -> DataFrame:
             - F.max(F.when(F.col("_last_close").eqNullSafe(F.col("Close")), F.lit(0)).otherwise(F.col("_n"))).over(running),
         )
     )
-    band = SERIES.rowsBetween(1 - BAND_DAYS, 0)
+    band = _series().rowsBetween(1 - BAND_DAYS, 0)
     flat_band = F.col("_flat") >= BAND_DAYS
     rows = rows.withColumns(
         {

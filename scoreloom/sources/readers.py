@@ -55,7 +55,7 @@ def read_referential(spark: SparkSession, path: str) -> DataFrame:
         rows = rows.withColumn("ticker_bourso", F.lit(None).cast("string"))
     valid = rows.where(F.length("isin") == 12)
     return first_per_key(valid, ["isin"], [F.col(c) for c in INPUT_ORDER]).select(
-        "name", "isin", "ticker_bourso", F.col("_row").alias("ordinal")
+        "name", "isin", "ticker_bourso", F.struct(*INPUT_ORDER).alias("ordinal")
     )
 
 
@@ -90,7 +90,9 @@ def read_raw_filings(spark: SparkSession, path: str) -> DataFrame:
 
 def filing_line_counts(raw: DataFrame) -> DataFrame:
     return raw.agg(
-        F.count(F.lit(1)).alias("lines"), F.count_if(F.col("_broken").isNotNull()).alias("broken_lines")
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("_broken").isNotNull()).alias("broken_lines"),
+        F.count(RAW_FIELDS["record_id"]).alias("with_record_id"),
     )
 
 

@@ -74,11 +74,10 @@ def export_csv(df: DataFrame, path: str, fields: list) -> None:
     df.select(*known).write.mode("overwrite").csv(path, header=True)
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition: list = ()) -> None:
-    """Create a catalog table if absent, else add the columns it lacks."""
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None) -> None:
+    """Create a Parquet table in the catalog if absent, else add the columns it lacks."""
     if not spark.catalog.tableExists(name):
-        empty = spark.createDataFrame([], schema).write.format("parquet")
-        (empty.partitionBy(*partition) if partition else empty).saveAsTable(name)
+        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
         return
     present = {c.name for c in spark.catalog.listColumns(name)}
     for f in schema.fields:

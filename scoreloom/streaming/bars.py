@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from scoreloom.functions import clock
 from scoreloom.operators.indicators import FAST_DAYS, RSI_DAYS, SIGNAL_DAYS, SLOW_DAYS, TREND_DAYS
 
 RUNNING = (
@@ -18,11 +19,13 @@ STATE = (
 def daily_bars(ticks: DataFrame, order: list | None = None) -> DataFrame:
     """OHLCV bars of one day from ticks (isin, ts, price, quantity); batch or stream.
 
-    `order` breaks ties of `ts`.  Ticks shrink to one partial bar per company and day on each map
+    `order` breaks ties of `ts`, which is an instant or a naive UTC time.  Ticks shrink to one partial bar per company and day on each map
     task before the exchange, so a company with a third of the ticks is no hot spot.  A stream
     needs a watermark on `ts`; late ticks within it are counted.
     """
     place = F.struct("ts", *(order or []))
+    start = F.col("day.start")
+    naive = dict(ticks.dtypes)["ts"] == "timestamp_ntz"
     grouped = ticks.groupBy("isin", F.window("ts", "1 day").alias("day"))
     return grouped.agg(
         F.min_by("price", place).alias("Open"),
@@ -30,7 +33,7 @@ def daily_bars(ticks: DataFrame, order: list | None = None) -> DataFrame:
         F.min("price").alias("Low"),
         F.max_by("price", place).alias("Close"),
         F.sum("quantity").cast("bigint").alias("Volume"),
-    ).select("isin", F.col("day.start").cast("date").alias("Date"), "Open", "High", "Low", "Close", "Volume")
+    ).select("isin", (start.cast("date") if naive else clock.utc_date(start)).alias("Date"), "Open", "High", "Low", "Close", "Volume")
 
 
 def running_indicators(bars: DataFrame) -> DataFrame:

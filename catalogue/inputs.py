@@ -5,11 +5,13 @@ that prices, filings and news share one clock; a supplier is a company.
 """
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.plans import companies as company_plans
+from scoreloom.session import spread
 from scoreloom.streaming.bars import daily_bars
 
 AS_OF = dt.datetime(2024, 1, 31, 20, 0, 0)
@@ -27,8 +29,9 @@ STATUSES = ["success", "success", "failed", "http_error", "empty_file", "invalid
 HTTP_CODES = [404, 410, 500, None]
 
 
+@functools.cache
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def pick(values: list, index) -> F.Column:

@@ -206,7 +206,7 @@ oracle("win1_latest_per_key", f"""
 
 
 def ohlc(*extra: str) -> str:
-    prices = ", ".join(f'{r(n.lower(), 4)} AS "{n}"' for n in ("Open", "High", "Low", "Close"))
+    prices = ", ".join(f'{n.lower()} AS "{n}"' for n in ("Open", "High", "Low", "Close"))
     return ", ".join([f'isin, {ymd("date")} AS "Date", {prices}, volume AS "Volume"', *extra])
 
 
@@ -217,7 +217,7 @@ oracle("win3_dedup_multi_order", f"""
     SELECT record_id, llm_prompt_version_num, {hms('extracted_at')} AS extracted_at, financial_signal_run_id, ca_raw FROM signal""")
 oracle("win4_companies", f"SELECT * REPLACE ({ymd('snapshot_date')} AS snapshot_date) FROM companies")
 oracle("win5_sco6_stocks_score", f"""
-    SELECT isin, company_name, yf_ticker, {ymd('date')} AS date, {r('close', 4)} AS "Close", {FIVE}, score_technique,
+    SELECT isin, company_name, yf_ticker, {ymd('date')} AS date, close AS "Close", {FIVE}, score_technique,
            score_7d_avg, score_14d_avg, is_latest FROM stocks""")
 oracle("win6_is_latest_flag", f"SELECT isin, {ymd('date')} AS date, is_latest FROM stocks WHERE is_latest")
 oracle("win7_percent_rank_global", f"""
@@ -436,7 +436,7 @@ oracle("txt10b_scheduled_insider_signals", f"""
 # Serving ----------------------------------------------------------------------------------------
 
 oracle("q1_latest_technical_scores", f"""
-    SELECT isin, company_name, yf_ticker, {ymd('date')} AS date, {r('close', 4)} AS close, score_technique, score_7d_avg, {FIVE}
+    SELECT isin, company_name, yf_ticker, {ymd('date')} AS date, close, score_technique, score_7d_avg, {FIVE}
     FROM stocks WHERE is_latest""")
 oracle("q3_latest_composite", f"""
     SELECT * EXCLUDE (snapshot_date) REPLACE ({ymd('score_date')} AS score_date) FROM composite""")

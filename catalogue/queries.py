@@ -19,7 +19,7 @@ from scoreloom.operators.indicators import INDICATORS, indicators
 from scoreloom.plans import (
     companies, composite, filings, fundamentals, insiders, news, prices, reports, serving,
 )
-from scoreloom.session import scratch_path
+from scoreloom.session import scratch_path, staged
 from scoreloom.sources import readers, writers
 from scoreloom.streaming import bars as bar_streams
 from scoreloom.streaming import incremental
@@ -310,7 +310,7 @@ def snk6_incremental_merge(i):
 @query
 def snk7_insert_overwrite_month(i):
     path = scratch_path(i.spark, "months")
-    clean = prices.clean_bars(i.raw_bars(), AS_OF, ties=i.bar_ties())
+    clean = staged(prices.clean_bars(i.raw_bars(), AS_OF, ties=i.bar_ties()))
     writers.overwrite_months(clean, path, "Date", ["isin"])
     latest = clean.where(prices.in_rewrite_months(AS_OF)).withColumn("Volume", c("Volume") + 1000)
     writers.overwrite_months(latest, path, "Date", ["isin"])
@@ -422,7 +422,7 @@ def flt7_post_last_date_filter(i):
 
 
 def z_rows(i: Inputs) -> DataFrame:
-    return fundamentals.z_scores(fundamentals.winsorised(fundamentals.staged(fundamentals.ratios(signal(i))), 0.05, 0.95))
+    return fundamentals.z_scores(fundamentals.winsorised(staged(fundamentals.ratios(signal(i))), 0.05, 0.95))
 
 
 @query
@@ -485,7 +485,7 @@ def jn4_txt3_relevant_documents(i):
 
 @query
 def jn6_sco8_winsorise(i):
-    rows = fundamentals.winsorised(fundamentals.staged(fundamentals.ratios(signal(i))), 0.05, 0.95)
+    rows = fundamentals.winsorised(staged(fundamentals.ratios(signal(i))), 0.05, 0.95)
     out = rows.select("ticker", "date_cloture_exercice", *[f"{m}_w" for m in fundamentals.WEIGHTS])
     return rounded(out, 6, *[f"{m}_w" for m in fundamentals.WEIGHTS])
 
@@ -518,7 +518,7 @@ def agg3_last_date_per_isin(i):
 @query
 def agg4_win8_exact_percentiles(i):
     """The distributed form, on a column of every line item."""
-    rows = fundamentals.staged(i.t("lineitem").select("l_extendedprice", "l_quantity", "l_discount"))
+    rows = staged(i.t("lineitem").select("l_extendedprice", "l_quantity", "l_discount"))
     columns = ["l_extendedprice", "l_quantity", "l_discount"]
     result = fundamentals.exact_percentiles(rows, columns, {"p05": 0.05, "p95": 0.95}, small=0)
     return rounded(result, 6, *result.columns)
@@ -573,7 +573,7 @@ def win1_latest_per_key(i):
 
 @query
 def win2_clean_bars(i):
-    return rounded(prices.clean_bars(i.raw_bars(), AS_OF, ties=i.bar_ties()), 4, "Open", "High", "Low", "Close")
+    return prices.clean_bars(i.raw_bars(), AS_OF, ties=i.bar_ties())
 
 
 @query
@@ -594,7 +594,7 @@ def win4_companies(i):
 
 @query
 def win5_sco6_stocks_score(i):
-    return rounded(stocks(i), 4, "Close")
+    return stocks(i)
 
 
 @query
@@ -1010,8 +1010,8 @@ def txt5_score_blocks(i):
 
 @query
 def txt6_financial_context(i):
-    context = documents.financial_context(c("text"), 600, 15, PROSE)
-    return spaced_documents(i).select("doc_id", F.length(context).alias("chars"), F.md5(context).alias("context"))
+    rows = documents.financial_context(spaced_documents(i), "text", "context", 600, 15, PROSE)
+    return rows.select("doc_id", F.length("context").alias("chars"), F.md5("context").alias("context"))
 
 
 def answered_documents(i: Inputs) -> DataFrame:
@@ -1091,7 +1091,7 @@ def txt10b_scheduled_insider_signals(i):
 
 @query
 def q1_latest_technical_scores(i):
-    return rounded(serving.latest_scores(stocks(i)), 4, "close")
+    return serving.latest_scores(stocks(i))
 
 
 @query
@@ -1136,13 +1136,12 @@ def q11_articles_driving_score(i):
 
 @query
 def q12_threshold_screens(i):
-    rows = scores(i).select("isin", "composite_score", "score_financials", "score_news")
-    parts = [
-        serving.screen(rows, "composite_score", above=6).withColumn("screen", F.lit("strong")),
-        serving.screen(rows, "score_financials", at_least=8).withColumn("screen", F.lit("solid")),
-        serving.screen(rows, "score_news", below=3).withColumn("screen", F.lit("bad press")),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    screens = {
+        "strong": serving.beyond("composite_score", above=6),
+        "solid": serving.beyond("score_financials", at_least=8),
+        "bad press": serving.beyond("score_news", below=3),
+    }
+    return serving.screened(scores(i).select("isin", "composite_score", "score_financials", "score_news"), screens)
 
 
 @query
@@ -1298,4 +1297,4 @@ def str2_stream_daily_bars(i):
 
 @query
 def str2_batch_daily_bars(i):
-    return rounded(i.bars(), 4, "Open", "High", "Low", "Close")
+    return i.bars()

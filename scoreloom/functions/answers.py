@@ -1,7 +1,7 @@
 """Reading model answers and embedded JSON: answers are data, a bad one never fails the job."""
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,20 +23,35 @@ def json_block(raw: Column) -> Column:
     return blank_to_null(F.regexp_extract(bare, r"(?s)\{.*\}", 0))
 
 
-def sentiment_answer(raw: Column) -> Column:
-    """struct(score, reason) of an answer; NULL unless both keys exist and 0 <= score <= 10."""
-    doc = F.try_parse_json(json_block(raw))
-    kind = F.schema_of_variant(F.try_variant_get(doc, "$.score", "variant"))
-    text = F.trim(F.try_variant_get(doc, "$.score", "string"))
+def usable_answers(df: DataFrame, raw: str) -> DataFrame:
+    """Add `score` and `reason` read from the answer column, without the rows that lack either.
+
+    A score is an integer from 0 to 10.  Unusable rows vanish in an inline() of zero or one
+    struct: as a filter the condition would be pushed below and parse every answer twice.
+    """
+    doc = df.withColumn("_doc", F.try_parse_json(json_block(F.col(raw))))
+    fields = doc.withColumns(
+        {
+            "_score": F.try_variant_get("_doc", "$.score", "variant"),
+            "_reason": F.try_variant_get("_doc", "$.reason", "variant"),
+        }
+    )
+    parts = fields.withColumns(
+        {"_kind": F.schema_of_variant("_score"), "_text": F.trim(F.try_variant_get("_score", "$", "string"))}
+    )
     # a JSON string must be an integer, a JSON number is truncated, true counts as 1
+    text = F.col("_text")
     score = (
-        F.when(kind == "STRING", F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("int")))
-        .when(kind == "BOOLEAN", text.try_cast("boolean").cast("int"))
+        F.when(F.col("_kind") == "STRING", F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("int")))
+        .when(F.col("_kind") == "BOOLEAN", text.try_cast("boolean").cast("int"))
         .otherwise(text.try_cast("double").try_cast("int"))
     )
-    reason_seen = F.try_variant_get(doc, "$.reason", "variant").isNotNull()
-    reason = F.coalesce(F.try_variant_get(doc, "$.reason", "string"), F.lit("None"))
-    return F.when(score.between(0, 10) & reason_seen, F.struct(score.alias("score"), reason.alias("reason")))
+    reason = F.coalesce(F.try_variant_get("_reason", "$", "string"), F.lit("None"))
+    answer = F.when(
+        F.col("_value").between(0, 10) & F.col("_reason").isNotNull(),
+        F.struct(F.col("_value").alias("score"), reason.alias("reason")),
+    )
+    return parts.withColumn("_value", score).select(*df.columns, F.inline(F.array_compact(F.array(answer))))
 
 
 def listing_figures(blob: Column) -> Column:

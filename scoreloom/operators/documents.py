@@ -108,9 +108,7 @@ def split_blocks(text: Column) -> Column:
     return F.filter(stripped, lambda b: b != "")
 
 
-def block_score(block: Column, keywords: dict[str, int] = KEYWORDS) -> Column:
-    """Points of all keywords contained, each once, plus points for an amount and for a year."""
-    text = matchable(block)
+def _points(text: Column, keywords: dict[str, int]) -> Column:
     score = F.when(text.rlike(MONEY), MONEY_POINTS).otherwise(0) + F.when(text.rlike(YEAR), YEAR_POINTS).otherwise(0)
     for word, points in keywords.items():
         score = score + F.when(F.contains(text, F.lit(word)), points).otherwise(0)
@@ -118,49 +116,56 @@ def block_score(block: Column, keywords: dict[str, int] = KEYWORDS) -> Column:
 
 
 def scored_blocks(text: Column, keywords: dict[str, int] = KEYWORDS) -> Column:
-    """array(struct(score, place, block)) of a text's blocks in reading order."""
+    """array(struct(score, place, block)) of a text's blocks in reading order.
+
+    A block earns the points of all keywords it contains, each once, plus points for an amount and
+    for a year.  Its comparable form is made once, before the keywords look at it.
+    """
+    prepared = F.transform(split_blocks(text), lambda b: F.struct(b.alias("block"), matchable(b).alias("text")))
     return F.transform(
-        split_blocks(text),
-        lambda b, i: F.struct(block_score(b, keywords).alias("score"), i.alias("place"), b.alias("block")),
+        prepared,
+        lambda b, i: F.struct(_points(b["text"], keywords).alias("score"), i.alias("place"), b["block"].alias("block")),
     )
 
 
+def _strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def financial_context(
-    text: Column, max_chars: int = MAX_CHARS, max_blocks: int = MAX_BLOCKS, keywords: dict[str, int] = KEYWORDS
-) -> Column:
-    """The best blocks, best first, joined up to `max_chars`.
+    docs: DataFrame, text: str, name: str, max_chars: int = MAX_CHARS, max_blocks: int = MAX_BLOCKS,
+    keywords: dict[str, int] = KEYWORDS,
+) -> DataFrame:
+    """Add the best blocks of a text, best first, joined up to `max_chars`.
 
     Taking stops at the first block that does not fit.  A first block that does not fit is cut, if
     `max_chars` is above 100.  Without any scoring block it is the start of the text.
     """
-
-    def strip(c: Column) -> Column:
-        return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-
-    ranked = F.transform(
-        F.array_sort(
-            F.transform(
-                F.filter(scored_blocks(text, keywords), lambda b: b["score"] > 0),
-                lambda b: F.struct((-b["score"]).alias("order"), b["place"].alias("place"), b["block"].alias("block")),
-            )
-        ),
-        lambda b: b["block"],
+    found = F.filter(scored_blocks(F.col(text), keywords), lambda b: b["score"] > 0)
+    ordered = F.array_sort(
+        F.transform(found, lambda b: F.struct((-b["score"]).alias("order"), b["place"].alias("place"), b["block"].alias("block")))
     )
-    best = F.slice(ranked, 1, max_blocks)
-    joiner = F.lit(SEPARATOR)
     start = F.struct(F.lit("").alias("text"), F.lit(True).alias("open"))
 
-    def take(state: Column, block: Column) -> Column:
-        longer = F.when(state["text"] == "", block).otherwise(F.concat(state["text"], joiner, block))
-        fits = state["open"] & (F.length(longer) <= max_chars)
-        return F.struct(F.when(fits, longer).otherwise(state["text"]).alias("text"), fits.alias("open"))
-
-    taken = F.aggregate(best, start, take)["text"]
-    cut = strip(F.substring(best[0], 1, max_chars)) if max_chars > 100 else F.lit("")
+    def take(state: Column, best: Column) -> Column:
+        glue = F.when(state["text"] == "", "").otherwise(SEPARATOR)
+        fits = state["open"] & (F.length(state["text"]) + F.length(glue) + F.length(best["block"]) <= max_chars)
+        return F.struct(
+            F.when(fits, F.concat(state["text"], glue, best["block"])).otherwise(state["text"]).alias("text"),
+            fits.alias("open"),
+        )
+
+    first = _strip(F.substring(F.col("_best")[0]["block"], 1, max_chars)) if max_chars > 100 else F.lit("")
+    context = (
+        F.when(F.size("_best") == 0, _strip(F.substring(text, 1, max_chars)))
+        .when(F.col("_taken") == "", first)
+        .otherwise(_strip(F.col("_taken")))
+    )
     return (
-        F.when(F.size(best) == 0, strip(F.substring(text, 1, max_chars)))
-        .when(taken == "", cut)
-        .otherwise(strip(F.substring(taken, 1, max_chars)))
+        docs.withColumn("_best", F.slice(ordered, 1, max_blocks))
+        .withColumn("_taken", F.aggregate("_best", start, take, lambda state: state["text"]))
+        .withColumn(name, context)
+        .drop("_best", "_taken")
     )
 
 
@@ -175,7 +180,8 @@ def extraction(docs: DataFrame, as_of: dt.datetime, max_chars: int = MAX_CHARS)
     succeeded).  Figures are kept for successful rows only.
     """
     body = F.regexp_replace("document_text", r"(?U)^\s+|\s+$", "")
-    rows = docs.withColumn("_doc", F.try_parse_json("raw_response")).withColumns(
+    rows = financial_context(docs, "document_text", "_context", max_chars)
+    rows = rows.withColumn("_doc", F.try_parse_json("raw_response")).withColumns(
         {f"_{f}": _answer(F.col("_doc"), f) for f in ANSWERS}
     )
     found = F.coalesce(*[F.col(f"_{f}") for f in FIGURES]).isNotNull()
@@ -196,9 +202,7 @@ def extraction(docs: DataFrame, as_of: dt.datetime, max_chars: int = MAX_CHARS)
     return rows.withColumns(
         {
             **{f: F.when(F.col("extraction_status") == "success", F.col(f"_{f}")) for f in ANSWERS},
-            "document_text_excerpt": F.when(
-                answered, F.substring(financial_context(F.col("document_text"), max_chars), 1, EXCERPT_CHARS)
-            ),
+            "document_text_excerpt": F.when(answered, F.substring("_context", 1, EXCERPT_CHARS)),
             "text_length": F.length("document_text").cast("bigint"),
             "raw_llm_response": F.when(answered, F.col("raw_response")),
             "error_message": F.when(F.col("extraction_status") == "empty_text", "Extracted PDF text is empty.").when(
@@ -206,4 +210,4 @@ def extraction(docs: DataFrame, as_of: dt.datetime, max_chars: int = MAX_CHARS)
             ),
             "extracted_at": clock.at(as_of),
         }
-    ).drop("_doc", "raw_response", *[f"_{f}" for f in ANSWERS])
+    ).drop("_doc", "_context", "raw_response", *[f"_{f}" for f in ANSWERS])

@@ -46,8 +46,8 @@ def _pieces(title: Column) -> Column:
 
 
 def title_tokens(title: Column) -> Column:
-    words = F.transform(_runs(title, LETTERS), F.lower)
-    return F.array_distinct(F.concat(words, _pieces(title)))
+    runs = F.transform(_runs(title, LETTERS), F.lower)
+    return F.array_distinct(F.concat(runs, _pieces(title)))
 
 
 def name_token(name: Column) -> Column:
@@ -63,7 +63,7 @@ def whole_word(name: Column) -> Column:
     return F.concat(F.lit(f"(?iu)(?<![{LETTER}])"), literal, F.lit(f"(?![{LETTER}])"))
 
 
-def _words(text: Column) -> Column:
+def words(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(F.lower(text), r"(?U)\s+"), lambda w: w != "")))
 
 
@@ -105,19 +105,23 @@ def _ratio_of_rest(common: Column, name_rest: Column, title_rest: Column) -> Col
     return F.pandas_udf(best, "double")(common, name_rest, title_rest)
 
 
-def match_score(name: Column, title: Column) -> Column:
-    """Score of a name already known to stand in the title as a whole word.
+def match_scores(candidates: DataFrame) -> DataFrame:
+    """Add `score` to pairs whose name already stands in the title as a whole word.
 
     A long name is then a part of the title: 100.  So is a short name whose words are words of the
     title; only the others ("lisi" in "lisi:") reach Python.
     """
-    name_words, title_words = _words(name), _words(title)
-    common = F.array_intersect(name_words, title_words)
-    name_rest, title_rest = F.array_except(name_words, title_words), F.array_except(title_words, name_words)
-    contained = (F.size(common) > 0) & ((F.size(name_rest) == 0) | (F.size(title_rest) == 0))
-    exact = (F.length(name) > SHORT_NAME) | contained
-    fuzzy = _ratio_of_rest(F.when(~exact, common), F.when(~exact, name_rest), F.when(~exact, title_rest))
-    return F.when(exact, F.lit(100.0)).otherwise(fuzzy)
+    parts = candidates.withColumns(
+        {
+            "_common": F.array_intersect("name_words", "title_words"),
+            "_name_rest": F.array_except("name_words", "title_words"),
+            "_title_rest": F.array_except("title_words", "name_words"),
+        }
+    )
+    contained = (F.size("_common") > 0) & ((F.size("_name_rest") == 0) | (F.size("_title_rest") == 0))
+    parts = parts.withColumn("_exact", (F.length("name") > SHORT_NAME) | contained)
+    fuzzy = _ratio_of_rest(*[F.when(~F.col("_exact"), F.col(p)) for p in ("_common", "_name_rest", "_title_rest")])
+    return parts.withColumn("score", F.when(F.col("_exact"), F.lit(100.0)).otherwise(fuzzy))
 
 
 def entity_link(
@@ -135,7 +139,8 @@ def entity_link(
         first_per_key(referential, ["name"], [F.col("ordinal")])  # a repeated name means its first row
         .where(~F.upper("name").isin(blocklist))
         .select("name", F.struct("name", "isin", "ticker_bourso").alias("company"), "ordinal",
-                name_token(F.col("name")).alias("token"), whole_word(F.col("name")).alias("pattern"))
+                name_token(F.col("name")).alias("token"), whole_word(F.col("name")).alias("pattern"),
+                words(F.col("name")).alias("name_words"))
         .where(F.col("token").isNotNull())
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
@@ -146,15 +151,11 @@ def entity_link(
         .withColumn("cleaned", clean_title(F.col("title")))
     )
     tokens = titles.select(
-        "title", "copies", "cleaned", F.explode(title_tokens(F.col("cleaned"))).alias("token"),
+        "title", "copies", "cleaned", words(F.col("cleaned")).alias("title_words"), F.explode(title_tokens(F.col("cleaned"))).alias("token"),
         F.pmod(F.xxhash64("title"), F.lit(salts)).cast("int").alias("salt"),
     )
-    candidates = (
-        tokens.join(names, ["token", "salt"])
-        .where(F.rlike("cleaned", F.col("pattern")))
-        .withColumn("score", match_score(F.col("name"), F.col("cleaned")))
-        .where(F.col("score") >= threshold)
-    )
+    found = tokens.join(names, ["token", "salt"]).where(F.rlike("cleaned", F.col("pattern")))
+    candidates = match_scores(found).where(F.col("score") >= threshold)
     best = candidates.groupBy("title").agg(
         F.max("copies").alias("copies"),
         F.min_by(F.struct("score", "company"), F.struct(-F.col("score"), "ordinal")).alias("best"),

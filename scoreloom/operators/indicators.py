@@ -28,7 +28,7 @@ BLOCKS_BACK = 5
 
 
 def _series():
-    return Window.partitionBy("isin").orderBy("_n")
+    return Window.partitionBy("isin").orderBy("Date")
 
 
 def _span_decay(days: int) -> float:
@@ -39,10 +39,10 @@ def decayed_sums(rows: DataFrame, inputs: dict[str, tuple[Column, float]]) -> Da
     """y(t) = decay * y(t-1) + input(t) along each series, for several inputs at once.
 
     Inside a block y = decay^k * sum(input / decay^k), a running total.  A block takes over the
-    ends of the blocks before it, folded in order.  Rows need `_n` (0, 1, ... per series),
+    ends of the blocks before it, folded in order.  Rows need `Date`, `_n` (0, 1, ... per series),
     `_block`, `_k` (place in the block) and `_end` (last row of a full block).
     """
-    so_far = Window.partitionBy("isin", "_block").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("isin", "_block").orderBy("Date").rowsBetween(Window.unboundedPreceding, 0)
     earlier_blocks = Window.partitionBy("isin").orderBy("_block").rangeBetween(-BLOCKS_BACK, -1)
     local = {
         name: F.sum(term * F.pow(F.lit(1 / decay), F.col("_k"))).over(so_far) * F.pow(F.lit(decay), F.col("_k"))
@@ -84,10 +84,9 @@ def indicators(bars: DataFrame, as_of: dt.datetime) -> DataFrame:
 
     `bars` holds one row per (isin, Date).
     """
-    by_date = Window.partitionBy("isin").orderBy("Date")
     running = _series().rowsBetween(Window.unboundedPreceding, 0)
     rows = (
-        bars.withColumn("_n", F.row_number().over(by_date) - 1)
+        bars.withColumn("_n", F.row_number().over(_series()) - 1)
         .withColumn("_last_close", F.lag("Close").over(_series()))
         .withColumn("_start", F.first("Close").over(running))
         .withColumn("_total", F.sum(F.col("Close") - F.col("_start")).over(running))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions import clock
-from scoreloom.functions.answers import sentiment_answer
+from scoreloom.functions.answers import usable_answers
 from scoreloom.functions.numbers import greatest_or_null, round_half_away
 from scoreloom.functions.text import article_key, entry_code, nonblank
 from scoreloom.operators.keyed import first_per_key, newest_per_key, without
@@ -82,11 +82,10 @@ def unscored(rows: DataFrame, scored: DataFrame) -> DataFrame:
 
 def article_sentiment(answered: DataFrame, model: str, as_of: dt.datetime, answer: str = "raw_response") -> DataFrame:
     """Scored articles; rows whose answer is unusable are left out."""
-    parsed = answered.withColumn("_answer", sentiment_answer(F.col(answer))).where(F.col("_answer").isNotNull())
-    return parsed.select(
+    return usable_answers(answered, answer).select(
         "row_id", "isin", "ticker_bourso", "matched_name", "title", "published_at",
-        F.col("_answer.score").cast("bigint").alias("sentiment_score"),
-        F.col("_answer.reason").alias("sentiment_reason"),
+        F.col("score").cast("bigint").alias("sentiment_score"),
+        F.col("reason").alias("sentiment_reason"),
         F.lit(model).alias("groq_model"),
         clock.at(as_of).alias("scored_at"),
     )

@@ -3,7 +3,7 @@
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions import clock
@@ -111,11 +111,16 @@ def articles_driving_score(sentiment: DataFrame, isin: str, as_of: dt.datetime,
     return rows.orderBy(F.desc("sentiment_score"), F.desc("published_at"), "row_id").select(*columns)
 
 
-def screen(table: DataFrame, column: str, above: float | None = None, below: float | None = None,
-           at_least: float | None = None) -> DataFrame:
-    """Rows whose score lies beyond the given limits."""
-    kept = table
+def beyond(column: str, above: float | None = None, below: float | None = None, at_least: float | None = None) -> Column:
+    """Condition that a score lies beyond the given limits."""
+    kept = F.lit(True)
     for limit, test in ((above, lambda c, x: c > x), (below, lambda c, x: c < x), (at_least, lambda c, x: c >= x)):
         if limit is not None:
-            kept = kept.where(test(F.col(column), limit))
+            kept = kept & test(F.col(column), limit)
     return kept
+
+
+def screened(table: DataFrame, screens: dict[str, Column]) -> DataFrame:
+    """Each row once per screen it passes, named in `screen`; the table is read once."""
+    passed = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in screens.items()]))
+    return table.withColumn("screen", F.explode(passed))

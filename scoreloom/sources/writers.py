@@ -49,10 +49,11 @@ def _months(df: DataFrame, date: str) -> DataFrame:
 def overwrite_months(df: DataFrame, path: str, date: str, cluster: list) -> None:
     """Replace only the month folders present in `df`.
 
-    Rows are spread by month and cluster key, so a month is not one task's work, and sorted, so
-    that Parquet statistics skip other keys.
+    Each task writes a range of (month, key, date): a big month is several tasks' work, a folder
+    holds few files, and Parquet statistics skip other keys.
     """
-    rows = _months(df, date).repartition("month", *cluster).sortWithinPartitions("month", *cluster, date)
+    order = ["month", *cluster, date]
+    rows = _months(df, date).repartitionByRange(*order).sortWithinPartitions(*order)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
 
 

@@ -17,23 +17,26 @@ STATE = (
 
 
 def daily_bars(ticks: DataFrame, order: list | None = None) -> DataFrame:
-    """OHLCV bars of one day from ticks (isin, ts, price, quantity); batch or stream.
+    """OHLCV bars of one UTC day from ticks (isin, ts, price, quantity); batch or stream.
 
-    `order` breaks ties of `ts`, which is an instant or a naive UTC time.  Ticks shrink to one partial bar per company and day on each map
-    task before the exchange, so a company with a third of the ticks is no hot spot.  A stream
-    needs a watermark on `ts`; late ticks within it are counted.
+    `order` breaks ties of `ts`.  Ticks shrink to one partial bar per company and day on each map
+    task before the exchange, so a company with a third of the ticks is no hot spot.  In a batch
+    `ts` is a naive UTC time; a stream needs an instant with a watermark, and counts ticks that
+    are late within it.
     """
     place = F.struct("ts", *(order or []))
-    start = F.col("day.start")
-    naive = dict(ticks.dtypes)["ts"] == "timestamp_ntz"
-    grouped = ticks.groupBy("isin", F.window("ts", "1 day").alias("day"))
-    return grouped.agg(
+    if ticks.isStreaming:
+        day, date = F.window("ts", "1 day").alias("_day"), clock.utc_date(F.col("_day.start"))
+    else:
+        day, date = F.to_date("ts").alias("_day"), F.col("_day")
+    grouped = ticks.groupBy("isin", day).agg(
         F.min_by("price", place).alias("Open"),
         F.max("price").alias("High"),
         F.min("price").alias("Low"),
         F.max_by("price", place).alias("Close"),
         F.sum("quantity").cast("bigint").alias("Volume"),
-    ).select("isin", (start.cast("date") if naive else clock.utc_date(start)).alias("Date"), "Open", "High", "Low", "Close", "Volume")
+    )
+    return grouped.select("isin", date.alias("Date"), "Open", "High", "Low", "Close", "Volume")
 
 
 def running_indicators(bars: DataFrame) -> DataFrame:

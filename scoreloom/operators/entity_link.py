@@ -111,15 +111,18 @@ def match_scores(candidates: DataFrame) -> DataFrame:
     A long name is then a part of the title: 100.  So is a short name whose words are words of the
     title; only the others ("lisi" in "lisi:") reach Python.
     """
+    short = F.length("name") <= SHORT_NAME
     parts = candidates.withColumns(
+        {"_name": F.when(short, words(F.col("name"))), "_title": F.when(short, words(F.col("cleaned")))}
+    ).withColumns(
         {
-            "_common": F.array_intersect("name_words", "title_words"),
-            "_name_rest": F.array_except("name_words", "title_words"),
-            "_title_rest": F.array_except("title_words", "name_words"),
+            "_common": F.array_intersect("_name", "_title"),
+            "_name_rest": F.array_except("_name", "_title"),
+            "_title_rest": F.array_except("_title", "_name"),
         }
     )
     contained = (F.size("_common") > 0) & ((F.size("_name_rest") == 0) | (F.size("_title_rest") == 0))
-    parts = parts.withColumn("_exact", (F.length("name") > SHORT_NAME) | contained)
+    parts = parts.withColumn("_exact", F.col("_name").isNull() | contained)
     fuzzy = _ratio_of_rest(*[F.when(~F.col("_exact"), F.col(p)) for p in ("_common", "_name_rest", "_title_rest")])
     return parts.withColumn("score", F.when(F.col("_exact"), F.lit(100.0)).otherwise(fuzzy))
 
@@ -131,38 +134,39 @@ def entity_link(
     """Add matched_name, match_score, isin, ticker_bourso; unmatched entries stay with NULLs.
 
     `referential` is (name, isin, ticker_bourso, ordinal); equal scores go to the lowest ordinal, which
-    may be of any type that sorts.
-    Titles are linked once however often they repeat.  A token that a third of the titles share
-    is split over `salts` tasks, for which the referential, the smaller side, is repeated.
+    may be of any type that sorts.  Titles are linked once however often they repeat.  A token that a
+    third of the titles share is split over `salts` tasks, for which the referential, the smaller
+    side, is repeated.  Tokens travel with the title's digest, not its text.
     """
     names = (
         first_per_key(referential, ["name"], [F.col("ordinal")])  # a repeated name means its first row
         .where(~F.upper("name").isin(blocklist))
         .select("name", F.struct("name", "isin", "ticker_bourso").alias("company"), "ordinal",
-                name_token(F.col("name")).alias("token"), whole_word(F.col("name")).alias("pattern"),
-                words(F.col("name")).alias("name_words"))
+                name_token(F.col("name")).alias("token"), whole_word(F.col("name")).alias("pattern"))
         .where(F.col("token").isNotNull())
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
+    kept = entries.drop("matched_name", "match_score", "isin", "ticker_bourso").withColumn("_key", F.md5("title"))
     titles = (
-        entries.where(F.col("title").isNotNull())
-        .groupBy("title")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("cleaned", clean_title(F.col("title")))
+        kept.where(F.col("title").isNotNull())
+        .groupBy("_key")
+        .agg(F.first("title").alias("title"), F.count(F.lit(1)).alias("copies"))
+        .where("copies > 0")  # always true; keeps both uses below the same, so that one exchange serves both
     )
     tokens = titles.select(
-        "title", "copies", "cleaned", words(F.col("cleaned")).alias("title_words"), F.explode(title_tokens(F.col("cleaned"))).alias("token"),
-        F.pmod(F.xxhash64("title"), F.lit(salts)).cast("int").alias("salt"),
+        "_key", F.explode(title_tokens(clean_title(F.col("title")))).alias("token"),
+        F.pmod(F.xxhash64("_key"), F.lit(salts)).cast("int").alias("salt"),
     )
-    found = tokens.join(names, ["token", "salt"]).where(F.rlike("cleaned", F.col("pattern")))
-    candidates = match_scores(found).where(F.col("score") >= threshold)
-    best = candidates.groupBy("title").agg(
+    pairs = tokens.join(names, ["token", "salt"]).drop("token", "salt")
+    found = (
+        pairs.join(titles.select("_key", "copies", clean_title(F.col("title")).alias("cleaned")), "_key")
+        .where(F.rlike("cleaned", F.col("pattern")))
+    )
+    best = match_scores(found).where(F.col("score") >= threshold).groupBy("_key").agg(
         F.max("copies").alias("copies"),
         F.min_by(F.struct("score", "company"), F.struct(-F.col("score"), "ordinal")).alias("best"),
     ).select(
-        "title", "copies", F.col("best.company.name").alias("matched_name"), F.col("best.score").alias("match_score"),
+        "_key", "copies", F.col("best.company.name").alias("matched_name"), F.col("best.score").alias("match_score"),
         F.col("best.company.isin").alias("isin"), F.col("best.company.ticker_bourso").alias("ticker_bourso"),
     )
-    kept = entries.drop("matched_name", "match_score", "isin", "ticker_bourso")
-    return lookup(kept, best, ["title"], copies="copies")
-
+    return lookup(kept, best, ["_key"], copies="copies").drop("_key")

@@ -13,7 +13,8 @@ def lookup(rows: DataFrame, table: DataFrame, on: list, copies: str | None = Non
     The HEAVY_KEYS most frequent keys are joined by broadcast: that side has at most HEAVY_KEYS
     rows whatever the data size.  Their rows, and rows with a NULL key, carry a salt that matches
     nothing in the second join, so they spread over its tasks; any other key holds less than
-    1/HEAVY_KEYS of the rows.  `copies` names a column of `table` that already counts the rows per
+    1/HEAVY_KEYS of the rows.  The salt is a digest of the whole row: a task that is run again after
+    a lost executor sends each row where it went before.  `copies` names a column of `table` that already counts the rows per
     key; without it the keys are counted first (partial counts before the exchange).
     """
     values = [c for c in table.columns if c not in on and c != copies]
@@ -28,7 +29,8 @@ def lookup(rows: DataFrame, table: DataFrame, on: list, copies: str | None = Non
     keyless = F.lit(False)
     for c in on:
         keyless = keyless | F.col(c).isNull()
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int") + 1
+    hashable = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(SPREAD)).cast("int") + 1
     first = rows.join(F.broadcast(heavy), on, "left").withColumn(
         "_salt", F.when(F.col("_heavy") | keyless, spread).otherwise(F.lit(0))
     )

@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scoreloom.operators.joins import lookup
+
 
 def first_per_key(df: DataFrame, keys: list, order: list) -> DataFrame:
     """One row per key, the first in `order` (make it total).
@@ -29,15 +31,19 @@ def _all_keys_present(keys: list) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def without(df: DataFrame, seen: DataFrame, keys: list, seen_keys: list | None = None) -> DataFrame:
+def without(
+    df: DataFrame, seen: DataFrame, keys: list, seen_keys: list | None = None, uneven: bool = False
+) -> DataFrame:
     """Rows of `df` whose key is not in `seen`.
 
     A NULL key equals nothing, so such rows are kept; they bypass the join, where they would all
-    meet in one task.
+    meet in one task.  `uneven` is for rows that may repeat one key very often.
     """
     names = seen_keys or keys
     marks = seen.select(*[F.col(s).alias(k) for s, k in zip(names, keys)]).where(_all_keys_present(keys)).distinct()
     present = _all_keys_present(keys)
+    if uneven:
+        return lookup(df, marks.withColumn("_seen", F.lit(True)), keys).where(F.col("_seen").isNull()).drop("_seen")
     return df.where(present).join(marks, keys, "left_anti").unionByName(df.where(~present))
 
 

@@ -71,9 +71,9 @@ def first_title(entries: DataFrame, order: list) -> DataFrame:
 def unseen_entries(entries: DataFrame, stored: DataFrame, order: list) -> DataFrame:
     """Entries whose guid (else link) is new for their category, once per batch, with their code."""
     keyed = entries.withColumn("guid", F.coalesce("guid", "link"))
-    new = without(keyed, stored, ["category", "guid"])
-    once = first_per_key(new, ["category", "guid"], order)
-    return once.withColumn("feed_isin", entry_code(F.col("isin_tag"), F.col("title"), F.col("summary")))
+    once = first_per_key(keyed, ["category", "guid"], order)  # first, so that no key is frequent in the join
+    new = without(once, stored, ["category", "guid"])
+    return new.withColumn("feed_isin", entry_code(F.col("isin_tag"), F.col("title"), F.col("summary")))
 
 
 def unscored(rows: DataFrame, scored: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ def append_unseen(
     """Process only keys the table does not have yet."""
 
     def handle(batch: DataFrame) -> None:
-        fresh = prepare(without(batch, table.read(), keys))
+        fresh = prepare(without(batch, table.read(), keys, uneven=True))
         table.upsert(fresh, keys)
 
     run_batches(stream, handle, checkpoint)

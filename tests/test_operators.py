@@ -83,6 +83,7 @@ def test_without_and_upsert_keep_null_keys(rows):
     df = rows("k string, v int", [("x", 1), ("y", 2), (None, 3)])
     seen = rows("k string", [("x",), ("x",), (None,)])
     assert {tuple(r) for r in keyed.without(df, seen, ["k"]).collect()} == {("y", 2), (None, 3)}
+    assert {tuple(r) for r in keyed.without(df, seen, ["k"], uneven=True).collect()} == {("y", 2), (None, 3)}
     new = rows("k string, v int", [("y", 9), ("z", 8)])
     assert {tuple(r) for r in keyed.upsert(df, new, ["k"]).collect()} == {("x", 1), (None, 3), ("y", 9), ("z", 8)}
 

@@ -102,7 +102,7 @@ def indicators(bars: DataFrame, as_of: dt.datetime) -> DataFrame:
         {
             "SMA_50": _mean(SHORT_MEAN),
             "SMA_200": _mean(LONG_MEAN),
-            "_middle": F.when(flat_band, F.col("Close")).otherwise(F.avg("Close").over(band)),
+            "_middle": _mean(BAND_DAYS),
             "_spread": F.when(flat_band, F.lit(0.0)).otherwise(F.stddev_pop("Close").over(band)),
         }
     ).withColumns(

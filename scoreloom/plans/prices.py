@@ -91,13 +91,20 @@ def stocks_score(rows: DataFrame, snapshots: DataFrame) -> DataFrame:
         points = points + F.col(name)
     series = Window.partitionBy("isin").orderBy("Date")
     everything = Window.partitionBy("isin")
+    so_far = series.rowsBetween(Window.unboundedPreceding, 0)
     smoothed = scored.withColumn("_points", points).withColumns(
         {
-            "_short": F.avg("_points").over(series.rowsBetween(1 - SHORT_ROWS, 0)),
-            "_long": F.avg("_points").over(series.rowsBetween(1 - LONG_ROWS, 0)),
+            "_total": F.sum("_points").over(so_far),  # points are whole numbers, so totals are exact
+            "_rows": F.row_number().over(series),
             "is_latest": F.col("Date") == F.max("Date").over(everything),
         }
     )
+
+    def mean(rows: int) -> Column:
+        before = F.coalesce(F.lag("_total", rows).over(series), F.lit(0.0))
+        return round_half_away((F.col("_total") - before) / F.least("_rows", F.lit(rows)), 1)
+
+    smoothed = smoothed.withColumns({"score_7d_avg": mean(SHORT_ROWS), "score_14d_avg": mean(LONG_ROWS)})
     names = latest_companies(snapshots).select("isin", "name")
     return smoothed.join(names, "isin", "left").select(
         "isin",
@@ -107,7 +114,7 @@ def stocks_score(rows: DataFrame, snapshots: DataFrame) -> DataFrame:
         "Close",
         *SIGNALS,
         F.round("_points", 1).alias("score_technique"),
-        round_half_away(F.col("_short"), 1).alias("score_7d_avg"),
-        round_half_away(F.col("_long"), 1).alias("score_14d_avg"),
+        "score_7d_avg",
+        "score_14d_avg",
         "is_latest",
     )

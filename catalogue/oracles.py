@@ -108,7 +108,7 @@ oracle("flt3_rolling_window_days", f"SELECT row_id, {hms('published_at')} AS pub
 oracle("flt4_nonblank_key", "SELECT * FROM listing WHERE isin IS NOT NULL AND trim(isin) <> ''")
 AGAIN = """(pdf_download_status IS NULL OR pdf_download_status IN ('failed', 'empty_file')
             OR (pdf_download_status = 'http_error' AND (pdf_http_status IS NULL OR pdf_http_status NOT IN (404, 410))))"""
-oracle("flt5_top7_pdf_retry_candidates", f"""
+oracle("flt5_pdf_retry_candidates", f"""
     SELECT record_id, isin, {hms('publication_ts')} AS publication_ts, pdf_url, source, run_id AS source_run_id FROM filings
     WHERE pdf_url IS NOT NULL AND isin IS NOT NULL AND {AGAIN}""")
 RECENT_FILING = """type_information = 'Informations réglementées continues' AND pdf_download_status = 'success'
@@ -155,7 +155,7 @@ def relevance(penalise: bool) -> str:
             f"{ladder('type_information', TYPE_LADDER)}")
 
 
-oracle("jn4_txt3_relevant_documents", f"""
+oracle("jn4_txt3_top7_relevant_documents", f"""
     SELECT record_id, titre, {relevance(True)} AS relevance_score, {relevance(False)} AS threshold_score,
            {hms('publication_ts')} AS publication_ts
     FROM filings f JOIN (SELECT o_orderkey, o_orderstatus FROM orders) o USING (o_orderkey)

@@ -392,7 +392,7 @@ def flt4_nonblank_key(i):
 
 
 @query
-def flt5_top7_pdf_retry_candidates(i):
+def flt5_pdf_retry_candidates(i):
     return filings.download_candidates(i.filings())
 
 
@@ -473,7 +473,7 @@ def jn3_inc6_anti_join_unscored(i):
 
 
 @query
-def jn4_txt3_relevant_documents(i):
+def jn4_txt3_top7_relevant_documents(i):
     done = i.t("orders").select(
         F.concat(F.lit("R"), c("o_orderkey").cast("string")).alias("record_id"),
         F.when(c("o_orderstatus") == "F", "success").when(c("o_orderstatus") == "O", "llm_error")

@@ -14,16 +14,25 @@ from scoreloom.session import staged
 SMALL = 200_000  # rows one task may sort; beyond, the work is cut into slices
 SLICES = 16384
 STEPS_PER_OCTAVE = 8
+OUTSIDE = 40_000
 ABOVE_SMALLEST = 10_000  # log2 of a double is above -1075, so the band number stays positive
 
 
 def _band(value: Column) -> Column:
     """An order-preserving band: sign, then an eighth of an octave of the magnitude.
 
-    It needs no statistics and there are at most 40,000 of them.
+    It needs no statistics and there are at most 40,000 of them.  Infinities lie outside all others,
+    and NaN, which Spark sorts last, above them.
     """
-    step = F.floor(F.log2(F.abs(value)) * STEPS_PER_OCTAVE) + ABOVE_SMALLEST
-    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value).cast("long") * step).cast("long")
+    number = value.cast("double")
+    step = F.floor(F.log2(F.abs(number)) * STEPS_PER_OCTAVE) + ABOVE_SMALLEST
+    return (
+        F.when(F.isnan(number), OUTSIDE + 1)
+        .when(F.abs(number) == float("inf"), F.signum(number).cast("long") * OUTSIDE)
+        .when(number == 0, F.lit(0))
+        .otherwise(F.signum(number).cast("long") * step)
+        .cast("long")
+    )
 
 
 def value_ranks(df: DataFrame, value: str, by: list, at: list[float] | None = None) -> DataFrame:

@@ -41,6 +41,13 @@ def test_percentiles_of_nothing_and_one(rows):
     assert percent_rank(rows("v double", [(7.0,)]), "v", "s", small=0).first().s == 0.0
 
 
+def test_infinities_and_nan_rank_at_the_ends(rows):
+    values = [float("inf"), float("-inf"), float("nan"), 0.0, -0.0, 5e-324, -1.7e308, 1.7e308, None, 3.0, 3.0]
+    got = percent_rank(rows("n int, v double", list(enumerate(values))), "v", "share", small=0)
+    assert got.withColumn("x", F.percent_rank().over(Window.orderBy("v"))).where("x <> share or share is null").count() == 0
+    assert got.count() == len(values)
+
+
 def test_rank_plan_has_no_single_partition_sort_of_rows(skewed):
     plan = percent_rank(skewed, "v", "share", small=0)._jdf.queryExecution().executedPlan().toString()
     for line in plan.split("\n"):

@@ -1,8 +1,7 @@
 """Reference SQL for the queries, for DuckDB on the same tables."""
 
-from catalogue.inputs import HTTP_CODES
 from catalogue.oracle_parts import (
-    COMPANIES, DAY, METRICS, NOW, RAW_DAY, code, eur, hms, number, owner, pick, r, sql, text, ymd,
+    COMPANIES, DAY, METRICS, NOW, code, eur, hms, number, owner, pick, r, sql, text, ymd,
 )
 from catalogue.queries import AMOUNTS, DATES, HISTORY, NAMES, PROSE
 from scoreloom.operators.documents import SUBTYPE_LADDER, TITLE_LADDER, TYPE_LADDER
@@ -385,7 +384,6 @@ BLOCKS = rf"""
                 FROM documents))
     WHERE block <> ''"""
 MATCHABLE = "replace(replace(lower(block), '’', ''''), chr(160), ' ')"
-UNITS = "k€|m€|md€|keur|meur|million|millions|thousand|billion|eur|€"
 EDGE_BEFORE, EDGE_AFTER = r"(?:^|[^\p{L}\p{N}_])", r"(?:$|[^\p{L}\p{N}_])"
 SCORE = (
     rf"(CASE WHEN regexp_matches({MATCHABLE}, '{EDGE_BEFORE}\p{{N}}+(?:[.,]\p{{N}}+)?[\s\p{{Z}}]*(?:million|millions|thousand|billion|[km]?eur){EDGE_AFTER}') THEN 3 ELSE 0 END)"

@@ -10,9 +10,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.inputs import AS_OF, ORDER_SHIFT, Inputs, code, days, pick
+from catalogue.inputs import AS_OF, Inputs, code, days, pick
 from scoreloom import schemas
-from scoreloom.functions import answers, clock, numbers, text
+from scoreloom.functions import clock, numbers, text
 from scoreloom.operators import documents, insider_answers, keyed, quality
 from scoreloom.operators.entity_link import entity_link
 from scoreloom.operators.indicators import INDICATORS, indicators
@@ -963,7 +963,7 @@ def txt1_jn8_entity_link(i):
 
 @query
 def txt1_entity_link_documents(i):
-    """Whole documents as titles against the customers' market segments and the words of part names."""
+    """Whole documents as titles, against the longer words of the benchmark passages as names."""
     entries = i.t("documents").select("doc_id", c("text").alias("title"))
     words = i.t("benchmark").select(F.explode(F.split("text", r"\s+")).alias("name"), "item_id")
     names = words.where(F.length("name") > 6).groupBy("name").agg(F.min("item_id").alias("first")).select(

@@ -3,7 +3,6 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from scoreloom.operators.indicators import INDICATORS, indicators
 from scoreloom.plans import prices

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import bpe, chat, language, private
+from scoreloom.llm import bpe, chat, language, near, private
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +41,8 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op7_chat_format"] = chat.ORACLE
+
+
+@query
+def op10_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"))

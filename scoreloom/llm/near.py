@@ -3,7 +3,7 @@
 1. Every text becomes its set of distinct two-word shingles (64-bit hashes), and COORDINATES minimum hashes.  Texts with equal
    sets are one class from here on.
 2. Each class is posted under its first POSTED coordinate values.  Two sets of similarity 0.8 agree on at least LEAST_POSTED of
-   them (but for 1 in 10^5), so a class may leave out its LEAST_POSTED - 1 longest postings (prefix rule); classes with no more
+   them (but for 2 in 10^5), so a class may leave out its LEAST_POSTED - 1 longest postings (prefix rule); classes with no more
    than that many shared values drop out.
 3. Every class is first compared with one pivot of each of its postings, the set with most copies: a hot posting costs as
    many comparisons as it has members.  Confirmed links give first components.
@@ -29,7 +29,7 @@ from scoreloom.llm.words import WordHashes, mix
 from scoreloom.session import staged
 
 COORDINATES, LEAST = 256, 179  # P(fewer than 179 of 256 agree at similarity 0.8) is about 5 in 10^5
-POSTED, LEAST_POSTED = 16, 5
+POSTED, LEAST_POSTED = 24, 11
 BLOCK = 2048
 BATCH_BYTES = 1 << 20
 _random = np.random.default_rng(20)
@@ -96,7 +96,20 @@ def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = documents.select("text", "doc_id", F.xxhash64("text").alias("digest"))
     keys = wanted.select("set_id", F.col("source.doc_id").alias("id"), F.col("source.digest").alias("sum"))
     texts = rows.join(keys, [rows.doc_id.eqNullSafe(keys.id), rows.digest == keys.sum]).select("set_id", "text")
-    return texts.mapInArrow(run, "set_id binary, shingles array<long>").dropDuplicates(["set_id"])  # repeated rows
+    return texts.mapInArrow(run, "set_id binary, shingles array<long>")
+
+
+def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures agree on LEAST coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, COORDINATES) for c in ("x", "y"))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= LEAST))
+
+    left = classes.select(F.col("set_id").alias("a"), F.col("signature").alias("x"))
+    right = classes.select(F.col("set_id").alias("b"), F.col("signature").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -173,10 +186,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("n", "key", "coordinate", F.col("pivot.set_id").alias("pivot")))).alias("found")
     ).where(F.size("found") >= LEAST_POSTED).select("set_id", F.slice("found", 1, F.size("found") - (LEAST_POSTED - 1)).alias("found"))
     prefixes = staged(prefixes, "prefixes")
-    wanted = classes.select("set_id", "source").join(prefixes.select("set_id"), "set_id", "left_semi")
-    one_of_each = staged(full_sets(documents, wanted), "sets")
-    stars = prefixes.select(F.col("set_id").alias("a"), F.explode(F.array_distinct("found.pivot")).alias("b")).where("a != b")
-    first_links = staged(confirmed(stars, one_of_each), "links")
+    stars = prefixes.select(F.col("set_id").alias("a"), F.explode(F.array_distinct("found.pivot")).alias("b")).where("a != b").join(
+        prefixes.select(F.col("set_id").alias("b")), "b", "left_semi")
+    star_pairs = staged(alike(stars, classes), "pairs")
+    repeated = not sets.groupBy("doc_id", "digest").count().where("count > 1").isEmpty()
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        wanted = classes.select("set_id", "source").join(pairs.select(F.explode(F.array("a", "b")).alias("set_id")), "set_id", "left_semi")
+        found = full_sets(documents, wanted)
+        return staged(confirmed(pairs, staged(found.dropDuplicates(["set_id"]) if repeated else found, "sets")), "links")
+
+    first_links = links_of(star_pairs)
     first = components(first_links)
     mask = F.aggregate("found", F.lit(0), lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1), x.coordinate)))
     rooted = prefixes.withColumn("prefix", mask).join(first.withColumnRenamed("id", "set_id"), "set_id", "left")
@@ -185,7 +205,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     # signatures travel only with members of postings that still hold several components
     open_keys = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
     left_over = members.join(open_keys, "key", "left_semi").join(classes.select("set_id", "posted", "signature"), "set_id")
-    more_links = staged(confirmed(staged(collisions(left_over), "pairs"), one_of_each), "links")
+    more_links = links_of(staged(collisions(left_over), "pairs"))
     final = first_links.unionByName(more_links) if not more_links.isEmpty() else None
     roots = components(final) if final is not None else first
     linked = classes.select("set_id", "least_id").join(roots.withColumnRenamed("id", "set_id"), "set_id")

@@ -6,17 +6,19 @@
    them (but for 2 in 10^5), so a class may leave out its LEAST_POSTED - 1 longest postings (prefix rule); classes with no more
    than that many shared values drop out.
 3. Every class is first compared with one pivot of each of its postings, the set with most copies: a hot posting costs as
-   many comparisons as it has members.  Confirmed links give first components.
-4. What is left are pairs of different components in one posting.  Postings are cut into blocks, and a task counts collisions
-   block against block over whole signatures; pairs with LEAST or more, met at their first common posting, go on.
-5. Every link is confirmed on the full sets: 100 * intersection >= 80 * union.
+   many comparisons as it has members.  Pairs whose signatures collide on LEAST coordinates join.
+4. Postings that still hold several groups are cut into blocks, and a task counts collisions block against block; it passes on
+   only pairs that join two groups, so that a hot posting gives no more pairs than members.  All candidate pairs now lie
+   within one family.
+5. Links are confirmed on the full sets, which travel once for each family and block: 100 * intersection >= 80 * union.  Again
+   a task passes on no more links than join its members.
 
 Texts without a word, and nulls, have empty sets, and link with nothing.  Repeated rows are rows of their own with equal results.
 A component's id is its least doc_id; a row with a null doc_id and no linked id has none, and is kept.
 """
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,8 @@ from scoreloom.session import staged
 
 COORDINATES, LEAST = 256, 179  # P(fewer than 179 of 256 agree at similarity 0.8) is about 5 in 10^5
 POSTED, LEAST_POSTED = 24, 11
-BLOCK = 2048
+BLOCK = 2048  # members of a posting in a block
+BLOCK_SHINGLES = 2_000_000  # shingles of a family in a block
 BATCH_BYTES = 1 << 20
 _random = np.random.default_rng(20)
 SALT = _random.integers(0, 2**64, COORDINATES, np.uint64)
@@ -84,19 +87,20 @@ def summaries(documents: DataFrame) -> DataFrame:
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_id, shingles) for `wanted` (set_id, source: a row's doc_id and digest), from the texts."""
+    """(set_id, root, shingles) for `wanted` (set_id, root, source: a row's doc_id and digest), from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
             sets = shingle_sets(arrow.utf8(batch.column("text")), hashes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("set_id"), arrow.int_lists([s.view(np.int64) for s in sets], pa.int64())], names=["set_id", "shingles"])
+                [batch.column("set_id"), batch.column("root"), arrow.int_lists([s.view(np.int64) for s in sets], pa.int64())],
+                names=["set_id", "root", "shingles"])
 
     rows = documents.select("text", "doc_id", F.xxhash64("text").alias("digest"))
-    keys = wanted.select("set_id", F.col("source.doc_id").alias("id"), F.col("source.digest").alias("sum"))
-    texts = rows.join(keys, [rows.doc_id.eqNullSafe(keys.id), rows.digest == keys.sum]).select("set_id", "text")
-    return texts.mapInArrow(run, "set_id binary, shingles array<long>")
+    keys = wanted.select("set_id", "root", F.col("source.doc_id").alias("id"), F.col("source.digest").alias("sum"))
+    texts = rows.join(keys, [rows.doc_id.eqNullSafe(keys.id), rows.digest == keys.sum]).select("set_id", "root", "text")
+    return texts.mapInArrow(run, "set_id binary, root binary, shingles array<long>")
 
 
 def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -112,65 +116,79 @@ def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return pairs.join(left, "a").join(right, "b").withColumn("common", common).where(
-        100 * F.col("common") >= 80 * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
+class Forest:
+    """Joins the members of a block, and gives the pairs that join two groups."""
 
+    def __init__(self, labels: np.ndarray):
+        self.label = labels.copy()
 
-def colliding(table: pa.Table, start: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs of one posting block (or block pair) that agree on LEAST coordinates, at their first common posting."""
-    part = table.slice(start, end - start)
-    sig = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint16).reshape(len(part), COORDINATES)
-    keys = np.array(part.column("posted").to_pylist())
-    mask = part.column("prefix").to_numpy()
-    prefix = (mask[:, None] >> np.arange(POSTED)) & 1 == 1
-    coordinate = part.column("coordinate")[0].as_py()
-    root = np.array(part.column("root").to_pylist(), object)
+    def join(self, a: int, others: np.ndarray) -> Iterator[tuple[int, int]]:
+        groups, first = np.unique(self.label[others], return_index=True)
+        for group, k in zip(groups, first, strict=True):
+            if group != self.label[a]:
+                self.label[self.label == group] = self.label[a]
+                yield a, int(others[k])
+
+
+def sides(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers to compare with each other: a block with itself, or one block with the other."""
     side = part.column("side").to_numpy()
-    place = np.arange(len(part))
-    left, right = (place, place) if (side == side[0]).all() else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+    if (side == side[0]).all():
+        return np.arange(len(part)), np.arange(len(part))
+    return np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+
+
+def colliding(part: pa.Table) -> Iterator[tuple[int, int]]:
+    """Pairs that collide on LEAST coordinates, as many as it takes to join the groups that they join."""
+    sig = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint16).reshape(len(part), COORDINATES)
+    forest = Forest(np.unique(np.array(part.column("root").to_pylist(), object), return_inverse=True)[1])
+    left, right = sides(part)
     step = max(1, (16 << 20) // (COORDINATES * len(right)))
     for k in range(0, len(left), step):
-        rows = left[k:k + step]
-        agree = (sig[rows][:, None, :] == sig[right][None]).sum(axis=2)
-        i, j = np.nonzero(agree >= LEAST)
-        i, j = rows[i], right[j]
-        keep = root[i] != root[j]
-        if left is right:
-            keep &= i < j
-        i, j = i[keep], j[keep]
-        both = (keys[i] == keys[j]) & prefix[i] & prefix[j]
-        keep = both.argmax(axis=1) == coordinate
-        yield i[keep], j[keep]
-
-
-def collisions(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes in different components that collide often enough."""
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = sizes.where("low != high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        hit = (sig[left[k:k + step]][:, None, :] == sig[right][None]).sum(axis=2) >= LEAST
+        for row, found in zip(left[k:k + step].tolist(), hit, strict=True):
+            yield from forest.join(row, right[found])
+
+
+def similar(part: pa.Table) -> Iterator[tuple[int, int]]:
+    """Pairs whose full sets are similar, as many as it takes to join the groups that they join.
+
+    The members of a block are listed under each shingle, so that one count over a row's lists gives its intersection with all.
+    """
+    sets = [np.array(s, np.int64) for s in part.column("shingles").to_pylist()]
+    size = np.array([len(s) for s in sets])
+    left, right = sides(part)
+    flat = np.concatenate([sets[r] for r in right])
+    owner = np.repeat(np.arange(len(right)), size[right])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    forest = Forest(np.arange(len(part)))
+    for row in left.tolist():
+        low, high = np.searchsorted(flat, sets[row], "left"), np.searchsorted(flat, sets[row], "right")
+        n = high - low
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        common = np.bincount(owner[at], minlength=len(right))
+        yield from forest.join(row, right[100 * common >= 80 * (size[row] + size[right] - common)])
+
+
+def in_blocks(members: DataFrame, key: str, weight: int | str, most: int, compare: Callable) -> DataFrame:
+    """Links (a, b) of classes that `compare` finds among the rows of each `key`, in blocks of `most` weight against each other."""
+    size = F.sum(F.lit(weight) if isinstance(weight, int) else F.col(weight))
+    sizes = members.groupBy(key).agg(F.ceil(size / most).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    placed = members.join(mixed, "key").withColumn("own", own).withColumn("with", F.explode(other)).select(
-        "key", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), (F.col("own") > F.col("with")).cast("int").alias("side"),
-        "set_id", "root", "coordinate", "prefix", "posted", "signature")
-    keys = ["key", "low", "high"]
+    placed = members.join(sizes, key).withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({
+            "low": F.least("own", "other"), "high": F.greatest("own", "other"), "side": (F.col("own") > F.col("other")).cast("int")})
+    keys = [key, "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in arrow.groups(batches, keys):
             for start, end in arrow.runs(table, keys):
-                if end - start < 2:
-                    continue
-                ids = table.column("set_id").slice(start, end - start)
-                for i, j in colliding(table, start, end):
-                    if len(i):
-                        first, second = ids.take(pa.array(i)).combine_chunks(), ids.take(pa.array(j)).combine_chunks()
-                        yield pa.RecordBatch.from_arrays([first, second], names=["a", "b"])
+                if end - start > 1 and (pairs := list(compare(part := table.slice(start, end - start)))):
+                    ids = part.column("set_id").combine_chunks()
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(x)) for x in zip(*pairs, strict=True)], names=["a", "b"])
 
-    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary")
+    return placed.drop("blocks", "own", "other").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -189,25 +207,19 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     stars = prefixes.select(F.col("set_id").alias("a"), F.explode(F.array_distinct("found.pivot")).alias("b")).where("a != b").join(
         prefixes.select(F.col("set_id").alias("b")), "b", "left_semi")
     star_pairs = staged(alike(stars, classes), "pairs")
-    repeated = not sets.groupBy("doc_id", "digest").count().where("count > 1").isEmpty()
-
-    def links_of(pairs: DataFrame) -> DataFrame:
-        wanted = classes.select("set_id", "source").join(pairs.select(F.explode(F.array("a", "b")).alias("set_id")), "set_id", "left_semi")
-        found = full_sets(documents, wanted)
-        return staged(confirmed(pairs, staged(found.dropDuplicates(["set_id"]) if repeated else found, "sets")), "links")
-
-    first_links = links_of(star_pairs)
-    first = components(first_links)
-    mask = F.aggregate("found", F.lit(0), lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1), x.coordinate)))
-    rooted = prefixes.withColumn("prefix", mask).join(first.withColumnRenamed("id", "set_id"), "set_id", "left")
-    members = rooted.select("set_id", F.coalesce("root", "set_id").alias("root"), "prefix", F.explode("found").alias("f")).select(
-        "set_id", "root", "prefix", "f.key", "f.coordinate")
-    # signatures travel only with members of postings that still hold several components
-    open_keys = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    left_over = members.join(open_keys, "key", "left_semi").join(classes.select("set_id", "posted", "signature"), "set_id")
-    more_links = links_of(staged(collisions(left_over), "pairs"))
-    final = first_links.unionByName(more_links) if not more_links.isEmpty() else None
-    roots = components(final) if final is not None else first
+    near = components(star_pairs)
+    rooted = prefixes.join(near.withColumnRenamed("id", "set_id"), "set_id", "left")
+    members = rooted.select("set_id", F.coalesce("root", "set_id").alias("root"), F.explode("found.key").alias("key"))
+    # signatures travel only with members of postings that still hold several groups
+    mixed = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
+    left_over = members.join(mixed, "key", "left_semi").join(classes.select("set_id", "signature"), "set_id")
+    families = components(star_pairs.unionByName(in_blocks(left_over, "key", 1, BLOCK, colliding)))
+    related = classes.select("set_id", "source").join(families.withColumnRenamed("id", "set_id"), "set_id")
+    found = full_sets(documents, related)
+    if not sets.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():  # repeated rows
+        found = found.dropDuplicates(["set_id"])
+    found = found.withColumn("n", F.size("shingles"))
+    roots = components(in_blocks(found, "root", "n", BLOCK_SHINGLES, similar))
     linked = classes.select("set_id", "least_id").join(roots.withColumnRenamed("id", "set_id"), "set_id")
     lowest = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
     grouped = classes.select("set_id", "least_id").join(linked.select("set_id", "root"), "set_id", "left").join(

@@ -114,13 +114,13 @@ def with_features(candidates: DataFrame) -> DataFrame:
 
 
 def candidates_of(documents: DataFrame) -> DataFrame:
-    """row, doc_id, base (spans), more (further candidates) of every document."""
+    """row, doc_id, digest, base (spans), loose (further candidates) of every document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = documents.select("doc_id", text.alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = documents.select("doc_id", text.alias("text"), F.xxhash64("text").alias("digest"), F.monotonically_increasing_id().alias("row"))
     own = F.col("text")
     base = F.concat(*[F.array_sort(spans(own, k, BASE[k], False)) for k in KINDS])
     loose = F.concat(*[spans(own, k, LOOSE[k], True) for k in KINDS])
-    return rows.select("row", "doc_id", base.alias("base"), loose.alias("loose"))
+    return rows.select("row", "doc_id", "digest", base.alias("base"), loose.alias("loose"))
 
 
 def added_spans(found: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def added_spans(found: DataFrame) -> DataFrame:
 
 
 def find_private(documents: DataFrame) -> DataFrame:
-    """doc_id, row, base and spans (kind_no, start, end) of every document; spans holds the base ones and what the model adds."""
+    """doc_id, digest of the text, base and spans (kind_no, start, end) of every document; spans holds the base ones and what the model adds."""
     found = staged(candidates_of(documents), "pii-candidates")
     slim = lambda c: F.struct(c.kind_no.alias("kind_no"), c.start.alias("start"), c.end.alias("end"))
     extra = added_spans(found).groupBy("row").agg(F.sort_array(F.collect_list(slim(F.col("c")))).alias("extra"))
@@ -165,10 +165,21 @@ def find_private(documents: DataFrame) -> DataFrame:
     disjoint = F.aggregate("extra", F.array().cast("array<struct<kind_no:int,start:int,end:int>>"), lambda acc, x: F.when(
         F.exists(acc, lambda y: overlaps(x, y)), acc).otherwise(F.concat(acc, F.array(x))))
     base = F.transform("base", slim)
-    return found.join(extra, "row", "left").select("doc_id", "row", base.alias("base"), F.sort_array(
+    return found.join(extra, "row", "left").select("doc_id", "digest", base.alias("base"), F.sort_array(
         F.concat(base, F.coalesce(disjoint, F.array().cast("array<struct<kind_no:int,start:int,end:int>>")))).alias("spans"))
 
 
+def redacted(documents: DataFrame) -> DataFrame:
+    """`documents` with the spans found replaced in `text`; all rows and columns stay."""
+    items = find_private(documents).where(F.size("spans") > 0).select(F.col("doc_id").alias("found_id"), "digest", "spans")
+    # rows that are equal in id and text have equal spans; a null id counts as a value
+    once = items.groupBy("found_id", "digest").agg(F.first("spans").alias("found_spans"))
+    same = [documents["doc_id"].eqNullSafe(once["found_id"]), F.xxhash64(documents["text"]) == once["digest"]]
+    joined = documents.join(once, same, "left")
+    text = F.when(F.col("found_spans").isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col("found_spans")))
+    return joined.withColumn("text", text).select(*documents.columns)
+
+
 def written(items: Column) -> Column:
     """kind:start:end, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import bpe, chat, language, near, private
+from scoreloom.llm import benchmarks, bpe, chat, language, near, private
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +46,9 @@ ORACLES["op7_chat_format"] = chat.ORACLE
 @query
 def op10_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmarks.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "last_word")

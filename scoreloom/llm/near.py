@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.llm import arrow
+from scoreloom.llm.blocks import Forest, in_blocks, sides
 from scoreloom.llm.graph import components
 from scoreloom.llm.words import WordHashes, mix
 from scoreloom.session import staged
@@ -116,28 +117,6 @@ def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-class Forest:
-    """Joins the members of a block, and gives the pairs that join two groups."""
-
-    def __init__(self, labels: np.ndarray):
-        self.label = labels.copy()
-
-    def join(self, a: int, others: np.ndarray) -> Iterator[tuple[int, int]]:
-        groups, first = np.unique(self.label[others], return_index=True)
-        for group, k in zip(groups, first, strict=True):
-            if group != self.label[a]:
-                self.label[self.label == group] = self.label[a]
-                yield a, int(others[k])
-
-
-def sides(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers to compare with each other: a block with itself, or one block with the other."""
-    side = part.column("side").to_numpy()
-    if (side == side[0]).all():
-        return np.arange(len(part)), np.arange(len(part))
-    return np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-
-
 def colliding(part: pa.Table) -> Iterator[tuple[int, int]]:
     """Pairs that collide on LEAST coordinates, as many as it takes to join the groups that they join."""
     sig = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint16).reshape(len(part), COORDINATES)
@@ -171,24 +150,15 @@ def similar(part: pa.Table) -> Iterator[tuple[int, int]]:
         yield from forest.join(row, right[100 * common >= 80 * (size[row] + size[right] - common)])
 
 
-def in_blocks(members: DataFrame, key: str, weight: int | str, most: int, compare: Callable) -> DataFrame:
-    """Links (a, b) of classes that `compare` finds among the rows of each `key`, in blocks of `most` weight against each other."""
-    size = F.sum(F.lit(weight) if isinstance(weight, int) else F.col(weight))
-    sizes = members.groupBy(key).agg(F.ceil(size / most).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
-    placed = members.join(sizes, key).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({
-            "low": F.least("own", "other"), "high": F.greatest("own", "other"), "side": (F.col("own") > F.col("other")).cast("int")})
-    keys = [key, "low", "high"]
+def links_in_blocks(members: DataFrame, key: str, weight: int | str, most: int, compare: Callable) -> DataFrame:
+    """Links (a, b) of classes that `compare` finds among the rows of each `key`."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in arrow.groups(batches, keys):
-            for start, end in arrow.runs(table, keys):
-                if end - start > 1 and (pairs := list(compare(part := table.slice(start, end - start)))):
-                    ids = part.column("set_id").combine_chunks()
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(x)) for x in zip(*pairs, strict=True)], names=["a", "b"])
+    def found(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        if pairs := list(compare(part)):
+            ids = part.column("set_id").combine_chunks()
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(x)) for x in zip(*pairs, strict=True)], names=["a", "b"])
 
-    return placed.drop("blocks", "own", "other").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary")
+    return in_blocks(members, key, "set_id", weight, most, found, "a binary, b binary")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -213,13 +183,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     # signatures travel only with members of postings that still hold several groups
     mixed = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
     left_over = members.join(mixed, "key", "left_semi").join(classes.select("set_id", "signature"), "set_id")
-    families = components(star_pairs.unionByName(in_blocks(left_over, "key", 1, BLOCK, colliding)))
+    families = components(star_pairs.unionByName(links_in_blocks(left_over, "key", 1, BLOCK, colliding)))
     related = classes.select("set_id", "source").join(families.withColumnRenamed("id", "set_id"), "set_id")
     found = full_sets(documents, related)
     if not sets.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():  # repeated rows
         found = found.dropDuplicates(["set_id"])
     found = found.withColumn("n", F.size("shingles"))
-    roots = components(in_blocks(found, "root", "n", BLOCK_SHINGLES, similar))
+    roots = components(links_in_blocks(found, "root", "n", BLOCK_SHINGLES, similar))
     linked = classes.select("set_id", "least_id").join(roots.withColumnRenamed("id", "set_id"), "set_id")
     lowest = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
     grouped = classes.select("set_id", "least_id").join(linked.select("set_id", "root"), "set_id", "left").join(

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import benchmarks, bpe, chat, language, near, private
+from scoreloom.llm import benchmarks, bpe, chat, language, near, private, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,8 @@ def op10_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = benchmarks.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "score", "last_word")
+
+
+@query
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))

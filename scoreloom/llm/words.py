@@ -39,9 +39,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     """The hash of the `size` words from each word on; the last ones run over the end and are of no use."""
-    total = np.zeros(len(hashes), np.uint64)
-    for k in range(size):
-        shifted = np.zeros_like(hashes)
-        shifted[:len(hashes) - k] = hashes[k:]
-        total = mix(total * np.uint64(0x9E3779B97F4A7C15) + shifted + np.uint64(k + 1))
-    return total
+    total = hashes.copy()
+    for k in range(1, size):
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total[:len(hashes) - k] += hashes[k:]
+    return mix(total)

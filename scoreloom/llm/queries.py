@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import benchmarks, bpe, chat, language, near, private, vectors
+from scoreloom.llm import benchmarks, bpe, chat, language, near, private, repeats, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents"))

@@ -29,7 +29,7 @@ from scoreloom.llm.words import mix
 from scoreloom.session import staged
 
 WIDTH = 200
-KMER = 48
+KMER = 32
 PART = 16
 BATCH_BYTES = 1 << 20
 RUN_STRINGS = 20_000  # strings in a sorted run

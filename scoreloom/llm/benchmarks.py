@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.llm import arrow
-from scoreloom.llm.words import WordHashes, grams
+from scoreloom.llm.words import grams, word_hashes
 from scoreloom.session import staged
 
 GRAM, WINDOW = 5, 8
@@ -43,7 +43,7 @@ class Seeds:
     """The seeds of some items, for finding them in texts."""
 
     def __init__(self, items: list[tuple[int, str | None]]):
-        flat, counts = WordHashes()(plain([(t or "").encode() for _, t in items]))
+        flat, counts = word_hashes(plain([(t or "").encode() for _, t in items]))
         ends = np.cumsum(counts)
         self.item = [i for i, _ in items]
         self.words = [flat[e - n:e] for e, n in zip(ends, counts, strict=True)]
@@ -83,10 +83,10 @@ def passages(documents: DataFrame, seeds: Seeds) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(seeds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, hashes = shared.value, WordHashes()
+        known = shared.value
         reach = np.array([len(w) for w in known.words])
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            flat, counts = hashes(plain(arrow.utf8(batch.column("text"))))
+            flat, counts = word_hashes(plain(arrow.utf8(batch.column("text"))))
             doc, ends = np.repeat(np.arange(len(counts)), counts), np.cumsum(counts)
             at, item, place = np.concatenate([np.zeros((3, 0), np.int64), *known.places(flat, doc)], axis=1).astype(np.int64)
             if not len(at):

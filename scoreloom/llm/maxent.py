@@ -6,7 +6,7 @@ a bias, taken from the counts, and weights of hashed context features: the word
 before that one with a gap.  Within the class of other words a word has its smoothed share of the counts.
 
 Training runs in ROUNDS rounds, each over its share of the texts: every task starts from the shared weights, takes gradient steps
-over the texts of its partition, and returns its change; changes are averaged by tokens.  Weights have a fixed size.
+over the texts of its partition, for one context feature after another, and returns its change; changes are averaged by tokens.  Weights have a fixed size.
 
 Counts of the HEAD most frequent words travel to the tasks; rarer words of a text are looked up by a join.  A null or empty text is
 its end token alone.  Repeated rows are rows of their own.  Without training texts every probability is that of an unseen word.
@@ -20,12 +20,12 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.llm import arrow
+from scoreloom.llm.words import Words
 from scoreloom.session import staged
 
 HEAD = 200_000  # words whose counts travel to the tasks, at most
@@ -34,12 +34,13 @@ OTHER = CLASSES  # the class of all other words
 ROUNDS = 2
 CLASS_ROWS, MEMBER_ROWS = 1 << 12, 1 << 13  # hashed feature rows of the two softmaxes
 RATE = 0.5
-STEP = 8192  # tokens in a gradient step, and scored at once
+STEP = 4096  # tokens in a gradient step, and scored at once
 END = b"\n"  # no word holds a line break
 BATCH_BYTES = 1 << 20
 COUNTED = 300_000  # words counted in a task before it passes them on
+FEW = 4  # occurrences of a row in a step up to which they are added one by one
 SALTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-HASH_BITS = 40
+END_HASH = np.uint64(0x632BE59BD9B4E019)
 fold, held_out_fold = 7, 2
 
 
@@ -91,8 +92,8 @@ class Vocabulary:
         share[:len(model)] = model
         by_class = share.reshape(CLASSES, MEMBERS)
         # a word that fills no place has no share; classes without words neither
-        self.class_bias = np.log(np.append(by_class.sum(axis=1), self.other_total + 1) + 1e-9).astype(np.float32)
-        self.member_bias = np.log(by_class + 1e-9).astype(np.float32)
+        self.class_bias = np.log((np.append(by_class.sum(axis=1), self.other_total + 1) + 1e-9) / (total + 1)).astype(np.float32)
+        self.member_bias = np.log((by_class + 1e-9) / (by_class.sum(axis=1, keepdims=True) + 1e-9)).astype(np.float32)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.total + self.distinct + 1))
@@ -102,29 +103,42 @@ class Vocabulary:
         return np.log10((counts + 1) / (self.other_total + self.other_distinct + 1))
 
 
-class Codes(dict):
-    """word -> rank + 1 among the head (0: not there) above HASH_BITS bits of its hash."""
+class Ranks:
+    """Ranks of words among the head, by their hashes: a table by leading bits, and a sorted list for the words it has no room for."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.rank = {w: k + 1 for k, w in enumerate(vocabulary.words)}
+    BITS = 20
 
-    def __missing__(self, word: bytes) -> int:
-        value = self.rank.get(word, 0) << HASH_BITS | xxhash.xxh3_64_intdigest(word) & (1 << HASH_BITS) - 1
-        if len(self) < COUNTED:
-            self[word] = value
-        return value
+    def __init__(self, vocabulary: Vocabulary):
+        hashes = np.concatenate([Words([w]).hashes if w != END else np.array([END_HASH]) for w in vocabulary.words] or [np.zeros(0, np.uint64)])
+        slot = (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
+        _, first = np.unique(slot, return_index=True)
+        self.hash, self.rank = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, -1, np.int32)
+        self.hash[slot[first]], self.rank[slot[first]] = hashes[first], first
+        rest = np.setdiff1d(np.arange(len(hashes)), first)
+        rest = rest[np.argsort(hashes[rest])]
+        self.crowded = np.zeros(1 << self.BITS, bool)
+        self.crowded[slot[rest]] = True
+        self.rest_hash, self.rest_rank = hashes[rest], rest.astype(np.int32)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        slot = (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
+        rank = np.where(self.hash[slot] == hashes, self.rank[slot], -1)
+        open_ = np.flatnonzero((rank < 0) & self.crowded[slot])
+        at = np.minimum(np.searchsorted(self.rest_hash, hashes[open_]), max(0, len(self.rest_hash) - 1))
+        if len(open_):
+            rank[open_] = np.where(self.rest_hash[at] == hashes[open_], self.rest_rank[at], -1)
+        return rank
 
 
 def features(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(tokens, 3) hashes of the contexts; `first` marks the first token of each text, before which there is nothing."""
+    """(3, tokens) hashes of the contexts; `first` marks the first token of each text, before which there is nothing."""
     nothing = np.uint64(1)
     one, two = np.empty_like(hashes), np.empty_like(hashes)
     one[1:], one[:1] = hashes[:-1], nothing
     one[first] = nothing
     two[1:], two[:1] = one[:-1], nothing
     two[first] = nothing
-    return np.stack([one * SALTS[0], (one * SALTS[1]) ^ (two * SALTS[0] << np.uint64(1)) * SALTS[2], two * SALTS[2]], axis=1)
+    return np.stack([one * SALTS[0], (one * SALTS[1]) ^ (two * SALTS[0] << np.uint64(1)) * SALTS[2], two * SALTS[2]])
 
 
 class Model:
@@ -137,44 +151,59 @@ class Model:
 
     @staticmethod
     def softmax(scores: np.ndarray) -> np.ndarray:
-        scores -= scores.max(axis=1, keepdims=True)
+        """Biases are log shares and weights stay small, so exp cannot overflow within the bound."""
+        np.minimum(scores, np.float32(60), out=scores)
         np.exp(scores, out=scores)
-        scores /= scores.sum(axis=1, keepdims=True)
+        scores /= (scores @ np.ones(scores.shape[1], np.float32))[:, None]
+        return scores
+
+    @staticmethod
+    def summed(bias: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        scores = weights.take(rows[0], axis=0)
+        scores += weights.take(rows[1], axis=0)
+        scores += weights.take(rows[2], axis=0)
+        scores += bias
         return scores
 
     def classes(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        rows = (context >> np.uint64(64 - 12)).astype(np.int64)
-        return rows, self.softmax(self.class_bias + self.by_class[rows[:, 0]] + self.by_class[rows[:, 1]] + self.by_class[rows[:, 2]])
+        rows = (context >> np.uint64(64 - 12)).astype(np.uint16)
+        return rows, self.softmax(self.summed(self.class_bias, self.by_class, rows))
 
     def members(self, context: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mixed = (context ^ ((group.astype(np.uint64) + np.uint64(1)) * SALTS[1])[:, None]) * SALTS[0]
-        rows = (mixed >> np.uint64(64 - 13)).astype(np.int64)
-        return rows, self.softmax(self.member_bias[group] + self.by_member[rows[:, 0]] + self.by_member[rows[:, 1]] + self.by_member[rows[:, 2]])
+        mixed = (context ^ ((group.astype(np.uint64) + np.uint64(1)) * SALTS[1])) * SALTS[0]
+        rows = (mixed >> np.uint64(64 - 13)).astype(np.uint16)
+        return rows, self.softmax(self.summed(self.member_bias.take(group, axis=0), self.by_member, rows))
 
     @staticmethod
-    def ascend(weights: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-        """A gradient step; rows that occur often take their mean gradient, scaled by the root of how often they occur."""
-        flat = rows.ravel()
-        times = np.bincount(flat, minlength=len(weights))
-        touched = np.flatnonzero(times)
-        compact = np.zeros(len(weights), np.int64)
-        compact[touched] = np.arange(len(touched))
-        order = np.argsort(flat, kind="stable")
-        starts = np.cumsum(times[touched]) - times[touched]
-        total = np.add.reduceat(gradient[order // rows.shape[1]], starts, axis=0)
-        weights[touched] += RATE * total / (1 + times[touched])[:, None].astype(np.float32) / rows.shape[1]
-
-    def learn(self, context: np.ndarray, group: np.ndarray, member: np.ndarray) -> None:
+    def ascend(weights: np.ndarray, row: np.ndarray, gradient: np.ndarray) -> None:
+        """A gradient step for one context feature; a row's gradients are averaged, with one more that is zero."""
+        order = np.argsort(row, kind="stable")  # a radix sort, as rows are 16 bits wide
+        ordered = row[order]
+        starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        times = np.diff(np.append(starts, len(row)))
+        total = gradient.take(order[starts], axis=0)
+        for k in range(1, FEW):
+            more = np.flatnonzero((times > k) & (times <= FEW))
+            total[more] += gradient.take(order[starts[more] + k], axis=0)
+        often = np.flatnonzero(times > FEW)
+        if len(often):
+            own = order[np.repeat(times > FEW, times)]
+            total[often] = np.add.reduceat(gradient.take(own, axis=0), np.cumsum(times[often]) - times[often], axis=0)
+        total *= (np.float32(RATE) / (1 + times)).astype(np.float32)[:, None]
+        weights[ordered[starts]] += total
+
+    def learn(self, context: np.ndarray, group: np.ndarray, member: np.ndarray, feature: int) -> None:
+        """A block-coordinate step: the weights of one context feature move, for all tokens."""
         rows, p = self.classes(context)
-        gradient = -p
+        gradient = np.negative(p, out=p)
         gradient[np.arange(len(group)), group] += 1
-        self.ascend(self.by_class, rows, gradient)
+        self.ascend(self.by_class, rows[feature], gradient)
         known = np.flatnonzero(group < OTHER)
         if len(known):
-            rows, p = self.members(context[known], group[known])
-            gradient = -p
+            rows, p = self.members(context[:, known], group[known])
+            gradient = np.negative(p, out=p)
             gradient[np.arange(len(known)), member[known]] += 1
-            self.ascend(self.by_member, rows, gradient)
+            self.ascend(self.by_member, rows[feature], gradient)
 
     def log10(self, context: np.ndarray, group: np.ndarray, member: np.ndarray) -> np.ndarray:
         """log10 of P(class) * P(member); of P(class) alone for the other class."""
@@ -182,21 +211,28 @@ class Model:
         out = self.classes(context)[1][every, group].astype(np.float64)
         known = np.flatnonzero(group < OTHER)
         if len(known):
-            out[known] *= self.members(context[known], group[known])[1][np.arange(len(known)), member[known]]
+            out[known] *= self.members(context[:, known], group[known])[1][np.arange(len(known)), member[known]]
         return np.log10(np.maximum(out, 1e-30))
 
 
-def coded(texts: list[bytes], codes: Codes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All words; ranks (-1: none), contexts, classes, members; tokens in each text."""
-    split = tokens(texts)
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    words = list(chain.from_iterable(split))
-    packed = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-    rank = (packed >> HASH_BITS) - 1
-    context = features((packed & (1 << HASH_BITS) - 1).astype(np.uint64), np.cumsum(counts) - counts)
-    modelled = (rank >= 0) & (rank < CLASSES * MEMBERS)
-    group = np.where(modelled, rank // MEMBERS, OTHER)
-    return words, rank, context, group, np.where(modelled, rank % MEMBERS, 0), counts
+class Coded:
+    """The tokens of some texts: ranks (-1: not in the head), contexts, classes, members, and counts by text."""
+
+    def __init__(self, texts: list[bytes], ranks: Ranks):
+        self.words = Words(texts)
+        self.counts = self.words.counts + 1
+        ends = np.cumsum(self.counts)
+        is_word = np.ones(int(ends[-1]), bool)
+        is_word[ends - 1] = False
+        hashes = np.full(len(is_word), END_HASH)
+        hashes[is_word] = self.words.hashes
+        self.is_word = is_word
+        self.place = np.cumsum(is_word) - 1  # a token's number among the words
+        self.rank = ranks(hashes)
+        self.context = features(hashes, ends - self.counts)
+        modelled = (self.rank >= 0) & (self.rank < CLASSES * MEMBERS)
+        small = np.where(modelled, self.rank, 0)
+        self.group, self.member = np.where(modelled, small // MEMBERS, OTHER), small % MEMBERS
 
 
 def weight_changes(documents: DataFrame, vocabulary, model) -> DataFrame:
@@ -204,12 +240,14 @@ def weight_changes(documents: DataFrame, vocabulary, model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = pickle.loads(model.value)
-        mine, codes, seen = pickle.loads(model.value), Codes(vocabulary.value), 0
+        mine, ranks, seen = pickle.loads(model.value), Ranks(vocabulary.value), 0
+        steps = 0
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            _, _, context, group, member, _ = coded(arrow.utf8(batch.column("text")), codes)
-            for k in range(0, len(group), STEP):
-                mine.learn(context[k:k + STEP], group[k:k + STEP], member[k:k + STEP])
-            seen += len(group)
+            c = Coded(arrow.utf8(batch.column("text")), ranks)
+            for k in range(0, len(c.rank), STEP):
+                mine.learn(c.context[:, k:k + STEP], c.group[k:k + STEP], c.member[k:k + STEP], steps % len(c.context))
+                steps += 1
+            seen += len(c.rank)
         if seen:
             task = TaskContext.get().partitionId() % 32
             parts = [(w, i, (getattr(mine, w)[i:i + 256] - getattr(start, w)[i:i + 256]) * seen)
@@ -261,23 +299,28 @@ def partly_scored(documents: DataFrame, vocabulary, model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weights = vocabulary.value, pickle.loads(model.value)
-        codes = Codes(known)
+        ranks = Ranks(known)
         counts_of = np.append(known.counts, 0)
         base, other = known.base(counts_of), known.other(counts_of)
         base[-1] = other[-1] = 0  # not in the head
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            words, rank, context, group, member, counts = coded(arrow.utf8(batch.column("text")), codes)
-            score = np.concatenate([weights.log10(context[k:k + STEP], group[k:k + STEP], member[k:k + STEP]) for k in range(0, len(rank), STEP)])
-            score += np.where(group == OTHER, other[rank], 0)
+            c = Coded(arrow.utf8(batch.column("text")), ranks)
+            rank, counts = c.rank, c.counts
+            score = np.concatenate([weights.log10(c.context[:, k:k + STEP], c.group[k:k + STEP], c.member[k:k + STEP])
+                                    for k in range(0, len(rank), STEP)])
+            score += np.where(c.group == OTHER, other[rank], 0)
             starts = np.cumsum(counts) - counts
-            owner = np.repeat(np.arange(len(counts)), counts)
+            unknown = np.flatnonzero((rank < 0) & c.is_word)
+            owner = np.repeat(np.arange(len(counts)), counts)[unknown]
             rare: list[Counter] = [Counter() for _ in counts]
-            for k in np.flatnonzero(rank < 0).tolist():
-                rare[owner[k]][words[k]] += 1
+            for row, place in zip(owner.tolist(), c.place[unknown].tolist(), strict=True):
+                rare[row][c.words[place]] += 1
+            for row in np.flatnonzero(rank[starts + counts - 1] < 0).tolist():  # end tokens, where the head is empty
+                rare[row][END] += 1
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(counts), pa.array(np.add.reduceat((rank >= 0).astype(np.int64), starts)),
                 pa.array(np.add.reduceat(base[rank], starts)), pa.array(np.add.reduceat(score, starts)),
-                pa.array([[{"word": w.decode(), "times": n} for w, n in c.items()] for c in rare],
+                pa.array([[{"word": w.decode(), "times": n} for w, n in times.items()] for times in rare],
                          pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))),
             ], names=["doc_id", *[f.split()[0] for f in PARTIAL.split(", ")]])
 

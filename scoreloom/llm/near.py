@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from scoreloom.llm import arrow
 from scoreloom.llm.blocks import Forest, in_blocks, sides
 from scoreloom.llm.graph import components
-from scoreloom.llm.words import WordHashes, mix
+from scoreloom.llm.substrings import mix
+from scoreloom.llm.words import word_hashes
 from scoreloom.session import staged
 
 COORDINATES, LEAST = 256, 179  # P(fewer than 179 of 256 agree at similarity 0.8) is about 5 in 10^5
@@ -42,9 +43,9 @@ FACTOR = _random.integers(0, 2**64, COORDINATES, np.uint64) | np.uint64(1)
 SUMMARY = "n_shingles long, set_id binary, posted array<long>, signature binary"
 
 
-def shingle_sets(texts: list[bytes], hashes: WordHashes) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """Each text's distinct two-word shingles, sorted; a lone word counts as one."""
-    flat, counts = hashes(texts)
+    flat, counts = word_hashes(texts)
     pairs = mix(flat * np.uint64(0x9E3779B97F4A7C15) + np.append(flat[1:], np.uint64(0))) if len(flat) else flat
     ends = np.cumsum(counts)
     return [np.unique(pairs[e - n:e - 1]) if n > 1 else mix(flat[e - n:e]) for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
@@ -69,9 +70,8 @@ def summaries(documents: DataFrame) -> DataFrame:
     """doc_id, digest of the text, and the columns of SUMMARY for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            sets = shingle_sets(arrow.utf8(batch.column("text")), hashes)
+            sets = shingle_sets(arrow.utf8(batch.column("text")))
             found = signatures(sets)
             posted = mix(found[:, :POSTED] + np.arange(POSTED, dtype=np.uint64)).view(np.int64)
             short = ((found >> np.uint64(24)) & np.uint64(0xFFFF)).astype(np.uint16)
@@ -91,9 +91,8 @@ def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """(set_id, root, shingles) for `wanted` (set_id, root, source: a row's doc_id and digest), from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            sets = shingle_sets(arrow.utf8(batch.column("text")), hashes)
+            sets = shingle_sets(arrow.utf8(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("set_id"), batch.column("root"), arrow.int_lists([s.view(np.int64) for s in sets], pa.int64())],
                 names=["set_id", "root", "shingles"])

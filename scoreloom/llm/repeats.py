@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.llm import arrow
 from scoreloom.llm.loser import front_code, merge
-from scoreloom.llm.words import mix
+from scoreloom.llm.substrings import ROOT, Hasher, mix
 from scoreloom.session import staged
 
 WIDTH = 200
@@ -36,36 +36,6 @@ RUN_STRINGS = 20_000  # strings in a sorted run
 SLICE_STRINGS = 40_000  # strings that one merging task gets, about
 SAMPLED = 20_000  # strings that are looked at for choosing key ranges, at most
 PREFIX = 48  # bytes of a string that decide its key range
-ROOT = 0x2545F4914F6CDD1D
-_random = np.random.default_rng(9)
-BYTE = _random.integers(0, 2**64, 256, np.uint64)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ROOT and of its inverse modulo 2^64."""
-    size = 1 << max(16, (n - 1).bit_length())
-    if size not in _powers:
-        _powers.clear()
-        both = []
-        for base in (ROOT, pow(ROOT, -1, 2**64)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            both.append(np.multiply.accumulate(p))
-        _powers[size] = (both[0], both[1])
-    return _powers[size]
-
-
-class Hasher:
-    """Hashes of any substring of some bytes."""
-
-    def __init__(self, data: np.ndarray):
-        up, self.down = powers(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTE[data] * up[:len(data)], out=self.sums[1:])
-
-    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.down[start])
 
 
 def lowest(values: np.ndarray, window: int) -> np.ndarray:

@@ -1,40 +1,38 @@
 """Words of texts as 64-bit hashes: ASCII lower case, split at ASCII white space."""
 
-from collections.abc import Iterable
-from itertools import chain
+from collections.abc import Sequence
 
 import numpy as np
-import xxhash
 
-REMEMBERED = 300_000
+from scoreloom.llm.substrings import Hasher, mix
 
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-class _Known(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
 
+class Words:
+    """The words of some texts: hashes, byte places in `data`, and counts by text."""
 
-class WordHashes:
-    """Hashes the words of texts; words seen before are looked up."""
+    def __init__(self, texts: Sequence[bytes]):
+        self.data = b"\n".join([t.lower() for t in texts]) + b"\n"
+        data = np.frombuffer(self.data, np.uint8)
+        space = SPACE[data]
+        before = np.empty_like(space)
+        before[0], before[1:] = True, space[:-1]
+        self.start = np.flatnonzero(before & ~space)
+        self.end = np.flatnonzero(space & ~before)
+        self.hashes = Hasher(data)(self.start, self.end)
+        lasts = np.cumsum([len(t) + 1 for t in texts]) if len(texts) else np.zeros(0, np.int64)
+        self.counts = np.diff(np.searchsorted(self.start, lasts, "left"), prepend=0)
 
-    def __init__(self) -> None:
-        self.known = _Known()
+    def __getitem__(self, k: int) -> bytes:
+        return self.data[self.start[k]:self.end[k]]
 
-    def __call__(self, texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The hashes of all words end to end, and each text's number of words."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        split = [t.lower().split() for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        return np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.uint64, int(counts.sum())), counts
 
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit values that spreads every bit."""
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words end to end, and each text's number of words."""
+    words = Words(texts)
+    return words.hashes, words.counts
 
 
 def grams(hashes: np.ndarray, size: int) -> np.ndarray:

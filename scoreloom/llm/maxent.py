@@ -109,7 +109,8 @@ class Ranks:
     BITS = 20
 
     def __init__(self, vocabulary: Vocabulary):
-        hashes = np.concatenate([Words([w]).hashes if w != END else np.array([END_HASH]) for w in vocabulary.words] or [np.zeros(0, np.uint64)])
+        hashes = np.full(len(vocabulary.words), END_HASH)
+        hashes[[w != END for w in vocabulary.words]] = Words([b" ".join(w for w in vocabulary.words if w != END)]).hashes
         slot = (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
         _, first = np.unique(slot, return_index=True)
         self.hash, self.rank = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, -1, np.int32)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.plans import companies as company_plans
-from scoreloom.session import spread
 from scoreloom.streaming.bars import daily_bars
 
 AS_OF = dt.datetime(2024, 1, 31, 20, 0, 0)
@@ -31,7 +30,7 @@ HTTP_CODES = [404, 410, 500, None]
 
 @functools.cache
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def pick(values: list, index) -> F.Column:
@@ -105,7 +104,8 @@ class Inputs:
             (F.col("l_shipdate").cast("date") + PRICE_SHIFT).alias("Date"),
             F.when(F.col("l_partkey") % 53 == 0, 0.0).otherwise(price).alias("Open"),
             (price * 1.25).alias("High"), (price * 0.75).alias("Low"),
-            F.when(F.col("l_partkey") % 59 == 0, -1.0).otherwise(price).alias("Close"),
+            F.when(F.col("l_partkey") % 59 == 0, -1.0).when(F.col("l_partkey") % 59 == 1, float("nan")).when(
+                F.col("l_partkey") % 59 == 2, float("inf")).otherwise(price).alias("Close"),
             F.col("l_quantity").cast("bigint").alias("Volume"),
             F.when(F.col("l_suppkey") % 31 != 30, code(F.col("l_suppkey"))).alias("isin"),
             F.concat(F.lit("T"), F.col("l_suppkey").cast("string")).alias("yf_ticker"),

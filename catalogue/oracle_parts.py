@@ -101,7 +101,7 @@ CTES = {
         SELECT {RAW_DAY}::DATE AS date,
                CASE WHEN l_partkey % 53 = 0 THEN 0.0 ELSE l_extendedprice / l_quantity END AS open,
                l_extendedprice / l_quantity * 1.25::DOUBLE AS high, l_extendedprice / l_quantity * 0.75::DOUBLE AS low,
-               CASE WHEN l_partkey % 59 = 0 THEN -1.0 ELSE l_extendedprice / l_quantity END AS close,
+               CASE WHEN l_partkey % 59 = 0 THEN -1.0 WHEN l_partkey % 59 = 1 THEN 'NaN'::DOUBLE WHEN l_partkey % 59 = 2 THEN 'Infinity'::DOUBLE ELSE l_extendedprice / l_quantity END AS close,
                l_quantity::BIGINT AS volume,
                CASE WHEN l_suppkey % 31 <> 30 THEN {code('l_suppkey')} END AS isin, 'T' || l_suppkey AS yf_ticker,
                l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem""",
@@ -109,7 +109,7 @@ CTES = {
         SELECT * EXCLUDE (rn) FROM (
             SELECT *, row_number() OVER (PARTITION BY isin, date ORDER BY l_orderkey DESC, l_linenumber DESC,
                                          l_partkey DESC, l_extendedprice DESC) AS rn
-            FROM raw_bars WHERE isin IS NOT NULL AND close > 0 AND open > 0 AND date <= {DAY}) WHERE rn = 1""",
+            FROM raw_bars WHERE isin IS NOT NULL AND close > 0 AND open > 0 AND isfinite(close) AND isfinite(open) AND date <= {DAY}) WHERE rn = 1""",
     "series": """
         SELECT *, row_number() OVER s - 1 AS n, lag(close) OVER s AS last_close FROM bars
         WINDOW s AS (PARTITION BY isin ORDER BY date)""",

@@ -101,7 +101,7 @@ oracle("snk12_conform_schema", f'SELECT isin, {ymd("date")} AS "Date", volume::D
 # Filters and projections ------------------------------------------------------------------------
 
 BAR = f'isin, {ymd("date")} AS "Date", volume AS "Volume", l_partkey'
-oracle("flt1_valid_price_filter", f"SELECT {BAR} FROM raw_bars WHERE isin IS NOT NULL AND close > 0 AND open > 0")
+oracle("flt1_valid_price_filter", f"SELECT {BAR} FROM raw_bars WHERE isin IS NOT NULL AND close > 0 AND open > 0 AND isfinite(close) AND isfinite(open)")
 oracle("flt2_market_close_cutoff", f"SELECT {BAR} FROM raw_bars WHERE date <= DATE '2024-01-30'")
 oracle("flt3_rolling_window_days", f"SELECT row_id, {hms('published_at')} AS published_at FROM sentiment WHERE published_at >= {NOW} - INTERVAL 20 DAY")
 oracle("flt4_nonblank_key", "SELECT * FROM listing WHERE isin IS NOT NULL AND trim(isin) <> ''")
@@ -287,7 +287,7 @@ oracle("sc9_null_propagating_clip", f"""
     SELECT {URL}, CASE WHEN g IS NOT NULL THEN greatest(-5.0::DOUBLE, least(5.0::DOUBLE, g)) END AS clipped,
            CASE WHEN g IS NOT NULL AND m IS NOT NULL THEN greatest(g, m) END AS larger
     FROM (SELECT o_orderkey, {number('ca_growth_raw')} AS g, {number('marge_op_raw')} AS m FROM staging)""")
-oracle("sc10_round_half_away", f"SELECT l_orderkey, l_linenumber, {r('l_quantity / 8', 2)} AS up, {r('l_quantity / -8', 2)} AS down FROM lineitem")
+oracle("sc10_round_half_away", f"SELECT l_orderkey, l_linenumber, {r('l_quantity / 8', 2)} AS up, {r('l_quantity / -8', 2)} AS down, l_quantity * 1e27::DOUBLE AS huge FROM lineitem")
 oracle("sc11_log_ceil", f"SELECT event_id, {r('log10(value + 1)', 8)} AS magnitude, ceil(value)::INTEGER AS whole FROM events")
 oracle("sc12_market_clock", f"""
     SELECT event_id, hour(here)::INTEGER AS hour, {ymd('here')} AS day, strftime(here, '%Y-%m-01') AS month, {ymd('here - INTERVAL 7 DAY')} AS week_before
@@ -428,7 +428,7 @@ oracle("txt10_txt11_strict_insider_signals", f"""
     SELECT {KEPT.format(CLEANED)} FROM answered WHERE dirigeant IN ('Jean Dupont', 'Marie Anne Martin', '  Paul   Durand ')
        AND date_signal IN ('2026-03-05', '2026-3-5')""", answered=SIGNALS)
 oracle("txt10b_scheduled_insider_signals", f"""
-    SELECT {KEPT.format(GIVEN)} FROM answered WHERE shape <= 2
+    SELECT {KEPT.format(GIVEN).replace("'Unknown' AS", "NULL::VARCHAR AS").replace("ticker,", "nullif(ticker, isin) AS ticker,", 1)} FROM answered WHERE shape <= 2
        AND dirigeant IN ('Jean Dupont', 'Marie Anne Martin', 'Nestlé Holding', 'Anne Marie De La Tour', '  Paul   Durand ')""", answered=SIGNALS)
 
 # Serving ----------------------------------------------------------------------------------------

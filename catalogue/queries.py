@@ -404,7 +404,7 @@ def flt6_insider_title_filter(i):
 
 @query
 def flt6b_jn5_insider_filings(i):
-    rows = insider_answers.insider_filings(i.filings(), processed_signals(i), AS_OF, insider_answers.SCHEDULED)
+    rows = insider_answers.insider_filings(i.filings(), processed_signals(i), AS_OF, insider_answers.SCHEDULED, 15)
     return rows.select("record_id", "titre", "publication_ts")
 
 
@@ -749,6 +749,7 @@ def sc10_round_half_away(i):
     return i.t("lineitem").select(
         "l_orderkey", "l_linenumber", numbers.round_half_away(c("l_quantity") / 8, 2).alias("up"),
         numbers.round_half_away(c("l_quantity") / -8, 2).alias("down"),
+        numbers.round_half_away(c("l_quantity") * 1e27, 2).alias("huge"),
     )
 
 

@@ -54,62 +54,51 @@ def usable_answers(df: DataFrame, raw: str) -> DataFrame:
     return parts.withColumn("_value", score).select(*df.columns, F.inline(F.array_compact(F.array(answer))))
 
 
+def unescape(text: Column) -> Column:
+    """HTML character references to characters; only rows that hold an '&' reach Python."""
+
+    def decode(texts):
+        import html
+
+        return texts.map(lambda t: None if t is None else html.unescape(t))
+
+    decode.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    decoded = F.pandas_udf(decode, "string")(F.when(text.contains("&"), text))
+    return F.coalesce(decoded, text)
+
+
 def listing_figures(blob: Column) -> Column:
     """struct(last, variation, high, low, volume) from an escaped JSON attribute.
 
-    The figures may sit at any depth and under several names, which no JSON path can say, so a
-    small vectorised function walks the parsed value.
+    The blob is a document, or has one between its outermost braces.  The figures may sit at any depth and under several
+    names: the outermost, first object that has a value under one of the names gives it.
     """
+    text = F.trim(unescape(blob))
+    block = F.regexp_extract(text, r"(?s)\{.*\}", 0)
+    document = F.when(F.try_parse_json(text).isNotNull(), text).when(F.try_parse_json(block).isNotNull(), block)
     aliases = dict(LISTING_ALIASES)
-    fields = T.StructType([T.StructField(name, T.StringType()) for name in aliases])
-
-    def search(value, names):
-        if isinstance(value, dict):
-            for name in names:
-                if value.get(name) not in (None, "", [], {}):
-                    return value[name]
-            value = list(value.values())
-        if isinstance(value, list):
-            for part in value:
-                found = search(part, names)
-                if found is not None:
-                    return found
-        return None
-
-    def figures(blobs):
-        import html
+
+    def objects(value):
+        ahead = [value]
+        while ahead:
+            value = ahead.pop()
+            if isinstance(value, dict):
+                yield value
+            if isinstance(value, dict | list):
+                ahead += reversed(value.values() if isinstance(value, dict) else value)
+
+    def figures(documents):
         import json
-        import re
 
         import pandas as pd
 
+        blank = (None, "", [], {})
         rows = []
-        for blob in blobs:
-            text = html.unescape(blob or "").strip()
-            outer = re.search(r"\{.*\}", text, flags=re.DOTALL)
-            parsed = {}
-            for candidate in [text] + ([outer.group(0)] if outer else []):
-                try:
-                    parsed = json.loads(candidate)
-                    break
-                except ValueError:
-                    continue
-            found = {name: search(parsed, names) for name, names in aliases.items()}
-            rows.append({k: v if v is None or isinstance(v, str) else json.dumps(v) for k, v in found.items()})
+        for document in documents:
+            known = list(objects(json.loads(document))) if document else []
+            given = {f: next((o[n] for o in known for n in names if o.get(n) not in blank), None) for f, names in aliases.items()}
+            rows.append({f: v if v is None or isinstance(v, str) else json.dumps(v) for f, v in given.items()})
         return pd.DataFrame(rows, columns=list(aliases))
 
-    figures.__annotations__ = {"blobs": pd.Series, "return": pd.DataFrame}
-    return F.pandas_udf(figures, fields)(blob)
-
-
-def unescape(text: Column) -> Column:
-    """HTML character references to characters; only rows that hold an '&' reach Python."""
-
-    def decode(texts):
-        import html
-
-        return texts.map(lambda t: None if t is None else html.unescape(t))
-
-    decode.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    decoded = F.pandas_udf(decode, "string")(F.when(text.contains("&"), text))
-    return F.coalesce(decoded, text)
+    figures.__annotations__ = {"documents": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(figures, T.StructType([T.StructField(name, T.StringType()) for name in aliases]))(document)

@@ -70,8 +70,12 @@ def clip(value: Column, low: Column, high: Column) -> Column:
 
 
 def round_half_away(value: Column, digits: int) -> Column:
-    """Round a double half away from zero by its decimal digits, not its binary ones."""
-    return F.round(value.cast("decimal(38,12)"), digits).cast("double")
+    """Round a double half away from zero by its decimal digits, not its binary ones.
+
+    From 1e25 on a double has no decimals, and stays as it is, as do NaN and the infinities.
+    """
+    rounded = F.round(F.when(F.abs(value) < 1e25, value).cast("decimal(38,12)"), digits).cast("double")
+    return F.coalesce(rounded, value.cast("double"))
 
 
 def rescale_1_10(score: Column) -> Column:

@@ -82,11 +82,13 @@ def _mean(days: int) -> Column:
 def indicators(bars: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Add the eight indicators and `computed_at`; NULL until a series is long enough.
 
-    `bars` holds one row per (isin, Date).
+    `bars` holds one row per (isin, Date).  Rows whose close is NaN or infinite are left out.
     """
     running = _series().rowsBetween(Window.unboundedPreceding, 0)
+    # a running total would carry one NaN or infinite price to the end of the series
+    finite = bars.where(F.col("Close").isNull() | (F.abs("Close") < F.lit(float("inf"))))
     rows = (
-        bars.withColumn("_n", F.row_number().over(_series()) - 1)
+        finite.withColumn("_n", F.row_number().over(_series()) - 1)
         .withColumn("_last_close", F.lag("Close").over(_series()))
         .withColumn("_start", F.first("Close").over(running))
         .withColumn("_total", F.sum(F.col("Close") - F.col("_start")).over(running))

@@ -22,7 +22,6 @@ class InsiderRules:
 
     titles: tuple = ("DIRIGEANT", "ARTICLE 19")
     not_titles: tuple = ()
-    limit: int = 15
     text_chars: int = 3500
     forbidden_words: tuple = ("ancien", "dirigeant", "membre", "société", "groupe", "fondation")
     banned_names: tuple = ()
@@ -38,7 +37,6 @@ SCHEDULED = InsiderRules()
 STRICT = InsiderRules(
     titles=("DIRIGEANT", "PERSONNE EXERÇANT", "ARTICLE 19"),
     not_titles=("ACTIONS PROPRES", "RACHAT", "DROITS DE VOTE"),
-    limit=12,
     text_chars=3000,
     forbidden_words=("ancien", "dirigeant", "membre", "société", "groupe", "direction", "representant", "permanent",
                      "fondation"),
@@ -72,11 +70,11 @@ def insider_titles(filings: DataFrame, as_of: dt.datetime, rules: InsiderRules =
 
 
 def insider_filings(
-    filings: DataFrame, signals: DataFrame, as_of: dt.datetime, rules: InsiderRules = SCHEDULED
+    filings: DataFrame, signals: DataFrame, as_of: dt.datetime, rules: InsiderRules = SCHEDULED, limit: int | None = None
 ) -> DataFrame:
-    """The newest filings to read, without those that already gave signals."""
+    """Filings to read, without those that already gave signals: all, or the newest `limit`."""
     rows = without(insider_titles(filings, as_of, rules), signals, ["record_id"], ["source_record_id"])
-    return rows.orderBy(F.desc("publication_ts"), "record_id").limit(rules.limit)
+    return rows if limit is None else rows.orderBy(F.desc("publication_ts"), "record_id").limit(limit)
 
 
 def model_input(text: Column, rules: InsiderRules = SCHEDULED) -> Column:
@@ -111,6 +109,10 @@ def _text(name: str) -> Column:
     )
 
 
+def _answered(name: str) -> Column:
+    return F.try_variant_get("_signal", f"$.{name}", "string")
+
+
 def _given_amount() -> tuple[Column, Column]:
     kind = F.schema_of_variant(F.try_variant_get("_signal", "$.montant", "variant"))
     return F.coalesce(kind, F.lit("VOID")), F.try_variant_get("_signal", "$.montant", "string")
@@ -155,20 +157,23 @@ def valid_insider(name: Column, operation: Column, day: Column, rules: InsiderRu
 def insider_signals(
     filings: DataFrame, as_of: dt.datetime, rules: InsiderRules = SCHEDULED, answer: str = "raw_response"
 ) -> DataFrame:
-    """Believable transactions, with company, code and record taken from the filing."""
+    """Believable transactions, with company, code and record taken from the filing.
+
+    The strict rules write 'Unknown' for what an answer lacks, and the company code for its ticker; the scheduled ones
+    leave NULL.
+    """
     rows = parse_signals(filings, rules, answer)
+    strict = rules.compute_amount
+    fields = ("date_signal", "dirigeant", "qualite", "type_operation")
     rows = rows.withColumns(
         {
-            "date_signal": _text("date_signal"),
-            "dirigeant": _text("dirigeant"),
-            "qualite": _text("qualite"),
-            "type_operation": _text("type_operation"),
+            **{name: _text(name) if strict else _answered(name) for name in fields},
             "montant": amount() if rules.compute_amount else given_amount(),
-            "_ticker": F.nullif(F.nullif(_text("ticker"), F.lit("Unknown")), F.lit("")),
+            "_ticker": F.nullif(F.nullif(_text("ticker"), F.lit("Unknown")), F.lit("")) if strict else _answered("ticker"),
         }
     ).where(valid_insider(F.col("dirigeant"), F.col("type_operation"), F.col("date_signal"), rules))
     return rows.select(
-        F.coalesce("_ticker", "isin", F.lit("Unknown")).alias("ticker"),
+        (F.coalesce("_ticker", "isin", F.lit("Unknown")) if strict else F.col("_ticker")).alias("ticker"),
         "date_signal", "dirigeant", "qualite", "type_operation", "montant",
         F.col("record_id").alias("source_record_id"),
         F.col("pdf_url").alias("url_doc"),

@@ -20,7 +20,10 @@ SHORT_ROWS, LONG_ROWS = 7, 14
 
 
 def valid_price() -> Column:
-    return F.col("isin").isNotNull() & (F.col("Close") > 0) & (F.col("Open") > 0)
+    """A code, and positive finite prices; Spark sorts NaN above all numbers, so an upper bound keeps it out."""
+    infinite = F.lit(float("inf"))
+    positive = [(F.col(c) > 0) & (F.col(c) < infinite) for c in ("Close", "Open")]
+    return F.col("isin").isNotNull() & positive[0] & positive[1]
 
 
 def session_closed(as_of: dt.datetime) -> Column:

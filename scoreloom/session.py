@@ -49,16 +49,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/scoreloom/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for a table whose files give fewer splits than there are cores.
-
-    A small file of one row group is one task, however much work each row then needs.  Tables with
-    enough splits are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` once and read it back.
 

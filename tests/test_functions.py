@@ -25,7 +25,7 @@ def test_numbers_in_text(evaluate):
 def test_null_and_zero(evaluate):
     assert evaluate(lambda x: numbers.divide(F.lit(1.0), x), [2.0, 0.0, None], "double") == [0.5, None, None]
     assert evaluate(lambda x: numbers.clip(x, F.lit(0.0), F.lit(1.0)), [-1.0, 0.5, 9.0, None], "double") == [0.0, 0.5, 1.0, None]
-    assert evaluate(lambda x: numbers.round_half_away(x, 2), [1.005, -1.005, 2.675], "double") == [1.01, -1.01, 2.68]
+    assert evaluate(lambda x: numbers.round_half_away(x, 2), [1.005, -1.005, 2.675, 1e27, None], "double") == [1.01, -1.01, 2.68, 1e27, None]
     assert evaluate(numbers.rescale_1_10, [1.0, 5.5, 10.0], "double") == [0.0, 5.0, 10.0]
 
 

@@ -123,3 +123,18 @@ def test_clean_and_only_newer(rows):
     assert {r.isin for r in prices.clean_bars(raw, AS_OF, incremental=True).collect()} == {"A"}
     stored = rows("isin string, Date date", [("A", day)])
     assert {(r.isin, r.Close) for r in prices.only_newer(raw, stored).collect()} == {("A", 7.0), (None, 5.0), ("B", 0.0), ("C", 5.0)}
+
+
+def test_bad_ticks_stay_out_of_a_series(spark):
+    import datetime as dt
+
+    from scoreloom.operators.indicators import indicators
+    from scoreloom.plans.prices import valid_price
+
+    day = dt.date(2023, 1, 1)
+    prices = [float("nan") if n == 5 else float("inf") if n == 7 else 100.0 + n % 7 for n in range(300)]
+    bars = spark.createDataFrame([("A", day + dt.timedelta(n), p, p) for n, p in enumerate(prices)], "isin string, Date date, Open double, Close double")
+    assert bars.where(valid_price()).count() == 298
+    for rows in (bars, bars.where(valid_price())):
+        last = indicators(rows, dt.datetime(2024, 1, 1)).orderBy("Date", ascending=False).first()
+        assert all(abs(last[c]) < 1000 for c in ("SMA_50", "SMA_200", "EMA_20", "MACD", "RSI_14", "BB_upper"))

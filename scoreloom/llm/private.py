@@ -187,9 +187,11 @@ def written(items: Column) -> Column:
 
 
 def private_digest(documents: DataFrame) -> DataFrame:
-    counts = [F.size(F.filter("base", lambda s, i=i: s.kind_no == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    def count(number: int) -> Column:
+        return F.size(F.filter("base", lambda s: s.kind_no == number)).cast("long").alias(f"n_{KINDS[number]}")
+
     return find_private(documents).select(
-        "doc_id", *counts, F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+        "doc_id", *[count(k) for k in range(len(KINDS))], F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
 def redact(text: Column, items: Column) -> Column:

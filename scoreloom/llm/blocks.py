@@ -38,7 +38,7 @@ def in_blocks(members: DataFrame, key: str, member: str, weight: int | str, most
 
     A group is dealt into as many blocks as `most` weight each takes, by a hash of `member`; every block meets itself and every
     other block once, in a task of its own.  `compare` gets the rows of such a meeting, with `side` 0 or 1 for the two blocks.
-    Groups of one row are left out.
+    Groups of one row are left out.  Rows come in order of `member`, so that a task that runs again gives the same.
     """
     size = F.sum(F.lit(weight) if isinstance(weight, int) else F.col(weight))
     sizes = members.groupBy(key).agg(F.ceil(size / most).cast("int").alias("blocks"), F.count(F.lit(1)).alias("rows")).where(
@@ -55,4 +55,5 @@ def in_blocks(members: DataFrame, key: str, member: str, weight: int | str, most
                 if end - start > 1:
                     yield from compare(table.slice(start, end - start))
 
-    return placed.drop("blocks", "own", "other").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return placed.drop("blocks", "own", "other").repartition(*keys).sortWithinPartitions(
+        *keys, member).mapInArrow(run, schema)

@@ -11,7 +11,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Every round is written to the shared folder and ends with one count.
     """
-    both = staged(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    directions = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("link")
+    both = staged(links.select(directions).select("link.a", "link.b").distinct(), "links")  # one evaluation gives both directions
     labels = staged(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("id"), F.least("a", "low").alias("root")), "labels")
     while True:
         around = both.join(labels, both.b == labels.id).groupBy("a").agg(F.min("root").alias("near"))

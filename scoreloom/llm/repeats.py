@@ -16,6 +16,7 @@ row a task.  Texts shorter than WIDTH bytes and nulls (empty) keep everything.
 each other.  Matches never cross texts.
 """
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from scoreloom.llm import arrow
 from scoreloom.llm.loser import front_code, merge
 from scoreloom.llm.substrings import ROOT, Hasher, mix
-from scoreloom.session import staged
+from scoreloom.session import staged as written
 
 WIDTH = 200
 KMER = 32
@@ -50,6 +51,15 @@ def lowest(values: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[window - 1:window - 1 + n])
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Writes `df`, and lets Spark drop the shuffle files of the finished step, which otherwise stay until the driver collects garbage."""
+    out = written(df, label)
+    gc.collect()
+    if (jvm := getattr(df.sparkSession, "_jvm", None)) is not None:  # not on a Connect session
+        jvm.System.gc()
+    return out
+
+
 def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All bytes end to end, and where each text starts and ends."""
     ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
@@ -119,8 +129,8 @@ def told_apart(items: DataFrame, shared: str, whole: str) -> tuple[DataFrame, Da
 PIECE = "at int, part int, low int, high int, shared long, whole long"
 
 
-def parts(rows: DataFrame, undecided: DataFrame) -> DataFrame:
-    """The parts of undecided ranges: place of the k-mer, number, windows, hash of the bytes all windows share, of all bytes."""
+def parts(undecided: DataFrame) -> DataFrame:
+    """The parts of undecided ranges (doc_id, digest, text, ranges): place of the k-mer, number, windows, hash of the bytes all windows share, of all bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
@@ -151,9 +161,7 @@ def parts(rows: DataFrame, undecided: DataFrame) -> DataFrame:
                  *[pa.array(x.astype(np.int32)) for x in (at, part, low, high)], pa.array(shared.view(np.int64)), pa.array(whole.view(np.int64))],
                 names=["doc_id", "digest", *[f.split()[0] for f in PIECE.split(", ")]])
 
-    lists = undecided.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("at", "low", "high", "kmer")).alias("ranges"))
-    texts = rows.join(lists, same_row(rows, lists)).select(rows.doc_id, rows.digest, "text", "ranges")
-    return texts.mapInArrow(run, f"{key_fields(rows)}, {PIECE}")
+    return undecided.mapInArrow(run, f"{key_fields(undecided)}, {PIECE}")
 
 
 def windows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes]]:
@@ -256,9 +264,14 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     """doc_id, digest of the text, low, high: byte spans whose windows all occur elsewhere too; spans may overlap."""
     rows = documents.select("doc_id", F.xxhash64("text").alias("digest"), "text")
     whole_ranges, open_ranges = told_apart(staged(ranges(rows), "ranges"), "kmer", "context")
-    whole_parts, open_parts = told_apart(staged(parts(rows, open_ranges), "parts"), "shared", "whole")
+    lists = open_ranges.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("at", "low", "high", "kmer")).alias("ranges"))
+    found = rows.join(lists, same_row(rows, lists)).select(rows.doc_id, rows.digest, "text", "ranges")
+    if not rows.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():  # repeated rows: one stands for all
+        found = found.dropDuplicates(["doc_id", "digest"])
+    undecided = staged(found, "undecided")
+    whole_parts, open_parts = told_apart(staged(parts(undecided), "parts"), "shared", "whole")
     pieces = open_parts.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("low", "high")).alias("pieces"))
-    texts = staged(rows.join(pieces, same_row(rows, pieces)).select(rows.doc_id, rows.digest, "text", "pieces").dropDuplicates(["doc_id", "digest"]), "open")
+    texts = staged(undecided.join(pieces, same_row(undecided, pieces)).select(undecided.doc_id, undecided.digest, "text", "pieces"), "open")
     windows = repeated_windows(texts)
     span = lambda df: df.select("doc_id", "digest", "low", (F.col("high") + WIDTH).alias("high"))
     return span(whole_ranges).unionByName(span(whole_parts)).unionByName(windows.select("doc_id", "digest", "low", "high"))

@@ -263,15 +263,16 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """doc_id, digest of the text, low, high: byte spans whose windows all occur elsewhere too; spans may overlap."""
     rows = documents.select("doc_id", F.xxhash64("text").alias("digest"), "text")
-    whole_ranges, open_ranges = told_apart(staged(ranges(rows), "ranges"), "kmer", "context")
+    whole_ranges, open_ranges = told_apart(ranges(rows), "kmer", "context")  # made twice rather than written: they are many
     lists = open_ranges.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("at", "low", "high", "kmer")).alias("ranges"))
     found = rows.join(lists, same_row(rows, lists)).select(rows.doc_id, rows.digest, "text", "ranges")
-    if not rows.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():  # repeated rows: one stands for all
+    repeated = not rows.groupBy("doc_id", "digest").count().where("count > 1").isEmpty()
+    if repeated:  # one of equal rows stands for all
         found = found.dropDuplicates(["doc_id", "digest"])
-    undecided = staged(found, "undecided")
-    whole_parts, open_parts = told_apart(staged(parts(undecided), "parts"), "shared", "whole")
+    whole_parts, open_parts = told_apart(staged(parts(found), "parts"), "shared", "whole")
     pieces = open_parts.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("low", "high")).alias("pieces"))
-    texts = staged(undecided.join(pieces, same_row(undecided, pieces)).select(undecided.doc_id, undecided.digest, "text", "pieces"), "open")
+    held = rows.join(pieces, same_row(rows, pieces)).select(rows.doc_id, rows.digest, "text", "pieces")
+    texts = staged(held.dropDuplicates(["doc_id", "digest"]) if repeated else held, "open")
     windows = repeated_windows(texts)
     span = lambda df: df.select("doc_id", "digest", "low", (F.col("high") + WIDTH).alias("high"))
     return span(whole_ranges).unionByName(span(whole_parts)).unionByName(windows.select("doc_id", "digest", "low", "high"))

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ WIDTH = 200
 KMER = 32
 PART = 16
 BATCH_BYTES = 1 << 20
+PACKED_BYTES = 1 << 18  # of compressed texts
 RUN_STRINGS = 20_000  # strings in a sorted run
 SLICE_STRINGS = 40_000  # strings that one merging task gets, about
 SAMPLED = 20_000  # strings that are looked at for choosing key ranges, at most
@@ -60,6 +62,23 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """doc_id, digest and the compressed text of `rows`: what the joins move."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in arrow.slices(batches, "text", BATCH_BYTES):
+            texts = pa.array([press.compress(t) for t in arrow.utf8(batch.column("text"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), texts], names=["doc_id", "digest", "text"])
+
+    return rows.mapInArrow(run, f"{key_fields(rows)}, text binary")
+
+
+def unpacked(values: pa.Array) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor()
+    return [expand.decompress(t) for t in values.to_pylist()]
+
+
 def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All bytes end to end, and where each text starts and ends."""
     ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
@@ -133,8 +152,8 @@ def parts(undecided: DataFrame) -> DataFrame:
     """The parts of undecided ranges (doc_id, digest, text, ranges): place of the k-mer, number, windows, hash of the bytes all windows share, of all bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            data, starts, ends = laid_out(arrow.utf8(batch.column("text")))
+        for batch in arrow.slices(batches, "text", PACKED_BYTES):
+            data, starts, ends = laid_out(unpacked(batch.column("text")))
             nested = batch.column("ranges")
             n = np.diff(nested.offsets.to_numpy())
             flat = nested.flatten()
@@ -166,7 +185,7 @@ def parts(undecided: DataFrame) -> DataFrame:
 
 def windows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes]]:
     """(row of the batch, start, string) of the windows from low to high of each of its pieces."""
-    raw = arrow.utf8(batch.column("text"))
+    raw = unpacked(batch.column("text"))
     for k, pieces in enumerate(batch.column("pieces").to_pylist()):
         for low, high in sorted({(p["low"], p["high"]) for p in pieces}):
             for s in range(low, high + 1):
@@ -198,7 +217,7 @@ def sorted_runs(texts: DataFrame, splitters: list[bytes]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, ids, digests = [], [], []
-        for batch in arrow.slices(batches, "text", BATCH_BYTES):
+        for batch in arrow.slices(batches, "text", PACKED_BYTES):
             base = len(ids)
             ids += batch.column("doc_id").to_pylist()
             digests += batch.column("digest").to_pylist()
@@ -218,13 +237,17 @@ def sorted_runs(texts: DataFrame, splitters: list[bytes]) -> DataFrame:
 RUN_NAMES = ["slice", "lengths", "rests", "places", "ids", "digests", "starts"]
 
 
+def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first PREFIX bytes of every PART-th window."""
+    for batch in arrow.slices(batches, "text", PACKED_BYTES):
+        yield pa.RecordBatch.from_arrays([pa.array([w[:PREFIX] for _, s, w in windows_of(batch) if s % PART == 0], pa.binary())], names=["prefix"])
+
+
 def repeated_windows(texts: DataFrame) -> DataFrame:
     """doc_id, digest, start, end of windows of `texts` (doc_id, digest, text, pieces) that occur at two places or more."""
     total = texts.agg(F.sum(F.aggregate("pieces", F.lit(0).cast("long"), lambda acc, p: acc + p.high - p.low + 1))).first()[0] or 0
-    starts = texts.select(F.explode("pieces").alias("p"), "text").select(
-        F.substring(F.col("text").cast("binary"), F.col("p.low") + 1, F.lit(PREFIX)).alias("prefix"))
     share = min(1.0, SAMPLED / max(1, total / PART))
-    sample = sorted(bytes(r.prefix) for r in starts.sample(share / 2, 7).limit(SAMPLED).collect())
+    sample = sorted(bytes(r.prefix) for r in texts.sample(share / 2, 7).mapInArrow(prefixes, "prefix binary").limit(SAMPLED).collect())
     slices = -(-total // SLICE_STRINGS)
     cuts = sorted({sample[len(sample) * k // slices] for k in range(1, slices)}) if sample else []
 
@@ -265,13 +288,14 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     rows = documents.select("doc_id", F.xxhash64("text").alias("digest"), "text")
     whole_ranges, open_ranges = told_apart(ranges(rows), "kmer", "context")  # made twice rather than written: they are many
     lists = open_ranges.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("at", "low", "high", "kmer")).alias("ranges"))
-    found = rows.join(lists, same_row(rows, lists)).select(rows.doc_id, rows.digest, "text", "ranges")
+    store = packed(rows)
+    found = store.join(lists, same_row(store, lists)).select(store.doc_id, store.digest, "text", "ranges")
     repeated = not rows.groupBy("doc_id", "digest").count().where("count > 1").isEmpty()
     if repeated:  # one of equal rows stands for all
         found = found.dropDuplicates(["doc_id", "digest"])
     whole_parts, open_parts = told_apart(staged(parts(found), "parts"), "shared", "whole")
     pieces = open_parts.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("low", "high")).alias("pieces"))
-    held = rows.join(pieces, same_row(rows, pieces)).select(rows.doc_id, rows.digest, "text", "pieces")
+    held = store.join(pieces, same_row(store, pieces)).select(store.doc_id, store.digest, "text", "pieces")
     texts = staged(held.dropDuplicates(["doc_id", "digest"]) if repeated else held, "open")
     windows = repeated_windows(texts)
     span = lambda df: df.select("doc_id", "digest", "low", (F.col("high") + WIDTH).alias("high"))
@@ -282,11 +306,12 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, removed (spans: low, high, ascending and apart), kept (binary) of every row of `documents` (doc_id, text)."""
     rows = documents.select("doc_id", F.xxhash64("text").alias("digest"), "text")
     spans = repeated_spans(documents).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    joined = rows.join(spans, same_row(rows, spans), "left").select(rows.doc_id, "text", "spans")
+    store = packed(rows)
+    joined = store.join(spans, same_row(store, spans), "left").select(store.doc_id, "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            raw = arrow.utf8(batch.column("text"))
+        for batch in arrow.slices(batches, "text", PACKED_BYTES):
+            raw = unpacked(batch.column("text"))
             removed, kept = [], []
             for text, found in zip(raw, batch.column("spans").to_pylist(), strict=True):
                 apart: list[list[int]] = []

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import benchmarks, bpe, chat, language, maxent, near, private, repeats, vectors
+from scoreloom.llm import benchmarks, bpe, chat, language, licenses, maxent, near, private, repeats, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,11 @@ def op1_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_table(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.private_digest(table(spark, sf_dir, "documents"))

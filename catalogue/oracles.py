@@ -528,5 +528,5 @@ oracle("inc7_retry_state", f"""
 oracle("str2_stream_daily_bars", f"""
     SELECT 'U' || user_id AS isin, {ymd('ts::DATE')} AS "Date", first(value ORDER BY ts, event_id) AS "Open", max(value) AS "High", min(value) AS "Low",
            last(value ORDER BY ts, event_id) AS "Close", sum(event_id % 9)::BIGINT AS "Volume"
-    FROM events WHERE ts::DATE + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY user_id, ts::DATE""")
+    FROM events GROUP BY user_id, ts::DATE""")
 oracle("str2_batch_daily_bars", f"SELECT {ohlc('yf_ticker')} FROM bars")

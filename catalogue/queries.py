@@ -73,7 +73,7 @@ def signal(i: Inputs) -> DataFrame:
 
 
 def financials(i: Inputs) -> DataFrame:
-    return fundamentals.financials_score(signal(i), AS_OF)
+    return fundamentals.financials_score(staged(z_rows(i)), AS_OF)
 
 
 def insider(i: Inputs) -> DataFrame:
@@ -310,7 +310,7 @@ def snk6_incremental_merge(i):
 @query
 def snk7_insert_overwrite_month(i):
     path = scratch_path(i.spark, "months")
-    clean = staged(prices.clean_bars(i.raw_bars(), AS_OF, ties=i.bar_ties()))
+    clean = prices.clean_bars(i.raw_bars(), AS_OF, ties=i.bar_ties())
     writers.overwrite_months(clean, path, "Date", ["isin"])
     latest = clean.where(prices.in_rewrite_months(AS_OF)).withColumn("Volume", c("Volume") + 1000)
     writers.overwrite_months(latest, path, "Date", ["isin"])
@@ -517,10 +517,10 @@ def agg3_last_date_per_isin(i):
 
 @query
 def agg4_win8_exact_percentiles(i):
-    """The distributed form, on a column of every line item."""
-    rows = staged(i.t("lineitem").select("l_extendedprice", "l_quantity", "l_discount"))
+    """Three columns of every line item."""
+    rows = i.t("lineitem")
     columns = ["l_extendedprice", "l_quantity", "l_discount"]
-    result = fundamentals.exact_percentiles(rows, columns, {"p05": 0.05, "p95": 0.95}, small=0)
+    result = fundamentals.exact_percentiles(rows, columns, {"p05": 0.05, "p95": 0.95})
     return rounded(result, 6, *result.columns)
 
 
@@ -604,8 +604,8 @@ def win6_is_latest_flag(i):
 
 @query
 def win7_percent_rank_global(i):
-    """The distributed form, on every event."""
-    ranked = news.percent_rank(i.t("events").select("event_id", "value"), "value", "share", small=0)
+    """Every event, ranked by its value."""
+    ranked = news.percent_rank(i.t("events").select("event_id", "value"), "value", "share")
     return rounded(ranked, 8, "share")
 
 
@@ -1282,18 +1282,19 @@ def str1_running_indicators(i):
 
 @query
 def str2_stream_daily_bars(i):
-    """Ticks streamed from the events file; a day is written once the watermark has passed it."""
+    """Ticks streamed from the events file; a day is written once the watermark has passed it, the last days follow from a batch."""
     path = scratch_path(i.spark, "bars")
     stream = incremental.new_files(i.spark, i.folder, i.t("events").schema, "events.parquet")
     timed = stream.withColumn("ts", clock.instant(c("ts"))).withWatermark("ts", "1 hour")
-    ticks = timed.select(
+    ticks = lambda events: events.select(
         F.concat(F.lit("U"), c("user_id").cast("string")).alias("isin"), "ts", c("value").alias("price"),
         (c("event_id") % 9).alias("quantity"), "event_id",
     )
-    incremental.run_to_table(bar_streams.daily_bars(ticks, ["event_id"]), f"{path}/out", f"{path}/checkpoint")
-    return i.spark.read.schema("isin string, Date date, Open double, High double, Low double, Close double, Volume bigint").parquet(
+    incremental.run_to_table(bar_streams.daily_bars(ticks(timed), ["event_id"]), f"{path}/out", f"{path}/checkpoint")
+    written = i.spark.read.schema("isin string, Date date, Open double, High double, Low double, Close double, Volume bigint").parquet(
         f"{path}/out"
     )
+    return bar_streams.with_open_days(written, ticks(i.t("events")), ["event_id"])
 
 
 @query

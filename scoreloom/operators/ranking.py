@@ -1,110 +1,88 @@
 """Exact ranks and percentiles of a whole table without a one-task window.
 
-percent_rank() over an unpartitioned window, and percentile(), bring every row to one task.  Here
-equal values are counted first, distinct values are cut into ordered slices, and only the slice
-totals (a bounded table) are summed up in one place.
+percent_rank() over an unpartitioned window, and percentile(), bring every row to one task.  Here a
+quantile sketch gives CUTS values of the column.  A row lies either on a cut or strictly between
+two; a value frequent enough to overload a task is a cut itself.  So every slice is small or holds
+one value only, whatever the distribution, and only slice totals are summed up in one place.  The
+cuts decide how even the slices are, never the result.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreloom.operators.joins import lookup
-from scoreloom.session import staged
+CUTS = 1024  # an open slice holds about 1/CUTS of the rows, and at most 2/ACCURACY more
+STRIDE = 32  # a value meets CUTS / STRIDE coarse cuts, then STRIDE fine ones
+ACCURACY = 50_000
+NULLS, NANS = -1, 2 * CUTS + 2
+SPREAD = 997
 
-SMALL = 200_000  # rows one task may sort; beyond, the work is cut into slices
-SLICES = 16384
-STEPS_PER_OCTAVE = 8
-OUTSIDE = 40_000
-ABOVE_SMALLEST = 10_000  # log2 of a double is above -1075, so the band number stays positive
 
+def cut_values(value: Column) -> Column:
+    """Aggregate: the distinct cuts of a column in order, without NULL and NaN."""
+    ordinary = F.when(~F.isnan(value.cast("double")), value)
+    shares = F.split(F.lit(" ".join(str(k / CUTS) for k in range(CUTS + 1))), " ").cast("array<double>")  # one literal
+    return F.array_sort(F.array_distinct(F.percentile_approx(ordinary, shares, ACCURACY)))
 
-def _band(value: Column) -> Column:
-    """An order-preserving band: sign, then an eighth of an octave of the magnitude.
 
-    It needs no statistics and there are at most 40,000 of them.  Infinities lie outside all others,
-    and NaN, which Spark sorts last, above them.
+def slice_of(value: Column, cuts: Column) -> Column:
+    """The number of the slice of a value; numbers are in the order of the values, NULL first, NaN last.
+
+    Odd numbers are the open slices, the others hold one value each.
     """
-    number = value.cast("double")
-    step = F.floor(F.log2(F.abs(number)) * STEPS_PER_OCTAVE) + ABOVE_SMALLEST
+    coarse = F.transform(F.sequence(F.lit(0), (F.size(cuts) - 1).cast("int"), F.lit(STRIDE)), lambda k: F.get(cuts, k))
+    block = F.greatest(F.size(F.filter(coarse, lambda c: c <= value)) - 1, F.lit(0)) * STRIDE
+    below = block + F.size(F.filter(F.slice(cuts, block + 1, F.lit(STRIDE)), lambda c: c <= value))
+    on_cut = F.coalesce(F.get(cuts, below - 1) == value, F.lit(False))
     return (
-        F.when(F.isnan(number), OUTSIDE + 1)
-        .when(F.abs(number) == float("inf"), F.signum(number).cast("long") * OUTSIDE)
-        .when(number == 0, F.lit(0))
-        .otherwise(F.signum(number).cast("long") * step)
-        .cast("long")
+        F.when(value.isNull(), NULLS)
+        .when(F.isnan(value.cast("double")), NANS)
+        .otherwise(2 * below + F.when(on_cut, 0).otherwise(1))
+        .cast("int")
     )
 
 
-def value_ranks(df: DataFrame, value: str, by: list, at: list[float] | None = None) -> DataFrame:
-    """(by, value, copies, before, total): rows below each distinct non-NULL value, per group.
-
-    `by` groups are few (names of measures, say).  `at` keeps only the slices that hold these
-    quantile positions, so the rest is never sorted.
-    """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("_band", _band(F.col(value)))
-    )
-    # Every branch below uses the same three columns of `counts`, so its exchange is shared.
-    bands = counts.groupBy(*by, "_band").agg(
-        F.min(value).alias("_low"), F.max(value).alias("_high"),
-        F.count(F.lit(1)).alias("_values"), F.sum("copies").alias("_rows"),
-    )
-    whole = Window.partitionBy(*by)
-    bands = bands.withColumn("_cuts", F.ceil(F.col("_values") / F.sum("_values").over(whole) * SLICES)).drop(
-        "_values", "_rows"
-    )
-    spot = F.floor((F.col(value) - F.col("_low")) / (F.col("_high") - F.col("_low")) * F.col("_cuts"))
-    sliced = (
-        counts.join(F.broadcast(bands), [*by, "_band"])  # at most 40,000 rows per group
-        .withColumn("_slice", F.when(F.col("_high") > F.col("_low"), spot).otherwise(F.lit(0)))
-        .drop("_low", "_high", "_cuts")
-    )
-    totals = sliced.groupBy(*by, "_band", "_slice").agg(F.sum("copies").alias("_here"))
-    run = Window.partitionBy(*by).orderBy("_band", "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_here").over(run), F.lit(0))).withColumn(
-        "total", F.sum("_here").over(whole)
-    )
-    if at is not None:
-        wanted = F.lit(False)
-        for p in at:
-            for edge in (F.floor, F.ceil):
-                position = edge(p * (F.col("total") - 1))
-                wanted = wanted | position.between(F.col("_offset"), F.col("_offset") + F.col("_here") - 1)
-        offsets = offsets.where(wanted)
-    inside = (
-        Window.partitionBy(*by, "_band", "_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        sliced.join(F.broadcast(offsets.drop("_here")), [*by, "_band", "_slice"])  # at most bands + SLICES rows
-        .withColumn("before", F.col("_offset") + F.coalesce(F.sum("copies").over(inside), F.lit(0)))
-        .select(*by, value, "copies", "before", "total")
+def _offsets(totals: DataFrame, by: list) -> DataFrame:
+    """Add `_before`, the rows of the slices below, and `_total`; `totals` is (by, _slice, _here)."""
+    run = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn("_before", F.coalesce(F.sum("_here").over(run), F.lit(0))).withColumn(
+        "_total", F.sum("_here").over(Window.partitionBy(*by))
     )
 
 
-def exact_percentiles(rows: DataFrame, columns: list, at: dict[str, float], small: int = SMALL) -> DataFrame:
+def exact_percentiles(rows: DataFrame, columns: list, at: dict[str, float]) -> DataFrame:
     """One row with the interpolated percentiles `<name>_<column>`; NULLs are ignored.
 
-    `rows` is a written table.  percentile() is exact too, but holds all distinct values in one
-    task; it serves up to `small` rows, counted first.
+    Only rows of slices that hold a wanted position are shuffled, one per distinct value and task.
     """
-    if rows.count() <= small:
-        return rows.agg(
-            *[F.percentile(F.col(c).cast("double"), p).alias(f"{name}_{c}") for c in columns for name, p in at.items()]
-        )
-    long = rows.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in columns])
-        ).alias("m")
-    ).select("m.measure", "m.value")
-    ranks = value_ranks(long, "value", ["measure"], list(at.values()))
+    cuts = rows.agg(*[cut_values(F.col(c).cast("double")).alias(c) for c in columns]).select(F.struct("*")).scalar()
+    cells = [
+        F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"),
+                 slice_of(F.col(c).cast("double"), F.col("_cuts").getField(c)).alias("_slice"))
+        for c in columns
+    ]
+    long = (
+        rows.select(*columns).withColumn("_cuts", cuts).select(F.explode(F.array(*cells)).alias("m")).select("m.*")
+        .where(F.col("value").isNotNull())
+    )
+    offsets = _offsets(long.groupBy("measure", "_slice").agg(F.count(F.lit(1)).alias("_here")), ["measure"])
+    wanted = F.lit(False)
+    for p in at.values():
+        for edge in (F.floor, F.ceil):
+            position = edge(p * (F.col("_total") - 1))
+            wanted = wanted | position.between(F.col("_before"), F.col("_before") + F.col("_here") - 1)
+    held = F.broadcast(offsets.where(wanted).drop("_here"))  # two rows per percentile and column at most
+    inside = Window.partitionBy("measure", "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (
+        long.join(held, ["measure", "_slice"])
+        .groupBy("measure", "_slice", "value")
+        .agg(F.count(F.lit(1)).alias("copies"), F.max("_before").alias("_before"), F.max("_total").alias("total"))
+        .withColumn("before", F.col("_before") + F.coalesce(F.sum("copies").over(inside), F.lit(0)))
+    )
 
     def pick(column: str, p: float, edge) -> Column:
         position = edge(p * (F.col("total") - 1))
-        held = position.between(F.col("before"), F.col("before") + F.col("copies") - 1)
-        return F.max(F.when((F.col("measure") == column) & held, F.col("value")))
+        here = position.between(F.col("before"), F.col("before") + F.col("copies") - 1)
+        return F.max(F.when((F.col("measure") == column) & here, F.col("value")))
 
     results = []
     for c in columns:
@@ -112,22 +90,28 @@ def exact_percentiles(rows: DataFrame, columns: list, at: dict[str, float], smal
         for name, p in at.items():
             low, high = pick(c, p, F.floor), pick(c, p, F.ceil)
             part = p * (n - 1) - F.floor(p * (n - 1))
-            results.append((low + (high - low) * part).alias(f"{name}_{c}"))
+            between = low + (high - low) * part
+            results.append(F.when(low == high, low).otherwise(between).alias(f"{name}_{c}"))
     return ranks.agg(*results)
 
 
-def percent_rank(df: DataFrame, value: str, name: str, small: int = SMALL) -> DataFrame:
+def percent_rank(rows: DataFrame, value: str, name: str) -> DataFrame:
     """percent_rank() over the whole table ordered by `value`, NULLs first, as column `name`.
 
-    The rows are written once, so that every branch ranks the same values to the last digit, and
-    counted; up to `small` of them go through the plain window.
+    One exchange of the rows, by slice; rows of a one-value slice are spread by a digest of the row.
+    `rows` is read three times (cuts, totals, ranks): persist or write it first if it is dear.
     """
-    rows = staged(df, "ranked")
-    n = rows.count()
-    if n <= small:
-        return rows.withColumn(name, F.percent_rank().over(Window.orderBy(value)))
-    nulls = rows.agg(F.count_if(F.col(value).isNull())).scalar()
-    ranks = value_ranks(rows, value, []).select(value, "copies", F.col("before").alias("_before"))
-    placed = lookup(rows, ranks, [value], copies="copies")
-    smaller = F.when(F.col(value).isNull(), F.lit(0)).otherwise(F.col("_before") + nulls)
-    return placed.withColumn(name, smaller / F.lit(max(n - 1, 1))).drop("_before")
+    cuts = rows.agg(cut_values(F.col(value)).alias("cuts")).scalar()
+    sliced = rows.withColumn("_cuts", cuts).withColumn("_slice", slice_of(F.col(value), F.col("_cuts"))).drop("_cuts")
+    totals = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_here"))
+    hashable = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    one_value = (F.col("_slice") % 2 == 0) | (F.col("_slice") == NULLS)
+    salt = F.when(one_value, F.pmod(F.xxhash64(*hashable), F.lit(SPREAD))).otherwise(F.lit(0)).cast("int")
+    inside = Window.partitionBy("_slice", "_salt").orderBy(value)
+    return (
+        sliced.withColumn("_salt", salt)
+        .withColumn("_rank", F.rank().over(inside))
+        .join(F.broadcast(_offsets(totals, []).drop("_here")), "_slice")  # at most 2 * CUTS + 4 rows
+        .withColumn(name, (F.col("_before") + F.col("_rank") - 1) / F.greatest(F.col("_total") - 1, F.lit(1)))
+        .select(*rows.columns, name)
+    )

@@ -10,8 +10,7 @@ from scoreloom.functions.numbers import (
     clip, decimals_to_double, divide, first_number, money_to_eur, round_half_away, version_number,
 )
 from scoreloom.operators.keyed import first_per_key
-from scoreloom.operators.ranking import SMALL, exact_percentiles, percent_rank
-from scoreloom.session import staged
+from scoreloom.operators.ranking import exact_percentiles, percent_rank
 
 # Weight of each metric, in scoring order.
 WEIGHTS = {"ca_growth": 0.25, "marge_op": 0.30, "levier": 0.25, "fcf_yield": 0.20}
@@ -84,9 +83,9 @@ def ratios(signal: DataFrame) -> DataFrame:
     )
 
 
-def winsorised(rows: DataFrame, low: float, high: float, small: int = SMALL) -> DataFrame:
+def winsorised(rows: DataFrame, low: float, high: float) -> DataFrame:
     """Each metric clipped to its percentiles, as `<metric>_w`; a missing metric stays missing."""
-    limits = exact_percentiles(rows, list(WEIGHTS), {"low": low, "high": high}, small)
+    limits = exact_percentiles(rows, list(WEIGHTS), {"low": low, "high": high})
     limits = limits.select(F.struct("*")).scalar()
     return rows.withColumn("_limits", limits).withColumns(
         {f"{m}_w": clip(F.col(m), F.col(f"_limits.low_{m}"), F.col(f"_limits.high_{m}")) for m in WEIGHTS}
@@ -121,13 +120,13 @@ def weighted(rows: DataFrame, min_metrics: int, weights: dict[str, float]) -> Da
 
 
 def financials_score(
-    signal: DataFrame, as_of: dt.datetime, weights: dict[str, float] = WEIGHTS,
-    low: float = 0.05, high: float = 0.95, min_metrics: int = 2, small: int = SMALL,
+    rows: DataFrame, as_of: dt.datetime, weights: dict[str, float] = WEIGHTS, min_metrics: int = 2,
 ) -> DataFrame:
-    """Fundamental score per (ticker, period): 0..10 by rank among all of them."""
-    rows = staged(ratios(signal), "ratios")  # read by the percentiles, the moments and the scores
-    composite = weighted(z_scores(winsorised(rows, low, high, small)), min_metrics, weights)
-    ranked = percent_rank(composite, "z_composite", "_share", small)
+    """Fundamental score per (ticker, period): 0..10 by rank among all of them.
+
+    `rows` are the z-scores, written or persisted by the caller: the rank reads them three times.
+    """
+    ranked = percent_rank(weighted(rows, min_metrics, weights), "z_composite", "_share")
     return ranked.select(
         "ticker", "isin", "date_cloture_exercice",
         round_half_away(F.col("_share") * 10, 2).alias("score_fondamental"),

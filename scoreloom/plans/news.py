@@ -11,7 +11,7 @@ from scoreloom.functions.answers import usable_answers
 from scoreloom.functions.numbers import greatest_or_null, round_half_away
 from scoreloom.functions.text import article_key, entry_code, nonblank
 from scoreloom.operators.keyed import first_per_key, newest_per_key, without
-from scoreloom.operators.ranking import SMALL, percent_rank
+from scoreloom.operators.ranking import percent_rank
 
 # Source tags of the three kinds of feed.
 SOURCES = ["yahoo_rss", "google_news_rss", "abcbourse_rss"]
@@ -102,9 +102,9 @@ def news_45d(sentiment: DataFrame, as_of: dt.datetime, days: int = NEWS_DAYS) ->
     )
 
 
-def score_news(sentiment: DataFrame, as_of: dt.datetime, days: int = NEWS_DAYS, small: int = SMALL) -> DataFrame:
+def score_news(sentiment: DataFrame, as_of: dt.datetime, days: int = NEWS_DAYS) -> DataFrame:
     """1..10 by the rank of a company's mean sentiment."""
-    ranked = percent_rank(news_45d(sentiment, as_of, days), "avg_sentiment_45d", "_share", small)
+    ranked = percent_rank(news_45d(sentiment, as_of, days), "avg_sentiment_45d", "_share")
     score = greatest_or_null(F.lit(1), F.ceil(F.col("_share") * 10).cast("int")).cast("bigint")
     return ranked.select(
         "isin", "ticker_bourso", "matched_name", "mention_count_45d", "avg_sentiment_45d",

@@ -46,14 +46,14 @@ def _months(df: DataFrame, date: str) -> DataFrame:
     return df.withColumn("month", F.trunc(date, "month"))
 
 
-def overwrite_months(df: DataFrame, path: str, date: str, cluster: list) -> None:
+def overwrite_months(df: DataFrame, path: str, date: str, cluster: list, parts: int = 64) -> None:
     """Replace only the month folders present in `df`.
 
-    Each task writes a range of (month, key, date): a big month is several tasks' work, a folder
-    holds few files, and Parquet statistics skip other keys.
+    A month is dealt to `parts` tasks by a digest of the cluster key, without a sampling pass: a big
+    month is several tasks' work, a folder holds at most `parts` files, each sorted.
     """
-    order = ["month", *cluster, date]
-    rows = _months(df, date).repartitionByRange(*order).sortWithinPartitions(*order)
+    part = F.pmod(F.xxhash64(*cluster), F.lit(parts))
+    rows = _months(df, date).repartition("month", part).sortWithinPartitions("month", *cluster, date)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.operators import keyed, quality
 from scoreloom.operators.joins import lookup
-from scoreloom.operators.ranking import exact_percentiles, percent_rank
+from scoreloom.operators.ranking import cut_values, exact_percentiles, percent_rank, slice_of
 from scoreloom.session import staged
 
 
@@ -19,7 +19,7 @@ def skewed(spark):
 
 
 def test_distributed_percent_rank_equals_the_window(skewed):
-    got = percent_rank(skewed, "v", "share", small=0)
+    got = percent_rank(skewed, "v", "share")
     plain = got.withColumn("x", F.percent_rank().over(Window.orderBy("v")))
     assert got.count() == 30000
     assert plain.where("x <> share or share is null").count() == 0
@@ -27,26 +27,39 @@ def test_distributed_percent_rank_equals_the_window(skewed):
 
 def test_distributed_percentiles_equal_percentile(skewed):
     at = {"a": 0.05, "b": 0.5, "c": 0.95}
-    got = exact_percentiles(skewed, ["v", "u"], at, small=0).first()
-    want = exact_percentiles(skewed, ["v", "u"], at).first()
+    got = exact_percentiles(skewed, ["v", "u"], at).first()
+    want = skewed.agg(*[F.percentile(c, p).alias(f"{n}_{c}") for c in ("v", "u") for n, p in at.items()]).first()
     assert got.asDict() == pytest.approx(want.asDict(), rel=1e-12)
 
 
+def test_slices_stay_small_whatever_the_distribution(spark, skewed):
+    """Values crowded at one end of an octave, beside one far outlier and one value of a third of the rows."""
+    crowded = spark.range(40000).select(
+        F.when(F.col("id") == 0, 1.9).when(F.col("id") % 3 == 1, 1.5).otherwise(1.0 + F.pow(F.rand(5), F.lit(9)) * 1e-9).alias("v"))
+    for rows in (staged(crowded), skewed.select("v")):
+        cuts = rows.agg(cut_values(F.col("v")).alias("cuts")).scalar()
+        sizes = rows.withColumn("cuts", cuts).groupBy(slice_of(F.col("v"), F.col("cuts")).alias("n")).agg(
+            F.count("*").alias("rows"), F.count_distinct("v").alias("values")).collect()
+        assert sum(r.rows for r in sizes) == rows.count()
+        assert all(r.values <= 1 for r in sizes if r.n % 2 == 0 or r.n < 0)
+        assert max(r.rows for r in sizes if r.n > 0 and r.n % 2) < rows.count() / 100
+
+
 def test_percentiles_of_nothing_and_one(rows):
-    one = exact_percentiles(rows("v double, w double", [(7.0, None)]), ["v", "w"], {"p": 0.05}, small=0).first()
+    one = exact_percentiles(rows("v double, w double", [(7.0, None)]), ["v", "w"], {"p": 0.05}).first()
     assert (one.p_v, one.p_w) == (7.0, None)
-    assert percent_rank(rows("v double", [(7.0,)]), "v", "s", small=0).first().s == 0.0
+    assert percent_rank(rows("v double", [(7.0,)]), "v", "s").first().s == 0.0
 
 
 def test_infinities_and_nan_rank_at_the_ends(rows):
     values = [float("inf"), float("-inf"), float("nan"), 0.0, -0.0, 5e-324, -1.7e308, 1.7e308, None, 3.0, 3.0]
-    got = percent_rank(rows("n int, v double", list(enumerate(values))), "v", "share", small=0)
+    got = percent_rank(rows("n int, v double", list(enumerate(values))), "v", "share")
     assert got.withColumn("x", F.percent_rank().over(Window.orderBy("v"))).where("x <> share or share is null").count() == 0
     assert got.count() == len(values)
 
 
 def test_rank_plan_has_no_single_partition_sort_of_rows(skewed):
-    plan = percent_rank(skewed, "v", "share", small=0)._jdf.queryExecution().executedPlan().toString()
+    plan = percent_rank(skewed, "v", "share")._jdf.queryExecution().executedPlan().toString()
     for line in plan.split("\n"):
         assert not ("Exchange SinglePartition" in line and "share" in line)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -78,6 +91,23 @@ def test_merge(rows):
     assert known == {("x", 10, "p"), ("y", 2, "q"), (None, 3, "r")}
 
 
+def test_merge_refuses_a_source_key_that_comes_twice(rows):
+    target = rows("k string, a int", [("x", 1), (None, 2)])
+    twice = rows("k string, a int", [("x", 5), ("x", 6)])
+    with pytest.raises(Exception, match="comes twice"):
+        keyed.merge(target, twice, ["k"], ["a"]).collect()
+    fresh = rows("k string, a int", [("n", 5), ("n", 6), (None, 7), (None, 7)])  # nothing to match
+    assert keyed.merge(target, fresh, ["k"], ["a"]).count() == 6
+
+
+def test_merge_and_without_read_each_input_once(spark, rows, tmp_path):
+    for name in ("target", "source"):
+        rows("k string, a int", [("x", 1), (None, 2)]).write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "source"))
+    for out in (keyed.merge(target, source, ["k"], ["a"]), keyed.without(target, source, ["k"])):
+        assert out._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 2
+
+
 def test_merge_overwrites_with_null(rows):
     target, source = rows("k string, a int", [("x", 1)]), rows("k string, a int", [("x", None)])
     assert keyed.merge(target, source, ["k"], ["a"]).first().a is None

@@ -2,9 +2,11 @@ import datetime as dt
 import math
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scoreloom.plans import companies, composite, fundamentals, insiders, news, reports, serving
+from scoreloom.session import staged
 from tests.conftest import AS_OF
 
 
@@ -21,17 +23,23 @@ def financial_rows(spark, n=400):
     )
 
 
-def test_distributed_financials_equal_the_small_path(spark):
-    signal = financial_rows(spark)
-    small, large = (fundamentals.financials_score(signal, AS_OF, small=s) for s in (200_000, 0))
-    assert small.count() == large.count() > 100
-    assert small.exceptAll(large).count() == 0
-    scores = small.agg(F.min("score_fondamental"), F.max("score_fondamental")).first()
+def scored_rows(spark):
+    ratios = staged(fundamentals.ratios(financial_rows(spark)))
+    return staged(fundamentals.z_scores(fundamentals.winsorised(ratios, 0.05, 0.95)))
+
+
+def test_financials_rank_as_the_window_does(spark):
+    got = staged(fundamentals.financials_score(scored_rows(spark), AS_OF))
+    assert got.count() > 100
+    # ranks by the rounded composite: equal but for values that rounding ties
+    plain = got.withColumn("x", F.percent_rank().over(Window.orderBy("z_composite")) * 10)
+    assert plain.where("abs(x - score_fondamental) > 0.2").count() == 0
+    scores = got.agg(F.min("score_fondamental"), F.max("score_fondamental")).first()
     assert scores[0] == 0.0 and scores[1] <= 10.0
 
 
 def test_no_spread_means_no_z_score(spark):
-    got = fundamentals.financials_score(financial_rows(spark), AS_OF)
+    got = fundamentals.financials_score(scored_rows(spark), AS_OF)
     assert got.where("z_marge_op is not null").count() == 0  # the margin never varies
     assert got.where("nb_metrics < 2").count() == 0
 

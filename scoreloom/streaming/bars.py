@@ -1,6 +1,5 @@
 """Price streams: daily bars from ticks, and running averages that follow bars as they arrive."""
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -12,7 +11,7 @@ RUNNING = (
     "isin string, Date date, Close double, RSI_14 double, MACD double, MACD_signal double, EMA_20 double"
 )
 STATE = (
-    "n long, last double, fast double, slow double, trend double, signal double, gains double, losses double"
+    "n long, day date, last double, fast double, slow double, trend double, signal double, gains double, losses double"
 )
 
 
@@ -39,43 +38,63 @@ def daily_bars(ticks: DataFrame, order: list | None = None) -> DataFrame:
     return grouped.select("isin", date.alias("Date"), "Open", "High", "Low", "Close", "Volume")
 
 
+def with_open_days(written: DataFrame, ticks: DataFrame, order: list | None = None) -> DataFrame:
+    """`written`, the bars a stream has closed, and the bars of the days after them from `ticks` (a batch).
+
+    A stream writes a day once its watermark has passed it, so a run that ends keeps the last days in its state.
+    """
+    date = F.to_date("ts")
+    closed = written.agg(F.max("Date")).scalar()
+    return written.unionByName(daily_bars(ticks.where(date > F.coalesce(closed, F.lit("0001-01-01").cast("date"))), order))
+
+
 def running_indicators(bars: DataFrame) -> DataFrame:
-    """RSI, MACD, its signal and EMA per bar, as bars stream in; eight numbers of state per company.
+    """RSI, MACD, its signal and EMA per bar, as bars stream in; nine values of state per company.
 
-    Bars of one company arrive in date order from batch to batch; inside a batch they are sorted.
+    A bar whose day is not after the company's last one is left out: a bar delivered again, or too
+    late, would be counted as a new day.  Of bars of one day in one batch the lowest close stays.
     """
     lengths = (FAST_DAYS, SLOW_DAYS, SIGNAL_DAYS, TREND_DAYS, RSI_DAYS)
 
     def follow(key, batches, state):
+        import numpy as np
         import pandas as pd
 
         fast_days, slow_days, signal_days, trend_days, rsi_days = lengths
-        n, last, fast, slow, trend, signal, gains, losses = state.get if state.exists else (0,) + (0.0,) * 7
-
-        def step(average, value, days, first):
-            return value if first else average + (value - average) * 2.0 / (days + 1)
-
-        rows = []
-        for day, close in pd.concat(list(batches))[["Date", "Close"]].sort_values("Date").itertuples(index=False):
-            first = n == 0
-            change = 0.0 if first else close - last
-            fast, slow = step(fast, close, fast_days, first), step(slow, close, slow_days, first)
-            trend = step(trend, close, trend_days, first)
-            if n >= slow_days - 1:
-                signal = step(signal, fast - slow, signal_days, n == slow_days - 1)
-            up, down = max(change, 0.0), max(-change, 0.0)
-            gains = up if first else gains + (up - gains) / rsi_days
-            losses = down if first else losses + (down - losses) / rsi_days
-            n, last = n + 1, close
-            rsi = 100.0 if losses == 0 else 100 - 100 / (1 + gains / losses)
-            rows.append(
-                (
-                    key[0], day, close, rsi if n >= rsi_days else None, fast - slow if n >= slow_days else None,
-                    signal if n >= slow_days + signal_days - 1 else None, trend if n >= trend_days else None,
-                )
-            )
-        state.update((n, last, fast, slow, trend, signal, gains, losses))
-        yield pd.DataFrame(rows, columns=["isin", "Date", "Close", "RSI_14", "MACD", "MACD_signal", "EMA_20"])
+        n, day, last, *carried = state.get if state.exists else (0, None) + (0.0,) * 7
+        bars = pd.concat(list(batches))[["Date", "Close"]].sort_values(["Date", "Close"]).drop_duplicates("Date")
+        bars = bars[bars["Date"] > day] if n else bars
+        close = bars["Close"].to_numpy(float)
+        if not len(close):
+            return
+        fast, slow, trend, signal, gains, losses = carried
+
+        def average(values, alpha, before, begun):
+            """Exponential averages; the one before, if any, takes part as the first value."""
+            series = np.r_[before, values] if begun else values
+            return pd.Series(series).ewm(alpha=alpha, adjust=False).mean().to_numpy()[len(series) - len(values):]
+
+        number = n + np.arange(1, len(close) + 1)
+        change = np.diff(close, prepend=last if n else close[0])
+        fast, slow, trend = (average(close, 2 / (days + 1), before, n > 0) for days, before in
+                             ((fast_days, fast), (slow_days, slow), (trend_days, trend)))
+        gains, losses = (average(np.maximum(part, 0), 1 / rsi_days, before, n > 0) for part, before in ((change, gains), (-change, losses)))
+        known = number >= slow_days
+        signals = np.full(len(close), signal)
+        if known.any():
+            signals[known] = average((fast - slow)[known], 2 / (signal_days + 1), signal, n >= slow_days)
+        flat = losses == 0
+        rsi = np.where(flat, 100.0, 100 - 100 / (1 + gains / np.where(flat, 1.0, losses)))
+        state.update((int(number[-1]), bars["Date"].iloc[-1], *(float(x[-1]) for x in (close, fast, slow, trend, signals, gains, losses))))
+
+        def since(days, values):
+            return pd.Series(values).where(number >= days).astype(object).where(number >= days, None)
+
+        yield pd.DataFrame({
+            "isin": key[0], "Date": bars["Date"].to_numpy(), "Close": close, "RSI_14": since(rsi_days, rsi),
+            "MACD": since(slow_days, fast - slow), "MACD_signal": since(slow_days + signal_days - 1, signals),
+            "EMA_20": since(trend_days, trend),
+        })
 
     return bars.select("isin", "Date", "Close").groupBy("isin").applyInPandasWithState(
         follow, RUNNING, STATE, "append", GroupStateTimeout.NoTimeout

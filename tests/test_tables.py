@@ -143,6 +143,25 @@ def test_running_indicators_over_batches_equal_the_batch_ones(spark, tmp_path):
         assert off.count() == 0, name
 
 
+def test_running_indicators_leave_out_bars_delivered_again_or_late(spark, tmp_path):
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    ddl = "isin string, Date date, Close double"
+    clean = [("A", day(n), 10.0 + n % 7) for n in range(40)]
+    batches = [clean[:30] + clean[5:6], clean[29:30] + [("A", day(3), 99.0)], [("A", day(12), 99.0)] + clean[30:]]
+
+    def streamed(parts, name):
+        for part in parts:
+            spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(str(tmp_path / name / "in"))
+            stream = incremental.new_files(spark, str(tmp_path / name / "in"), T.StructType.fromDDL(ddl))
+            incremental.run_to_table(bar_streams.running_indicators(stream), str(tmp_path / name / "out"), str(tmp_path / name / "cp"))
+        rows = spark.read.schema(bar_streams.RUNNING).parquet(str(tmp_path / name / "out")).orderBy("Date").collect()
+        return [tuple(None if x is None else round(x, 9) if isinstance(x, float) else x for x in r) for r in rows]
+
+    got = streamed(batches, "dirty")
+    assert len(got) == 40 and got == streamed([clean], "clean")
+    assert got[-1][-1] is not None and got[0][-1] is None
+
+
 def test_streamed_bars_wait_for_the_watermark_and_take_late_ticks(spark, tmp_path):
     ddl, at = "isin string, ts timestamp_ntz, price double, quantity long", lambda d, h: dt.datetime(2024, 1, d, h)
     batches = [[("A", at(1, 9), 1.0, 1), ("A", at(1, 23), 5.0, 1)], [("A", at(1, 22), 9.0, 1), ("A", at(2, 0), 2.0, 1)], [("A", at(3, 12), 3.0, 1)], [("A", at(1, 1), 99.0, 1)]]
@@ -153,6 +172,8 @@ def test_streamed_bars_wait_for_the_watermark_and_take_late_ticks(spark, tmp_pat
         incremental.run_to_table(bar_streams.daily_bars(ticks), str(tmp_path / "out"), str(tmp_path / "cp"))
     got = [(r.Date.day, r.Open, r.High, r.Low, r.Close, r.Volume) for r in spark.read.parquet(str(tmp_path / "out")).orderBy("Date").collect()]
     assert got == [(1, 1.0, 9.0, 1.0, 5.0, 3), (2, 2.0, 2.0, 2.0, 2.0, 1)]
+    everything = bar_streams.with_open_days(spark.read.parquet(str(tmp_path / "out")), spark.read.schema(ddl).parquet(str(tmp_path / "in")))
+    assert [(r.Date.day, r.Close) for r in everything.orderBy("Date").collect()] == [(1, 5.0), (2, 2.0), (3, 3.0)]
 
 
 def test_upsert_stream_is_repeatable(spark, rows, tmp_path):

@@ -24,20 +24,22 @@ def cut_values(value: Column) -> Column:
     return F.array_sort(F.array_distinct(F.percentile_approx(ordinary, shares, ACCURACY)))
 
 
+def _with(value: Column, use) -> Column:
+    """`use(value)`, with `value` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def slice_of(value: Column, cuts: Column) -> Column:
     """The number of the slice of a value; numbers are in the order of the values, NULL first, NaN last.
 
     Odd numbers are the open slices, the others hold one value each.
     """
-    coarse = F.transform(F.sequence(F.lit(0), (F.size(cuts) - 1).cast("int"), F.lit(STRIDE)), lambda k: F.get(cuts, k))
-    block = F.greatest(F.size(F.filter(coarse, lambda c: c <= value)) - 1, F.lit(0)) * STRIDE
-    below = block + F.size(F.filter(F.slice(cuts, block + 1, F.lit(STRIDE)), lambda c: c <= value))
-    on_cut = F.coalesce(F.get(cuts, below - 1) == value, F.lit(False))
+    places = F.sequence(F.lit(0), F.lit(CUTS), F.lit(STRIDE))  # a constant
+    block = F.greatest(F.size(F.filter(places, lambda k: F.get(cuts, k) <= value)) - 1, F.lit(0)) * STRIDE
+    below = _with(block, lambda b: b + F.size(F.filter(F.slice(cuts, b + 1, F.lit(STRIDE)), lambda c: c <= value)))
+    number = _with(below, lambda n: 2 * n + F.when(F.get(cuts, n - 1) == value, 0).otherwise(1))
     return (
-        F.when(value.isNull(), NULLS)
-        .when(F.isnan(value.cast("double")), NANS)
-        .otherwise(2 * below + F.when(on_cut, 0).otherwise(1))
-        .cast("int")
+        F.when(value.isNull(), NULLS).when(F.isnan(value.cast("double")), NANS).otherwise(number).cast("int")
     )
 
 

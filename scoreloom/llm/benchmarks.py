@@ -1,10 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
-
-1. Every run of GRAM words of a test item is a possible seed.  One pass over the documents finds the places where seeds occur,
-   and passes on the words around them, far enough for the whole item to align.
-2. Seeds are counted over the corpus.  Of every WINDOW seeds in a row an item keeps the rarest, so that any copy of WINDOW + GRAM - 1
-   words holds a kept seed however common the item is; ties go to the seed further left.
-3. Passages with a kept seed are aligned with the item, word by word: 1 for a match, -0.25 for a word replaced, left out or put in.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
+
+1. Every run of GRAM words of a test item is a seed.  One pass over the documents finds the places where seeds occur, and takes
+   the words around them, far enough for the whole item to align.  A copy that keeps GRAM words in a row is found, however often
+   those words occur elsewhere.
+2. A passage that lacks more words of the item than an alignment of SIMILAR could miss is dropped: only words that match add to a
+   score, so no score is lost.
+3. The other passages are aligned with the item, word by word: 1 for a match, -0.25 for a word replaced, left out or put in.
    The score is the best local alignment's, divided by the item's words, so 1 is a verbatim copy.
 
 Items shorter than GRAM words are one seed of their own length; items without words match nothing, as do null and empty texts.
@@ -15,14 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.llm import arrow
 from scoreloom.llm.words import grams, word_hashes
-from scoreloom.session import staged
 
-GRAM, WINDOW = 5, 8
+GRAM = 5
 SIMILAR = 0.8
 PENALTY = 0.25
 #: Test items travel to every task in parts of at most so many bytes of text; more parts mean more passes over the documents.
@@ -49,22 +49,21 @@ class Seeds:
         self.words = [flat[e - n:e] for e, n in zip(ends, counts, strict=True)]
         self.tables = {}
         for size in sorted({min(GRAM, n) for n in counts.tolist() if n}):
-            value, item, place = [], [], []
+            value, item = [], []
             for k, words in enumerate(self.words):
                 if min(GRAM, len(words)) == size:
                     g = grams(words, size)[:len(words) - size + 1]
                     value.append(g)
                     item.append(np.full(len(g), k))
-                    place.append(np.arange(len(g)))
-            value, item, place = map(np.concatenate, (value, item, place))
+            value, item = map(np.concatenate, (value, item))
             order = np.argsort(value, kind="stable")
             bits = np.zeros(1 << FILTER_BITS, bool)
             bits[value >> np.uint64(64 - FILTER_BITS)] = True
-            self.tables[size] = (value[order], item[order], place[order], bits)
+            self.tables[size] = (value[order], item[order], bits)
 
     def places(self, flat: np.ndarray, doc: np.ndarray) -> Iterator[np.ndarray]:
-        """(place in the texts, item, place in the item) of every seed found."""
-        for size, (value, item, place, bits) in self.tables.items():
+        """(place in the texts, item) of every seed found."""
+        for size, (value, item, bits) in self.tables.items():
             g = grams(flat, size)
             whole = np.zeros(len(flat), bool)
             whole[:max(0, len(flat) - size + 1)] = doc[size - 1:] == doc[:max(0, len(flat) - size + 1)]
@@ -72,10 +71,15 @@ class Seeds:
             low, high = np.searchsorted(value, g[at], "left"), np.searchsorted(value, g[at], "right")
             n = high - low
             which = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            yield np.stack([np.repeat(at, n), item[which], place[which]])
+            yield np.stack([np.repeat(at, n), item[which]])
+
+
+PASSAGE = "item long, first long, words array<long>, wanted array<long>"
 
 
-PASSAGE = "item long, first long, words array<long>, wanted array<long>, seeds array<long>, places array<int>"
+def enough(words: np.ndarray, wanted: np.ndarray) -> bool:
+    """Whether so many words of the item are in the passage that a score of SIMILAR is possible."""
+    return np.isin(wanted, words).sum() >= SIMILAR * len(wanted) - 1e-9
 
 
 def passages(documents: DataFrame, seeds: Seeds) -> DataFrame:
@@ -88,28 +92,26 @@ def passages(documents: DataFrame, seeds: Seeds) -> DataFrame:
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
             flat, counts = word_hashes(plain(arrow.utf8(batch.column("text"))))
             doc, ends = np.repeat(np.arange(len(counts)), counts), np.cumsum(counts)
-            at, item, place = np.concatenate([np.zeros((3, 0), np.int64), *known.places(flat, doc)], axis=1).astype(np.int64)
+            at, item = np.concatenate([np.zeros((2, 0), np.int64), *known.places(flat, doc)], axis=1).astype(np.int64)
             if not len(at):
                 continue
             order = np.lexsort((at, item, doc[at]))
-            at, item, place = at[order], item[order], place[order]
+            at, item = at[order], item[order]
             fresh = np.append(True, (doc[at[1:]] != doc[at[:-1]]) | (item[1:] != item[:-1]) | (np.diff(at) > reach[item[1:]]))
             starts = np.flatnonzero(fresh)
             stops = np.append(starts[1:], len(at))
-            of = doc[at[starts]]
-            low = np.maximum(at[starts] - 2 * reach[item[starts]], (ends - counts)[of])
-            high = np.minimum(at[stops - 1] + 2 * reach[item[starts]], ends[of])
-            size = np.minimum(GRAM, reach[item])
-            value = np.zeros(len(at), np.uint64)
-            for k in np.unique(size):
-                value[size == k] = grams(flat, int(k))[at[size == k]]
+            of, item = doc[at[starts]], item[starts]
+            low = np.maximum(at[starts] - 2 * reach[item], (ends - counts)[of])
+            high = np.minimum(at[stops - 1] + 2 * reach[item], ends[of])
+            some = [k for k in range(len(starts)) if enough(flat[low[k]:high[k]], known.words[item[k]])]
+            if not some:
+                continue
+            of, item, low, high = of[some], item[some], low[some], high[some]
             yield pa.RecordBatch.from_arrays([
                 batch.column("row").take(pa.array(of)), batch.column("doc_id").take(pa.array(of)),
-                pa.array(item[starts]), pa.array(low - (ends - counts)[of]),
+                pa.array(item), pa.array(low - (ends - counts)[of]),
                 arrow.int_lists([flat[a:b].view(np.int64) for a, b in zip(low, high, strict=True)], pa.int64()),
-                arrow.int_lists([known.words[i].view(np.int64) for i in item[starts]], pa.int64()),
-                arrow.int_lists([value[a:b].view(np.int64) for a, b in zip(starts, stops, strict=True)], pa.int64()),
-                arrow.int_lists([place[a:b] for a, b in zip(starts, stops, strict=True)], pa.int32()),
+                arrow.int_lists([known.words[i].view(np.int64) for i in item], pa.int64()),
             ], names=["row", "doc_id", *[f.split()[0] for f in PASSAGE.split(", ")]])
 
     rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
@@ -162,26 +164,6 @@ def scored(found: DataFrame) -> DataFrame:
         run, f"row long, doc_id {kind}, item long, score double, last_word long")
 
 
-def kept_seeds(found: DataFrame, seeds: Seeds) -> DataFrame:
-    """(item, place) of the rarest seed in every window of each item; a table as large as the items."""
-    spark = found.sparkSession
-    counted = found.select(F.explode("seeds").alias("seed")).groupBy("seed").count()
-    size, rows = GRAM, []
-    for k, words in enumerate(seeds.words):
-        if n := len(words):
-            g = grams(words, min(size, n))[:n - min(size, n) + 1].view(np.int64)
-            rows += [(k, place, int(v)) for place, v in enumerate(g)]
-    own = spark.createDataFrame(rows, "item long, place int, seed long").join(counted, "seed")  # seeds that occur somewhere
-    rank = F.struct("count", "place")
-    window = Window.partitionBy("item").orderBy("place")
-    # a seed is kept where it is the least of one of the windows that hold it
-    least = [F.min(rank).over(window.rangeBetween(-k, WINDOW - 1 - k)) == rank for k in range(WINDOW)]
-    keep = least[0]
-    for one in least[1:]:
-        keep = keep | one
-    return own.withColumn("keep", keep).where("keep").select("item", "place")
-
-
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """row, doc_id, item_id, score, last_word: the passages of documents that copy an item with a score of SIMILAR or more.
 
@@ -196,13 +178,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         seeds = Seeds(items)
         if not seeds.tables:
             continue
-        found = staged(passages(documents, seeds), "passages")
-        kept = kept_seeds(found, seeds).select(F.col("item").alias("kept_item"), F.col("place").alias("kept_place"))
-        chosen = kept.groupBy("kept_item").agg(F.collect_set("kept_place").alias("kept_places"))
-        seeded = found.join(chosen, found.item == chosen.kept_item).where(F.arrays_overlap("places", "kept_places"))
         names = spark.createDataFrame(
             [(k, i) for k, i in enumerate(seeds.item)], f"item long, item_id {benchmark.schema['item_id'].dataType.simpleString()}")
-        best = scored(seeded).where(F.col("score") >= SIMILAR - 1e-9).groupBy("row", "item").agg(
+        best = scored(passages(documents, seeds)).where(F.col("score") >= SIMILAR - 1e-9).groupBy("row", "item").agg(
             F.first("doc_id").alias("doc_id"), F.max(F.struct("score", "last_word")).alias("best"))
         result = best.join(names, "item").select("row", "doc_id", "item_id", "best.score", "best.last_word")
         out = result if out is None else out.unionByName(result)

@@ -6,7 +6,8 @@ that needs the fewest phrases, each weighted by the bits that name a place in it
 
 The automata are dense tables, so a batch of texts is parsed in lockstep: texts are cut into segments of SEGMENT symbols, and
 each step moves all segments one symbol forward against all languages.  Whole texts are parsed; every language restarts
-its phrase at the same segment borders.
+its phrase at the same segment borders.  Letters from CODES up (kana, Han, Hangul) are spelled in DIGITS symbols each, so that
+tables stay narrow in scripts of many letters.
 
 Texts that are null, empty or without a letter are `und` with score 0.  A text of letters that no sample has counts one phrase
 a letter in every language; equal costs go to the language first in order of name.
@@ -21,14 +22,17 @@ from pyspark.sql import functions as F
 
 from scoreloom.llm import arrow
 
-#: Bounds of the sample that the automata learn from: texts a language, characters from the start of each, symbols a language.
+#: Bounds of the sample that the automata learn from: texts a language, characters from the start of each, and characters a language
+#: once runs of other characters are one space.
 SAMPLE_TEXTS, SAMPLE_CHARACTERS, SAMPLE_SYMBOLS = 64, 500, 24_000
 #: No more languages than this are learned in one run.
 MOST_LANGUAGES = 500
 SEGMENT = 256
 BATCH_BYTES = 1 << 20
 SPACE, OTHER = 1, 0  # symbol codes; OTHER never matches
-CODES = 0x3000  # code points with a symbol of their own at most; those above count as OTHER
+CODES = 0x3000  # code points with a symbol of their own at most; letters above are spelled
+DIGITS, DIGIT_BITS = 3, 6  # symbols of a spelled letter, leading one first; each place has symbols of its own.  No letter needs more bits
+SPELLED = CODES + (DIGITS << DIGIT_BITS)
 
 held_out_fold = 5
 
@@ -58,15 +62,29 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(texts)), lens)
     low = points < CODES
     points = np.where(low, LETTERS[np.where(low, points, 0)], points)
-    if not low.all():  # above the table: letters stay, the rest are spaces
-        high = np.flatnonzero(~low)
-        points[high[[not chr(c).isalpha() for c in points[high]]]] = ord(" ")
+    if not low.all():  # above the table
+        values, which = np.unique(points[~low], return_inverse=True)
+        points[~low] = np.array([ord(chr(c).lower()[0]) if chr(c).isalpha() else ord(" ") for c in values], np.uint32)[which]
     blank = points == ord(" ")
     first = np.append(True, owner[1:] != owner[:-1]) if len(owner) else np.zeros(0, bool)
     keep = ~(blank & (np.append(True, blank[:-1]) | first)) if len(owner) else first
     return points[keep], np.bincount(owner[keep], minlength=len(texts))
 
 
+def spelled(points: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The letters from CODES up as DIGITS codes each, all codes below SPELLED; and each text's new length."""
+    high = points >= CODES
+    if not high.any():
+        return points, lens
+    times = np.where(high, DIGITS, 1)
+    out = np.repeat(points, times)
+    first = (np.cumsum(times) - times)[high]
+    for k in range(DIGITS):
+        digit = points[high] >> np.uint32(DIGIT_BITS * (DIGITS - 1 - k)) & np.uint32((1 << DIGIT_BITS) - 1)
+        out[first + k] = CODES + (k << DIGIT_BITS) + digit
+    return out, np.bincount(np.repeat(np.arange(len(lens)), lens), times, len(lens)).astype(np.int64)
+
+
 def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
     """The suffix automaton's transitions as a dense table (state, symbol) -> state; 0, the start, means none."""
     size = 2 * len(symbols) + 2
@@ -108,27 +126,24 @@ class Languages:
 
     def __init__(self, samples: dict[str, list[str]]):
         self.names = sorted(samples)
-        points = {n: code_points([t + " " for t in samples[n]])[0][:SAMPLE_SYMBOLS] for n in self.names}
+        sample = {n: code_points([t + " " for t in samples[n]])[0][:SAMPLE_SYMBOLS] for n in self.names}
+        points = {n: spelled(p, np.array([len(p)]))[0] for n, p in sample.items()}
         seen = np.unique(np.concatenate([*points.values(), np.array([ord(" ")], np.uint32)]))
-        seen = seen[(seen < CODES) & (seen != ord(" "))]
-        self.symbol = np.zeros(CODES, np.uint8 if len(seen) < 250 else np.uint16)
+        seen = seen[seen != ord(" ")]
+        self.symbol = np.zeros(SPELLED, np.uint8 if len(seen) < 250 else np.uint16)
         self.symbol[ord(" ")] = SPACE
         self.symbol[seen] = np.arange(len(seen)) + 2
         self.width = len(seen) + 2
-        tables = [automaton(self.symbols(points[n]).tolist(), self.width) for n in self.names]
+        tables = [automaton(self.symbol[points[n]].tolist(), self.width) for n in self.names]
         self.starts = np.cumsum([0, *[len(t) for t in tables[:-1]]])
         self.table = np.concatenate([np.where(t > 0, t + s, 0) for t, s in zip(tables, self.starts, strict=True)]).astype(np.int32)
         self.table[:, OTHER] = 0
         self.bits = np.log2([max(2, len(points[n])) for n in self.names])
 
-    def symbols(self, points: np.ndarray) -> np.ndarray:
-        low = points < CODES
-        return np.where(low, self.symbol[np.where(low, points, 0)], OTHER)
-
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of each text in each language, and each text's symbols."""
-        points, lens = code_points(texts)
-        symbols = np.append(self.symbols(points).astype(np.int32), 0)
+        points, lens = spelled(*code_points(texts))
+        symbols = np.append(self.symbol[points].astype(np.int32), 0)
         pieces = -(-lens // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), pieces)
         number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)

@@ -1,6 +1,8 @@
 """Cases that an operator once left out."""
 
-from scoreloom.llm import benchmarks
+import random
+
+from scoreloom.llm import benchmarks, language
 
 
 def test_edited_copy_beside_a_verbatim_one(spark):
@@ -15,3 +17,21 @@ def test_edited_copy_beside_a_verbatim_one(spark):
         texts = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(copy))], "doc_id long, text string")
         found = benchmarks.contaminated(texts, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
         assert sorted(r.doc_id for r in found) == [1, 2]
+
+
+def test_languages_of_many_letters():
+    dice = random.Random(3)
+    # zh and zz share all their letters and differ in their words only; zz has the smaller sample
+    letters = {"ja": [chr(c) for c in range(0x3042, 0x3090)], "ko": [chr(0xAC00 + 29 * k) for k in range(300)],
+               "zh": [chr(0x4E00 + 7 * k) for k in range(400)], "zz": [chr(0x4E00 + 7 * k) for k in range(400)],
+               "un": [chr(0x20000 + 5 * k) for k in range(300)], "de": list("abcdeinrstuü")}
+    vocabulary = {n: ["".join(dice.choices(letters[n], k=dice.randint(2, 5))) for _ in range(200)] for n in letters}
+    prose = {n: lambda k, n=n: " ".join(dice.choices(vocabulary[n], k=k)) for n in letters}
+    model = language.Languages({n: [prose[n](60) for _ in range(8 if n == "zz" else 24)] for n in letters})
+    texts, want = zip(*[(prose[n](25), n) for n in letters for _ in range(10)], strict=True)
+    names, score = model.predict(list(texts))
+    assert names == list(want)
+    assert min(score) > 0
+    # three symbols for each letter from U+3000 up
+    code, lens = language.spelled(*language.code_points(["a日é", "", "\U00020005 Ａ"]))
+    assert lens.tolist() == [5, 0, 7] and code.max() < language.SPELLED and code[0] == ord("a") and code[4] == ord("é")

@@ -1,9 +1,10 @@
 """License scan by sentence rules, in DataFrame functions.
 
-1. Texts are cut into sentences at line ends and at stops before white space, and normalised: lower case, comment marks and
-   punctuation gone, one space between words.
-2. A normalised sentence that contains a known licence sentence gets its identifier; a version it names becomes part of it.  All
-   other sentences that speak of licences at all are UNKNOWN; the rest say nothing.
+1. Comment marks at line starts go, and texts are cut into sentences at blank lines and at stops before white space, so that a
+   sentence may be wrapped over lines.  A line with an SPDX tag is a sentence of its own.  Sentences are normalised: lower
+   case, punctuation gone but for dashes inside names, one space between words; known sentences take a dash for a space.
+2. A normalised sentence gives the identifiers of all known licence sentences in it, in order; a version one names becomes part of
+   it.  All other sentences that speak of licences at all are UNKNOWN; the rest say nothing.
 3. Rules are tried in order on the sequence of identifiers: the first rule whose identifiers follow one another (other
    sentences may not come between) gives its licence, and its sentences are used up.  Sentences left over give no licence.
 
@@ -11,12 +12,13 @@ A null or empty text has no sentences.  Repeated rows are rows of their own.  Te
 are not cut at all.  A licence found twice counts once; licences come in the order of the rules.
 """
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Known sentences, as patterns over normalised text, and their identifiers; the first that fits counts.
 SENTENCES = [
-    (r"spdx license identifier ([a-z0-9][a-z0-9. -]*)", "SPDX"),
     (r"licensed under the apache license version ([0-9.]+)", "ApacheVer"),
     (r"you may not use this file except in compliance with the license", "ApacheUse"),
     (r"you may obtain a copy of the license at", "ApacheCopy"),
@@ -32,7 +34,7 @@ SENTENCES = [
     (r"redistribution and use in source and binary forms with or without modification are permitted", "BSDpre"),
     (r"redistributions of source code must retain the above copyright notice", "BSDsource"),
     (r"redistributions in binary form must reproduce the above copyright notice", "BSDbinary"),
-    (r"neither the name of .* may be used to endorse or promote products", "BSDendorse"),
+    (r"neither the name of .*? may be used to endorse or promote products", "BSDendorse"),
     (r"the software is provided as is without warranty of any kind", "AsIs"),
 ]
 # Sequences of identifiers and the licence each stands for, longer ones before their parts.
@@ -43,7 +45,11 @@ RULES = [
     (["GPLterms", "OrLater"], "GPL-{}-or-later"), (["GPLVer", "OrLater"], "GPL-{}-or-later"), (["GPLVer"], "GPL-{}"),
     (["LGPLVer"], "LGPL-{}"), (["AGPLVer"], "AGPL-{}"), (["CC"], "CC-{}"), (["SPDX"], "SPDX-{}"),
 ]
-SPEAKS = r"(?i)licen[sc]e|permission|redistribution|warranty|at your option|endorse|the above copyright"
+SPEAKS = r"(?i)licen[sc]e|permission|redistribution|warranty|at[\W_]+your[\W_]+option|endorse|the[\W_]+above[\W_]+copyright"
+#: A tag's expression, in which upper and lower case are alike.
+SPDX = r"(?i)spdx[ -]license[ -]identifier[:\s]\s*"
+SPDX_ID = r"\(*[a-z0-9](?:[a-z0-9.+:-]*[a-z0-9+])?\)*"
+SPDX_TAG = rf"{SPDX}({SPDX_ID}(?:\s+(?:or|and|with)\s+{SPDX_ID})*)"
 UNKNOWN = "UNKNOWN"
 BORDER = "|"
 
@@ -51,27 +57,53 @@ BORDER = "|"
 def normalised(sentence: Column) -> Column:
     """Lower case; letters, digits, and the stops and dashes inside versions and names stay, other runs are one space."""
     bare = F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}.-]+|(?<![0-9])\.|\.(?![0-9])", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?<!\p{L})-|-(?![\p{L}\p{N}])", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?<![\p{L}\p{N}])-|-(?![\p{L}\p{N}])", " "), r"\s+", " "))
 
 
 def sentences(text: Column) -> Column:
-    return F.split(text, r"\n+|(?<=[.!?;])\s+")
+    """Sentences without the comment marks of their lines; lines within a sentence are joined."""
+    lines = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), r"(?im)^[^\p{L}\p{N}\n]*+(?:(?:rem|dnl)\b[^\p{L}\p{N}\n]*+)?", "")
+    return F.split(F.regexp_replace(lines, rf"(?m)^(.*{SPDX}.*)$", "\n\n$1\n\n"), r"\n{2,}|(?<=[.!?;])\s+")
+
+
+def dashed(pattern: str) -> str:
+    """`pattern` with a dash allowed for each space outside brackets."""
+    return re.sub(r" (?![^\[]*\])", "[ -]", pattern)
+
+
+KNOWN = [(dashed(pattern), name) for pattern, name in SENTENCES]
+ANY_KNOWN = "|".join(f"(?:{pattern})" for pattern, _ in KNOWN)
 
 
-def identifier(sentence: Column) -> Column:
-    """Identifier:version of a normalised sentence, UNKNOWN, or null where it says nothing of licences."""
+def identifier(known: Column) -> Column:
+    """Identifier:version of a known sentence."""
     found = None
-    for pattern, name in SENTENCES:
-        version = F.regexp_replace(F.rtrim(F.regexp_extract(sentence, pattern, 1) if "(" in pattern.replace("(?:", "") else F.lit("")), " +", "-")
+    for pattern, name in KNOWN:
+        version = F.regexp_replace(F.rtrim(F.regexp_extract(known, pattern, 1) if "(" in pattern.replace("(?:", "") else F.lit("")), " +", "-")
         value = F.concat(F.lit(f"{name}:"), F.upper(version))
-        found = F.when(sentence.rlike(pattern), value) if found is None else found.when(sentence.rlike(pattern), value)
-    return found.when(sentence.rlike(r"licen[sc]e"), F.lit(UNKNOWN))
+        found = F.when(known.rlike(pattern), value) if found is None else found.when(known.rlike(pattern), value)
+    return found
+
+
+def tag(expression: Column) -> Column:
+    """Identifier:expression of an SPDX tag; a bracket that closes nothing is left out."""
+    closed = F.when(F.contains(expression, F.lit("(")), expression).otherwise(F.regexp_replace(expression, r"\)", ""))
+    return F.concat(F.lit("SPDX:"), F.upper(F.regexp_replace(closed, r"\s+", " ")))
+
+
+def identifiers(sentence: Column) -> Column:
+    """The identifiers of a sentence: its tags' and known sentences', else UNKNOWN or none by whether it speaks of licences."""
+    plain = F.transform(F.array(normalised(sentence)), lambda s: F.when(
+        s.rlike(ANY_KNOWN), F.transform(F.regexp_extract_all(s, F.lit(ANY_KNOWN), F.lit(0)), identifier)).when(
+        s.rlike(r"licen[sc]e"), F.array(F.lit(UNKNOWN))).otherwise(F.array().cast("array<string>")))
+    tags = F.transform(F.regexp_extract_all(sentence, F.lit(SPDX_TAG), F.lit(1)), tag)
+    return F.when(sentence.rlike(SPDX_TAG), F.concat(tags, F.filter(F.flatten(plain), lambda x: x != UNKNOWN))).otherwise(F.flatten(plain))
 
 
 def scan(documents: DataFrame, text: str = "text") -> DataFrame:
     """`documents` with sentence_ids (array, in order) and licenses (array, in order of the rules, each once)."""
     body = F.coalesce(F.col(text), F.lit(""))
-    said = F.filter(F.transform(F.filter(sentences(body), lambda s: s.rlike(SPEAKS)), lambda s: identifier(normalised(s))), lambda x: x.isNotNull())
+    said = F.flatten(F.transform(F.filter(sentences(body), lambda s: s.rlike(SPEAKS)), identifiers))
     ids = F.when(body.rlike(SPEAKS), said).otherwise(F.array().cast("array<string>"))
     found = documents.withColumn("sentence_ids", ids)
     # |id:version|id:version|, from which rules take their sequences, first rule first

@@ -2,7 +2,7 @@
 
 import random
 
-from scoreloom.llm import benchmarks, language
+from scoreloom.llm import benchmarks, language, licenses
 
 
 def test_edited_copy_beside_a_verbatim_one(spark):
@@ -35,3 +35,58 @@ def test_languages_of_many_letters():
     # three symbols for each letter from U+3000 up
     code, lens = language.spelled(*language.code_points(["a日é", "", "\U00020005 Ａ"]))
     assert lens.tolist() == [5, 0, 7] and code.max() < language.SPELLED and code[0] == ord("a") and code[4] == ord("é")
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+{0} Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+{0} Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation.
+"""
+ENDORSE = """{0} Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from this
+   software without specific prior written permission.
+"""
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{0} either version {1} of the License, or
+(at your option) any later version.
+"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software, to use, copy, sublicense, and/or sell copies
+of it, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY
+KIND.
+"""
+
+
+def commented(mark, text):
+    return "\n".join(f"{mark} {line}".rstrip() for line in text.splitlines())
+
+
+def test_wrapped_notices(spark):
+    cases = [
+        (BSD.format("1."), "BSD-2-Clause"), (commented(" *", BSD.format("-") + ENDORSE.format("-")), "BSD-3-Clause"),
+        (commented(";;", BSD.format("2.") + ENDORSE.format("3.")).replace("\n", "\r\n"), "BSD-3-Clause"),
+        (GPL.format(";", 2), "GPL-2-or-later"), (commented("//", GPL.format(",", 3)), "GPL-3-or-later"), (commented("dnl", GPL.format(";", 2)), "GPL-2-or-later"),
+        (commented("#", MIT), "MIT"),
+        ("# SPDX-License-Identifier: MIT\n# Copyright and all", "SPDX-MIT"),
+        ("/* SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note */\nint x;", "SPDX-GPL-2.0-ONLY WITH LINUX-SYSCALL-NOTE"),
+        ("<!-- SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0+ -->", "SPDX-(MIT OR APACHE-2.0) AND GPL-2.0+"),
+        ("(SPDX-License-Identifier: MIT)", "SPDX-MIT"),
+        ("SPDX-License-Identifier: MIT, also licensed under the Apache License, Version 2.0", "Apache-2.0,SPDX-MIT"),
+        ("Licensed under CC-BY-4.0.", "CC-BY-4.0"), ("licensed under\nCC-BY-NC-SA 4.0", "CC-BY-NC-SA-4.0"),
+        # lines without stops are joined, and none of their notices is lost
+        ("Released under the MIT License\nLicensed under the Apache License, Version 2.0\nand more", "MIT,Apache-2.0"),
+        ("Either version 2 or (at your\n * option) any later", ""),
+    ]
+    table = spark.createDataFrame([(n, t) for n, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.license_table(table).collect()}
+    assert [got[n].licenses for n in range(len(cases))] == [x for _, x in cases]
+    assert got[3].sentence_ids == "GPLterms:,OrLater:2"

@@ -6,7 +6,7 @@ a bias, taken from the counts, and weights of hashed context features: the word
 before that one with a gap.  Within the class of other words a word has its smoothed share of the counts.
 
 Training runs in ROUNDS rounds, each over its share of the texts: every task starts from the shared weights, takes gradient steps
-over the texts of its partition, for one context feature after another, and returns its change; changes are averaged by tokens.  Weights have a fixed size.
+over the texts of its partition, for all context features, and returns its change; changes are averaged by tokens.  Weights have a fixed size.
 
 Counts of the HEAD most frequent words travel to the tasks; rarer words of a text are looked up by a join.  A null or empty text is
 its end token alone.  Repeated rows are rows of their own.  Without training texts every probability is that of an unseen word.
@@ -193,18 +193,20 @@ class Model:
         total *= (np.float32(RATE) / (1 + times)).astype(np.float32)[:, None]
         weights[ordered[starts]] += total
 
-    def learn(self, context: np.ndarray, group: np.ndarray, member: np.ndarray, feature: int) -> None:
-        """A block-coordinate step: the weights of one context feature move, for all tokens."""
+    def learn(self, context: np.ndarray, group: np.ndarray, member: np.ndarray) -> None:
+        """A gradient step: the weights of every context feature move, for all tokens."""
         rows, p = self.classes(context)
         gradient = np.negative(p, out=p)
         gradient[np.arange(len(group)), group] += 1
-        self.ascend(self.by_class, rows[feature], gradient)
+        for row in rows:
+            self.ascend(self.by_class, row, gradient)
         known = np.flatnonzero(group < OTHER)
         if len(known):
             rows, p = self.members(context[:, known], group[known])
             gradient = np.negative(p, out=p)
             gradient[np.arange(len(known)), member[known]] += 1
-            self.ascend(self.by_member, rows[feature], gradient)
+            for row in rows:
+                self.ascend(self.by_member, row, gradient)
 
     def log10(self, context: np.ndarray, group: np.ndarray, member: np.ndarray) -> np.ndarray:
         """log10 of P(class) * P(member); of P(class) alone for the other class."""
@@ -242,12 +244,10 @@ def weight_changes(documents: DataFrame, vocabulary, model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = pickle.loads(model.value)
         mine, ranks, seen = pickle.loads(model.value), Ranks(vocabulary.value), 0
-        steps = 0
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
             c = Coded(arrow.utf8(batch.column("text")), ranks)
             for k in range(0, len(c.rank), STEP):
-                mine.learn(c.context[:, k:k + STEP], c.group[k:k + STEP], c.member[k:k + STEP], steps % len(c.context))
-                steps += 1
+                mine.learn(c.context[:, k:k + STEP], c.group[k:k + STEP], c.member[k:k + STEP])
             seen += len(c.rank)
         if seen:
             task = TaskContext.get().partitionId() % 32

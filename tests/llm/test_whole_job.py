@@ -2,7 +2,7 @@
 
 import random
 
-from scoreloom.llm import benchmarks, language, licenses
+from scoreloom.llm import benchmarks, language, licenses, maxent
 
 
 def test_edited_copy_beside_a_verbatim_one(spark):
@@ -90,3 +90,12 @@ def test_wrapped_notices(spark):
     got = {r.doc_id: r for r in licenses.license_table(table).collect()}
     assert [got[n].licenses for n in range(len(cases))] == [x for _, x in cases]
     assert got[3].sentence_ids == "GPLterms:,OrLater:2"
+
+
+def test_every_context_feature_learns_from_every_token(spark):
+    texts = spark.createDataFrame([(n, " ".join(f"w{k * (n + 1) % 97}" for k in range(300))) for n in range(4)], "doc_id long, text string")
+    vocabulary = maxent.learn_vocabulary(maxent.word_counts(texts))
+    model = maxent.train(texts.coalesce(1), vocabulary)
+    coded = maxent.Coded([r.text.encode() for r in texts.collect()], maxent.Ranks(vocabulary))
+    rows, _ = model.classes(coded.context)
+    assert all((model.by_class[row] != 0).any(axis=1).all() for row in rows)

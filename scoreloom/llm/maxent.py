@@ -3,7 +3,9 @@
 Words are counted over all training texts.  The CLASSES * MEMBERS most frequent make up classes by rank; all other words, and words
 never seen, are one further class.  A token's probability is P(class | context) * P(word | class, context): both are softmaxes over
 a bias, taken from the counts, and weights of hashed context features: the word before, the two words before, and the word
-before that one with a gap.  Within the class of other words a word has its smoothed share of the counts.
+before that one with a gap.  Within the class of other words a word's hash names a leaf of a tree of MEMBERS branches a node: each
+branch on the way is a softmax of the same kind, over the node and the context, so context weighs for every word, known or not.
+Within its leaf, of LEAF_WORDS words or so while LEVELS suffice, a word has its smoothed share of the counts.
 
 Training runs in ROUNDS rounds, each over its share of the texts: every task starts from the shared weights, takes gradient steps
 over the texts of its partition, for all context features, and returns its change; changes are averaged by tokens.  Weights have a fixed size.
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.llm import arrow
+from scoreloom.llm.substrings import mix
 from scoreloom.llm.words import Words
 from scoreloom.session import staged
 
@@ -33,6 +36,8 @@ CLASSES, MEMBERS = 32, 32
 OTHER = CLASSES  # the class of all other words
 ROUNDS = 2
 CLASS_ROWS, MEMBER_ROWS = 1 << 12, 1 << 13  # hashed feature rows of the two softmaxes
+LEAF_WORDS, LEVELS, BRANCH_BITS = 32, 3, 5  # words in a leaf, levels of the tree at most, bits of the hash that name a branch
+DIGIT_BITS = 13, 16  # bits of the hashed feature rows of branches: at least, at most; in between they grow with the vocabulary
 RATE = 0.5
 STEP = 4096  # tokens in a gradient step, and scored at once
 END = b"\n"  # no word holds a line break
@@ -78,10 +83,36 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return documents.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    hashes = np.full(len(words), END_HASH)
+    hashes[[w != END for w in words]] = Words([b" ".join(w for w in words if w != END)]).hashes
+    return hashes
+
+
+def levels_for(words: int) -> int:
+    """Levels of the tree for so many words."""
+    return next((k for k in range(LEVELS) if MEMBERS**k * LEAF_WORDS >= words), LEVELS)
+
+
+def leaves(hashes: np.ndarray, levels: int) -> np.ndarray:
+    return (mix(hashes) >> np.uint64(40)).astype(np.int64) & ((1 << BRANCH_BITS * levels) - 1)
+
+
+def leaf_counts(counts: DataFrame, levels: int) -> DataFrame:
+    """(leaf, n, words) over all words; the tree bounds its size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(leaves(hashes_of(arrow.utf8(batch.column("word"))), levels)), batch.column("n")], names=["leaf", "n"])
+
+    return counts.select("word", "n").mapInArrow(run, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"))
+
+
 class Vocabulary:
-    """The most frequent words with their counts, and the sums over all words."""
+    """The most frequent words with their counts, and the sums over all words and over those of each leaf (leaf, n, words)."""
 
-    def __init__(self, head: list[tuple[str, int]], total: int, distinct: int):
+    def __init__(self, head: list[tuple[str, int]], total: int, distinct: int, levels: int, by_leaf: list[tuple[int, int, int]]):
         ordered = sorted(head, key=lambda x: (-x[1], x[0]))
         self.words = [w.encode() for w, _ in ordered]
         self.counts = np.array([n for _, n in ordered], np.int64)
@@ -94,13 +125,23 @@ class Vocabulary:
         # a word that fills no place has no share; classes without words neither
         self.class_bias = np.log((np.append(by_class.sum(axis=1), self.other_total + 1) + 1e-9) / (total + 1)).astype(np.float32)
         self.member_bias = np.log((by_class + 1e-9) / (by_class.sum(axis=1, keepdims=True) + 1e-9)).astype(np.float32)
+        self.levels, self.leaf_mass = levels, np.ones(MEMBERS**levels)
+        for leaf, n, words in by_leaf:
+            self.leaf_mass[leaf] += n + words
+        # the words with a class of their own are no others
+        np.subtract.at(self.leaf_mass, leaves(hashes_of(self.words[:len(model)]), levels), model + 1)
+        self.branch_bias = []
+        for k in range(levels):
+            mass = self.leaf_mass.reshape(MEMBERS**k, MEMBERS, -1).sum(axis=2)
+            self.branch_bias.append(np.log(mass / mass.sum(axis=1, keepdims=True)).astype(np.float32))
+        self.digit_bits = int(np.clip((self.other_distinct // MEMBERS).bit_length(), *DIGIT_BITS))
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.total + self.distinct + 1))
 
-    def other(self, counts: np.ndarray) -> np.ndarray:
-        """The share of words of the other class."""
-        return np.log10((counts + 1) / (self.other_total + self.other_distinct + 1))
+    def others_in(self, leaf: np.ndarray) -> np.ndarray:
+        """What a word of the other class, counted once more than it occurs, is a share of."""
+        return np.log10(self.leaf_mass[leaf])
 
 
 class Ranks:
@@ -109,8 +150,8 @@ class Ranks:
     BITS = 20
 
     def __init__(self, vocabulary: Vocabulary):
-        hashes = np.full(len(vocabulary.words), END_HASH)
-        hashes[[w != END for w in vocabulary.words]] = Words([b" ".join(w for w in vocabulary.words if w != END)]).hashes
+        hashes = hashes_of(vocabulary.words)
+        self.levels = vocabulary.levels
         slot = (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
         _, first = np.unique(slot, return_index=True)
         self.hash, self.rank = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, -1, np.int32)
@@ -149,6 +190,8 @@ class Model:
         self.class_bias, self.member_bias = vocabulary.class_bias, vocabulary.member_bias
         self.by_class = np.zeros((CLASS_ROWS, CLASSES + 1), np.float32)
         self.by_member = np.zeros((MEMBER_ROWS, MEMBERS), np.float32)
+        self.branch_bias, self.digit_bits = vocabulary.branch_bias, vocabulary.digit_bits
+        self.by_branch = np.zeros((1 << self.digit_bits, MEMBERS), np.float32)
 
     @staticmethod
     def softmax(scores: np.ndarray) -> np.ndarray:
@@ -175,6 +218,15 @@ class Model:
         rows = (mixed >> np.uint64(64 - 13)).astype(np.uint16)
         return rows, self.softmax(self.summed(self.member_bias.take(group, axis=0), self.by_member, rows))
 
+    def branches(self, context: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Level by level: rows, probabilities of the branches, and the branch towards the leaf."""
+        for level, bias in enumerate(self.branch_bias):
+            below = BRANCH_BITS * (len(self.branch_bias) - 1 - level)
+            node = leaf >> (below + BRANCH_BITS)
+            mixed = mix(context ^ ((node * LEVELS + level + 1).astype(np.uint64) * SALTS[1]))
+            rows = (mixed >> np.uint64(64 - self.digit_bits)).astype(np.uint16)
+            yield rows, self.softmax(self.summed(bias.take(node, axis=0), self.by_branch, rows)), leaf >> below & (MEMBERS - 1)
+
     @staticmethod
     def ascend(weights: np.ndarray, row: np.ndarray, gradient: np.ndarray) -> None:
         """A gradient step for one context feature; a row's gradients are averaged, with one more that is zero."""
@@ -193,7 +245,7 @@ class Model:
         total *= (np.float32(RATE) / (1 + times)).astype(np.float32)[:, None]
         weights[ordered[starts]] += total
 
-    def learn(self, context: np.ndarray, group: np.ndarray, member: np.ndarray) -> None:
+    def learn(self, context: np.ndarray, group: np.ndarray, member: np.ndarray, leaf: np.ndarray) -> None:
         """A gradient step: the weights of every context feature move, for all tokens."""
         rows, p = self.classes(context)
         gradient = np.negative(p, out=p)
@@ -207,14 +259,25 @@ class Model:
             gradient[np.arange(len(known)), member[known]] += 1
             for row in rows:
                 self.ascend(self.by_member, row, gradient)
-
-    def log10(self, context: np.ndarray, group: np.ndarray, member: np.ndarray) -> np.ndarray:
-        """log10 of P(class) * P(member); of P(class) alone for the other class."""
+        rest = np.flatnonzero(group == OTHER)
+        if len(rest):
+            for rows, p, branch in self.branches(context[:, rest], leaf[rest]):
+                gradient = np.negative(p, out=p)
+                gradient[np.arange(len(rest)), branch] += 1
+                for row in rows:
+                    self.ascend(self.by_branch, row, gradient)
+
+    def log10(self, context: np.ndarray, group: np.ndarray, member: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """log10 of P(class) * P(member); of P(class) * P(leaf) for the other class."""
         every = np.arange(len(group))
         out = self.classes(context)[1][every, group].astype(np.float64)
         known = np.flatnonzero(group < OTHER)
         if len(known):
             out[known] *= self.members(context[:, known], group[known])[1][np.arange(len(known)), member[known]]
+        rest = np.flatnonzero(group == OTHER)
+        if len(rest):
+            for _, p, branch in self.branches(context[:, rest], leaf[rest]):
+                out[rest] *= p[np.arange(len(rest)), branch]
         return np.log10(np.maximum(out, 1e-30))
 
 
@@ -233,6 +296,7 @@ class Coded:
         self.place = np.cumsum(is_word) - 1  # a token's number among the words
         self.rank = ranks(hashes)
         self.context = features(hashes, ends - self.counts)
+        self.leaf = leaves(hashes, ranks.levels)
         modelled = (self.rank >= 0) & (self.rank < CLASSES * MEMBERS)
         small = np.where(modelled, self.rank, 0)
         self.group, self.member = np.where(modelled, small // MEMBERS, OTHER), small % MEMBERS
@@ -247,12 +311,12 @@ def weight_changes(documents: DataFrame, vocabulary, model) -> DataFrame:
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
             c = Coded(arrow.utf8(batch.column("text")), ranks)
             for k in range(0, len(c.rank), STEP):
-                mine.learn(c.context[:, k:k + STEP], c.group[k:k + STEP], c.member[k:k + STEP])
+                mine.learn(c.context[:, k:k + STEP], c.group[k:k + STEP], c.member[k:k + STEP], c.leaf[k:k + STEP])
             seen += len(c.rank)
         if seen:
             task = TaskContext.get().partitionId() % 32
             parts = [(w, i, (getattr(mine, w)[i:i + 256] - getattr(start, w)[i:i + 256]) * seen)
-                     for w in ("by_class", "by_member") for i in range(0, len(getattr(mine, w)), 256)]
+                     for w in ("by_class", "by_member", "by_branch") for i in range(0, len(getattr(mine, w)), 256)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f"{w} {i}" for w, i, _ in parts]), pa.array([task] * len(parts), pa.int32()), pa.array([float(seen)] * len(parts)),
                  pa.array([c.astype(np.float32).tobytes() for _, _, c in parts], pa.binary())], names=["part", "task", "tokens", "change"])
@@ -289,7 +353,8 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     running = F.sum("words").over(Window.orderBy(F.desc("n")))
     least = sizes.withColumn("running", running).where(F.col("running") <= HEAD).agg(F.min("n")).first()[0]
     head = counts.where(F.col("n") >= least).collect() if least is not None else []
-    return Vocabulary([(r.word, r.n) for r in head], total, distinct)
+    levels = levels_for(distinct - min(len(head), CLASSES * MEMBERS))
+    return Vocabulary([(r.word, r.n) for r in head], total, distinct, levels, [tuple(r) for r in leaf_counts(counts, levels).collect()])
 
 
 PARTIAL = "n_tokens long, n_known long, base_score double, score double, rare array<struct<word:string,times:long>>"
@@ -302,14 +367,14 @@ def partly_scored(documents: DataFrame, vocabulary, model) -> DataFrame:
         known, weights = vocabulary.value, pickle.loads(model.value)
         ranks = Ranks(known)
         counts_of = np.append(known.counts, 0)
-        base, other = known.base(counts_of), known.other(counts_of)
-        base[-1] = other[-1] = 0  # not in the head
+        base, other = known.base(counts_of), np.log10(counts_of + 1)
+        base[-1] = 0  # not in the head; as for others, a rare word's count comes by the join
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
             c = Coded(arrow.utf8(batch.column("text")), ranks)
             rank, counts = c.rank, c.counts
-            score = np.concatenate([weights.log10(c.context[:, k:k + STEP], c.group[k:k + STEP], c.member[k:k + STEP])
+            score = np.concatenate([weights.log10(c.context[:, k:k + STEP], c.group[k:k + STEP], c.member[k:k + STEP], c.leaf[k:k + STEP])
                                     for k in range(0, len(rank), STEP)])
-            score += np.where(c.group == OTHER, other[rank], 0)
+            score += np.where(c.group == OTHER, other[rank] - known.others_in(c.leaf), 0)
             starts = np.cumsum(counts) - counts
             unknown = np.flatnonzero((rank < 0) & c.is_word)
             owner = np.repeat(np.arange(len(counts)), counts)[unknown]
@@ -342,7 +407,7 @@ def score_documents(documents: DataFrame) -> DataFrame:
     found = rare.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"),
         F.sum(F.col("times") * F.log10((n + 1) / F.lit(vocabulary.total + vocabulary.distinct + 1))).alias("base"),
-        F.sum(F.col("times") * F.log10((n + 1) / F.lit(vocabulary.other_total + vocabulary.other_distinct + 1))).alias("other"))
+        F.sum(F.col("times") * F.log10((n + 1).cast("double"))).alias("other"))
     zero = F.lit(0)
     return partial.drop("rare").join(found, "row", "left").select(
         "doc_id", held_out().alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("known", zero)).alias("n_known"),

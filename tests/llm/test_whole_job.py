@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from scoreloom.llm import benchmarks, language, licenses, maxent
 
 
@@ -99,3 +101,27 @@ def test_every_context_feature_learns_from_every_token(spark):
     coded = maxent.Coded([r.text.encode() for r in texts.collect()], maxent.Ranks(vocabulary))
     rows, _ = model.classes(coded.context)
     assert all((model.by_class[row] != 0).any(axis=1).all() for row in rows)
+
+
+def test_context_tells_rare_words_apart(spark, monkeypatch):
+    monkeypatch.setattr(maxent, "HEAD", 1500)
+    # 3000 pairs: the second word always follows the first; all but 1024 words are others
+    texts = spark.createDataFrame([(n, " ".join(f"a{k} b{k}" for k in range(n % 30, 3000, 30))) for n in range(600)], "doc_id long, text string")
+    vocabulary = maxent.learn_vocabulary(counts := maxent.word_counts(texts).cache())
+    model = maxent.train(texts.coalesce(1), vocabulary)
+    ranks = maxent.Ranks(vocabulary)
+    known = {r.word for r in counts.collect()}
+
+    def log10(text):
+        c = maxent.Coded([text.encode()], ranks)
+        return (model.log10(c.context, c.group, c.member, c.leaf) - (c.group == maxent.OTHER) * vocabulary.others_in(c.leaf))[1]
+
+    rare = [k for k in range(3000) if f"b{k}".encode() not in vocabulary.words[:1024] and f"b{k}" in known]
+    gain = [log10(f"a{k} b{k}") - log10(f"zz b{k}") for k in rare[:200]]
+    assert sum(gain) / len(gain) > 0.1
+    # probabilities of all leaves and classes sum to one
+    c = maxent.Coded([b"a1"], ranks)
+    everywhere = np.arange(len(vocabulary.leaf_mass))
+    total = 10 ** model.log10(np.repeat(c.context[:, :1], len(everywhere), axis=1), np.full(len(everywhere), maxent.OTHER), 0 * everywhere, everywhere)
+    assert abs(total.sum() - model.classes(c.context[:, :1])[1][0, maxent.OTHER]) < 1e-4
+    assert vocabulary.levels == 2 and (vocabulary.leaf_mass >= 1).all()

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import benchmarks, bpe, chat, language, licenses, maxent, near, private, repeats, vectors
+from scoreloom.llm import benchmarks, bpe, chat, language, licenses, maxent, near, negatives, private, repeats, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,11 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_hard_negatives"] = negatives.ORACLE

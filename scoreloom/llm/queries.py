@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import benchmarks, bpe, chat, language, licenses, maxent, near, negatives, private, repeats, vectors
+from scoreloom.llm import benchmarks, bpe, chat, language, licenses, maxent, near, negatives, pages, private, repeats, search, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,22 @@ def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_ranked_search"] = search.ORACLE
+
+
+@query
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op12_page_text"] = pages.ORACLE
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))

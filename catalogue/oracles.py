@@ -96,6 +96,7 @@ oracle("snk9_export_csv_projected", f"SELECT s_name AS name, NULL AS ticker_bour
 oracle("snk10_layout", "SELECT record_id, isin, titre, run_id FROM filings")
 oracle("snk11_ensure_table", """
     SELECT isin, count(*) AS days, sum(volume) FILTER (WHERE date >= DATE '2020-01-01')::BIGINT AS volume FROM bars GROUP BY isin""")
+oracle("snk12_conform_fail", f'SELECT {ymd("date")} AS "Date", isin, volume::DOUBLE AS "Volume" FROM bars')
 oracle("snk12_conform_schema", f'SELECT isin, {ymd("date")} AS "Date", volume::DOUBLE AS "Volume", NULL AS note FROM bars')
 
 # Filters and projections ------------------------------------------------------------------------
@@ -174,7 +175,8 @@ oracle("agg4_win8_exact_percentiles", "SELECT " + ", ".join(
 ) + " FROM lineitem")
 oracle("agg5_population_stats", f"SELECT {r('avg(l_quantity)', 6)} AS mu, {r('stddev_samp(l_quantity)', 6)} AS sd FROM lineitem")
 oracle("agg6_distinct_isins", "SELECT DISTINCT isin FROM bars")
-oracle("agg7_run_counters", """
+for name in ("agg7_run_counters", "agg7_counted_write"):
+    oracle(name, """
     SELECT financial_signal_run_id, count(*) AS total, count(*) FILTER (WHERE extraction_status = 'success') AS success,
            count(*) FILTER (WHERE extraction_status = 'no_financial_data') AS skipped,
            count(*) FILTER (WHERE extraction_status NOT IN ('success', 'no_financial_data')) AS errors
@@ -373,7 +375,37 @@ oracle("txt1_jn8_entity_link", """
            'I-' || matched_name AS isin, 'T-' || matched_name AS ticker_bourso FROM titles LEFT JOIN hits USING (p_partkey)""",
        **linked("SELECT p_partkey, p_name || ' by ' || p_brand AS title FROM part"))
 oracle("txt2_matched_by_category", "SELECT category, p_partkey, matched_name FROM titles JOIN hits USING (p_partkey)",
-       **linked("SELECT p_partkey, p_type AS category, p_brand || ' ' || p_name AS title FROM part", "name LIKE '%r%'"))
+       **linked("SELECT p_partkey, p_type AS category, p_brand || ' ' || p_name AS title FROM part"))
+BENCHMARK_WORDS = r"""
+    SELECT name, min(item_id) AS item FROM (SELECT item_id, unnest(regexp_split_to_array(text, '\s+')) AS name FROM benchmark)
+    WHERE name <> '' GROUP BY name"""
+# a short name that is no word of the title is a part of one: its length is the longest common subsequence
+oracle("txt1_entity_link_documents", r"""
+    SELECT doc_id, best.name AS matched_name, best.score AS match_score, 'I-' || best.name AS isin,
+           CASE WHEN best.name IS NOT NULL THEN 'T' END AS ticker_bourso
+    FROM documents LEFT JOIN best USING (doc_id)""",
+       words=BENCHMARK_WORDS,
+       titles=r"""SELECT doc_id, lower(trim(regexp_replace(text, '\s+-\s+\S+\.\S{2,4}$', ''))) AS title FROM documents""",
+       parted="""SELECT doc_id, title, list_filter(list_distinct(regexp_split_to_array(title, '\\s+')), lambda w: w <> '') AS held FROM titles""",
+       hits=r"""SELECT doc_id, name, item, length(array_to_string(held, ' ')) AS size, list_contains(held, lower(name)) AS word
+                FROM parted JOIN words ON contains(title, lower(name))
+                 AND regexp_matches(title, '(^|[^a-zA-ZÀ-ɏ])' || regexp_escape(lower(name)) || '($|[^a-zA-ZÀ-ɏ])')
+                WHERE upper(name) NOT IN ('OPTION', 'FOCUS', 'DIRECT', 'CAPITAL', 'CONTACT', 'VISION')""",
+       scored="""SELECT *, CASE WHEN length(name) > 6 OR word THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * length(name) / (length(name) + size) END AS score
+                 FROM hits""",
+       best="""SELECT doc_id, first({'name': name, 'score': score} ORDER BY score DESC, item, name) AS best FROM scored WHERE score >= 80 GROUP BY doc_id""")
+oracle("txt1_short_names", f"""
+    SELECT title, best.name AS matched_name, {r('best.score', 6)} AS match_score FROM titles LEFT JOIN best USING (title)""",
+       words=BENCHMARK_WORDS,
+       names="""SELECT name, first(item ORDER BY item, word) AS item, first(word ORDER BY item, word) AS word
+                FROM (SELECT regexp_extract(name, '^([a-zA-ZÀ-ɏ]+)', 1) AS name, item, name AS word FROM words) WHERE name <> '' GROUP BY name""",
+       titles=r"SELECT DISTINCT unnest(regexp_split_to_array(text, '\s+')) AS title FROM documents",
+       runs="SELECT title, unnest(list_distinct(regexp_extract_all(lower(title), '[a-zA-ZÀ-ɏ]+'))) AS run FROM titles",
+       scored="""SELECT title, name, item, word, CASE WHEN length(name) > 6 OR lower(title) = run THEN 100.0::DOUBLE
+                 ELSE 200.0::DOUBLE * length(name) / (length(name) + length(title)) END AS score
+                 FROM runs JOIN names ON lower(name) = run WHERE upper(name) NOT IN ('OPTION', 'FOCUS', 'DIRECT', 'CAPITAL', 'CONTACT', 'VISION')""",
+       best="""SELECT title, first({'name': name, 'score': score} ORDER BY score DESC, item, word) AS best FROM scored
+               WHERE score >= 80 GROUP BY title""")
 oracle("txt3_doc_relevance", f"SELECT record_id, {relevance(True)} AS relevance_score, {relevance(False)} AS threshold_score FROM filings")
 
 SPACE = r"'^[\s\p{Z}]+|[\s\p{Z}]+$'"
@@ -513,6 +545,11 @@ oracle("inc2_lookback_merge", f"""
        stored=f"SELECT * EXCLUDE (rn) FROM (SELECT *, {BEST_VERSION} AS rn FROM versions WHERE extracted_at < TIMESTAMP '2024-01-05') WHERE rn = 1",
        offered="""SELECT * FROM stored UNION ALL SELECT * FROM versions
                   WHERE extracted_at >= (SELECT max(extracted_at) - INTERVAL 7 DAY FROM stored)""")
+FIRST = "extracted_at < TIMESTAMP '2024-01-15' AND financial_signal_run_id <> 'fs-3'"
+oracle("inc2_lookback_stream", f"""
+    SELECT record_id, llm_prompt_version_num, financial_signal_run_id, {hms('extracted_at')} AS extracted_at
+    FROM (SELECT *, {BEST_VERSION} AS rn FROM versions
+          WHERE {FIRST} OR extracted_at > (SELECT max(extracted_at) - INTERVAL 7 DAY FROM versions WHERE {FIRST})) WHERE rn = 1""")
 oracle("inc3_rolling_month_rewrite", f'SELECT isin, {ymd("date")} AS "Date", volume AS "Volume" FROM clean WHERE clean.date >= DATE \'2024-01-01\'')
 oracle("inc4_full_refresh", f"SELECT * REPLACE ({ymd('snapshot_date')} AS snapshot_date) FROM companies")
 oracle("inc5_snapshot_idempotent", """
@@ -525,6 +562,8 @@ oracle("inc7_retry_state", f"""
     FROM old_rows o LEFT JOIN new_rows n ON n.record_id = o.record_id
     WHERE o.pdf_url IS NOT NULL AND o.isin IS NOT NULL AND CASE WHEN n.record_id IS NULL THEN {AGAIN.replace('pdf_', 'o.pdf_')} ELSE n.isin IS NULL END""",
        old_rows=OLD, new_rows=NEW)
+oracle("str1_dropped_bars", """
+    SELECT isin, count(*) AS bars, count(*) FILTER (WHERE volume % 2 = 1)::BIGINT AS dropped FROM bars GROUP BY isin""")
 oracle("str2_stream_daily_bars", f"""
     SELECT 'U' || user_id AS isin, {ymd('ts::DATE')} AS "Date", first(value ORDER BY ts, event_id) AS "Open", max(value) AS "High", min(value) AS "Low",
            last(value ORDER BY ts, event_id) AS "Close", sum(event_id % 9)::BIGINT AS "Volume"

@@ -3,7 +3,6 @@
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from scoreloom.functions.numbers import blank_to_null
 
@@ -16,6 +15,9 @@ LISTING_ALIASES = {
     "volume": ["volume", "tradedVolume", "turnover"],
 }
 
+#: Levels of nested JSON that are walked.
+LEVELS = 32
+
 
 def json_block(raw: Column) -> Column:
     """Drop code fences, keep the text from the first '{' to the last '}'."""
@@ -67,38 +69,70 @@ def unescape(text: Column) -> Column:
     return F.coalesce(decoded, text)
 
 
+def _members(text: Column) -> Column:
+    """The members of a JSON object or array in order: place, name (NULL in an array), text and kind of the value."""
+    is_object = text.startswith("{")
+    texts, kinds = (F.from_json(text, f"map<string,{kind}>") for kind in ("string", "variant"))
+    items, item_kinds = (F.from_json(text, f"array<{kind}>") for kind in ("string", "variant"))
+
+    def member(place: Column, name: Column, value: Column, typed: Column) -> Column:
+        return F.struct(place.alias("place"), name.alias("name"), F.ltrim(value).alias("text"), F.schema_of_variant(typed).alias("kind"))
+
+    of_object = F.transform(F.map_entries(texts), lambda e, i: member(i, e["key"], e["value"], F.element_at(kinds, e["key"])))
+    of_array = F.transform(items, lambda v, i: member(i, F.lit(None).cast("string"), v, F.get(item_kinds, i)))
+    return F.when(is_object, of_object).otherwise(of_array)
+
+
+def json_objects(document: Column) -> Column:
+    """All objects of a JSON document in the order of the text, outer ones before those in them: (path, members).
+
+    One step a level, whatever the document's width; the order of members is that of the text, which VARIANT
+    would not keep.  A document nested deeper than LEVELS raises an error.
+    """
+    nodes = "array<struct<path:array<int>,text:string>>"
+    objects = "array<struct<path:array<int>,members:array<struct<place:int,name:string,text:string,kind:string>>>>"
+    text = F.ltrim(document)
+    root = F.when(text.rlike(r"^[\[{]"), F.array(F.struct(F.array().cast("array<int>").alias("path"), text.alias("text"))))
+    begin = F.struct(F.coalesce(root, F.array()).cast(nodes).alias("nodes"), F.array().cast(objects).alias("objects"))
+
+    def level(state: Column, _: Column) -> Column:
+        opened = F.transform(state["nodes"], lambda n: F.struct(
+            n["path"].alias("path"), n["text"].startswith("{").alias("is_object"), _members(n["text"]).alias("members")))
+
+        def onward(opened: Column) -> Column:
+            held = F.filter(opened, lambda o: o["is_object"])
+            below = F.flatten(F.transform(opened, lambda o: F.transform(
+                F.filter(o["members"], lambda m: m["kind"].rlike("^(OBJECT|ARRAY)")),
+                lambda m: F.struct(F.concat(o["path"], F.array(m["place"])).alias("path"), m["text"].alias("text")))))
+            found = F.transform(held, lambda o: F.struct(o["path"].alias("path"), o["members"].alias("members")))
+            return F.struct(below.alias("nodes"), F.concat(state["objects"], found).alias("objects"))
+
+        return F.get(F.transform(F.array(opened), onward), F.lit(0))  # `opened` is computed once
+
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), begin, level)
+    too_deep = F.raise_error(F.lit(f"JSON nested deeper than {LEVELS} levels")).cast(objects)
+    checked = F.transform(F.array(end), lambda e: F.when(F.size(e["nodes"]) > 0, too_deep).otherwise(F.array_sort(e["objects"])))
+    return F.get(checked, F.lit(0))
+
+
 def listing_figures(blob: Column) -> Column:
     """struct(last, variation, high, low, volume) from an escaped JSON attribute.
 
     The blob is a document, or has one between its outermost braces.  The figures may sit at any depth and under several
-    names: the outermost, first object that has a value under one of the names gives it.
+    names: the outermost, first object that has a value under one of the names gives it.  Numbers stay as they are written.
     """
     text = F.trim(unescape(blob))
     block = F.regexp_extract(text, r"(?s)\{.*\}", 0)
     document = F.when(F.try_parse_json(text).isNotNull(), text).when(F.try_parse_json(block).isNotNull(), block)
-    aliases = dict(LISTING_ALIASES)
-
-    def objects(value):
-        ahead = [value]
-        while ahead:
-            value = ahead.pop()
-            if isinstance(value, dict):
-                yield value
-            if isinstance(value, dict | list):
-                ahead += reversed(value.values() if isinstance(value, dict) else value)
-
-    def figures(documents):
-        import json
-
-        import pandas as pd
-
-        blank = (None, "", [], {})
-        rows = []
-        for document in documents:
-            known = list(objects(json.loads(document))) if document else []
-            given = {f: next((o[n] for o in known for n in names if o.get(n) not in blank), None) for f, names in aliases.items()}
-            rows.append({f: v if v is None or isinstance(v, str) else json.dumps(v) for f, v in given.items()})
-        return pd.DataFrame(rows, columns=list(aliases))
-
-    figures.__annotations__ = {"documents": pd.Series, "return": pd.DataFrame}
-    return F.pandas_udf(figures, T.StructType([T.StructField(name, T.StringType()) for name in aliases]))(document)
+
+    def value(members: Column, name: str) -> Column:
+        blank = lambda m: (m["kind"] == "VOID") | (m["text"] == "") & (m["kind"] == "STRING") | (
+            m["kind"].rlike("^(OBJECT|ARRAY)") & m["text"].rlike(r"^[\[{]\s*[\]}]$"))
+        return F.get(F.filter(members, lambda m: (m["name"] == name) & ~blank(m)), F.lit(0))["text"]
+
+    def figures(known: Column) -> Column:
+        found = {f: F.array_compact(F.transform(known, lambda o: F.coalesce(*[value(o["members"], n) for n in names])))
+                 for f, names in LISTING_ALIASES.items()}
+        return F.struct(*[F.get(values, F.lit(0)).alias(f) for f, values in found.items()])
+
+    return F.get(F.transform(F.array(json_objects(document)), figures), F.lit(0))

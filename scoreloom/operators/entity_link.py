@@ -2,11 +2,10 @@
 
 A company can only match where its name stands in the title as a whole word, so every run of
 letters in the name is a run of letters in the title.  That turns the title x company comparison
-into a hash join on one run of the name, its longest; the literal check follows on the few
-candidates.
+into a hash join on one run of the name, the one that the fewest titles hold; the literal check
+follows on the few candidates.
 """
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +22,8 @@ LETTER = r"a-zA-ZÀ-ɏ"
 LETTERS = rf"[{LETTER}]+"
 NO_LETTERS = rf"[^{LETTER}]+"
 PIECE = 3
-SALTS = 16
+#: A token that more than a SHARE-th of all title tokens are is dealt to several tasks, in proportion.
+SHARE = 256
 
 
 def _runs(text: Column, pattern: str) -> Column:
@@ -45,16 +45,26 @@ def _pieces(title: Column) -> Column:
     return F.transform(F.flatten(F.transform(parts, cut)), lambda p: F.concat(F.lit("#"), F.trim(p)))
 
 
-def title_tokens(title: Column) -> Column:
+def title_tokens(title: Column, with_pieces: Column) -> Column:
+    """The letter runs of a title, and the pieces of its other parts if some name needs them."""
     runs = F.transform(_runs(title, LETTERS), F.lower)
-    return F.array_distinct(F.concat(runs, _pieces(title)))
+    return F.array_distinct(F.when(with_pieces, F.concat(runs, _pieces(title))).otherwise(runs))
 
 
-def name_token(name: Column) -> Column:
-    """The longest letter run of a name; for a name without letters its first characters."""
-    runs = F.transform(_runs(name, LETTERS), lambda r: F.struct(F.length(r).alias("n"), F.lower(r).alias("run")))
+def name_tokens(name: Column) -> Column:
+    """The letter runs of a name; for a name without letters its first characters."""
+    runs = F.array_distinct(F.transform(_runs(name, LETTERS), F.lower))
     bare = F.concat(F.lit("#"), F.trim(F.substring(F.trim(name), 1, PIECE)))
-    return F.when(F.size(runs) > 0, F.array_max(runs)["run"]).when(F.length(F.trim(name)) > 0, bare)
+    return F.when(F.size(runs) > 0, runs).when(F.length(F.trim(name)) > 0, F.array(bare)).otherwise(F.array().cast("array<string>"))
+
+
+def marked(text: Column) -> Column:
+    """Lower case, with a mark on both sides of each letter run.
+
+    A name that begins and ends with letters stands in a title as a whole word exactly where the
+    marked name is a part of the marked title.
+    """
+    return F.lower(F.regexp_replace(text, f"({LETTERS})", "\u0001$1\u0002"))
 
 
 def whole_word(name: Column) -> Column:
@@ -67,49 +77,48 @@ def words(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(F.lower(text), r"(?U)\s+"), lambda w: w != "")))
 
 
+def common_subsequence(short: Column, text: Column) -> Column:
+    """Length of the longest common subsequence of `text` and a string of at most SHORT_NAME characters.
+
+    Bit by bit: a zero at place k says that the sequence grows at the short string's k-th character.
+    One step for each character of the text, each a few operations on a whole number.
+    """
+    full = (1 << SHORT_NAME) - 1
+
+    def step(row: Column, char: Column) -> Column:
+        held = F.lit(0)
+        for k in range(SHORT_NAME):
+            held = held + F.when(F.substring(short, k + 1, 1) == char, 1 << k).otherwise(0)
+        both = row.bitwiseAND(held)
+        return (row + both).bitwiseOR(row - both).bitwiseAND(full)
+
+    row = F.aggregate(F.filter(F.split(text, ""), lambda x: x != ""), F.lit(full), step)
+    return SHORT_NAME - F.bit_count(row)
+
+
 def _ratio_of_rest(common: Column, name_rest: Column, title_rest: Column) -> Column:
     """Best similarity of a short name that is not itself a set of words of the title.
 
     Twice the longest common subsequence over both lengths, in percent; of the shared words with
-    each rest, and of each rest with the shared words alone.
+    each rest, and of each rest with the shared words alone.  The shared words begin both, so they
+    are the subsequence in the latter two.
     """
+    core, first, second = (F.array_join(words, " ") for words in (common, F.concat(common, name_rest), F.concat(common, title_rest)))
+
+    def ratio(shared: Column, a: Column, b: Column) -> Column:
+        both = F.length(a) + F.length(b)
+        return F.when(both == 0, 100.0).otherwise(200.0 * shared / both)
 
-    def best(shared, in_name, in_title):
-        import pandas as pd
-
-        def similarity(a, b):
-            if not a and not b:
-                return 100.0
-            row = [0] * (len(b) + 1)
-            for x in a:
-                diagonal = 0
-                for j, y in enumerate(b, 1):
-                    diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
-            return 200.0 * row[-1] / (len(a) + len(b))
-
-        scores = []
-        for words, left, right in zip(shared, in_name, in_title):
-            if words is None:
-                scores.append(None)
-                continue
-            core = " ".join(words)
-            first = " ".join([*words, *left])
-            second = " ".join([*words, *right])
-            score = similarity(first, second)
-            if core:
-                score = max(score, similarity(core, first), similarity(core, second))
-            scores.append(score)
-        return pd.Series(scores, dtype="float64")
-
-    best.__annotations__ = {"shared": pd.Series, "in_name": pd.Series, "in_title": pd.Series, "return": pd.Series}
-    return F.pandas_udf(best, "double")(common, name_rest, title_rest)
+    of_rests = ratio(common_subsequence(first, second), first, second)
+    of_core = F.greatest(ratio(F.length(core), core, first), ratio(F.length(core), core, second))
+    return F.when(F.size(common) > 0, F.greatest(of_rests, of_core)).otherwise(of_rests)
 
 
 def match_scores(candidates: DataFrame) -> DataFrame:
     """Add `score` to pairs whose name already stands in the title as a whole word.
 
     A long name is then a part of the title: 100.  So is a short name whose words are words of the
-    title; only the others ("lisi" in "lisi:") reach Python.
+    title; only the others ("lisi" in "lisi:") are compared character by character.
     """
     short = F.length("name") <= SHORT_NAME
     parts = candidates.withColumns(
@@ -123,29 +132,50 @@ def match_scores(candidates: DataFrame) -> DataFrame:
     )
     contained = (F.size("_common") > 0) & ((F.size("_name_rest") == 0) | (F.size("_title_rest") == 0))
     parts = parts.withColumn("_exact", F.col("_name").isNull() | contained)
-    fuzzy = _ratio_of_rest(*[F.when(~F.col("_exact"), F.col(p)) for p in ("_common", "_name_rest", "_title_rest")])
+    fuzzy = _ratio_of_rest(*[F.col(p) for p in ("_common", "_name_rest", "_title_rest")])
     return parts.withColumn("score", F.when(F.col("_exact"), F.lit(100.0)).otherwise(fuzzy))
 
 
+def _blocks(names: DataFrame, titles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The names (with `tokens`) and the titles (with `tokens`), each by (token, salt) of one token per name.
+
+    A name goes by the token that the fewest titles hold; names with a token that no title holds
+    cannot match.  A token is dealt to as many salts as it is frequent, for which its names are
+    repeated: a salt holds about a SHARE-th of all title tokens at most.
+    """
+    tokens = titles.select("_key", F.explode("tokens").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))  # partial counts first: no hot key
+    total = counts.agg(F.sum("n")).scalar()
+    salts = F.ceil(F.col("n") * SHARE / total).cast("int")
+    wanted = names.select("name", F.explode("tokens").alias("token")).join(counts, "token", "left").groupBy("name").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), (-F.length("token")).alias("length"), "token")).alias("rarest")
+    ).select("name", "rarest.token", "rarest.n").where("n > 0").withColumn("salts", salts)
+    named = names.drop("tokens").join(wanted, "name").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    frequent = F.broadcast(counts.where(salts > 1).select("token", salts.alias("salts")))  # fewer than SHARE
+    dealt = tokens.join(frequent, "token", "left").withColumn(
+        "salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("_key"), F.col("salts"))).cast("int"))
+    return named.drop("salts", "n"), dealt.drop("salts")
+
+
 def entity_link(
     entries: DataFrame, referential: DataFrame, threshold: float = THRESHOLD, blocklist: list = COMMON_WORDS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Add matched_name, match_score, isin, ticker_bourso; unmatched entries stay with NULLs.
 
     `referential` is (name, isin, ticker_bourso, ordinal); equal scores go to the lowest ordinal, which
-    may be of any type that sorts.  Titles are linked once however often they repeat.  A token that a
-    third of the titles share is split over `salts` tasks, for which the referential, the smaller
-    side, is repeated.  Tokens travel with the title's digest, not its text.
+    may be of any type that sorts.  Titles are linked once however often they repeat.  Tokens travel
+    with the title's digest, not its text.
     """
+    letters = F.col("name").rlike(f"[{LETTER}]")
+    edges = F.col("name").rlike(rf"^[{LETTER}]") & F.col("name").rlike(rf"[{LETTER}]$")
     names = (
         first_per_key(referential, ["name"], [F.col("ordinal")])  # a repeated name means its first row
         .where(~F.upper("name").isin(blocklist))
         .select("name", F.struct("name", "isin", "ticker_bourso").alias("company"), "ordinal",
-                name_token(F.col("name")).alias("token"), whole_word(F.col("name")).alias("pattern"))
-        .where(F.col("token").isNotNull())
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+                F.when(edges, marked(F.col("name"))).alias("marked"), F.when(~edges, whole_word(F.col("name"))).alias("pattern"),
+                name_tokens(F.col("name")).alias("tokens"))
     )
+    bare_names = referential.agg(F.coalesce(F.bool_or(~letters), F.lit(False))).scalar()
     kept = entries.drop("matched_name", "match_score", "isin", "ticker_bourso").withColumn("_key", F.md5("title"))
     titles = (
         kept.where(F.col("title").isNotNull())
@@ -153,15 +183,12 @@ def entity_link(
         .agg(F.first("title").alias("title"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 0")  # always true; keeps both uses below the same, so that one exchange serves both
     )
-    tokens = titles.select(
-        "_key", F.explode(title_tokens(clean_title(F.col("title")))).alias("token"),
-        F.pmod(F.xxhash64("_key"), F.lit(salts)).cast("int").alias("salt"),
-    )
-    pairs = tokens.join(names, ["token", "salt"]).drop("token", "salt")
-    found = (
-        pairs.join(titles.select("_key", "copies", clean_title(F.col("title")).alias("cleaned")), "_key")
-        .where(F.rlike("cleaned", F.col("pattern")))
-    )
+    cleaned = titles.select("_key", "copies", clean_title(F.col("title")).alias("cleaned"))
+    named, dealt = _blocks(names, cleaned.select("_key", title_tokens(F.col("cleaned"), bare_names).alias("tokens")))
+    pairs = dealt.join(named, ["token", "salt"]).drop("token", "salt")
+    found = pairs.join(cleaned.withColumn("_marked", marked(F.col("cleaned"))), "_key").where(
+        F.when(F.col("marked").isNotNull(), F.contains("_marked", "marked")).otherwise(F.rlike("cleaned", F.col("pattern")))
+    ).drop("_marked", "marked", "pattern")
     best = match_scores(found).where(F.col("score") >= threshold).groupBy("_key").agg(
         F.max("copies").alias("copies"),
         F.min_by(F.struct("score", "company"), F.struct(-F.col("score"), "ordinal")).alias("best"),

@@ -143,3 +143,64 @@ def indicators(bars: DataFrame, as_of: dt.datetime) -> DataFrame:
         _once_seen(F.col("trend"), TREND_DAYS).alias("EMA_20"),
         clock.at(as_of).alias("computed_at"),
     )
+
+
+def latest_indicators(bars: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """The last row of each company as `indicators` gives it, from one aggregation per company.
+
+    Closes are gathered per company, partly on each map task, as an array in the order of days (the
+    calendar bounds it) and folded once: no sort of rows and no windows.  Rows without a finite close
+    are left out.
+    """
+    days = F.array_sort(F.collect_list(F.struct("Date", "Close")))
+    finite = bars.where(F.abs("Close") < F.lit(float("inf")))
+    others = [c for c in bars.columns if c not in ("isin", "Date", "Close")]
+    rows = finite.groupBy("isin").agg(days.alias("_days"), F.max_by(F.struct(*bars.columns), "Date").alias("_bar"))
+    closes, n = F.col("_closes"), F.size("_closes")
+    wilder = 1 / RSI_DAYS
+
+    def step(state: Column, close: Column) -> Column:
+        def average(name: str, days: int) -> Column:
+            return F.when(state["n"] == 0, close).otherwise(state[name] + (close - state[name]) * (2 / (days + 1)))
+
+        change = F.when(state["n"] == 0, 0.0).otherwise(close - state["last"])
+        spread = average("fast", FAST_DAYS) - average("slow", SLOW_DAYS)
+        signal = F.when(state["n"] < SLOW_DAYS - 1, 0.0).when(state["n"] == SLOW_DAYS - 1, spread).otherwise(
+            state["signal"] + (spread - state["signal"]) * (2 / (SIGNAL_DAYS + 1)))
+        return F.struct(
+            (state["n"] + 1).alias("n"), close.alias("last"),
+            average("fast", FAST_DAYS).alias("fast"), average("slow", SLOW_DAYS).alias("slow"), average("trend", TREND_DAYS).alias("trend"),
+            (state["gains"] * (1 - wilder) + F.greatest(change, F.lit(0.0)) * wilder).alias("gains"),
+            (state["losses"] * (1 - wilder) + F.greatest(-change, F.lit(0.0)) * wilder).alias("losses"), signal.alias("signal"),
+        )
+
+    begin = F.struct(F.lit(0).alias("n"), *[F.lit(0.0).alias(k) for k in ("last", "fast", "slow", "trend", "gains", "losses", "signal")])
+    rows = rows.withColumn("_closes", F.transform("_days", lambda d: d["Close"].cast("double"))).withColumn(
+        "_end", F.aggregate("_closes", begin, step))
+    end = {k: F.col(f"_end.{k}") for k in ("fast", "slow", "trend", "gains", "losses", "signal")}
+
+    def since(value: Column, days: int) -> Column:
+        return F.when(n >= days, value)
+
+    def mean(days: int) -> Column:
+        last = F.slice(closes, F.greatest(n - days + 1, F.lit(1)), days)
+        flat = F.array_max(last) == F.array_min(last)
+        return since(F.when(flat, F.element_at(closes, -1)).otherwise(F.aggregate(last, F.lit(0.0), lambda a, x: a + x) / float(days)), days)
+
+    band = F.slice(closes, F.greatest(n - BAND_DAYS + 1, F.lit(1)), BAND_DAYS)
+    rows = rows.withColumn("_middle", mean(BAND_DAYS))
+    squares = F.aggregate(band, F.lit(0.0), lambda a, x: a + (x - F.col("_middle")) * (x - F.col("_middle")))
+    spread = F.when(F.array_max(band) == F.array_min(band), 0.0).otherwise(F.sqrt(squares / float(BAND_DAYS)))
+    strength = F.when(end["losses"] == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + end["gains"] / end["losses"]))
+    return rows.select(
+        "isin", F.col("_bar.Date").alias("Date"), F.col("_bar.Close").alias("Close"), *[F.col(f"_bar.{c}").alias(c) for c in others],
+        since(strength, RSI_DAYS).alias("RSI_14"),
+        since(end["fast"] - end["slow"], SLOW_DAYS).alias("MACD"),
+        since(end["signal"], SLOW_DAYS + SIGNAL_DAYS - 1).alias("MACD_signal"),
+        (F.col("_middle") + BAND_WIDTH * spread).alias("BB_upper"),
+        (F.col("_middle") - BAND_WIDTH * spread).alias("BB_lower"),
+        mean(SHORT_MEAN).alias("SMA_50"),
+        mean(LONG_MEAN).alias("SMA_200"),
+        since(end["trend"], TREND_DAYS).alias("EMA_20"),
+        clock.at(as_of).alias("computed_at"),
+    ).select(*bars.columns, *INDICATORS, "computed_at")

@@ -10,7 +10,7 @@ from scoreloom.functions.numbers import (
     clip, decimals_to_double, divide, first_number, money_to_eur, round_half_away, version_number,
 )
 from scoreloom.operators.keyed import first_per_key
-from scoreloom.operators.ranking import exact_percentiles, percent_rank
+from scoreloom.operators.ranking import percent_rank, percentile_values
 
 # Weight of each metric, in scoring order.
 WEIGHTS = {"ca_growth": 0.25, "marge_op": 0.30, "levier": 0.25, "fcf_yield": 0.20}
@@ -84,12 +84,13 @@ def ratios(signal: DataFrame) -> DataFrame:
 
 
 def winsorised(rows: DataFrame, low: float, high: float) -> DataFrame:
-    """Each metric clipped to its percentiles, as `<metric>_w`; a missing metric stays missing."""
-    limits = exact_percentiles(rows, list(WEIGHTS), {"low": low, "high": high})
-    limits = limits.select(F.struct("*")).scalar()
-    return rows.withColumn("_limits", limits).withColumns(
-        {f"{m}_w": clip(F.col(m), F.col(f"_limits.low_{m}"), F.col(f"_limits.high_{m}")) for m in WEIGHTS}
-    ).drop("_limits")
+    """Each metric clipped to its percentiles, as `<metric>_w`; a missing metric stays missing.
+
+    The percentiles are found at once, by jobs over `rows`, and are constants of the plan.
+    """
+    limits = percentile_values(rows, list(WEIGHTS), {"low": low, "high": high})
+    limit = {name: F.lit(value).cast("double") for name, value in limits.items()}
+    return rows.withColumns({f"{m}_w": clip(F.col(m), limit[f"low_{m}"], limit[f"high_{m}"]) for m in WEIGHTS})
 
 
 def z_scores(rows: DataFrame) -> DataFrame:
@@ -124,7 +125,7 @@ def financials_score(
 ) -> DataFrame:
     """Fundamental score per (ticker, period): 0..10 by rank among all of them.
 
-    `rows` are the z-scores, written or persisted by the caller: the rank reads them three times.
+    `rows` are the z-scores; the rank reads them for its cuts and writes them once, with their places.
     """
     ranked = percent_rank(weighted(rows, min_metrics, weights), "z_composite", "_share")
     return ranked.select(

@@ -121,3 +121,13 @@ def stocks_score(rows: DataFrame, snapshots: DataFrame) -> DataFrame:
         "score_14d_avg",
         "is_latest",
     )
+
+
+def latest_stocks_score(rows: DataFrame) -> DataFrame:
+    """Technical score of each company's last day, from `latest_indicators`; what the composite takes of `stocks_score`."""
+    points = F.col("rsi_signal")
+    for name in SIGNALS[1:]:
+        points = points + F.col(name)
+    scored = signals(rows.where(F.col("isin").isNotNull()))
+    return scored.select("isin", F.col("Date").alias("date"), "Close", *SIGNALS, F.round(points, 1).alias("score_technique"),
+                         F.lit(True).alias("is_latest"))

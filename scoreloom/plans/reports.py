@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from scoreloom.functions.text import signal_label
@@ -73,6 +73,29 @@ def run_counters(rows: DataFrame, run: str, status: str) -> DataFrame:
     )
 
 
+def counted_write(rows: DataFrame, run: str, status: str, runs: list[str], path: str) -> DataFrame:
+    """Append `rows` to the table at `path` and give the counters of `runs`, taken by the same job as it writes.
+
+    `runs` are the run ids of the batch, few and known to the caller; rows of other runs are written, not counted.
+    """
+    counts = []
+    for k, name in enumerate(runs):
+        of_run = F.col(run) == F.lit(name)
+        good, skipped = F.col(status) == "success", F.col(status) == "no_financial_data"
+        counts += [
+            F.count_if(of_run).alias(f"total_{k}"), F.count_if(of_run & good).alias(f"success_{k}"),
+            F.count_if(of_run & skipped).alias(f"skipped_{k}"),
+            F.count_if(of_run & (F.col(status).isNull() | ~(good | skipped))).alias(f"errors_{k}"),
+        ]
+    seen = Observation()
+    rows.observe(seen, *counts).write.mode("append").parquet(path)
+    found = seen.get
+    kinds = ("total", "success", "skipped", "errors")
+    data = [(name, *(found[f"{kind}_{k}"] for kind in kinds)) for k, name in enumerate(runs)]
+    schema = f"`{run}` {rows.schema[run].dataType.simpleString()}, " + ", ".join(f"{kind} bigint" for kind in kinds)
+    return rows.sparkSession.createDataFrame(data, schema).where("total > 0")
+
+
 def numbered_top(df: DataFrame, order: list, n: int) -> DataFrame:
     """The first n rows with their place; the window sees n rows only."""
     return df.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)))

@@ -43,6 +43,7 @@ def score_history(stocks: DataFrame, isins: list[str], as_of: dt.datetime, days:
 
 
 def _newest_snapshot(table: DataFrame) -> DataFrame:
+    """Of a table in folders by `score_date` (`write_snapshots`) one folder is scanned; the newest day comes from the folder names."""
     return table.where(F.col("score_date") == table.agg(F.max("score_date")).scalar())
 
 

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,7 @@ def build_session(name: str = "scoreloom", master: str | None = None, **extra: s
 
 
 _local_root: str | None = None
+_places: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -59,4 +61,13 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _places[out] = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Empty the tables behind results of `staged` that nothing reads any more; others are left alone."""
+    for df in written:
+        if path := _places.pop(df, None):
+            df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(path)

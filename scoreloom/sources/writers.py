@@ -1,10 +1,15 @@
-"""Writing tables: appends, rebuilds, partition rewrites, versioned merges, exports."""
+"""Writing tables: appends, rebuilds, partition rewrites, keyed merges, exports."""
 
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoreloom.operators.keyed import upsert
+from scoreloom.operators.keyed import merge, upsert
+from scoreloom.session import staged
 
 
 def conform(df: DataFrame, schema: T.StructType, policy: str = "sync") -> DataFrame:
@@ -63,6 +68,11 @@ def write_clustered(df: DataFrame, path: str, partition: str, cluster: list) ->
     ordered.write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
+def write_snapshots(df: DataFrame, path: str, day: str) -> None:
+    """Replace the snapshots whose days are present in `df`: one folder a day, so that readers of one day scan one folder."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+
+
 def dump_run(raw: DataFrame, clean: DataFrame, root: str, run_id: str) -> None:
     """The unfiltered and the cleaned records of a run as JSON lines."""
     for name, df in (("raw", raw), ("clean", clean)):
@@ -97,38 +107,69 @@ def overview(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "dataset string, table_name string").orderBy("dataset", "table_name")
 
 
-class VersionedTable:
-    """A Parquet table that is rewritten as a whole: each write is a new version folder.
+BUCKET = "_bucket"
 
-    A version counts once its job has committed (`_SUCCESS`), so readers and a crashed writer do
-    not disturb each other, and a merge never overwrites what it reads.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def _versions(self) -> list[int]:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not fs.exists(folder):
-            return []
-        done = [
-            s.getPath() for s in fs.listStatus(folder)
-            if s.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-        ]
-        return sorted(int(p.getName().split("=")[1]) for p in done)
+class KeyedTable:
+    """A Parquet table with a key, dealt into folders by a digest of the key.
+
+    A batch reads and rewrites only the folders its keys fall into (dynamic partition overwrite);
+    rows that are new for certain are appended.  A row with a NULL in its key matches nothing, and is
+    dealt by a digest of all its columns, so that such rows fill no single folder.  `buckets` is fixed
+    for the life of a table: about as many that a folder is one task's work.
 
-    def read(self) -> DataFrame:
-        versions = self._versions()
-        if not versions:
+    One writer at a time.  A folder is replaced when the job commits; a run that dies halfway is
+    mended by running the batch again, since merging it twice gives the same rows.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], buckets: int = 64):
+        self.spark, self.path, self.schema, self.keys, self.buckets = spark, path.rstrip("/"), schema, list(keys), buckets
+
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+        every = [f.name for f in self.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+        digest = F.when(whole, F.xxhash64(*self.keys)).otherwise(F.xxhash64(*every))
+        return df.withColumn(BUCKET, F.pmod(digest, F.lit(self.buckets)).cast("int"))
+
+    def _write(self, df: DataFrame, mode: str, overwrite: str = "dynamic") -> None:
+        dealt = self._dealt(conform(df, self.schema)).repartition(BUCKET).sortWithinPartitions(BUCKET, *self.keys)
+        dealt.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(BUCKET).parquet(self.path)
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """The table, or some of its folders; the filter on the partition column prunes the others."""
+        stored = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        try:
+            rows = self.spark.read.schema(stored).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={versions[-1]}")
+        return (rows if buckets is None else rows.where(F.col(BUCKET).isin(buckets))).drop(BUCKET)
+
+    def rows_near(self, batch: DataFrame) -> DataFrame:
+        """The rows of the folders that the keys of `batch` fall into."""
+        return self.read(self._touched(batch))
+
+    def _touched(self, batch: DataFrame) -> list[int]:
+        return [r[0] for r in self._dealt(conform(batch, self.schema)).select(BUCKET).distinct().collect()]  # `buckets` at most
 
     def write(self, df: DataFrame) -> None:
-        versions = self._versions()
-        target = f"{self.path}/version={versions[-1] + 1 if versions else 1}"
-        conform(df, self.schema).write.mode("overwrite").parquet(target)
+        """Full rebuild."""
+        self._write(df, "overwrite", "static")
+
+    def append(self, df: DataFrame) -> None:
+        """Add rows whose keys the table does not have."""
+        self._write(df, "append")
+
+    def _rewrite(self, batch: DataFrame, merged: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        batch = staged(batch, "batch")  # which folders it touches and what is merged come from one evaluation
+        if touched := self._touched(batch):
+            self._write(merged(self.read(touched), batch), "overwrite")
+
+    def upsert(self, new: DataFrame) -> None:
+        """`new` replaces the rows with the same key and adds the others."""
+        self._rewrite(conform(new, self.schema), lambda old, batch: upsert(old, batch, self.keys))
 
-    def upsert(self, new: DataFrame, keys: list) -> None:
-        self.write(upsert(self.read(), conform(new, self.schema), keys))
+    def merge(self, source: DataFrame, update: list[str], insert: bool = True) -> None:
+        """MERGE of `source` (keys and `update` columns); the rest of a matched row stays."""
+        self._rewrite(source, lambda old, batch: merge(old, batch, self.keys, update, insert))

@@ -2,14 +2,13 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from scoreloom.functions import clock
 from scoreloom.operators.indicators import FAST_DAYS, RSI_DAYS, SIGNAL_DAYS, SLOW_DAYS, TREND_DAYS
 
-RUNNING = (
-    "isin string, Date date, Close double, RSI_14 double, MACD double, MACD_signal double, EMA_20 double"
-)
+FOLLOWED = ["Close", "RSI_14", "MACD", "MACD_signal", "EMA_20"]
+RUNNING = f"kind string, isin string, Date date, {', '.join(f'{c} double' for c in FOLLOWED)}, dropped long"
 STATE = (
     "n long, day date, last double, fast double, slow double, trend double, signal double, gains double, losses double"
 )
@@ -48,54 +47,76 @@ def with_open_days(written: DataFrame, ticks: DataFrame, order: list | None = No
     return written.unionByName(daily_bars(ticks.where(date > F.coalesce(closed, F.lit("0001-01-01").cast("date"))), order))
 
 
-def running_indicators(bars: DataFrame) -> DataFrame:
-    """RSI, MACD, its signal and EMA per bar, as bars stream in; nine values of state per company.
+class RunningIndicators(StatefulProcessor):
+    """Nine values of state per company; see `running_indicators`."""
 
-    A bar whose day is not after the company's last one is left out: a bar delivered again, or too
-    late, would be counted as a new day.  Of bars of one day in one batch the lowest close stays.
-    """
-    lengths = (FAST_DAYS, SLOW_DAYS, SIGNAL_DAYS, TREND_DAYS, RSI_DAYS)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("running", STATE)
 
-    def follow(key, batches, state):
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, the names Spark calls
         import numpy as np
         import pandas as pd
 
-        fast_days, slow_days, signal_days, trend_days, rsi_days = lengths
-        n, day, last, *carried = state.get if state.exists else (0, None) + (0.0,) * 7
-        bars = pd.concat(list(batches))[["Date", "Close"]].sort_values(["Date", "Close"]).drop_duplicates("Date")
+        n, day, last, *carried = self.state.get() if self.state.exists() else (0, None) + (0.0,) * 7
+        given = pd.concat(list(rows))
+        bars = given.sort_values(["Date", "Close"]).drop_duplicates("Date")
         bars = bars[bars["Date"] > day] if n else bars
-        close = bars["Close"].to_numpy(float)
-        if not len(close):
-            return
-        fast, slow, trend, signal, gains, losses = carried
-
-        def average(values, alpha, before, begun):
-            """Exponential averages; the one before, if any, takes part as the first value."""
-            series = np.r_[before, values] if begun else values
-            return pd.Series(series).ewm(alpha=alpha, adjust=False).mean().to_numpy()[len(series) - len(values):]
-
-        number = n + np.arange(1, len(close) + 1)
-        change = np.diff(close, prepend=last if n else close[0])
-        fast, slow, trend = (average(close, 2 / (days + 1), before, n > 0) for days, before in
-                             ((fast_days, fast), (slow_days, slow), (trend_days, trend)))
-        gains, losses = (average(np.maximum(part, 0), 1 / rsi_days, before, n > 0) for part, before in ((change, gains), (-change, losses)))
-        known = number >= slow_days
-        signals = np.full(len(close), signal)
-        if known.any():
-            signals[known] = average((fast - slow)[known], 2 / (signal_days + 1), signal, n >= slow_days)
-        flat = losses == 0
-        rsi = np.where(flat, 100.0, 100 - 100 / (1 + gains / np.where(flat, 1.0, losses)))
-        state.update((int(number[-1]), bars["Date"].iloc[-1], *(float(x[-1]) for x in (close, fast, slow, trend, signals, gains, losses))))
-
-        def since(days, values):
-            return pd.Series(values).where(number >= days).astype(object).where(number >= days, None)
-
-        yield pd.DataFrame({
-            "isin": key[0], "Date": bars["Date"].to_numpy(), "Close": close, "RSI_14": since(rsi_days, rsi),
-            "MACD": since(slow_days, fast - slow), "MACD_signal": since(slow_days + signal_days - 1, signals),
-            "EMA_20": since(trend_days, trend),
-        })
-
-    return bars.select("isin", "Date", "Close").groupBy("isin").applyInPandasWithState(
-        follow, RUNNING, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+        out = {"kind": [], "isin": [], "Date": [], **{c: np.zeros(0) for c in FOLLOWED}, "dropped": []}
+        if len(bars):
+            values, state = _followed(n, last, carried, bars["Close"].to_numpy(float))
+            self.state.update((n + len(bars), bars["Date"].iloc[-1], *state))
+            out = {"kind": ["bar"] * len(bars), "isin": [key[0]] * len(bars), "Date": bars["Date"].tolist(), **values, "dropped": [0] * len(bars)}
+        if len(given) > len(bars):  # one row for what this batch brought in vain
+            out = {"kind": [*out["kind"], "dropped"], "isin": [*out["isin"], key[0]], "Date": [*out["Date"], given["Date"].max()],
+                   **{c: np.append(out[c], np.nan) for c in FOLLOWED}, "dropped": [*out["dropped"], len(given) - len(bars)]}
+        yield pd.DataFrame(out).astype({"dropped": "int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def _followed(n: int, last: float, carried: list[float], close: "np.ndarray") -> tuple[dict, tuple]:
+    """The indicators of further closes, and the state after them; `n` closes came before, the last one was `last`."""
+    import numpy as np
+
+    fast, slow, trend, signal, gains, losses = carried
+
+    def average(values, alpha, before, begun):
+        """Exponential averages; the one before, if any, counts as the first value."""
+        out, held = np.empty(len(values)), before
+        for k, value in enumerate(values.tolist()):
+            held = held + alpha * (value - held) if begun or k else value
+            out[k] = held
+        return out
+
+    number = n + np.arange(1, len(close) + 1)
+    change = np.diff(close, prepend=last if n else close[0])
+    fast, slow, trend = (average(close, 2 / (days + 1), before, n > 0) for days, before in
+                         ((FAST_DAYS, fast), (SLOW_DAYS, slow), (TREND_DAYS, trend)))
+    gains, losses = (average(np.maximum(part, 0), 1 / RSI_DAYS, before, n > 0) for part, before in ((change, gains), (-change, losses)))
+    known = number >= SLOW_DAYS
+    signals = np.full(len(close), signal)
+    if known.any():
+        signals[known] = average((fast - slow)[known], 2 / (SIGNAL_DAYS + 1), signal, n >= SLOW_DAYS)
+    flat = losses == 0
+    strength = np.where(flat, 100.0, 100 - 100 / (1 + gains / np.where(flat, 1.0, losses)))
+    since = lambda days, values: np.where(number >= days, values, np.nan)
+    values = {"Close": close, "RSI_14": since(RSI_DAYS, strength), "MACD": since(SLOW_DAYS, fast - slow),
+              "MACD_signal": since(SLOW_DAYS + SIGNAL_DAYS - 1, signals), "EMA_20": since(TREND_DAYS, trend)}
+    return values, tuple(float(x[-1]) for x in (close, fast, slow, trend, signals, gains, losses))
+
+
+def running_indicators(bars: DataFrame) -> DataFrame:
+    """RSI, MACD, its signal and EMA per bar, as bars stream in; nine values of state per company.
+
+    A bar whose day is not after the company's last one is left out: a bar delivered again, or too
+    late, would be counted as a new day.  Of bars of one day in one batch the lowest close stays.
+    Rows of kind "bar" are those that count; a row of kind "dropped" says how many bars of a company
+    a batch left out, with the newest day of that batch.
+
+    The state lives in RocksDB, which this kind of stream needs: the session setting is made here.
+    """
+    bars.sparkSession.conf.set(
+        "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return bars.select("isin", "Date", "Close").groupBy("isin").transformWithStateInPandas(
+        RunningIndicators(), RUNNING, "append", "None")

@@ -1,11 +1,14 @@
 
+import contextlib
+import dataclasses
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from scoreloom.operators import keyed, quality
+from scoreloom.operators import keyed, quality, ranking
 from scoreloom.operators.joins import lookup
-from scoreloom.operators.ranking import cut_values, exact_percentiles, percent_rank, slice_of
+from scoreloom.operators.ranking import exact_percentiles, percent_rank
 from scoreloom.session import staged
 
 
@@ -32,17 +35,91 @@ def test_distributed_percentiles_equal_percentile(skewed):
     assert got.asDict() == pytest.approx(want.asDict(), rel=1e-12)
 
 
-def test_slices_stay_small_whatever_the_distribution(spark, skewed):
+@pytest.fixture
+def close_brackets(monkeypatch):
+    """Brackets close although the table is small; how often they were narrowed."""
+    rounds = []
+    narrowed = ranking._narrowed
+    monkeypatch.setattr(ranking, "MOST_INSIDE", 20)
+    monkeypatch.setattr(ranking, "ACCURACY", 100)
+    monkeypatch.setattr(ranking, "MARGIN", 0.02)
+    monkeypatch.setattr(ranking, "_narrowed", lambda rows, brackets: (rounds.append(len(brackets)), narrowed(rows, brackets))[1])
+    return rounds
+
+
+AT = {"min": 0.0, "a": 0.05, "b": 0.5, "c": 0.95, "max": 1.0}
+
+
+def percentiles_by_sorting(rows, columns, at=AT):
+    return rows.agg(*[F.percentile(c, p).alias(f"{n}_{c}") for c in columns for n, p in at.items()]).first().asDict()
+
+
+def test_brackets_close_around_the_position(skewed, close_brackets):
+    got = ranking.percentile_values(skewed, ["v", "u"], AT)
+    assert got == pytest.approx(percentiles_by_sorting(skewed, ["v", "u"]), rel=1e-12)
+    assert len(close_brackets) >= 2 and close_brackets[0] == 10
+
+
+def test_a_bracket_that_misses_is_widened(skewed, close_brackets, monkeypatch):
+    honest, missed = ranking._narrowed, []
+
+    def erring(rows, brackets):
+        out = honest(rows, brackets)
+        if len(missed) < 2:
+            missed.append(True)
+            return [dataclasses.replace(b, low=9e9, high=9.1e9) for b in out]
+        return out
+
+    monkeypatch.setattr(ranking, "_narrowed", erring)
+    assert ranking.percentile_values(skewed, ["v", "u"], AT) == pytest.approx(percentiles_by_sorting(skewed, ["v", "u"]), rel=1e-12)
+    assert len(missed) == 2
+
+
+def test_percentiles_with_nan_infinities_and_few_values(spark, close_brackets):
+    n = F.col("id")
+    rows = staged(spark.range(3000).select(
+        F.when(n % 5 == 0, float("nan")).when(n % 97 == 0, float("inf")).when(n % 89 == 0, float("-inf")).otherwise(n * 1.0).alias("x"),
+        (n % 2).cast("int").alias("two"), F.lit(None).cast("double").alias("none"), F.lit(4.5).alias("one")))
+    got = ranking.percentile_values(rows, ["x", "two", "none", "one"], {"a": 0.05, "b": 0.5, "z": 0.9})
+    want = sorted(r.x for r in rows.collect() if r.x == r.x)
+    assert [got["a_x"], got["b_x"]] == pytest.approx([want[149] + 0.95 * (want[150] - want[149]), (want[1499] + want[1500]) / 2])
+    assert got["z_x"] != got["z_x"] and (got["a_two"], got["b_two"], got["z_two"]) == (0.0, 0.5, 1.0)
+    assert got["b_none"] is None and got["a_one"] == 4.5
+
+
+@contextlib.contextmanager
+def shuffled_to(spark, n):
+    """As many partitions, which stay as many."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(k) for k in names]
+    for k, v in zip(names, (n, "false")):
+        spark.conf.set(k, v)
+    yield
+    for k, v in zip(names, before):
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("partitions", [64, 4096])
+def test_ranks_for_any_number_of_partitions(spark, partitions):
     """Values crowded at one end of an octave, beside one far outlier and one value of a third of the rows."""
-    crowded = spark.range(40000).select(
-        F.when(F.col("id") == 0, 1.9).when(F.col("id") % 3 == 1, 1.5).otherwise(1.0 + F.pow(F.rand(5), F.lit(9)) * 1e-9).alias("v"))
-    for rows in (staged(crowded), skewed.select("v")):
-        cuts = rows.agg(cut_values(F.col("v")).alias("cuts")).scalar()
-        sizes = rows.withColumn("cuts", cuts).groupBy(slice_of(F.col("v"), F.col("cuts")).alias("n")).agg(
-            F.count("*").alias("rows"), F.count_distinct("v").alias("values")).collect()
-        assert sum(r.rows for r in sizes) == rows.count()
-        assert all(r.values <= 1 for r in sizes if r.n % 2 == 0 or r.n < 0)
-        assert max(r.rows for r in sizes if r.n > 0 and r.n % 2) < rows.count() / 100
+    crowded = staged(spark.range(40000).select(
+        F.when(F.col("id") == 0, 1.9).when(F.col("id") % 3 == 1, 1.5).otherwise(1.0 + F.pow(F.rand(5), F.lit(9)) * 1e-9).alias("v")))
+    want = staged(crowded.withColumn("x", F.percent_rank().over(Window.orderBy("v"))))
+    with shuffled_to(spark, partitions):
+        got = percent_rank(crowded, "v", "share")
+    assert got.count() == 40000
+    assert got.groupBy("v").agg(F.min("share").alias("low"), F.max("share").alias("high")).join(
+        want.groupBy("v").agg(F.max("x").alias("x")), "v").where("low = x and high = x").count() == want.select("v").distinct().count()
+
+
+def test_a_frequent_value_fills_no_partition(spark, monkeypatch):
+    laid = []
+    monkeypatch.setattr(ranking, "staged", lambda df, label: laid.append(staged(df, label)) or laid[-1])
+    rows = staged(spark.range(40000).select(F.when(F.col("id") % 3 == 0, 1.5).when(F.col("id") % 3 == 1, F.rand(1)).alias("v"), "id"))
+    with shuffled_to(spark, 16):
+        ranking.percent_rank(rows, "v", "share")
+    placed = laid[0].groupBy("_part").count().agg(F.max("count"), F.count("*")).first()
+    assert placed[1] == 16 and placed[0] < 2 * 40000 / 16
 
 
 def test_percentiles_of_nothing_and_one(rows):
@@ -58,8 +135,11 @@ def test_infinities_and_nan_rank_at_the_ends(rows):
     assert got.count() == len(values)
 
 
-def test_rank_plan_has_no_single_partition_sort_of_rows(skewed):
+def test_rank_plan_has_no_single_partition_sort_of_rows(skewed, monkeypatch):
+    plans = []
+    monkeypatch.setattr(ranking, "staged", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or staged(df, label))
     plan = percent_rank(skewed, "v", "share")._jdf.queryExecution().executedPlan().toString()
+    assert plans[0].count("Exchange") == 2 and plans[0].count("rangepartitioning") == 1 and "SinglePartition" not in plans[0]
     for line in plan.split("\n"):
         assert not ("Exchange SinglePartition" in line and "share" in line)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -3,8 +3,9 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from scoreloom.operators.indicators import INDICATORS, indicators
+from scoreloom.operators.indicators import INDICATORS, indicators, latest_indicators
 from scoreloom.plans import prices
 from tests.conftest import AS_OF
 
@@ -73,6 +74,24 @@ def test_one_exchange_and_no_python(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
 
 
+def test_last_day_alone_equals_the_full_path(spark):
+    """Series of every length around the indicators' lengths, one flat, one with bars out of order and a bad tick."""
+    lengths = [1, 13, 14, 19, 20, 25, 26, 33, 34, 35, 49, 50, 199, 200, 201, 900]
+    series = {f"S{n}": walk(n, n) for n in lengths} | {"FLAT": np.full(300, 7.7), "HALF": np.r_[walk(300), np.full(60, 7.7)]}
+    pdf = frame(series).sample(frac=1.0, random_state=1)
+    pdf.loc[pdf.index[pdf["isin"] == "S900"][5], "Close"] = float("nan")
+    bars = spark.createDataFrame(pdf).repartition(5)
+    last = bars.groupBy("isin").agg(F.max("Date").alias("Date"))
+    want = {r.isin: r for r in indicators(bars, AS_OF).join(last, ["isin", "Date"], "left_semi").collect()}
+    plan = latest_indicators(bars, AS_OF)
+    got = {r.isin: r for r in plan.collect()}
+    assert set(got) == set(series) and plan.columns == [*bars.columns, *INDICATORS, "computed_at"]
+    for isin, row in got.items():
+        for name in ("Date", "Close", *INDICATORS):
+            assert row[name] == (pytest.approx(want[isin][name], rel=1e-9, abs=1e-9) if isinstance(want[isin][name], float) else want[isin][name]), (isin, name)
+    assert "Window" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 NEUTRAL = dict(Close=100.0, RSI_14=50.0, MACD=1.0, MACD_signal=1.0, BB_upper=110.0, BB_lower=90.0, SMA_50=100.0, SMA_200=100.0, EMA_20=100.0)
 CASES = [
     ("rsi_signal", dict(RSI_14=34.99), 2), ("rsi_signal", dict(RSI_14=35.0), 1), ("rsi_signal", dict(RSI_14=64.99), 1),

@@ -98,15 +98,101 @@ def test_month_rewrite_leaves_other_months(spark, rows, tmp_path):
     assert sorted((r.isin, r.Date, r.v) for r in spark.read.parquet(path).collect()) == [("A", dt.date(2023, 12, 5), 1), ("A", dt.date(2024, 1, 5), 2)]
 
 
-def test_versions_and_unfinished_writes(spark, rows, tmp_path):
-    table = writers.VersionedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL("k string, v int"))
+KEYED = "k string, v int"
+
+
+def files_of(path):
+    """bucket -> its data files, by name"""
+    return {f.name: sorted(x.name for x in f.glob("*.parquet")) for f in path.glob("_bucket=*")}
+
+
+def test_a_merge_touches_only_the_folders_of_its_keys(spark, rows, tmp_path):
+    table = writers.KeyedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL(KEYED), ["k"], buckets=16)
     assert table.read().count() == 0
-    table.upsert(rows("k string, v int", [("a", 1), ("b", 1)]), ["k"])
-    table.upsert(rows("k string, v int", [("b", 2)]), ["k"])
-    (tmp_path / "t" / "version=9").mkdir()  # a writer that died
-    assert sorted(map(tuple, table.read().collect())) == [("a", 1), ("b", 2)]
-    table.upsert(rows("k string, v int", [("c", 3)]), ["k"])
-    assert table.read().count() == 3
+    table.upsert(rows(KEYED, [(f"k{n}", n) for n in range(200)]))
+    before = files_of(tmp_path / "t")
+    assert len(before) == 16
+    table.upsert(rows(KEYED, [("k7", -7), ("new", 1)]))
+    after = files_of(tmp_path / "t")
+    changed = {b for b in after if after[b] != before.get(b)}
+    assert 1 <= len(changed) <= 2 and set(before) <= set(after)
+    want = {f"k{n}": n for n in range(200)} | {"k7": -7, "new": 1}
+    assert dict(map(tuple, table.read().collect())) == want
+    table.merge(rows("k string, v int", [("k8", -8), ("newer", 2)]), ["v"], insert=False)
+    table.upsert(rows(KEYED, []))
+    assert dict(map(tuple, table.read().collect())) == want | {"k8": -8}
+    near = table.rows_near(rows(KEYED, [("k9", 0)]))
+    assert 1 <= near.count() < 60 and near.where("k = 'k9'").count() == 1
+    scan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "_bucket" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    table.write(rows(KEYED, [("only", 1)]))
+    assert [tuple(r) for r in table.read().collect()] == [("only", 1)]
+
+
+def test_keyed_table_with_null_keys_and_other_columns(spark, rows, tmp_path):
+    table = writers.KeyedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL("a string, b int, v int"), ["a", "b"], buckets=4)
+    table.upsert(rows("b int, a string, extra int", [(1, "x", 0), (None, "x", 0), (None, "x", 0)]))
+    table.upsert(rows("a string, b int, v int", [("x", 1, 5), ("x", None, 6), (None, None, 7)]))
+    got = sorted(map(str, table.read().collect()))
+    assert got == sorted(map(str, rows("a string, b int, v int", [("x", 1, 5), ("x", None, None), ("x", None, None), ("x", None, 6), (None, None, 7)]).collect()))
+
+
+def test_append_unseen_rewrites_no_file(spark, rows, tmp_path):
+    table = writers.KeyedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL(KEYED), ["k"], buckets=4)
+    table.write(rows(KEYED, [(f"k{n}", n) for n in range(50)]))
+    before = files_of(tmp_path / "t")
+    rows(KEYED, [("k1", 99), ("new", 1), ("new", 1), (None, 3)]).write.parquet(str(tmp_path / "in"))
+    for checkpoint in ("cp", "again"):  # the second run finds its keys
+        stream = incremental.new_files(spark, str(tmp_path / "in"), T.StructType.fromDDL(KEYED))
+        incremental.append_unseen(stream, table, str(tmp_path / checkpoint), lambda df: df.where("k is not null").distinct())
+    after = files_of(tmp_path / "t")
+    assert all(set(before[b]) <= set(after[b]) for b in before)
+    assert sorted(map(tuple, table.read().where("k = 'new' or k = 'k1'").collect())) == [("k1", 1), ("new", 1)] and table.read().count() == 51
+
+
+def test_lookback_stream(spark, rows, tmp_path):
+    """A record that arrives twice, one that lies beyond the lookback, a better and a worse version, and a batch run again."""
+    ddl, at = "k string, version int, ts timestamp_ntz", lambda d: dt.datetime(2024, 1, d)
+    table = writers.KeyedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL(ddl), ["k"], buckets=4)
+    batches = [
+        [("a", 1, at(10)), ("b", 5, at(20)), ("a", 1, at(10))],
+        [("b", 5, at(20)), ("b", 4, at(21)), ("late", 1, at(12)), ("within", 1, at(14)), ("a", 2, at(15))],
+        [("a", 9, at(2)), ("within", 1, at(14)), ("c", 1, at(22)), ("c", 2, at(19))],
+    ]
+    prepared = []
+    for batch in batches:
+        rows(ddl, batch).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = incremental.new_files(spark, str(tmp_path / "in"), T.StructType.fromDDL(ddl)).withColumn("event", clock.instant(F.col("ts")))
+        incremental.lookback_stream(stream, table, str(tmp_path / "cp"), "event", "7 days", ["version", "ts"],
+                                    lambda df: prepared.extend((r.k, r.version) for r in df.collect()) or df)
+    got = {r.k: (r.version, r.ts.day) for r in table.read().collect()}
+    assert got == {"a": (2, 15), "b": (5, 20), "within": (1, 14), "c": (2, 19)}
+    assert prepared.count(("b", 5)) == 1 and prepared.count(("within", 1)) == 1 and ("late", 1) not in prepared and ("a", 9) not in prepared
+
+
+def test_newest_snapshot_scans_one_folder(spark, rows, tmp_path):
+    from scoreloom.plans import serving
+
+    columns = "isin string, matched_name string, ticker_bourso string, mention_count_45d long, avg_sentiment_45d double, investment_score long, score_date date"
+    row = lambda isin, score, day: (isin, "n", "t", 1, 5.0, score, dt.date(2024, 1, day))
+    for day, score in ((1, 3), (2, 4), (2, 5), (1, 9)):  # a day is written again
+        writers.write_snapshots(rows(columns, [row("A", score, day), row("B", score + 1, day)]), str(tmp_path / "s"), "score_date")
+    got = serving.latest_news(spark.read.parquet(str(tmp_path / "s")))
+    assert [(r.isin, r.investment_score, r.score_date.day) for r in got.collect()] == [("B", 6, 2), ("A", 5, 2)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    main = plan.split("Subqueries")[0]
+    assert "score_date" in main.split("PartitionFilters: [")[1].split("]")[0] and "subquery" in main.split("PartitionFilters: [")[1].lower()
+
+
+def test_counters_come_from_the_job_that_writes(spark, rows, tmp_path):
+    from scoreloom.plans import reports
+
+    status = ["success", "no_financial_data", "llm_error", None, "success"]
+    batch = rows("run string, status string", [(f"r{n % 2}", s) for n, s in enumerate(status)] + [("other", "success")])
+    got = reports.counted_write(batch, "run", "status", ["r0", "r1", "none"], str(tmp_path / "t"))
+    want = reports.run_counters(batch.where("run <> 'other'"), "run", "status")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 6
 
 
 def test_catalog(spark, rows, tmp_path):
@@ -135,6 +221,7 @@ def test_running_indicators_over_batches_equal_the_batch_ones(spark, tmp_path):
         stream = incremental.new_files(spark, str(tmp_path / "in"), T.StructType.fromDDL("isin string, Date date, Close double"))
         incremental.run_to_table(bar_streams.running_indicators(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
     got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.where("kind <> 'bar' or dropped <> 0").count() == 0
     want = indicators(spark.createDataFrame(pdf), AS_OF)
     both = got.alias("g").join(want.alias("w"), ["isin", "Date"])
     assert both.count() == len(pdf) == got.count()
@@ -149,17 +236,22 @@ def test_running_indicators_leave_out_bars_delivered_again_or_late(spark, tmp_pa
     clean = [("A", day(n), 10.0 + n % 7) for n in range(40)]
     batches = [clean[:30] + clean[5:6], clean[29:30] + [("A", day(3), 99.0)], [("A", day(12), 99.0)] + clean[30:]]
 
+    dropped = []
+
     def streamed(parts, name):
         for part in parts:
             spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(str(tmp_path / name / "in"))
             stream = incremental.new_files(spark, str(tmp_path / name / "in"), T.StructType.fromDDL(ddl))
             incremental.run_to_table(bar_streams.running_indicators(stream), str(tmp_path / name / "out"), str(tmp_path / name / "cp"))
-        rows = spark.read.schema(bar_streams.RUNNING).parquet(str(tmp_path / name / "out")).orderBy("Date").collect()
+        rows = spark.read.schema(bar_streams.RUNNING).parquet(str(tmp_path / name / "out"))
+        dropped.append([r.dropped for r in rows.where("kind = 'dropped'").orderBy("Date").collect()])
+        rows = rows.where("kind = 'bar'").drop("kind", "dropped").orderBy("Date").collect()
         return [tuple(None if x is None else round(x, 9) if isinstance(x, float) else x for x in r) for r in rows]
 
     got = streamed(batches, "dirty")
     assert len(got) == 40 and got == streamed([clean], "clean")
     assert got[-1][-1] is not None and got[0][-1] is None
+    assert sorted(dropped[0]) == [1, 1, 2] and dropped[1] == []
 
 
 def test_streamed_bars_wait_for_the_watermark_and_take_late_ticks(spark, tmp_path):
@@ -177,11 +269,11 @@ def test_streamed_bars_wait_for_the_watermark_and_take_late_ticks(spark, tmp_pat
 
 
 def test_upsert_stream_is_repeatable(spark, rows, tmp_path):
-    table = writers.VersionedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL("k string, v int"))
+    table = writers.KeyedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL("k string, v int"), ["k"], buckets=4)
     for batch in ([("a", 1), ("b", 1)], [("b", 2)]):
         rows("k string, v int", batch).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = incremental.new_files(spark, str(tmp_path / "in"), T.StructType.fromDDL("k string, v int"))
-        incremental.upsert_stream(stream, table, ["k"], str(tmp_path / "cp"))
+        incremental.upsert_stream(stream, table, str(tmp_path / "cp"))
     again = incremental.new_files(spark, str(tmp_path / "in"), T.StructType.fromDDL("k string, v int"))
-    incremental.upsert_stream(again, table, ["k"], str(tmp_path / "cp"))
+    incremental.upsert_stream(again, table, str(tmp_path / "cp"))
     assert sorted(map(tuple, table.read().collect())) == [("a", 1), ("b", 2)]

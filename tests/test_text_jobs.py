@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from scoreloom.operators import documents, insider_answers
-from scoreloom.operators.entity_link import entity_link
+from scoreloom.operators import entity_link as links
+from scoreloom.operators.entity_link import entity_link, match_scores
 from scoreloom.plans import news
 from tests.conftest import AS_OF
 
@@ -54,6 +55,55 @@ def test_hot_title_links_every_row(spark):
     assert got[151].matched_name is None  # the ending names the site, not the company
 
 
+def test_short_names_score_as_the_longest_common_subsequence(spark):
+    """Against a table of all prefixes, for names and titles of few letters, shared words among them."""
+    random.seed(5)
+    draw = lambda n: "".join(random.choice("aab é,") for _ in range(n))
+    pairs = [(draw(random.randint(1, 6)), draw(random.randint(0, 14))) for _ in range(300)] + [("日本株", "x日本,株"), ("ab", "")]
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = before[j] + 1 if x == y else max(row[j], before[j + 1])
+        return row[-1]
+
+    def score(name, title):
+        left, right = ({w for w in x.split()} for x in (name, title))
+        both = left & right
+        if both and (left == both or right == both):
+            return 100.0
+        core, first, second = (" ".join(sorted(both) + sorted(x - both)) for x in (set(), left, right))
+        ratio = lambda a, b: 200 * common(a, b) / (len(a) + len(b)) if a or b else 100.0
+        return max([ratio(first, second)] + ([ratio(core, first), ratio(core, second)] if both else []))
+
+    df = spark.createDataFrame([(n, a, b) for n, (a, b) in enumerate(pairs)], "n int, name string, cleaned string")
+    got = [r.score for r in match_scores(df).orderBy("n").collect()]
+    assert got == pytest.approx([score(a, b) for a, b in pairs])
+    assert "Python" not in match_scores(df)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "title, score", [("lisi:", 200 * 4 / 9), ("lisi.", 200 * 4 / 9), ("(lisi)", 80.0), ("«lisi» !", None), ("lisi, lisi", 100.0)])
+def test_short_names_below_100(spark, title, score):
+    got = link(spark, [title], ["LISI"])[0]
+    assert got.match_score == (pytest.approx(score) if score and score >= 80 else None)
+
+
+def test_a_name_goes_by_the_token_that_fewest_titles_hold(spark, monkeypatch):
+    """A word that a third of all titles hold costs nothing where a name has a rarer one, and is dealt out where it has not."""
+    monkeypatch.setattr(links, "SHARE", 100)
+    titles = spark.range(3000).select(F.col("id").cast("string").alias("_key"), F.when(
+        F.col("id") % 3 == 0, F.array(F.lit("groupe"), F.concat(F.lit("t"), "id"))).otherwise(F.array(F.concat(F.lit("t"), "id"))).alias("tokens"))
+    names = spark.createDataFrame([("Groupe T9", ["groupe", "t9"]), ("Groupe", ["groupe"]), ("Absent T9", ["absent", "t9"])], "name string, tokens array<string>")
+    named, dealt = links._blocks(names, titles)
+    by_name = {r.name: (r.tokens, r.salts) for r in named.groupBy("name").agg(F.collect_set("token").alias("tokens"), F.count_distinct("salt").alias("salts")).collect()}
+    assert by_name == {"Groupe T9": (["t9"], 1), "Groupe": (["groupe"], 25)}
+    sizes = dealt.groupBy("token", "salt").count().orderBy(F.desc("count")).first()
+    assert dealt.count() == 4000 and sizes["count"] < 2 * 4000 / 100
+
+
 def test_link_plan_has_no_cross_join(spark):
     entries = spark.range(10).select(F.col("id").cast("string").alias("title"))
     referential = spark.createDataFrame([("A", "B", "C", 1)], REFERENTIAL)

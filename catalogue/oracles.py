@@ -387,10 +387,13 @@ oracle("txt1_entity_link_documents", r"""
        words=BENCHMARK_WORDS,
        titles=r"""SELECT doc_id, lower(trim(regexp_replace(text, '\s+-\s+\S+\.\S{2,4}$', ''))) AS title FROM documents""",
        parted="""SELECT doc_id, title, list_filter(list_distinct(regexp_split_to_array(title, '\\s+')), lambda w: w <> '') AS held FROM titles""",
+       runs="SELECT doc_id, unnest(list_distinct(regexp_extract_all(title, '[a-zA-ZÀ-ɏ]+'))) AS run FROM titles",
+       met=r"""SELECT doc_id, name, item FROM runs JOIN words ON run = lower(name)
+               UNION ALL
+               SELECT doc_id, name, item FROM titles JOIN words ON NOT regexp_full_match(name, '[a-zA-ZÀ-ɏ]+') AND contains(title, lower(name))
+               WHERE regexp_matches(title, '(^|[^a-zA-ZÀ-ɏ])' || regexp_escape(lower(name)) || '($|[^a-zA-ZÀ-ɏ])')""",
        hits=r"""SELECT doc_id, name, item, length(array_to_string(held, ' ')) AS size, list_contains(held, lower(name)) AS word
-                FROM parted JOIN words ON contains(title, lower(name))
-                 AND regexp_matches(title, '(^|[^a-zA-ZÀ-ɏ])' || regexp_escape(lower(name)) || '($|[^a-zA-ZÀ-ɏ])')
-                WHERE upper(name) NOT IN ('OPTION', 'FOCUS', 'DIRECT', 'CAPITAL', 'CONTACT', 'VISION')""",
+                FROM met JOIN parted USING (doc_id) WHERE upper(name) NOT IN ('OPTION', 'FOCUS', 'DIRECT', 'CAPITAL', 'CONTACT', 'VISION')""",
        scored="""SELECT *, CASE WHEN length(name) > 6 OR word THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * length(name) / (length(name) + size) END AS score
                  FROM hits""",
        best="""SELECT doc_id, first({'name': name, 'score': score} ORDER BY score DESC, item, name) AS best FROM scored WHERE score >= 80 GROUP BY doc_id""")

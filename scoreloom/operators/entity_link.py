@@ -96,44 +96,43 @@ def common_subsequence(short: Column, text: Column) -> Column:
     return SHORT_NAME - F.bit_count(row)
 
 
-def _ratio_of_rest(common: Column, name_rest: Column, title_rest: Column) -> Column:
-    """Best similarity of a short name that is not itself a set of words of the title.
+def _ratio(shared: Column, a: Column, b: Column) -> Column:
+    """Twice the characters shared over both lengths, in percent."""
+    both = F.length(a) + F.length(b)
+    return F.when(both == 0, 100.0).otherwise(200.0 * shared / both)
 
-    Twice the longest common subsequence over both lengths, in percent; of the shared words with
-    each rest, and of each rest with the shared words alone.  The shared words begin both, so they
-    are the subsequence in the latter two.
-    """
-    core, first, second = (F.array_join(words, " ") for words in (common, F.concat(common, name_rest), F.concat(common, title_rest)))
 
-    def ratio(shared: Column, a: Column, b: Column) -> Column:
-        both = F.length(a) + F.length(b)
-        return F.when(both == 0, 100.0).otherwise(200.0 * shared / both)
+def with_words(titles: DataFrame, threshold: float) -> DataFrame:
+    """Add what scores need of a `cleaned` title, once per title.
 
-    of_rests = ratio(common_subsequence(first, second), first, second)
-    of_core = F.greatest(ratio(F.length(core), core, first), ratio(F.length(core), core, second))
-    return F.when(F.size(common) > 0, F.greatest(of_rests, of_core)).otherwise(of_rests)
+    `_spaced` is the title in lower case with one space around each word.  `_few` are its distinct
+    words if they are so few characters that a short name can reach the threshold by them, else NULL.
+    """
+    most = int(SHORT_NAME * (200 / max(threshold, 1) - 1))
+    few = words(F.col("cleaned"))
+    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower("cleaned"), r"(?U)\s+", " "), F.lit(" "))
+    return titles.withColumn("_spaced", spaced).withColumn("_few", F.when(F.length(F.array_join(few, " ")) <= most, few))
 
 
 def match_scores(candidates: DataFrame) -> DataFrame:
-    """Add `score` to pairs whose name already stands in the title as a whole word.
+    """Add `score` to pairs (of `with_words`) whose name already stands in the title as a whole word.
 
     A long name is then a part of the title: 100.  So is a short name whose words are words of the
-    title; only the others ("lisi" in "lisi:") are compared character by character.
+    title.  Of the others ("lisi" in "lisi:") the score is the best similarity of the shared words
+    and the rest of the name, the shared words and the rest of the title, and the shared words alone;
+    the shared words begin both others, so they are the common subsequence with them.
     """
     short = F.length("name") <= SHORT_NAME
-    parts = candidates.withColumns(
-        {"_name": F.when(short, words(F.col("name"))), "_title": F.when(short, words(F.col("cleaned")))}
-    ).withColumns(
-        {
-            "_common": F.array_intersect("_name", "_title"),
-            "_name_rest": F.array_except("_name", "_title"),
-            "_title_rest": F.array_except("_title", "_name"),
-        }
-    )
-    contained = (F.size("_common") > 0) & ((F.size("_name_rest") == 0) | (F.size("_title_rest") == 0))
-    parts = parts.withColumn("_exact", F.col("_name").isNull() | contained)
-    fuzzy = _ratio_of_rest(*[F.col(p) for p in ("_common", "_name_rest", "_title_rest")])
-    return parts.withColumn("score", F.when(F.col("_exact"), F.lit(100.0)).otherwise(fuzzy))
+    parts = candidates.withColumn("_name", F.when(short, words(F.col("name")))).withColumn(
+        "_common", F.filter("_name", lambda w: F.contains("_spaced", F.concat(F.lit(" "), w, F.lit(" ")))))
+    core, first, second = (F.array_join(x, " ") for x in (
+        F.col("_common"), F.concat("_common", F.array_except("_name", "_common")), F.concat("_common", F.array_except("_few", "_common"))))
+    some = F.size("_common") > 0
+    with_title = F.when(F.col("_few").isNull(), 0.0).when(some & (F.size(F.array_except("_few", "_common")) == 0), 100.0).otherwise(
+        F.greatest(_ratio(common_subsequence(first, second), first, second), F.when(some, _ratio(F.length(core), core, second))))
+    score = F.when(~short | some & (F.size("_common") == F.size("_name")), F.lit(100.0)).otherwise(
+        F.greatest(with_title, F.when(some, _ratio(F.length(core), core, first))))
+    return parts.withColumn("score", score)
 
 
 def _blocks(names: DataFrame, titles: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -186,9 +185,10 @@ def entity_link(
     cleaned = titles.select("_key", "copies", clean_title(F.col("title")).alias("cleaned"))
     named, dealt = _blocks(names, cleaned.select("_key", title_tokens(F.col("cleaned"), bare_names).alias("tokens")))
     pairs = dealt.join(named, ["token", "salt"]).drop("token", "salt")
-    found = pairs.join(cleaned.withColumn("_marked", marked(F.col("cleaned"))), "_key").where(
+    read = with_words(cleaned.withColumn("_marked", marked(F.col("cleaned"))), threshold)
+    found = pairs.join(read, "_key").where(
         F.when(F.col("marked").isNotNull(), F.contains("_marked", "marked")).otherwise(F.rlike("cleaned", F.col("pattern")))
-    ).drop("_marked", "marked", "pattern")
+    ).select("_key", "copies", "name", "company", "ordinal", "_spaced", "_few")
     best = match_scores(found).where(F.col("score") >= threshold).groupBy("_key").agg(
         F.max("copies").alias("copies"),
         F.min_by(F.struct("score", "company"), F.struct(-F.col("score"), "ordinal")).alias("best"),

@@ -79,9 +79,12 @@ def test_short_names_score_as_the_longest_common_subsequence(spark):
         return max([ratio(first, second)] + ([ratio(core, first), ratio(core, second)] if both else []))
 
     df = spark.createDataFrame([(n, a, b) for n, (a, b) in enumerate(pairs)], "n int, name string, cleaned string")
-    got = [r.score for r in match_scores(df).orderBy("n").collect()]
-    assert got == pytest.approx([score(a, b) for a, b in pairs])
-    assert "Python" not in match_scores(df)._jdf.queryExecution().executedPlan().toString()
+    want = [score(a, b) for a, b in pairs]
+    for threshold in (0, 80):  # titles too long to reach the threshold need no comparison
+        plan = match_scores(links.with_words(df, threshold))
+        got = [r.score for r in plan.orderBy("n").collect()]
+        assert [g if g >= threshold else 0 for g in got] == pytest.approx([w if w >= threshold else 0 for w in want])
+        assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize(

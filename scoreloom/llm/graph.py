@@ -3,13 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.session import staged
+from scoreloom.session import discard, staged
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, root) for every id in `links` (a, b): root is the least id reachable.
 
-    Every round is written to the shared folder and ends with one count.
+    Every round is written to the shared folder and ends with one count; the round before it is discarded then.
     """
     directions = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("link")
     both = staged(links.select(directions).select("link.a", "link.b").distinct(), "links")  # one evaluation gives both directions
@@ -19,6 +19,9 @@ def components(links: DataFrame) -> DataFrame:
         nearer = labels.join(around, labels.id == around.a).select("id", F.least("root", "near").alias("next"), F.col("root").alias("was"))
         jump = labels.select(F.col("id").alias("next"), F.col("root").alias("far"))
         after = staged(nearer.join(jump, "next").select("id", F.least("next", "far").alias("root"), "was"), "labels")
-        labels = after.select("id", "root")
-        if after.where("root < was").isEmpty():
-            return labels
+        changed = not after.where("root < was").isEmpty()
+        discard(labels)
+        labels = after
+        if not changed:
+            discard(both)
+            return labels.drop("was")

@@ -1,10 +1,10 @@
 """MinHash near-duplicates by an inverted join over signature coordinates.
 
-1. Every text becomes its set of distinct two-word shingles (64-bit hashes), and COORDINATES minimum hashes.  Texts with equal
+1. Every text becomes its set of distinct shingles of `words` words (64-bit hashes), and COORDINATES minimum hashes.  Texts with equal
    sets are one class from here on.
-2. Each class is posted under its first POSTED coordinate values.  Two sets of similarity 0.8 agree on at least LEAST_POSTED of
-   them (but for 2 in 10^5), so a class may leave out its LEAST_POSTED - 1 longest postings (prefix rule); classes with no more
-   than that many shared values drop out.
+2. Each class is posted under its first POSTED pairs of coordinates: a posting counts two collisions at once, which unrelated sets
+   with a common shingle hardly ever have.  Two sets of similarity 0.8 agree on at least LEAST_POSTED of the pairs (but for 1 in
+   10^5), so a class may leave out its LEAST_POSTED - 1 longest postings (prefix rule); classes with fewer shared pairs drop out.
 3. Every class is first compared with one pivot of each of its postings, the set with most copies: a hot posting costs as
    many comparisons as it has members.  Pairs whose signatures collide on LEAST coordinates join.
 4. Postings that still hold several groups are cut into blocks, and a task counts collisions block against block; it passes on
@@ -29,11 +29,11 @@ from scoreloom.llm import arrow
 from scoreloom.llm.blocks import Forest, in_blocks, sides
 from scoreloom.llm.graph import components
 from scoreloom.llm.substrings import mix
-from scoreloom.llm.words import word_hashes
-from scoreloom.session import staged
+from scoreloom.llm.words import grams, word_hashes
+from scoreloom.session import discard, staged
 
 COORDINATES, LEAST = 256, 179  # P(fewer than 179 of 256 agree at similarity 0.8) is about 5 in 10^5
-POSTED, LEAST_POSTED = 24, 11
+POSTED, LEAST_POSTED = 24, 5  # P(fewer than 5 of 24 pairs agree at similarity 0.8) is about 10^-5
 BLOCK = 2048  # members of a posting in a block
 BLOCK_SHINGLES = 2_000_000  # shingles of a family in a block
 BATCH_BYTES = 1 << 20
@@ -43,12 +43,12 @@ FACTOR = _random.integers(0, 2**64, COORDINATES, np.uint64) | np.uint64(1)
 SUMMARY = "n_shingles long, set_id binary, posted array<long>, signature binary"
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """Each text's distinct two-word shingles, sorted; a lone word counts as one."""
+def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """Each text's distinct shingles of `size` words, sorted; fewer words are one shingle."""
     flat, counts = word_hashes(texts)
-    pairs = mix(flat * np.uint64(0x9E3779B97F4A7C15) + np.append(flat[1:], np.uint64(0))) if len(flat) else flat
-    ends = np.cumsum(counts)
-    return [np.unique(pairs[e - n:e - 1]) if n > 1 else mix(flat[e - n:e]) for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+    whole = grams(flat, size)
+    ends = np.cumsum(counts).tolist()
+    return [np.unique(whole[e - n:e - size + 1]) if n >= size else grams(flat[e - n:e], n)[:1] for e, n in zip(ends, counts.tolist(), strict=True)]
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -66,14 +66,15 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def summaries(documents: DataFrame) -> DataFrame:
+def summaries(documents: DataFrame, words: int) -> DataFrame:
     """doc_id, digest of the text, and the columns of SUMMARY for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            sets = shingle_sets(arrow.utf8(batch.column("text")))
+            sets = shingle_sets(arrow.utf8(batch.column("text")), words)
             found = signatures(sets)
-            posted = mix(found[:, :POSTED] + np.arange(POSTED, dtype=np.uint64)).view(np.int64)
+            first, second = found[:, :2 * POSTED:2], found[:, 1:2 * POSTED:2]
+            posted = mix(mix(first + np.arange(POSTED, dtype=np.uint64)) + second).view(np.int64)
             short = ((found >> np.uint64(24)) & np.uint64(0xFFFF)).astype(np.uint16)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("digest"),
@@ -87,12 +88,12 @@ def summaries(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, digest long, {SUMMARY}")
 
 
-def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+def full_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(set_id, root, shingles) for `wanted` (set_id, root, source: a row's doc_id and digest), from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            sets = shingle_sets(arrow.utf8(batch.column("text")))
+            sets = shingle_sets(arrow.utf8(batch.column("text")), words)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("set_id"), batch.column("root"), arrow.int_lists([s.view(np.int64) for s in sets], pa.int64())],
                 names=["set_id", "root", "shingles"])
@@ -160,9 +161,9 @@ def links_in_blocks(members: DataFrame, key: str, weight: int | str, most: int,
     return in_blocks(members, key, "set_id", weight, most, found, "a binary, b binary")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """Every row of `documents` (doc_id, text) with n_shingles, component_id and kept."""
-    sets = staged(summaries(documents), "summaries")
+def near_duplicates(documents: DataFrame, words: int = 2) -> DataFrame:
+    """Every row of `documents` (doc_id, text) with n_shingles, component_id and kept.  doc_id may be of any type that sorts."""
+    sets = staged(summaries(documents, words), "summaries")
     classes = staged(sets.where("n_shingles > 0").groupBy("set_id").agg(
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id"), F.first("posted").alias("posted"),
         F.first("signature").alias("signature"), F.min(F.struct("doc_id", "digest")).alias("source")), "classes")
@@ -183,8 +184,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     mixed = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
     left_over = members.join(mixed, "key", "left_semi").join(classes.select("set_id", "signature"), "set_id")
     families = components(star_pairs.unionByName(links_in_blocks(left_over, "key", 1, BLOCK, colliding)))
+    discard(prefixes, star_pairs)
     related = classes.select("set_id", "source").join(families.withColumnRenamed("id", "set_id"), "set_id")
-    found = full_sets(documents, related)
+    found = full_sets(documents, related, words)
     if not sets.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():  # repeated rows
         found = found.dropDuplicates(["set_id"])
     found = found.withColumn("n", F.size("shingles"))

@@ -40,5 +40,5 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     total = hashes.copy()
     for k in range(1, size):
         total *= np.uint64(0x9E3779B97F4A7C15)
-        total[:len(hashes) - k] += hashes[k:]
+        total[:max(len(hashes) - k, 0)] += hashes[k:]
     return mix(total)

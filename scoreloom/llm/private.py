@@ -2,14 +2,19 @@
 
 1. Base rules find e-mail addresses, IP addresses, card and phone numbers; what they find is always kept.
 2. Looser generators propose further spans of the same kinds, which may overlap.
-3. Every candidate gets format and context features with few values each.  Candidates are counted by feature vector, so boosted
-   trees learn from a table whose size the features bound, whatever the number of documents: candidates that a base rule
-   found count as positive, those whose content breaks their kind's rule as negative, the rest are unlabelled.
-4. For each kind the lowest score at which labelled candidates are nearly all positive is the threshold.  Unlabelled
-   candidates from there on that overlap no kept span of their kind are added.
-
-Positions are code points, ends exclusive.  A null text is empty: no spans.  Repeated rows are rows of their own.  Without
-positive or without negative candidates nothing is added.  Texts are scanned whole.
+3. Candidates that a base rule found count as positive.  Of the others those that their surroundings or their kind's rule contradict
+   count as negative: in the middle of a longer word or run of digits, a wrong check sum or range.  What is left is open.  The trees do
+   not see what made the label, only the format of the span and the word before it.
+4. Candidates are counted by feature vector, so boosted trees learn from a table whose size the features bound, whatever the number
+   of documents.  They learn from the documents of one half (by a digest of the text), and the threshold of each kind comes from the
+   other half: the lowest score from which nearly all labelled candidates are positive.  Open candidates from there on that overlap
+   no base span of their kind are added.
+
+A kind with fewer than LEAST_SUPPORT positives or negatives in either half has no threshold, and nothing of it is added: a few odd
+rows decide nothing.  Which open candidates are added depends on the whole table otherwise, as with any learned model.
+
+Positions are code points, ends exclusive.  A null text is empty: no spans.  Repeated rows are rows of their own.  Texts are scanned
+whole.
 """
 
 from pyspark.ml.classification import GBTClassifier
@@ -40,7 +45,13 @@ LOOSE = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TREES, DEPTH = 10, 3
 PRECISION, LEAST_SUPPORT = 0.995, 20
-FEATURES = ["kind_no", "digits", "separators", "plus", "parens", "valid", "before", "after", "repeated", "size_band"]
+FEATURES = ["kind_no", "digits", "separators", "plus", "parens", "repeated", "size_band", "cue"]
+# Words before a span that speak of persons and machines, and of things that are numbered.
+CUES = [
+    "tel phone telephone call fax mobile cell sms contact card visa mastercard payment mail email write reply ip host address server".split(),
+    "id no nr number part serial item order ref reference version sku model code isbn page case lot build".split(),
+]
+CUE_ROOM = 24  # characters before a span in which the word is looked for
 
 
 def matches(text: Column, pattern: str, possible: Column) -> Column:
@@ -73,30 +84,37 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def cue_of(before: Column) -> Column:
+    """The kind of the last word in `before`: 0 none, 1 and 2 as in CUES, 3 any other."""
+    word = F.lower(F.regexp_extract(before, r"(\p{L}+)[^\p{L}\p{N}]*$", 1))
+    return F.when(word == "", 0).when(word.isin(CUES[0]), 1).when(word.isin(CUES[1]), 2).otherwise(3)
+
+
 def spans(text: Column, kind: str, pattern: str, keep_all: bool) -> Column:
-    """Array of spans: kind_no, start, end, match, valid, and the characters before and after."""
+    """Array of spans: kind_no, start, end, match, and what the surroundings say: doubtful (contradicted), cue."""
     need = NEEDS[kind] if not keep_all or kind != "email" else "at"
     if kind == "phone" and keep_all:
         need = None
     possible = F.lit(True) if need is None else F.contains(text, F.lit(need))
-    found = F.transform(matches(text, pattern, possible), lambda m: F.struct(
-        F.lit(KINDS.index(kind)).alias("kind_no"), m.start.alias("start"), (m.start + F.length(m.match)).alias("end"),
-        m.match.alias("match"), valid(kind, m.match).alias("valid"),
-        F.when(m.start > 0, F.substr(text, m.start, F.lit(1))).otherwise("").alias("before"),
-        F.substr(text, m.start + F.length(m.match) + 1, F.lit(1)).alias("after")))
-    return found if keep_all else F.filter(found, lambda m: m.valid)
 
+    def span(m: Column) -> Column:
+        end = m.start + F.length(m.match)
+        room = F.least(m.start, F.lit(CUE_ROOM))
+        before, after = F.substr(text, m.start - room + 1, room), F.substr(text, end + 1, F.lit(2))
+        inside = before.rlike(r"[\p{L}\p{N}_]$|[0-9][\x20.-]$") | after.rlike(r"^[\p{L}\p{N}_]|^[\x20.-][0-9]")
+        return F.struct(F.lit(KINDS.index(kind)).alias("kind_no"), m.start.alias("start"), end.alias("end"), m.match.alias("match"),
+                        (inside | ~valid(kind, m.match)).alias("doubtful"), cue_of(before).alias("cue"))
 
-def overlaps(a: Column, b: Column) -> Column:
-    return (a.kind_no == b.kind_no) & (a.start < b.end) & (b.start < a.end)
+    found = matches(text, pattern, possible)
+    return F.transform(found if keep_all else F.filter(found, lambda m: valid(kind, m.match)), span)
 
 
-def character_class(c: Column) -> Column:
-    return F.when(c == "", 0).when(c.rlike(r"^\s"), 1).when(c.rlike("^[0-9]"), 2).when(c.rlike(r"^\p{L}"), 3).otherwise(4)
+def overlaps(a: Column, b: Column) -> Column:
+    return (a.kind_no == b.kind_no) & (a.start < b.end) & (b.start < a.end)
 
 
 def with_features(candidates: DataFrame) -> DataFrame:
-    """Small integers that describe a candidate's format and context."""
+    """Small integers that describe a candidate's format, and the word before it."""
     match = F.col("c.match")
     digits, distinct = digits_of(match), F.size(F.array_distinct(F.split(digits_of(match), "")))
     return candidates.withColumns({
@@ -105,11 +123,9 @@ def with_features(candidates: DataFrame) -> DataFrame:
         "separators": F.least(F.length(F.regexp_replace(match, r"[^\x20.@-]", "")), F.lit(8)),
         "plus": F.contains(match, F.lit("+")).cast("int"),
         "parens": F.contains(match, F.lit("(")).cast("int"),
-        "valid": F.col("c.valid").cast("int"),
-        "before": character_class(F.col("c.before")),
-        "after": character_class(F.col("c.after")),
         "repeated": (distinct <= 2).cast("int"),
         "size_band": F.least((F.length(match) / 8).cast("int"), F.lit(8)),
+        "cue": F.col("c.cue"),
     })
 
 
@@ -127,29 +143,30 @@ def added_spans(found: DataFrame) -> DataFrame:
     """row, c: the candidates that the model adds to the base spans."""
     in_base = lambda c: F.exists("base", lambda b: overlaps(b, c))
     same = lambda c: F.exists("base", lambda b: (b.kind_no == c.kind_no) & (b.start == c.start) & (b.end == c.end))
-    each = found.where((F.size("base") > 0) | (F.size("loose") > 0)).select("row", F.explode(F.concat(
+    each = found.where((F.size("base") > 0) | (F.size("loose") > 0)).select("row", F.pmod("digest", F.lit(2)).alias("half"), F.explode(F.concat(
         F.transform("base", lambda c: F.struct(c.alias("c"), F.lit(1).alias("label"))),
         F.transform(F.filter("loose", lambda c: ~same(c)), lambda c: F.struct(
-            c.alias("c"), F.when(~c.valid, F.lit(0)).when(in_base(c), F.lit(None)).otherwise(F.lit(-1)).alias("label"))),
-    )).alias("x")).select("row", "x.c", "x.label").where(F.col("label").isNotNull())
+            c.alias("c"), F.when(c.doubtful, F.lit(0)).when(in_base(c), F.lit(None)).otherwise(F.lit(-1)).alias("label"))),
+    )).alias("x")).select("row", "half", "x.c", "x.label").where(F.col("label").isNotNull())
     each = with_features(each)
-    vectors = staged(each.groupBy(*FEATURES).agg(
-        F.count_if(F.col("label") == 1).alias("positive"), F.count_if(F.col("label") == 0).alias("negative"),
-        F.count_if(F.col("label") == -1).alias("open")), "pii-vectors")
-    totals = vectors.agg(F.sum("positive"), F.sum("negative"), F.sum("open")).first()
-    nothing = each.where(F.lit(False)).select("row", "c")
-    if not all(totals):  # nothing to learn from, or nothing to decide
-        return nothing
-    assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(vectors)
+    counts = [F.count_if((F.col("label") == label) & (F.coalesce("half", F.lit(0)) == half)).alias(f"{name}_{half}")
+              for label, name in ((1, "positive"), (0, "negative")) for half in (0, 1)]
+    vectors = staged(each.groupBy(*FEATURES).agg(*counts, F.count_if(F.col("label") == -1).alias("open")), "pii-vectors")
+    names = [f"{name}_{half}" for name in ("positive", "negative") for half in (0, 1)]
+    totals = vectors.groupBy("kind_no").agg(F.sum("open").alias("open"), *[F.sum(n).alias(n) for n in names])
+    kinds = [r.kind_no for r in totals.collect() if r.open and min(r[n] for n in names) >= LEAST_SUPPORT]  # a row for each kind at most
+    if not kinds:  # nothing to learn from, or nothing to decide
+        return each.where(F.lit(False)).select("row", "c")
+    assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(vectors.where(F.col("kind_no").isin(kinds)))
     labelled = assembled.select("features", F.explode(F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("positive").cast("double").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), F.col("negative").cast("double").alias("weight")))).alias("x")).select("features", "x.*")
+        F.struct(F.lit(1.0).alias("label"), F.col("positive_0").cast("double").alias("weight")),
+        F.struct(F.lit(0.0).alias("label"), F.col("negative_0").cast("double").alias("weight")))).alias("x")).select("features", "x.*")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.5, weightCol="weight", seed=1).fit(labelled.where("weight > 0"))
     scored = staged(model.transform(assembled).select(
-        *FEATURES, "positive", "negative", "open", vector_to_array("probability")[1].alias("score")), "pii-scores")
+        *FEATURES, "positive_1", "negative_1", "open", vector_to_array("probability")[1].alias("score")), "pii-scores")
     above = Window.partitionBy("kind_no").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, 0)
-    positive, both = F.sum("positive").over(above), F.sum(F.col("positive") + F.col("negative")).over(above)
-    limits = scored.withColumn("good", (both >= LEAST_SUPPORT) & (positive >= PRECISION * both)).where("good").groupBy("kind_no").agg(
+    positive, both = F.sum("positive_1").over(above), F.sum(F.col("positive_1") + F.col("negative_1")).over(above)
+    limits = scored.withColumn("good", (positive >= LEAST_SUPPORT) & (positive >= PRECISION * both)).where("good").groupBy("kind_no").agg(
         F.min("score").alias("limit"))
     chosen = scored.where("open > 0").join(limits, "kind_no").where("score >= limit").select(*FEATURES)
     # at most one row per feature vector, a number that the features bound
@@ -169,14 +186,22 @@ def find_private(documents: DataFrame) -> DataFrame:
         F.concat(base, F.coalesce(disjoint, F.array().cast("array<struct<kind_no:int,start:int,end:int>>")))).alias("spans"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores before it as make it new to `df`."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def redacted(documents: DataFrame) -> DataFrame:
-    """`documents` with the spans found replaced in `text`; all rows and columns stay."""
-    items = find_private(documents).where(F.size("spans") > 0).select(F.col("doc_id").alias("found_id"), "digest", "spans")
+    """`documents` with the spans found replaced in `text`; all rows and columns stay, whatever the columns are called."""
+    own, digest, found = (free_name(documents, name) for name in ("found_id", "found_digest", "found_spans"))
+    items = find_private(documents).where(F.size("spans") > 0)
     # rows that are equal in id and text have equal spans; a null id counts as a value
-    once = items.groupBy("found_id", "digest").agg(F.first("spans").alias("found_spans"))
-    same = [documents["doc_id"].eqNullSafe(once["found_id"]), F.xxhash64(documents["text"]) == once["digest"]]
+    once = items.groupBy(F.col("doc_id").alias(own), F.col("digest").alias(digest)).agg(F.first("spans").alias(found))
+    same = [F.col("doc_id").eqNullSafe(F.col(own)), F.xxhash64("text") == F.col(digest)]
     joined = documents.join(once, same, "left")
-    text = F.when(F.col("found_spans").isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col("found_spans")))
+    text = F.when(F.col(found).isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col(found)))
     return joined.withColumn("text", text).select(*documents.columns)
 
 

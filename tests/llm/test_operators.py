@@ -134,10 +134,41 @@ def test_private_base_spans(spark, documents, nothing):
                 assert set(base_spans(by_id[r.doc_id])) <= set(r.spans.split(",")) | {""}
                 assert r.n_email + r.n_ip + r.n_card + r.n_phone == len(base_spans(by_id[r.doc_id]))
     assert private.private_digest(nothing).count() == 0
+    odd = documents.select("doc_id", "text", "digest", F.lit(1).alias("found_id"), F.lit(2).alias("found_spans"), F.lit(3).alias("Found_Digest"))
+    assert private.redacted(odd).columns == odd.columns and private.redacted(odd).count() == odd.count()
     hidden = private.redacted(documents.select("doc_id", "text")).where("doc_id = %d" % TEXTS.index("mail a.b@c.de now")).first()
     assert hidden.text == "mail <email> now"
 
 
+CLEAN = ["part 243 456-7890 in stock", "serial 99 4000000000000002x", "id 4000 0000 0000 0002 1", "write jo [at] example.com", "version 1.2.3"]
+SEEN = ["call +1 (243) 555-5526 now", "card 4111 1111 1111 1111 ok", "mail a.b@c.de", "host 10.0.0.1 up"]
+
+
+@pytest.mark.parametrize("copies", [25, 400])
+def test_an_odd_row_changes_no_span(spark, copies):
+    """Clean texts stay clean, with and without a row that holds a wrong address."""
+    texts = [f"{t} {n}." for n in range(copies) for t in SEEN[n % 4:n % 4 + 1]] + CLEAN
+    found = []
+    for more in ([], ["host 999.1.1.1"]):
+        rows = spark.createDataFrame(list(enumerate(texts + more)), "doc_id long, text string")
+        got = {r.doc_id: r.spans for r in private.private_digest(rows).collect()}
+        found.append([got[n] for n in range(len(texts))])
+        assert all(got[len(texts) - 1 - k] == "" for k in range(len(CLEAN)))
+    assert found[0] == found[1]
+
+
+def test_spans_are_added_where_both_halves_bear_it_out(spark, monkeypatch):
+    """Addresses written with [at]: kept where like ones are addresses, not in the middle of other words."""
+    monkeypatch.setattr(private, "LEAST_SUPPORT", 10)
+    random.seed(3)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(5))
+    texts = [f"write {word()}.{word()}@{word()}.com today {n}" for n in range(120)] + [f"see {word()} [at] {word()}.com_{word()} {n}" for n in range(120)]
+    texts += [f"write {word()} [at] {word()}.com today" for _ in range(5)] + [f"see {word()} [at] {word()}.com there" for _ in range(5)]
+    got = {r.doc_id: r.spans for r in private.private_digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(got[n] for n in range(120)) and not any(got[n] for n in range(120, 240))
+    assert [got[n] for n in range(240, 245)] == ["email:6:26"] * 5 and not any(got[n] for n in range(245, 250))
+
+
 def test_chat_round_trip(spark):
     bits = ["[INST]", "[/INST]", "</s>", "\\", "\\e", "\\i", "e", "s", " ", "[", "<", "/INST]", "é"]
     rows = [(c, t, random.choice(["user", "assistant", "[INST]", None]), "".join(random.choice(bits) for _ in range(random.randint(0, 9))) or None)

@@ -1,14 +1,16 @@
 """License scan by sentence rules, in DataFrame functions.
 
-1. Comment marks at line starts go, and texts are cut into sentences at blank lines and at stops before white space, so that a
-   sentence may be wrapped over lines.  A line with an SPDX tag is a sentence of its own.  Sentences are normalised: lower
+1. Comment marks at line starts go, and texts are cut into sentences at blank lines and at stops before white space (but for that of
+   "v. 2"), so that a sentence may be wrapped over lines.  A line with an SPDX tag is a sentence of its own.  Sentences are normalised: lower
    case, punctuation gone but for dashes inside names, one space between words; known sentences take a dash for a space.
 2. A normalised sentence gives the identifiers of all known licence sentences in it, in order; a version one names becomes part of
    it.  All other sentences that speak of licences at all are UNKNOWN; the rest say nothing.
 3. Rules are tried in order on the sequence of identifiers: the first rule whose identifiers follow one another (other
    sentences may not come between) gives its licence, and its sentences are used up.  Sentences left over give no licence.
 
-A null or empty text has no sentences.  Repeated rows are rows of their own.  Texts without a word that licence sentences need
+The rule base knows some forty sentences: the grants and headers of common licences, not their full texts.
+
+A null or empty text has no sentences.  Tags may have any number of operands.  Repeated rows are rows of their own.  Texts without a word that licence sentences need
 are not cut at all.  A licence found twice counts once; licences come in the order of the rules.
 """
 
@@ -28,12 +30,33 @@ SENTENCES = [
     (r"licensed under the gnu (?:lesser|library) general public license version ([0-9.]+)", "LGPLVer"),
     (r"licensed under the gnu affero general public license version ([0-9.]+)", "AGPLVer"),
     (r"licensed under the gnu general public license version ([0-9.]+)", "GPLVer"),
+    (r"terms of the gnu (?:lesser|library) general public license as published by the free software foundation", "LGPLterms"),
+    (r"terms of the gnu affero general public license as published by the free software foundation", "AGPLterms"),
     (r"terms of the gnu general public license as published by the free software foundation", "GPLterms"),
     (r"either version ([0-9.]+) (?:of the license )?or at your option any later version", "OrLater"),
+    (r"subject to the terms of the mozilla public license v(?:ersion)? ?([0-9.]+)", "MPLVer"),
+    (r"terms of the eclipse public license (?:v|version )? ?([0-9.]+)", "EPLVer"),
+    (r"distributed under the boost software license version ([0-9.]+)", "BSLVer"),
+    (r"licensed under the sil open font license version ([0-9.]+)", "OFLVer"),
+    (r"licensed under the eupl (?:v|version )? ?([0-9.]+)", "EUPLVer"),
+    (r"subject to the terms of the common development and distribution license", "CDDLterms"),
+    (r"permission to use copy modify and (?:or )?distribute this software(?: and its documentation)? for any purpose with or without fee is hereby granted", "ISCgrant"),
+    (r"the above copyright notice and this permission notice appear in all copies", "ISCnotice"),
+    (r"permission is granted to anyone to use this software for any purpose", "ZlibGrant"),
+    (r"altered source versions must be plainly marked as such", "ZlibMarked"),
+    (r"this is free and unencumbered software released into the public domain", "Unlicense"),
     (r"licensed under (?:a )?(?:cc|creative commons) ((?:by|0)[a-z -]*[0-9.]+)", "CC"),
+    (r"creative commons attribution non ?commercial share ?alike ([0-9.]+)", "CCBYNCSAVer"),
+    (r"creative commons attribution non ?commercial no ?deriv(?:ative)?s ([0-9.]+)", "CCBYNCNDVer"),
+    (r"creative commons attribution non ?commercial ([0-9.]+)", "CCBYNCVer"),
+    (r"creative commons attribution share ?alike ([0-9.]+)", "CCBYSAVer"),
+    (r"creative commons attribution no ?deriv(?:ative)?s ([0-9.]+)", "CCBYNDVer"),
+    (r"creative commons attribution ([0-9.]+)", "CCBYVer"),
+    (r"cc0 ([0-9.]+) universal", "CC0Ver"),
     (r"redistribution and use in source and binary forms with or without modification are permitted", "BSDpre"),
     (r"redistributions of source code must retain the above copyright notice", "BSDsource"),
     (r"redistributions in binary form must reproduce the above copyright notice", "BSDbinary"),
+    (r"all advertising materials mentioning features or use of this software must display the following acknowledgement", "BSDads"),
     (r"neither the name of .*? may be used to endorse or promote products", "BSDendorse"),
     (r"the software is provided as is without warranty of any kind", "AsIs"),
 ]
@@ -41,15 +64,23 @@ SENTENCES = [
 RULES = [
     (["MITgrant", "MITnotice", "AsIs"], "MIT"), (["MITgrant", "MITnotice"], "MIT"), (["MITgrant"], "MIT"), (["MITname"], "MIT"),
     (["ApacheVer", "ApacheUse", "ApacheCopy"], "Apache-{}"), (["ApacheVer"], "Apache-{}"),
+    (["BSDpre", "BSDsource", "BSDbinary", "BSDads", "BSDendorse"], "BSD-4-Clause"),
     (["BSDpre", "BSDsource", "BSDbinary", "BSDendorse"], "BSD-3-Clause"), (["BSDpre", "BSDsource", "BSDbinary"], "BSD-2-Clause"),
     (["GPLterms", "OrLater"], "GPL-{}-or-later"), (["GPLVer", "OrLater"], "GPL-{}-or-later"), (["GPLVer"], "GPL-{}"),
-    (["LGPLVer"], "LGPL-{}"), (["AGPLVer"], "AGPL-{}"), (["CC"], "CC-{}"), (["SPDX"], "SPDX-{}"),
+    (["LGPLterms", "OrLater"], "LGPL-{}-or-later"), (["LGPLVer", "OrLater"], "LGPL-{}-or-later"), (["LGPLVer"], "LGPL-{}"),
+    (["AGPLterms", "OrLater"], "AGPL-{}-or-later"), (["AGPLVer", "OrLater"], "AGPL-{}-or-later"), (["AGPLVer"], "AGPL-{}"),
+    (["MPLVer"], "MPL-{}"), (["EPLVer"], "EPL-{}"), (["BSLVer"], "BSL-{}"), (["OFLVer"], "OFL-{}"), (["EUPLVer"], "EUPL-{}"),
+    (["CDDLterms"], "CDDL"), (["ISCgrant", "ISCnotice"], "ISC"), (["ISCgrant"], "0BSD"),
+    (["ZlibGrant", "ZlibMarked"], "Zlib"), (["ZlibGrant"], "Zlib"), (["Unlicense"], "Unlicense"),
+    (["CC"], "CC-{}"), (["CCBYNCSAVer"], "CC-BY-NC-SA-{}"), (["CCBYNCNDVer"], "CC-BY-NC-ND-{}"), (["CCBYNCVer"], "CC-BY-NC-{}"),
+    (["CCBYSAVer"], "CC-BY-SA-{}"), (["CCBYNDVer"], "CC-BY-ND-{}"), (["CCBYVer"], "CC-BY-{}"), (["CC0Ver"], "CC0-{}"), (["SPDX"], "SPDX-{}"),
 ]
-SPEAKS = r"(?i)licen[sc]e|permission|redistribution|warranty|at[\W_]+your[\W_]+option|endorse|the[\W_]+above[\W_]+copyright"
-#: A tag's expression, in which upper and lower case are alike.
+SPEAKS = (r"(?i)licen[sc]e|permission|redistribution|warranty|at[\W_]+your[\W_]+option|endorse|the[\W_]+above[\W_]+copyright|"
+          r"unencumbered|creative[\W_]+commons|cc0|altered[\W_]+source|advertising[\W_]+materials|eupl")
+#: A tag's expression, in which upper and lower case are alike.  Possessive repeats take a step for each operand and no stack.
 SPDX = r"(?i)spdx[ -]license[ -]identifier[:\s]\s*"
-SPDX_ID = r"\(*[a-z0-9](?:[a-z0-9.+:-]*[a-z0-9+])?\)*"
-SPDX_TAG = rf"{SPDX}({SPDX_ID}(?:\s+(?:or|and|with)\s+{SPDX_ID})*)"
+SPDX_ID = r"\(*+[a-z0-9](?:[a-z0-9.+:-]*[a-z0-9+])?\)*+"
+SPDX_TAG = rf"{SPDX}({SPDX_ID}(?:\s++(?:or|and|with)\s++{SPDX_ID})*+)"
 UNKNOWN = "UNKNOWN"
 BORDER = "|"
 
@@ -63,7 +94,7 @@ def normalised(sentence: Column) -> Column:
 def sentences(text: Column) -> Column:
     """Sentences without the comment marks of their lines; lines within a sentence are joined."""
     lines = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), r"(?im)^[^\p{L}\p{N}\n]*+(?:(?:rem|dnl)\b[^\p{L}\p{N}\n]*+)?", "")
-    return F.split(F.regexp_replace(lines, rf"(?m)^(.*{SPDX}.*)$", "\n\n$1\n\n"), r"\n{2,}|(?<=[.!?;])\s+")
+    return F.split(F.regexp_replace(lines, rf"(?m)^(.*{SPDX}.*)$", "\n\n$1\n\n"), r"\n{2,}|(?<=[.!?;])(?<!\b[vV]\.)\s+")
 
 
 def dashed(pattern: str) -> str:

@@ -5,6 +5,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on Spark hands at most 1000 rows to Python at once: with whole texts 10,000 rows, the default, take
+    many MB in the JVM's buffers and in each worker.  For jobs that run many such steps in one session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:

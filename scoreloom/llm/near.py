@@ -199,3 +199,23 @@ def near_duplicates(documents: DataFrame, words: int = 2) -> DataFrame:
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+#: All pairs of sets that share a shingle and have like sizes; two-word shingles.
+ORACLE = r"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents
+), s as (
+  select doc_id, case when len(words) < 2 then words
+    else list_distinct(list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) end as shingles from w
+), e as (select doc_id, len(shingles) as n, unnest(shingles) as shingle from s),
+links as (
+  select a.doc_id as a, b.doc_id as b from e a join e b on a.shingle = b.shingle and a.doc_id <> b.doc_id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach as (
+  select doc_id as id, doc_id as there from documents union select id, b from reach join links on there = a
+)
+select doc_id, len(shingles) as n_shingles, low as component_id, doc_id = low as kept
+from s join (select id, min(there) as low from reach group by id) on id = doc_id
+"""

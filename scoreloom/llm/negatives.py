@@ -39,7 +39,8 @@ def taking_part(rows: DataFrame) -> DataFrame:
     x = F.col("embedding").cast("array<double>")
     finite = F.forall(x, lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False)))
     label = F.col("label").cast("long")
-    moved = F.when(F.col("vec_id") % EACH_LABEL == 0, (label % LABELS + 1) % LABELS).otherwise(label)
+    next_label = F.when(label < 0, (label + 1) % LABELS).otherwise((label % LABELS + 1) % LABELS)  # of any long
+    moved = F.when(F.col("vec_id") % EACH_LABEL == 0, next_label).otherwise(label)
     return rows.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite).select(
         F.col("vec_id").cast("long").alias("vec_id"), moved.alias("label"), F.size(x).alias("size"),
         F.transform(x, lambda v: F.floor(v * 256.0)).alias("parts"))

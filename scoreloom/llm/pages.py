@@ -45,6 +45,7 @@ BLOCKS = PROSE | set("html head body article main section div nav header footer
                      "figure details dialog menu center dir hgroup hr search".split())
 DROPPED = set("head title script style noscript template iframe noembed noframes object svg canvas audio video nav footer aside form "
               "fieldset button select option textarea label dialog menu search".split())
+NOT_P = BLOCKS - {"p"}
 ARTICLE = {"article", "main"}
 ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 WORDS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar cookie cookies consent "
@@ -183,7 +184,7 @@ class Page:
         if name != "head" and self._count.get("head"):
             self._pop_through({"head"}, {"html"})
         if self._count.get("p"):
-            self._pop_through({"p"}, BLOCKS - {"p"})
+            self._pop_through({"p"}, NOT_P)
         if name in ENDS:
             self._pop_through(*ENDS[name])
         self._flush()

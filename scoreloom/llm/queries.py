@@ -58,6 +58,9 @@ def op10_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op10_minhash_near"] = near.ORACLE
+
+
 @query
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = benchmarks.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -69,6 +72,9 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+ORACLES["op6_near_vectors"] = vectors.ORACLE
+
+
 @query
 def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(table(spark, sf_dir, "documents"))

@@ -166,3 +166,21 @@ def near_vectors(rows: DataFrame) -> DataFrame:
     component = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return result.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                          F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"))
+
+
+#: All pairs of a label.
+ORACLE = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))) and list_max(list_transform(embedding, lambda x: abs(x))) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.98
+), reach as (
+  select vec_id as id, vec_id as there from embeddings union select id, b from reach join links on there = a
+)
+select vec_id, coalesce(n, 0) as n_links, low as component_id, vec_id = low as kept
+from embeddings join (select id, min(there) as low from reach group by id) on id = vec_id
+left join (select a, count(*) as n from links group by a) on a = vec_id
+"""

@@ -30,7 +30,7 @@ CASES = [
     ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
      "the above\ncopyright notice and this permission notice appear in all copies.", "ISCgrant:,ISCnotice:", "ISC"),
     ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted.", "ISCgrant:", "0BSD"),
-    ("Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)", "BSLVer:1.0", "BSL-1.0"),
+    ("Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)", "BSLVer:1.0,UNKNOWN", "BSL-1.0"),
     ("This is free and unencumbered software released into the public domain.", "Unlicense:", "Unlicense"),
     ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
      "EPLVer:2.0", "EPL-2.0"),

@@ -22,6 +22,7 @@ ROWS = [(i, v, i % 3) for i, v in enumerate(CLOSE)]
 ROWS += [(100 * i, [x + random.gauss(0, 0.2) for x in BASE], i % 4) for i in range(1, 9)]
 ROWS += [(1000 + i, BASE, 5 + i % 2) for i in range(15)] + [(1100, BASE, 5)]  # ties
 ROWS += [(900, BASE, 5), (900, BASE, 5), (900, CLOSE[0], 5), (None, BASE, 5), (None, BASE, 1)]
+ROWS += [(4900 + 7 * i, [x * 2 for x in BASE], label) for i, label in enumerate((-1, -10, -11, 9, 2**31 - 1))]
 ROWS += [(2000, None, 1), (2001, BASE, None), (2002, [None, *BASE[1:]], 1), (2003, [math.nan, *BASE[1:]], 1), (2004, [math.inf, *BASE[1:]], 1)]
 ROWS += [(3000, [], 1), (3001, [], 1), (3002, [], 2), (3100, BASE[:9], 1), (3101, BASE[:9], 1), (3102, CLOSE[1][:9], 2)]
 ROWS += [(3200 + i, [3e14 * (i + 1), -7e13, 1.0], i % 3) for i in range(6)]
@@ -34,7 +35,7 @@ def brute(rows):
         if label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
         if i is not None and i % 7 == 0:
-            label = (label + 1) % 10
+            label = int(math.fmod(label + 1, 10))
         part.append((i, [math.floor(256 * x) for x in v], label))
     order = lambda x: (-x[0], x[1] is None, x[1] or 0)
     out = []

@@ -307,3 +307,38 @@ def sql(select: str, **own: str) -> str:
     recursive = "RECURSIVE " if any(names[n].startswith("recursive:") for n in listed) else ""
     ctes = ",\n".join(f"{n} AS ({parts[names[n]].strip()})" for n in listed)
     return f"WITH {recursive}{ctes}\n{select}" if listed else select
+
+# Fixed values, written down here for themselves: points per keyword and the relevance ladders, as the rules state them.  The
+# reference SQL uses these, not the library's, so that a slip in either shows.
+KEYWORDS = {
+    "chiffre d'affaires": 3, "chiffre d affaires": 3, "revenu": 2, "revenues": 2, "revenue": 2, "sales": 2,
+    "net sales": 2,
+    "ebitda": 4, "ebit": 2, "résultat opérationnel": 3, "resultat operationnel": 3, "operating income": 3,
+    "operating profit": 3, "marge opérationnelle": 4, "marge operationnelle": 4, "marge op": 3,
+    "operating margin": 4,
+    "dette nette": 4, "endettement net": 4, "net debt": 4, "gross debt": 2, "free cash flow": 4, "fcf": 3,
+    "cash flow": 2, "cash flow libre": 4, "flux de trésorerie disponible": 4, "flux de tresorerie disponible": 4,
+    "flux de trésorerie": 2, "flux de tresorerie": 2,
+    "clos le": 3, "exercice clos": 3, "premier semestre clos": 3, "deuxième semestre clos": 3,
+    "for the year ended": 3, "for the period ended": 3, "as of": 2, "ended": 1, "financial year": 2,
+    "fiscal year": 2, "half-year": 2, "first half": 2, "second half": 2,
+    "croissance": 2, "growth": 2, "year-on-year": 2, "yoy": 2, "%": 2,
+}
+#: The invented prose has few financial words; the queries score these too.
+PROSE_KEYWORDS = {"tion": 3, "the": 2, "eaux": 2, "und": 1, "ing": 4, "que ": 1}
+TITLE_LADDER = [
+    ("résultat annuel|resultat annuel|annual results|full[- ]year results", 5),
+    ("rapport financier annuel|annual financial report", 5),
+    ("résultat semestriel|resultat semestriel|half[- ]year results|half year results|interim results", 4),
+    ("rapport financier semestriel|half[- ]year financial report|interim financial report", 4),
+    ("chiffre d'affaires|chiffre d affaires|revenue|revenues|sales|net sales", 4),
+    ("résultat|resultat|results", 3),
+    ("rapport financier|financial report", 3),
+    ("mise à disposition|mise a disposition|publication du rapport|disponibilité du rapport|availability of", -4),
+]
+SUBTYPE_LADDER = [
+    ("annuel|annual|full[- ]year|fiscal year", 2),
+    ("semestriel|half[- ]year|half year|interim", 1),
+    ("résultat|resultat|results|revenue|sales", 1),
+]
+TYPE_LADDER = [("information réglementée|information reglementee|regulated information", 1)]

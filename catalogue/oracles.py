@@ -1,10 +1,10 @@
 """Reference SQL for the queries, for DuckDB on the same tables."""
 
 from catalogue.oracle_parts import (
-    COMPANIES, DAY, METRICS, NOW, code, eur, hms, number, owner, pick, r, sql, text, ymd,
+    COMPANIES, DAY, KEYWORDS, METRICS, NOW, PROSE_KEYWORDS, SUBTYPE_LADDER, TITLE_LADDER, TYPE_LADDER, code, eur, hms, number, owner,
+    pick, r, sql, text, ymd,
 )
-from catalogue.queries import AMOUNTS, DATES, HISTORY, NAMES, PROSE
-from scoreloom.operators.documents import SUBTYPE_LADDER, TITLE_LADDER, TYPE_LADDER
+from catalogue.queries import AMOUNTS, DATES, HISTORY, NAMES
 
 FIVE = "rsi_signal, macd_signal, golden_cross_signal, bollinger_signal, trend_signal"
 ORACLES = {}
@@ -423,7 +423,7 @@ EDGE_BEFORE, EDGE_AFTER = r"(?:^|[^\p{L}\p{N}_])", r"(?:$|[^\p{L}\p{N}_])"
 SCORE = (
     rf"(CASE WHEN regexp_matches({MATCHABLE}, '{EDGE_BEFORE}\p{{N}}+(?:[.,]\p{{N}}+)?[\s\p{{Z}}]*(?:million|millions|thousand|billion|[km]?eur){EDGE_AFTER}') THEN 3 ELSE 0 END)"
     rf" + (CASE WHEN regexp_matches({MATCHABLE}, '{EDGE_BEFORE}20\p{{N}}{{2}}{EDGE_AFTER}') THEN 1 ELSE 0 END) + "
-    + " + ".join(f"(CASE WHEN contains({MATCHABLE}, {text(k)}) THEN {v} ELSE 0 END)" for k, v in PROSE.items())
+    + " + ".join(f"(CASE WHEN contains({MATCHABLE}, {text(k)}) THEN {v} ELSE 0 END)" for k, v in (KEYWORDS | PROSE_KEYWORDS).items())
 )
 SCORED = f"SELECT doc_id, place, block, {SCORE} AS score FROM blocks"
 oracle("txt4_split_blocks", "SELECT doc_id, place, md5(block) AS block FROM blocks", blocks=BLOCKS)

@@ -108,6 +108,14 @@ def articles(i: Inputs) -> DataFrame:
     return news.articles(article_parts(i))
 
 
+def dealt(i: Inputs, df: DataFrame, key: str) -> DataFrame:
+    """Rows by a digest of `key`, to as many tasks as the session shuffles to.
+
+    The driver's tables are single files, which one task would read; what follows costs much per row.
+    """
+    return df.repartition(int(i.spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(key))
+
+
 def written_csv(df: DataFrame, label: str) -> str:
     path = scratch_path(df.sparkSession, label)
     df.write.csv(path, header=True)
@@ -324,7 +332,7 @@ def snk6_incremental_merge(i):
 @query
 def snk7_insert_overwrite_month(i):
     path = scratch_path(i.spark, "months")
-    clean = prices.clean_bars(i.raw_bars(), AS_OF, ties=i.bar_ties())
+    clean = staged(prices.clean_bars(i.raw_bars(), AS_OF, ties=i.bar_ties()))
     writers.overwrite_months(clean, path, "Date", ["isin"])
     latest = clean.where(prices.in_rewrite_months(AS_OF)).withColumn("Volume", c("Volume") + 1000)
     writers.overwrite_months(latest, path, "Date", ["isin"])
@@ -1031,7 +1039,8 @@ def txt3_doc_relevance(i):
 
 def spaced_documents(i: Inputs) -> DataFrame:
     """The driver's texts have no blank lines: every line break becomes one."""
-    return i.t("documents").select("doc_id", F.replace(c("text"), F.lit("\n"), F.lit("\n \n")).alias("text"))
+    rows = dealt(i, i.t("documents").select("doc_id", "text"), "doc_id")
+    return rows.select("doc_id", F.replace(c("text"), F.lit("\n"), F.lit("\n \n")).alias("text"))
 
 
 @query
@@ -1096,7 +1105,7 @@ def answered_filings(i: Inputs) -> DataFrame:
         F.when(k % 6 <= 2, F.concat(F.lit('{"signals": ['), item, F.lit(', "noise", '), item, F.lit("]}")))
         .when(k % 6 == 3, F.concat(F.lit("["), item, F.lit("]"))).when(k % 6 == 4, item).otherwise("{broken")
     )
-    return i.t("orders").select(
+    return dealt(i, i.t("orders"), "o_orderkey").select(
         F.concat(F.lit("R"), k.cast("string")).alias("record_id"), F.lit("https://filings.example").alias("pdf_url"),
         F.concat(F.lit("Company "), c("o_custkey").cast("string")).alias("societe"), i.owner(c("o_custkey")).alias("isin"),
         response.alias("raw_response"),

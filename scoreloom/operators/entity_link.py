@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions.text import clean_title
 from scoreloom.operators.joins import lookup
 from scoreloom.operators.keyed import first_per_key
+from scoreloom.session import discard, staged
 
 # Match threshold, what counts as a short name, names that are common words.
 THRESHOLD = 80
@@ -73,8 +74,12 @@ def whole_word(name: Column) -> Column:
     return F.concat(F.lit(f"(?iu)(?<![{LETTER}])"), literal, F.lit(f"(?![{LETTER}])"))
 
 
+def distinct_words(text: Column) -> Column:
+    return F.array_remove(F.array_distinct(F.split(F.lower(text), r"(?U)\s+")), "")
+
+
 def words(text: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.split(F.lower(text), r"(?U)\s+"), lambda w: w != "")))
+    return F.array_sort(distinct_words(text))
 
 
 def common_subsequence(short: Column, text: Column) -> Column:
@@ -109,9 +114,9 @@ def with_words(titles: DataFrame, threshold: float) -> DataFrame:
     words if they are so few characters that a short name can reach the threshold by them, else NULL.
     """
     most = int(SHORT_NAME * (200 / max(threshold, 1) - 1))
-    few = words(F.col("cleaned"))
+    held = distinct_words(F.col("cleaned"))  # sorted only where they are few
     spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower("cleaned"), r"(?U)\s+", " "), F.lit(" "))
-    return titles.withColumn("_spaced", spaced).withColumn("_few", F.when(F.length(F.array_join(few, " ")) <= most, few))
+    return titles.withColumn("_spaced", spaced).withColumn("_few", F.when(F.length(F.array_join(held, " ")) <= most, F.array_sort(held)))
 
 
 def match_scores(candidates: DataFrame) -> DataFrame:
@@ -135,25 +140,35 @@ def match_scores(candidates: DataFrame) -> DataFrame:
     return parts.withColumn("score", score)
 
 
+def _by_word(titles: DataFrame, with_pieces: Column, threshold: float) -> DataFrame:
+    """The `tokens` of each `cleaned` title, first the `alone` ones that are also words between white space; `few` says
+    whether a short name that is no word of the title may still reach the threshold."""
+    read = with_words(titles, threshold).withColumn("_tokens", title_tokens(F.col("cleaned"), with_pieces))
+    held = F.split(F.trim("_spaced"), " ")
+    alone, others = F.array_intersect("_tokens", held), F.array_except("_tokens", held)
+    return read.select("_key", "copies", F.concat(alone, others).alias("tokens"), F.size(alone).alias("alone"),
+                       (F.col("_few").isNotNull() | F.lit(threshold <= 0)).alias("few"))
+
+
 def _blocks(names: DataFrame, titles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The names (with `tokens`) and the titles (with `tokens`), each by (token, salt) of one token per name.
 
     A name goes by the token that the fewest titles hold; names with a token that no title holds
     cannot match.  A token is dealt to as many salts as it is frequent, for which its names are
-    repeated: a salt holds about a SHARE-th of all title tokens at most.
+    repeated: a salt holds about a SHARE-th of all title tokens at most.  Titles get the token's `place`.
     """
-    tokens = titles.select("_key", F.explode("tokens").alias("token"))
+    tokens = titles.select(*[c for c in titles.columns if c != "tokens"], F.posexplode("tokens").alias("place", "token"))
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))  # partial counts first: no hot key
     total = counts.agg(F.sum("n")).scalar()
     salts = F.ceil(F.col("n") * SHARE / total).cast("int")
-    wanted = names.select("name", F.explode("tokens").alias("token")).join(counts, "token", "left").groupBy("name").agg(
+    wanted = staged(names.select("name", F.explode("tokens").alias("token")).join(counts, "token", "left").groupBy("name").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), (-F.length("token")).alias("length"), "token")).alias("rarest")
-    ).select("name", "rarest.token", "rarest.n").where("n > 0").withColumn("salts", salts)
+    ).select("name", "rarest.token", "rarest.n").where("n > 0").withColumn("salts", salts).drop("n"), "rarest")
     named = names.drop("tokens").join(wanted, "name").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    frequent = F.broadcast(counts.where(salts > 1).select("token", salts.alias("salts")))  # fewer than SHARE
+    frequent = F.broadcast(wanted.where("salts > 1").select("token", "salts").distinct())  # fewer than SHARE
     dealt = tokens.join(frequent, "token", "left").withColumn(
         "salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("_key"), F.col("salts"))).cast("int"))
-    return named.drop("salts", "n"), dealt.drop("salts")
+    return named.drop("salts"), dealt.drop("salts")
 
 
 def entity_link(
@@ -164,6 +179,11 @@ def entity_link(
     `referential` is (name, isin, ticker_bourso, ordinal); equal scores go to the lowest ordinal, which
     may be of any type that sorts.  Titles are linked once however often they repeat.  Tokens travel
     with the title's digest, not its text.
+
+    A name that is one run of letters stands in a title exactly where the run is a token of it, so it
+    is settled without the text: it scores 100 if it is long, or a word of the title.  Nothing scores
+    more, so of all other names only those of a lower ordinal than a title's first settled name are
+    looked for in its text.
     """
     letters = F.col("name").rlike(f"[{LETTER}]")
     edges = F.col("name").rlike(rf"^[{LETTER}]") & F.col("name").rlike(rf"[{LETTER}]$")
@@ -172,28 +192,36 @@ def entity_link(
         .where(~F.upper("name").isin(blocklist))
         .select("name", F.struct("name", "isin", "ticker_bourso").alias("company"), "ordinal",
                 F.when(edges, marked(F.col("name"))).alias("marked"), F.when(~edges, whole_word(F.col("name"))).alias("pattern"),
-                name_tokens(F.col("name")).alias("tokens"))
+                F.col("name").rlike(rf"\A{LETTERS}\z").alias("one_run"), name_tokens(F.col("name")).alias("tokens"))
     )
     bare_names = referential.agg(F.coalesce(F.bool_or(~letters), F.lit(False))).scalar()
     kept = entries.drop("matched_name", "match_score", "isin", "ticker_bourso").withColumn("_key", F.md5("title"))
-    titles = (
-        kept.where(F.col("title").isNotNull())
-        .groupBy("_key")
-        .agg(F.first("title").alias("title"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 0")  # always true; keeps both uses below the same, so that one exchange serves both
-    )
+    titles = kept.where(F.col("title").isNotNull()).groupBy("_key").agg(
+        F.first("title").alias("title"), F.count(F.lit(1)).alias("copies"))
     cleaned = titles.select("_key", "copies", clean_title(F.col("title")).alias("cleaned"))
-    named, dealt = _blocks(names, cleaned.select("_key", title_tokens(F.col("cleaned"), bare_names).alias("tokens")))
-    pairs = dealt.join(named, ["token", "salt"]).drop("token", "salt")
-    read = with_words(cleaned.withColumn("_marked", marked(F.col("cleaned"))), threshold)
-    found = pairs.join(read, "_key").where(
+    read = staged(_by_word(cleaned, bare_names, threshold), "title-tokens")
+    named, dealt = _blocks(names, read)
+    pairs = dealt.withColumn("alone", F.col("place") < F.col("alone")).drop("place").join(named, ["token", "salt"]).drop("token", "salt")
+
+    long = F.length("name") > SHORT_NAME
+    settled = pairs.where(F.col("one_run") & (long | F.col("alone")) & F.lit(threshold <= 100)).groupBy("_key").agg(
+        F.max("copies").alias("copies"), F.min(F.struct("ordinal", "company")).alias("first"))
+    open_pairs = pairs.where(~F.col("one_run") | ~long & ~F.col("alone") & F.col("few")).drop("copies", "few", "alone", "one_run")
+    settled = staged(settled, "settled")
+    better = staged(open_pairs.join(settled.select("_key", F.col("first.ordinal").alias("_limit")), "_key", "left").where(
+        F.col("_limit").isNull() | (F.col("ordinal") < F.col("_limit"))).drop("_limit"), "open")
+    wanted = cleaned.join(better.select("_key").distinct(), "_key", "left_semi")
+    texts = with_words(wanted.withColumn("_marked", marked(F.col("cleaned"))), threshold)
+    found = better.join(texts, "_key").where(
         F.when(F.col("marked").isNotNull(), F.contains("_marked", "marked")).otherwise(F.rlike("cleaned", F.col("pattern")))
     ).select("_key", "copies", "name", "company", "ordinal", "_spaced", "_few")
-    best = match_scores(found).where(F.col("score") >= threshold).groupBy("_key").agg(
-        F.max("copies").alias("copies"),
-        F.min_by(F.struct("score", "company"), F.struct(-F.col("score"), "ordinal")).alias("best"),
+    scored = match_scores(found).where(F.col("score") >= threshold).select("_key", "copies", "score", "ordinal", "company")
+    candidates = settled.select("_key", "copies", F.lit(100.0).alias("score"), "first.*").unionByName(scored)
+    best = staged(candidates.groupBy("_key").agg(
+        F.max("copies").alias("copies"), F.min(F.struct((-F.col("score")).alias("under"), "ordinal", "company")).alias("best"),
     ).select(
-        "_key", "copies", F.col("best.company.name").alias("matched_name"), F.col("best.score").alias("match_score"),
+        "_key", "copies", F.col("best.company.name").alias("matched_name"), (-F.col("best.under")).alias("match_score"),
         F.col("best.company.isin").alias("isin"), F.col("best.company.ticker_bourso").alias("ticker_bourso"),
-    )
+    ), "links")  # read twice by the lookup
+    discard(read, settled, better)
     return lookup(kept, best, ["_key"], copies="copies").drop("_key")

@@ -107,6 +107,17 @@ def test_a_name_goes_by_the_token_that_fewest_titles_hold(spark, monkeypatch):
     assert dealt.count() == 4000 and sizes["count"] < 2 * 4000 / 100
 
 
+def test_only_names_that_can_win_are_looked_for_in_the_text(spark, monkeypatch):
+    """Runs of letters are settled by the tokens; of the others only those of a lower ordinal need the text."""
+    seen, scores = [], links.match_scores
+    monkeypatch.setattr(links, "match_scores", lambda pairs: seen.append(pairs.count()) or scores(pairs))
+    names = ["beta,", "alpha", "gammas", "beta, gammas", "delta", "epsilon"]
+    titles = ["alpha beta, gammas", "gammas alpha", "delta-epsilon delta.", "delta, beta,x", "lepsilon", "EPSILON."]
+    got = [(r.matched_name, r.match_score) for r in link(spark, titles, names)]
+    assert got == [("beta,", 100.0), ("alpha", 100.0), ("epsilon", 100.0), (None, None), (None, None), ("epsilon", 100.0)]
+    assert seen == [1]
+
+
 def test_link_plan_has_no_cross_join(spark):
     entries = spark.range(10).select(F.col("id").cast("string").alias("title"))
     referential = spark.createDataFrame([("A", "B", "C", 1)], REFERENTIAL)

@@ -229,7 +229,8 @@ def listing_pages(i: Inputs) -> DataFrame:
     )
     html = F.concat(F.lit("<html><body><table><tr><th>Name</th></tr>"), row, F.lit("<tr><td>none</td></tr>"), row,
                     F.lit("</table></body></html>"))
-    return i.t("customer").select(c("c_custkey").alias("page"), html.alias("html"))
+    rows = dealt(i, i.t("customer").select("c_custkey", "c_nationkey", "c_name"), "c_custkey")
+    return rows.select(c("c_custkey").alias("page"), html.alias("html"))
 
 
 LISTING_URL = "https://listing.example/bourse/actions/"

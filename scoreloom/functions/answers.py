@@ -109,7 +109,10 @@ def json_objects(document: Column) -> Column:
 
         return F.get(F.transform(F.array(opened), onward), F.lit(0))  # `opened` is computed once
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), begin, level)
+    def deeper(state: Column, _: Column) -> Column:
+        return F.when(F.size(state["nodes"]) > 0, level(state, _)).otherwise(state)  # most documents end after a few levels
+
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), begin, deeper)
     too_deep = F.raise_error(F.lit(f"JSON nested deeper than {LEVELS} levels")).cast(objects)
     checked = F.transform(F.array(end), lambda e: F.when(F.size(e["nodes"]) > 0, too_deep).otherwise(F.array_sort(e["objects"])))
     return F.get(checked, F.lit(0))

@@ -27,3 +27,11 @@ def test_query(spark, con, name):
 def test_every_reference_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.FLAGSHIP in entry.queries()
+
+
+def test_listing_pages_are_dealt_to_the_tasks(spark):
+    """The table is one file, which one task would read; parsing a page costs much."""
+    from catalogue import inputs, queries
+
+    pages = queries.listing_pages(inputs.Inputs(spark, "/root/testdata/sf0.001"))
+    assert pages.rdd.getNumPartitions() == 8 and pages.count() == pages.select("page").distinct().count()

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.plans import companies as company_plans
+from scoreloom.session import tasks_for
 from scoreloom.streaming.bars import daily_bars
 
 AS_OF = dt.datetime(2024, 1, 31, 20, 0, 0)
@@ -53,6 +54,10 @@ class Inputs:
     def t(self, name: str) -> DataFrame:
         return table(self.spark, self.folder, name)
 
+    def tasks(self, name: str) -> int:
+        """Tasks for rows that are as many as those of a table; the count comes from the files' footers."""
+        return tasks_for(self.spark, self.t(name).count())
+
     def company_count(self) -> F.Column:
         return self.t("supplier").agg(F.count(F.lit(1))).scalar()
 

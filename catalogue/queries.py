@@ -61,7 +61,7 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 
 def indicator_rows(i: Inputs) -> DataFrame:
-    return indicators(i.bars(), AS_OF)
+    return indicators(i.bars(), AS_OF, tasks=i.tasks("lineitem"))
 
 
 def stocks(i: Inputs) -> DataFrame:

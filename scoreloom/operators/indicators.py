@@ -79,14 +79,18 @@ def _mean(days: int) -> Column:
     return _once_seen(F.when(F.col("_flat") >= days, F.col("Close")).otherwise(mean), days)
 
 
-def indicators(bars: DataFrame, as_of: dt.datetime) -> DataFrame:
+def indicators(bars: DataFrame, as_of: dt.datetime, tasks: int | None = None) -> DataFrame:
     """Add the eight indicators and `computed_at`; NULL until a series is long enough.
 
-    `bars` holds one row per (isin, Date).  Rows whose close is NaN or infinite are left out.
+    `bars` holds one row per (isin, Date).  Rows whose close is NaN or infinite are left out.  `tasks`
+    (see `session.tasks_for`) sets the tasks of the exchange on `isin`: several sorts of a task's rows are open at
+    once, so a number that does not grow with the rows fills a task's memory.
     """
     running = _series().rowsBetween(Window.unboundedPreceding, 0)
     # a running total would carry one NaN or infinite price to the end of the series
     finite = bars.where(F.col("Close").isNull() | (F.abs("Close") < F.lit(float("inf"))))
+    if tasks:
+        finite = finite.repartition(tasks, "isin")
     rows = (
         finite.withColumn("_n", F.row_number().over(_series()) - 1)
         .withColumn("_last_close", F.lag("Close").over(_series()))

@@ -25,6 +25,15 @@ def build_session(name: str = "scoreloom", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+#: Rows one task of a sort or a large aggregation should hold.
+ROWS_A_TASK = 100_000
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """How many tasks `rows` rows are dealt to: the session's number of shuffle partitions, more where that would overfill them."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_TASK))
+
+
 _local_root: str | None = None
 _places: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 

@@ -1236,9 +1236,9 @@ def dq1_dq3_dq4_row_rules(i):
 
 @query
 def dq2_dq5_unique(i):
-    return quality.unique(i.staging(), ["record_id"]).unionByName(quality.unique(i.bars(), ["isin", "Date"])).unionByName(
-        quality.unique(i.raw_bars(), ["isin", "Date"])
-    )
+    filings, prices = i.tasks("orders"), i.tasks("lineitem")
+    return quality.unique(i.staging(), ["record_id"], tasks=filings).unionByName(
+        quality.unique(i.bars(), ["isin", "Date"], tasks=prices)).unionByName(quality.unique(i.raw_bars(), ["isin", "Date"], tasks=prices))
 
 
 @query

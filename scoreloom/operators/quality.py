@@ -40,10 +40,17 @@ def check_rows(df: DataFrame, rules: list[RowRule]) -> DataFrame:
     return counts.select(F.explode(lines).alias("line")).select("line.*")
 
 
-def unique(df: DataFrame, keys: list, severity: str = "error") -> DataFrame:
-    """Keys that occur more than once; rows with a NULL in the key are left to not_null."""
+def unique(df: DataFrame, keys: list, severity: str = "error", tasks: int | None = None) -> DataFrame:
+    """Keys that occur more than once; rows with a NULL in the key are left to not_null.
+
+    Most keys should occur once, so counting before the exchange saves nothing.  With `tasks` (see `session.tasks_for`)
+    the keys are dealt to that many tasks first, each of which counts its own.
+    """
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    repeated = df.where(present).groupBy(*keys).count().where("count > 1")
+    rows = df.where(present).select(*keys)
+    if tasks:
+        rows = rows.repartition(tasks, *keys)
+    repeated = rows.groupBy(*keys).count().where("count > 1")
     return repeated.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(f"unique({', '.join(keys)})").alias("rule"), F.lit(severity).alias("severity"), "failures"
     )

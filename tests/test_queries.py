@@ -35,3 +35,19 @@ def test_listing_pages_are_dealt_to_the_tasks(spark):
 
     pages = queries.listing_pages(inputs.Inputs(spark, "/root/testdata/sf0.001"))
     assert pages.rdd.getNumPartitions() == 8 and pages.count() == pages.select("page").distinct().count()
+
+
+def test_sorts_and_counts_get_more_tasks_with_more_rows(spark, con, monkeypatch):
+    """6,000 price rows and 1,500 filings; eight shuffle partitions would hold 750 rows each."""
+    from catalogue import inputs, queries
+    from scoreloom import session
+
+    monkeypatch.setattr(session, "ROWS_A_TASK", 100)
+    i = inputs.Inputs(spark, "/root/testdata/sf0.001")
+    rows = i.t("lineitem").count()
+    assert i.tasks("lineitem") == -(-rows // 100) and i.tasks("nation") == 8
+    assert queries.stocks(i).rdd.getNumPartitions() == i.tasks("lineitem")
+    plan = queries.dq2_dq5_unique(i)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {i.tasks('lineitem')}), REPARTITION_BY_NUM") == 2 and f", {i.tasks('orders')}), REPARTITION_BY_NUM" in plan
+    for name in ("q13_signal_heatmap", "dq2_dq5_unique"):
+        assert compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], FOLDER) == ""

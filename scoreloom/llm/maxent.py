@@ -8,7 +8,8 @@ branch on the way is a softmax of the same kind, over the node and the context,
 Within its leaf, of LEAF_WORDS words or so while LEVELS suffice, a word has its smoothed share of the counts.
 
 Training runs in ROUNDS rounds, each over its share of the texts: every task starts from the shared weights, takes gradient steps
-over the texts of its partition, for all context features, and returns its change; changes are averaged by tokens.  Weights have a fixed size.
+over the texts of its partition, for all context features, and returns its change; changes are averaged by tokens.  Weights have a fixed size,
+so partitions of little text are joined until a task has TASK_TOKENS tokens or so: what the tasks send grows with the text, not with the files.
 
 Counts of the HEAD most frequent words travel to the tasks; rarer words of a text are looked up by a join.  A null or empty text is
 its end token alone.  Repeated rows are rows of their own.  Without training texts every probability is that of an unseen word.
@@ -43,7 +44,11 @@ STEP = 4096  # tokens in a gradient step, and scored at once
 END = b"\n"  # no word holds a line break
 BATCH_BYTES = 1 << 20
 COUNTED = 300_000  # words counted in a task before it passes them on
-FEW = 4  # occurrences of a row in a step up to which they are added one by one
+BLOCK = 1024  # tokens whose scores are worked on at once, so that they stay in the cache
+FEW = 12  # occurrences of a row in a step up to which they are added one by one
+TASK_TOKENS = 1_000_000  # tokens of all training texts for each task that trains
+TOGETHER = 32  # tasks whose changes are added in the first of two sums
+PIECE = 2048  # rows of weights that are added at once
 SALTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 END_HASH = np.uint64(0x632BE59BD9B4E019)
 fold, held_out_fold = 7, 2
@@ -135,6 +140,13 @@ class Vocabulary:
             mass = self.leaf_mass.reshape(MEMBERS**k, MEMBERS, -1).sum(axis=2)
             self.branch_bias.append(np.log(mass / mass.sum(axis=1, keepdims=True)).astype(np.float32))
         self.digit_bits = int(np.clip((self.other_distinct // MEMBERS).bit_length(), *DIGIT_BITS))
+        self._ranks: Ranks | None = None
+
+    def ranks(self) -> "Ranks":
+        """Made once in a worker, not for every task."""
+        if self._ranks is None:
+            self._ranks = Ranks(self)
+        return self._ranks
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.total + self.distinct + 1))
@@ -201,22 +213,26 @@ class Model:
         scores /= (scores @ np.ones(scores.shape[1], np.float32))[:, None]
         return scores
 
-    @staticmethod
-    def summed(bias: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        scores = weights.take(rows[0], axis=0)
-        scores += weights.take(rows[1], axis=0)
-        scores += weights.take(rows[2], axis=0)
-        scores += bias
-        return scores
+    @classmethod
+    def shares(cls, bias: np.ndarray, weights: np.ndarray, rows: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
+        """The softmax of every token over its rows' weights and the bias, its node's if there are nodes; some tokens after the other."""
+        out = np.empty((rows.shape[1], weights.shape[1]), np.float32)
+        for k in range(0, len(out), BLOCK):
+            scores, row = out[k:k + BLOCK], rows[:, k:k + BLOCK]
+            np.add(weights.take(row[0], axis=0), weights.take(row[1], axis=0), out=scores)
+            scores += weights.take(row[2], axis=0)
+            scores += bias if node is None else bias.take(node[k:k + BLOCK], axis=0)
+            cls.softmax(scores)
+        return out
 
     def classes(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = (context >> np.uint64(64 - 12)).astype(np.uint16)
-        return rows, self.softmax(self.summed(self.class_bias, self.by_class, rows))
+        return rows, self.shares(self.class_bias, self.by_class, rows)
 
     def members(self, context: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         mixed = (context ^ ((group.astype(np.uint64) + np.uint64(1)) * SALTS[1])) * SALTS[0]
         rows = (mixed >> np.uint64(64 - 13)).astype(np.uint16)
-        return rows, self.softmax(self.summed(self.member_bias.take(group, axis=0), self.by_member, rows))
+        return rows, self.shares(self.member_bias, self.by_member, rows, group)
 
     def branches(self, context: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Level by level: rows, probabilities of the branches, and the branch towards the leaf."""
@@ -225,25 +241,34 @@ class Model:
             node = leaf >> (below + BRANCH_BITS)
             mixed = mix(context ^ ((node * LEVELS + level + 1).astype(np.uint64) * SALTS[1]))
             rows = (mixed >> np.uint64(64 - self.digit_bits)).astype(np.uint16)
-            yield rows, self.softmax(self.summed(bias.take(node, axis=0), self.by_branch, rows)), leaf >> below & (MEMBERS - 1)
+            yield rows, self.shares(bias, self.by_branch, rows, node), leaf >> below & (MEMBERS - 1)
 
     @staticmethod
     def ascend(weights: np.ndarray, row: np.ndarray, gradient: np.ndarray) -> None:
         """A gradient step for one context feature; a row's gradients are averaged, with one more that is zero."""
         order = np.argsort(row, kind="stable")  # a radix sort, as rows are 16 bits wide
         ordered = row[order]
-        starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-        times = np.diff(np.append(starts, len(row)))
+        starts = np.append(0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1)
+        times = np.diff(starts, append=len(row))
+        fall = np.argsort((STEP - times).astype(np.uint16), kind="stable")  # the most frequent rows first
+        starts, times = starts[fall], times[fall]
+        more = np.searchsorted(-times, -np.arange(FEW + 1))  # how many rows occur more than 0, 1, ... FEW times
+        often = more[FEW]
         total = gradient.take(order[starts], axis=0)
+        if often:
+            ends = np.cumsum(times[:often])
+            begins = ends - times[:often]
+            own = order[np.arange(ends[-1]) + np.repeat(starts[:often] - begins, times[:often])]
+            total[:often] = np.add.reduceat(gradient.take(own, axis=0), begins, axis=0)
         for k in range(1, FEW):
-            more = np.flatnonzero((times > k) & (times <= FEW))
-            total[more] += gradient.take(order[starts[more] + k], axis=0)
-        often = np.flatnonzero(times > FEW)
-        if len(often):
-            own = order[np.repeat(times > FEW, times)]
-            total[often] = np.add.reduceat(gradient.take(own, axis=0), np.cumsum(times[often]) - times[often], axis=0)
+            if more[k] == often:
+                break
+            total[often:more[k]] += gradient.take(order[starts[often:more[k]] + k], axis=0)
         total *= (np.float32(RATE) / (1 + times)).astype(np.float32)[:, None]
-        weights[ordered[starts]] += total
+        at = ordered[starts]
+        total += weights.take(at, axis=0)
+        whole = np.dtype((np.void, weights.shape[1] * weights.itemsize))  # a row of weights as one value, which is faster to put
+        weights.view(whole)[at, 0] = total.view(whole)[:, 0]
 
     def learn(self, context: np.ndarray, group: np.ndarray, member: np.ndarray, leaf: np.ndarray) -> None:
         """A gradient step: the weights of every context feature move, for all tokens."""
@@ -307,25 +332,28 @@ def weight_changes(documents: DataFrame, vocabulary, model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = pickle.loads(model.value)
-        mine, ranks, seen = pickle.loads(model.value), Ranks(vocabulary.value), 0
+        mine, ranks, seen = pickle.loads(model.value), vocabulary.value.ranks(), 0
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
             c = Coded(arrow.utf8(batch.column("text")), ranks)
             for k in range(0, len(c.rank), STEP):
                 mine.learn(c.context[:, k:k + STEP], c.group[k:k + STEP], c.member[k:k + STEP], c.leaf[k:k + STEP])
             seen += len(c.rank)
         if seen:
-            task = TaskContext.get().partitionId() % 32
-            parts = [(w, i, (getattr(mine, w)[i:i + 256] - getattr(start, w)[i:i + 256]) * seen)
-                     for w in ("by_class", "by_member", "by_branch") for i in range(0, len(getattr(mine, w)), 256)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{w} {i}" for w, i, _ in parts]), pa.array([task] * len(parts), pa.int32()), pa.array([float(seen)] * len(parts)),
-                 pa.array([c.astype(np.float32).tobytes() for _, _, c in parts], pa.binary())], names=["part", "task", "tokens", "change"])
+            task = TaskContext.get().partitionId() // TOGETHER
+            for w in ("by_class", "by_member", "by_branch"):
+                for i in range(0, len(getattr(mine, w)), PIECE):
+                    change = (getattr(mine, w)[i:i + PIECE] - getattr(start, w)[i:i + PIECE]) * np.float32(seen)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([f"{w} {i}"]), pa.array([task], pa.int32()), pa.array([float(seen)]), pa.array([change.tobytes()], pa.binary())],
+                        names=["part", "task", "tokens", "change"])
 
     return documents.select("text").mapInArrow(run, "part string, task int, tokens double, change binary")
 
 
 def summed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    total = np.sum([np.frombuffer(c, np.float32) for c in rows["change"]], axis=0, dtype=np.float64)
+    total = np.zeros(len(rows["change"].iloc[0]) // 4)
+    for change in rows["change"]:
+        total += np.frombuffer(change, np.float32)
     return pd.DataFrame({"part": [key[0]], "tokens": [rows["tokens"].sum()], "change": [total.astype(np.float32).tobytes()]})
 
 
@@ -334,14 +362,15 @@ def train(documents: DataFrame, vocabulary: Vocabulary) -> Model:
     model = Model(vocabulary)
     words = spark.sparkContext.broadcast(vocabulary)
     turn = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(ROUNDS))
+    documents = documents.coalesce(max(1, -(-vocabulary.total // TASK_TOKENS)))  # never more tasks than before
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(pickle.dumps(model))
         changes = weight_changes(documents.where(turn == k), words, shared)
         schema = "part string, tokens double, change binary"
         total = changes.groupBy("part", "task").applyInPandas(summed, schema).groupBy("part").applyInPandas(summed, schema)
-        for row in total.collect():  # one row for each 256 rows of weights
+        for row in total.collect():  # one row for each PIECE rows of weights
             name, start = row.part.split()
-            weights = getattr(model, name)[int(start):int(start) + 256]
+            weights = getattr(model, name)[int(start):int(start) + PIECE]
             weights += np.frombuffer(row.change, np.float32).reshape(weights.shape) / np.float32(row.tokens)
     return model
 
@@ -365,7 +394,7 @@ def partly_scored(documents: DataFrame, vocabulary, model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weights = vocabulary.value, pickle.loads(model.value)
-        ranks = Ranks(known)
+        ranks = known.ranks()
         counts_of = np.append(known.counts, 0)
         base, other = known.base(counts_of), np.log10(counts_of + 1)
         base[-1] = 0  # not in the head; as for others, a rare word's count comes by the join

@@ -125,3 +125,25 @@ def test_context_tells_rare_words_apart(spark, monkeypatch):
     total = 10 ** model.log10(np.repeat(c.context[:, :1], len(everywhere), axis=1), np.full(len(everywhere), maxent.OTHER), 0 * everywhere, everywhere)
     assert abs(total.sum() - model.classes(c.context[:, :1])[1][0, maxent.OTHER]) < 1e-4
     assert vocabulary.levels == 2 and (vocabulary.leaf_mass >= 1).all()
+
+
+def test_training_tasks_follow_the_text_not_the_files(spark, monkeypatch):
+    asked = []
+    changes = maxent.weight_changes
+    monkeypatch.setattr(maxent, "weight_changes", lambda documents, *more: asked.append(documents.rdd.getNumPartitions()) or changes(documents, *more))
+    texts = spark.createDataFrame([(n, f"some words {n}") for n in range(80)], "doc_id long, text string").repartition(40)
+    vocabulary = maxent.learn_vocabulary(maxent.word_counts(texts))
+    maxent.train(texts, vocabulary)
+    monkeypatch.setattr(maxent, "TASK_TOKENS", 1)
+    maxent.train(texts, vocabulary)
+    assert asked == [1] * maxent.ROUNDS + [40] * maxent.ROUNDS
+
+
+def test_gradient_steps_average_over_a_rows_tokens():
+    some = np.random.default_rng(5)
+    row = np.minimum(some.geometric(0.02, 4096) ** 2, 5000).astype(np.uint16)
+    gradient, weights = some.normal(size=(4096, 33)).astype(np.float32), np.zeros((8192, 33), np.float32)
+    maxent.Model.ascend(weights, row, gradient)
+    total, times = np.zeros((8192, 33)), np.bincount(row, minlength=8192)
+    np.add.at(total, row, gradient.astype(float))
+    assert times.max() > 50 and np.allclose(weights, maxent.RATE * total / (1 + times)[:, None], atol=1e-4)

@@ -1354,7 +1354,7 @@ def str1_running_indicators(i):
 def str1_dropped_bars(i):
     """Every bar arrives; then those of odd volume again, with those of the first days, and they are counted, not followed."""
     path = scratch_path(i.spark, "again")
-    every = i.bars().select("isin", "Date", "Close", "Volume")
+    every = staged(i.bars().select("isin", "Date", "Close", "Volume"), "every")
     for delivered in (every, every.where("Volume % 2 = 1")):
         delivered.drop("Volume").write.mode("append").parquet(f"{path}/bars")
         stream = incremental.new_files(i.spark, f"{path}/bars", schemas.T.StructType.fromDDL("isin string, Date date, Close double"))

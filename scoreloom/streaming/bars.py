@@ -1,6 +1,8 @@
 """Price streams: daily bars from ticks, and running averages that follow bars as they arrive."""
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -8,6 +10,10 @@ from scoreloom.functions import clock
 from scoreloom.operators.indicators import FAST_DAYS, RSI_DAYS, SIGNAL_DAYS, SLOW_DAYS, TREND_DAYS
 
 FOLLOWED = ["Close", "RSI_14", "MACD", "MACD_signal", "EMA_20"]
+EPOCH, NO_DAY = dt.date(1970, 1, 1), -(2**31)  # NO_DAY: a bar without a day
+PACKED = 200_000  # bars a task packs at once
+#: One row per company and batch; the elements of the arrays are its bars, and at the end, if `dropped` is above 0, what was left out.
+FOLLOWED_PACKED = f"isin string, day array<int>, {', '.join(f'{c} array<double>' for c in FOLLOWED)}, dropped array<long>"
 RUNNING = f"kind string, isin string, Date date, {', '.join(f'{c} double' for c in FOLLOWED)}, dropped long"
 STATE = (
     "n long, day date, last double, fast double, slow double, trend double, signal double, gains double, losses double"
@@ -47,6 +53,41 @@ def with_open_days(written: DataFrame, ticks: DataFrame, order: list | None = No
     return written.unionByName(daily_bars(ticks.where(date > F.coalesce(closed, F.lit("0001-01-01").cast("date"))), order))
 
 
+def packed(bars: DataFrame) -> DataFrame:
+    """(isin, days, closes): a company's bars of one partition as one row, or one for every PACKED bars; days since 1970 and closes as bytes.
+
+    Spark hands the rows of a stateful step to Python one by one, so a row for each bar costs far more than the work on it.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def rows(held):
+            table = pa.Table.from_batches(held)
+            coded = table.column("isin").combine_chunks().dictionary_encode(null_encoding="encode")
+            code = coded.indices.to_numpy()
+            order = np.argsort(code, kind="stable")
+            days = table.column("Date").cast(pa.int32()).fill_null(NO_DAY).to_numpy().astype("<i4")[order]
+            closes = table.column("Close").to_numpy().astype("<f8")[order]
+            cuts = np.append(0, np.cumsum(np.bincount(code, minlength=len(coded.dictionary))))
+            packs = [pa.array([v[i:k].tobytes() for i, k in zip(cuts[:-1], cuts[1:])], pa.binary()) for v in (days, closes)]
+            return pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), *packs], names=["isin", "days", "closes"])
+
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size >= PACKED:
+                yield rows(held)
+                held, size = [], 0
+        if held:
+            yield rows(held)
+
+    return bars.repartition("isin").mapInArrow(run, "isin string, days binary, closes binary")
+
+
 class RunningIndicators(StatefulProcessor):
     """Nine values of state per company; see `running_indicators`."""
 
@@ -55,21 +96,22 @@ class RunningIndicators(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, the names Spark calls
         import numpy as np
-        import pandas as pd
-
-        n, day, last, *carried = self.state.get() if self.state.exists() else (0, None) + (0.0,) * 7
-        given = pd.concat(list(rows))
-        bars = given.sort_values(["Date", "Close"]).drop_duplicates("Date")
-        bars = bars[bars["Date"] > day] if n else bars
-        out = {"kind": [], "isin": [], "Date": [], **{c: np.zeros(0) for c in FOLLOWED}, "dropped": []}
-        if len(bars):
-            values, state = _followed(n, last, carried, bars["Close"].to_numpy(float))
-            self.state.update((n + len(bars), bars["Date"].iloc[-1], *state))
-            out = {"kind": ["bar"] * len(bars), "isin": [key[0]] * len(bars), "Date": bars["Date"].tolist(), **values, "dropped": [0] * len(bars)}
-        if len(given) > len(bars):  # one row for what this batch brought in vain
-            out = {"kind": [*out["kind"], "dropped"], "isin": [*out["isin"], key[0]], "Date": [*out["Date"], given["Date"].max()],
-                   **{c: np.append(out[c], np.nan) for c in FOLLOWED}, "dropped": [*out["dropped"], len(given) - len(bars)]}
-        yield pd.DataFrame(out).astype({"dropped": "int64"})
+
+        n, day, last, *carried = self.state.get() or (0, None, 0.0) + (0.0,) * 6
+        days, closes = zip(*((row.days, row.closes) for row in rows))
+        days, closes = np.frombuffer(b"".join(days), "<i4"), np.frombuffer(b"".join(closes), "<f8")
+        order = np.lexsort((closes, days))
+        given, newest, days = len(days), days.max(), days[order]
+        kept = np.append(True, days[1:] != days[:-1]) & (days > ((day - EPOCH).days if n else NO_DAY))
+        days, closes = days[kept], closes[order][kept]
+        out, dropped = {c: np.zeros(0) for c in FOLLOWED}, np.zeros(len(days), np.int64)
+        if len(days):
+            out, state = _followed(n, last, carried, closes)
+            self.state.update((n + len(days), EPOCH + dt.timedelta(int(days[-1])), *state))
+        if given > len(days):  # one element for what this batch brought in vain
+            days, dropped = np.append(days, newest), np.append(dropped, given - len(days))
+            out = {c: np.append(out[c], np.nan) for c in FOLLOWED}
+        yield Row(isin=key[0], day=days, **{c: out[c] for c in FOLLOWED}, dropped=dropped)
 
     def close(self) -> None:
         pass
@@ -112,11 +154,16 @@ def running_indicators(bars: DataFrame) -> DataFrame:
     A bar whose day is not after the company's last one is left out: a bar delivered again, or too
     late, would be counted as a new day.  Of bars of one day in one batch the lowest close stays.
     Rows of kind "bar" are those that count; a row of kind "dropped" says how many bars of a company
-    a batch left out, with the newest day of that batch.
+    a batch left out, with the newest day of that batch.  A bar without a day is left out.
 
     The state lives in RocksDB, which this kind of stream needs: the session setting is made here.
     """
     bars.sparkSession.conf.set(
         "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    return bars.select("isin", "Date", "Close").groupBy("isin").transformWithStateInPandas(
-        RunningIndicators(), RUNNING, "append", "None")
+    followed = packed(bars.select("isin", "Date", "Close")).groupBy("isin").transformWithState(
+        RunningIndicators(), FOLLOWED_PACKED, "append", "None")
+    rows = followed.select("isin", F.inline(F.arrays_zip("day", *FOLLOWED, "dropped")))
+    return rows.select(
+        F.when(F.col("dropped") > 0, "dropped").otherwise("bar").alias("kind"), "isin",
+        F.when(F.col("day") > NO_DAY, F.date_from_unix_date("day")).alias("Date"),
+        *(F.when(~F.isnan(c), F.col(c)).alias(c) for c in FOLLOWED), "dropped")

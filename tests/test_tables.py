@@ -254,6 +254,30 @@ def test_running_indicators_leave_out_bars_delivered_again_or_late(spark, tmp_pa
     assert sorted(dropped[0]) == [1, 1, 2] and dropped[1] == []
 
 
+def test_a_company_reaches_the_stateful_step_as_one_row(spark, monkeypatch):
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    bars = [(name, day(n), float(n) if n % 5 else None) for n in range(50) for name in ("A", "B", None)] + [("A", None, 1.0)]
+    rows = spark.createDataFrame(bars, "isin string, Date date, Close double").repartition(7)
+    got = bar_streams.packed(rows).collect()
+    assert sorted(str(r.isin) for r in got) == ["A", "B", "None"]
+    assert sorted(len(r.days) for r in got) == [200, 200, 204] and all(len(r.closes) == 2 * len(r.days) for r in got)
+    monkeypatch.setattr(bar_streams, "PACKED", 20)
+    assert sum(len(r.days) for r in bar_streams.packed(rows).collect()) == 604
+
+
+def test_bars_without_a_day_are_counted_not_followed(spark, tmp_path):
+    ddl = "isin string, Date date, Close double"
+    for part in ([("A", dt.date(2024, 1, 1), 1.0), ("A", None, 2.0)], [("A", None, 3.0), ("A", dt.date(2024, 1, 2), 4.0), ("B", None, 5.0)]):
+        spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = incremental.new_files(spark, str(tmp_path / "in"), T.StructType.fromDDL(ddl))
+        incremental.run_to_table(bar_streams.running_indicators(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
+    rows = spark.read.schema(bar_streams.RUNNING).parquet(str(tmp_path / "out")).collect()
+    got = sorted((r.kind, r.isin, str(r.Date), r.Close, r.dropped) for r in rows)
+    assert [g for g in got if g[0] == "bar"] == [("bar", "A", "2024-01-01", 1.0, 0), ("bar", "A", "2024-01-02", 4.0, 0)]
+    assert [g for g in got if g[0] != "bar"] == [
+        ("dropped", "A", "2024-01-01", None, 1), ("dropped", "A", "2024-01-02", None, 1), ("dropped", "B", "None", None, 1)]
+
+
 def test_streamed_bars_wait_for_the_watermark_and_take_late_ticks(spark, tmp_path):
     ddl, at = "isin string, ts timestamp_ntz, price double, quantity long", lambda d, h: dt.datetime(2024, 1, d, h)
     batches = [[("A", at(1, 9), 1.0, 1), ("A", at(1, 23), 5.0, 1)], [("A", at(1, 22), 9.0, 1), ("A", at(2, 0), 2.0, 1)], [("A", at(3, 12), 3.0, 1)], [("A", at(1, 1), 99.0, 1)]]

@@ -18,7 +18,6 @@ its end token alone.  Repeated rows are rows of their own.  Without training tex
 import pickle
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -45,7 +44,8 @@ END = b"\n"  # no word holds a line break
 BATCH_BYTES = 1 << 20
 COUNTED = 300_000  # words counted in a task before it passes them on
 BLOCK = 1024  # tokens whose scores are worked on at once, so that they stay in the cache
-FEW = 12  # occurrences of a row in a step up to which they are added one by one
+SMALL = 1e-8  # sums of products below which single precision could lose a share
+FEW = 4  # occurrences of a row in a step up to which they are added one by one
 TASK_TOKENS = 1_000_000  # tokens of all training texts for each task that trains
 TOGETHER = 32  # tasks whose changes are added in the first of two sums
 PIECE = 2048  # rows of weights that are added at once
@@ -63,10 +63,6 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(remainder(doc_id) == held_out_fold, F.lit(False))
 
 
-def tokens(texts: list[bytes]) -> list[list[bytes]]:
-    return [[*t.lower().split(), END] for t in texts]
-
-
 def word_counts(documents: DataFrame) -> DataFrame:
     """(word, n) over all texts."""
 
@@ -78,7 +74,9 @@ def word_counts(documents: DataFrame) -> DataFrame:
                                               names=["word", "n"])
 
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            held.update(chain.from_iterable(tokens(arrow.utf8(batch.column("text")))))
+            texts = arrow.utf8(batch.column("text"))
+            held.update(END.join(texts).lower().split())
+            held[END] += len(texts)
             if len(held) > COUNTED:
                 yield out()
                 held.clear()
@@ -204,6 +202,7 @@ class Model:
         self.by_member = np.zeros((MEMBER_ROWS, MEMBERS), np.float32)
         self.branch_bias, self.digit_bits = vocabulary.branch_bias, vocabulary.digit_bits
         self.by_branch = np.zeros((1 << self.digit_bits, MEMBERS), np.float32)
+        self.factors: dict[str, list[np.ndarray]] | None = None
 
     @staticmethod
     def softmax(scores: np.ndarray) -> np.ndarray:
@@ -225,23 +224,58 @@ class Model:
             cls.softmax(scores)
         return out
 
+    @staticmethod
+    def class_rows(context: np.ndarray) -> np.ndarray:
+        return (context >> np.uint64(64 - 12)).astype(np.uint16)
+
+    @staticmethod
+    def member_rows(context: np.ndarray, group: np.ndarray) -> np.ndarray:
+        mixed = (context ^ ((group.astype(np.uint64) + np.uint64(1)) * SALTS[1])) * SALTS[0]
+        return (mixed >> np.uint64(64 - 13)).astype(np.uint16)
+
+    def branch_rows(self, context: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Level by level: rows, the node, and the branch towards the leaf."""
+        for level in range(len(self.branch_bias)):
+            below = BRANCH_BITS * (len(self.branch_bias) - 1 - level)
+            node = leaf >> (below + BRANCH_BITS)
+            mixed = mix(context ^ ((node * LEVELS + level + 1).astype(np.uint64) * SALTS[1]))
+            yield (mixed >> np.uint64(64 - self.digit_bits)).astype(np.uint16), node, leaf >> below & (MEMBERS - 1)
+
     def classes(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        rows = (context >> np.uint64(64 - 12)).astype(np.uint16)
+        rows = self.class_rows(context)
         return rows, self.shares(self.class_bias, self.by_class, rows)
 
     def members(self, context: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mixed = (context ^ ((group.astype(np.uint64) + np.uint64(1)) * SALTS[1])) * SALTS[0]
-        rows = (mixed >> np.uint64(64 - 13)).astype(np.uint16)
+        rows = self.member_rows(context, group)
         return rows, self.shares(self.member_bias, self.by_member, rows, group)
 
     def branches(self, context: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Level by level: rows, probabilities of the branches, and the branch towards the leaf."""
-        for level, bias in enumerate(self.branch_bias):
-            below = BRANCH_BITS * (len(self.branch_bias) - 1 - level)
-            node = leaf >> (below + BRANCH_BITS)
-            mixed = mix(context ^ ((node * LEVELS + level + 1).astype(np.uint64) * SALTS[1]))
-            rows = (mixed >> np.uint64(64 - self.digit_bits)).astype(np.uint16)
-            yield rows, self.shares(bias, self.by_branch, rows, node), leaf >> below & (MEMBERS - 1)
+        for bias, (rows, node, branch) in zip(self.branch_bias, self.branch_rows(context, leaf), strict=True):
+            yield rows, self.shares(bias, self.by_branch, rows, node), branch
+
+    def tables(self) -> dict[str, list[np.ndarray]]:
+        """Weights and then the bias, or that of every level, of the softmaxes."""
+        return {"class": [self.by_class, self.class_bias], "member": [self.by_member, self.member_bias], "branch": [self.by_branch, *self.branch_bias]}
+
+    def share(self, name: str, rows: np.ndarray, wanted: np.ndarray, node: np.ndarray | None = None, level: int = 0) -> np.ndarray:
+        """The probability of every token's wanted column, as a share of products: the exponentials are made once while the weights stay.
+        A row's greatest factor is 1, which changes no share, so that products cannot overflow; where they get small, the softmax is taken."""
+        if self.factors is None:
+            self.factors = {k: [np.exp(x - x.max(axis=-1, keepdims=True)) for x in tables] for k, tables in self.tables().items()}
+        weights, bias = self.factors[name][0], self.factors[name][1 + level]
+        product = weights.take(rows[0], axis=0)
+        product *= weights.take(rows[1], axis=0)
+        product *= weights.take(rows[2], axis=0)
+        product *= bias if node is None else bias.take(node, axis=0)
+        total = product @ np.ones(product.shape[1], np.float32)
+        out = product[np.arange(len(wanted)), wanted] / np.maximum(total, np.finfo(np.float32).tiny)
+        small = np.flatnonzero(total < SMALL)
+        if len(small):
+            tables = self.tables()[name]
+            exact = self.shares(tables[1 + level], tables[0], rows[:, small], None if node is None else node[small])
+            out[small] = exact[np.arange(len(small)), wanted[small]]
+        return out
 
     @staticmethod
     def ascend(weights: np.ndarray, row: np.ndarray, gradient: np.ndarray) -> None:
@@ -272,6 +306,7 @@ class Model:
 
     def learn(self, context: np.ndarray, group: np.ndarray, member: np.ndarray, leaf: np.ndarray) -> None:
         """A gradient step: the weights of every context feature move, for all tokens."""
+        self.factors = None
         rows, p = self.classes(context)
         gradient = np.negative(p, out=p)
         gradient[np.arange(len(group)), group] += 1
@@ -294,15 +329,14 @@ class Model:
 
     def log10(self, context: np.ndarray, group: np.ndarray, member: np.ndarray, leaf: np.ndarray) -> np.ndarray:
         """log10 of P(class) * P(member); of P(class) * P(leaf) for the other class."""
-        every = np.arange(len(group))
-        out = self.classes(context)[1][every, group].astype(np.float64)
+        out = self.share("class", self.class_rows(context), group).astype(np.float64)
         known = np.flatnonzero(group < OTHER)
         if len(known):
-            out[known] *= self.members(context[:, known], group[known])[1][np.arange(len(known)), member[known]]
+            out[known] *= self.share("member", self.member_rows(context[:, known], group[known]), member[known], group[known])
         rest = np.flatnonzero(group == OTHER)
         if len(rest):
-            for _, p, branch in self.branches(context[:, rest], leaf[rest]):
-                out[rest] *= p[np.arange(len(rest)), branch]
+            for level, (rows, node, branch) in enumerate(self.branch_rows(context[:, rest], leaf[rest])):
+                out[rest] *= self.share("branch", rows, branch, node, level)
         return np.log10(np.maximum(out, 1e-30))
 
 

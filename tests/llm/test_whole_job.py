@@ -147,3 +147,25 @@ def test_gradient_steps_average_over_a_rows_tokens():
     total, times = np.zeros((8192, 33)), np.bincount(row, minlength=8192)
     np.add.at(total, row, gradient.astype(float))
     assert times.max() > 50 and np.allclose(weights, maxent.RATE * total / (1 + times)[:, None], atol=1e-4)
+
+
+def test_scores_by_factors_are_those_of_the_softmaxes(spark):
+    texts = spark.createDataFrame([(n, " ".join(f"w{k * (n + 7) % 4001}" for k in range(2000))) for n in range(20)], "doc_id long, text string")
+    vocabulary = maxent.learn_vocabulary(maxent.word_counts(texts))
+    model = maxent.train(texts.coalesce(1), vocabulary)
+    model.by_class *= 10  # some sums of products get very small
+    c = maxent.Coded([r.text.encode() for r in texts.limit(3).collect()], vocabulary.ranks())
+    every = np.arange(len(c.group))
+    classes, members = model.classes(c.context)[1], model.members(c.context, np.minimum(c.group, maxent.CLASSES - 1))[1]
+    want = classes[every, c.group].astype(float) * np.where(c.group < maxent.OTHER, members[every, c.member], 1)
+    rest = np.flatnonzero(c.group == maxent.OTHER)
+    assert 0 < len(rest) < len(every)
+    for _, p, branch in model.branches(c.context[:, rest], c.leaf[rest]):
+        want[rest] *= p[np.arange(len(rest)), branch]
+    got = model.log10(c.context, c.group, c.member, c.leaf)
+    factor, bias = model.factors["class"]
+    assert (factor[model.class_rows(c.context)].prod(axis=0) * bias).sum(axis=1).min() < maxent.SMALL
+    assert np.isfinite(got).all() and np.allclose(got, np.log10(np.maximum(want, 1e-30)), atol=1e-3)
+    before = got.sum()
+    model.learn(c.context[:, :500], c.group[:500], c.member[:500], c.leaf[:500])
+    assert model.log10(c.context, c.group, c.member, c.leaf).sum() != before  # new weights, new factors

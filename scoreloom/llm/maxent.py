@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ RATE = 0.5
 STEP = 4096  # tokens in a gradient step, and scored at once
 END = b"\n"  # no word holds a line break
 BATCH_BYTES = 1 << 20
-COUNTED = 300_000  # words counted in a task before it passes them on
+COUNTED = 1 << 24  # bytes of text whose words a task counts before it passes them on
 BLOCK = 1024  # tokens whose scores are worked on at once, so that they stay in the cache
 SMALL = 1e-8  # sums of products below which single precision could lose a share
 FEW = 4  # occurrences of a row in a step up to which they are added one by one
@@ -67,19 +68,22 @@ def word_counts(documents: DataFrame) -> DataFrame:
     """(word, n) over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: list[pa.Array] = []
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())],
-                                              names=["word", "n"])
+            texts = pc.fill_null(pa.chunked_array(held, pa.string()), "")
+            found = pc.value_counts(pc.list_flatten(pc.ascii_split_whitespace(pc.ascii_lower(texts))))
+            found = found.filter(pc.not_equal(found.field("values"), ""))  # what stands before leading white space
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([found.field("values"), pa.array([END.decode()])]),
+                                               pa.concat_arrays([found.field("counts"), pa.array([len(texts)], pa.int64())])], names=["word", "n"])
 
+        size = 0
         for batch in arrow.slices(batches, "text", BATCH_BYTES):
-            texts = arrow.utf8(batch.column("text"))
-            held.update(END.join(texts).lower().split())
-            held[END] += len(texts)
-            if len(held) > COUNTED:
+            held.append(batch.column("text").cast(pa.string()))
+            size += int(arrow.lengths(held[-1]).sum())
+            if size > COUNTED:
                 yield out()
-                held.clear()
+                held, size = [], 0
         if held:
             yield out()
 

@@ -169,3 +169,14 @@ def test_scores_by_factors_are_those_of_the_softmaxes(spark):
     before = got.sum()
     model.learn(c.context[:, :500], c.group[:500], c.member[:500], c.leaf[:500])
     assert model.log10(c.context, c.group, c.member, c.leaf).sum() != before  # new weights, new factors
+
+
+def test_word_counts_split_as_plain_bytes_do(spark, monkeypatch):
+    texts = [None, "", " \x0bA\x1c b\x85c d e \x00f  ", "\t\n", "É ß\x0cİ a a", "a\r\nB b"]
+    table = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    want: dict[str, int] = {"\n": len(texts)}
+    for word in b"\n".join((t or "").encode().lower() for t in texts).split():
+        want[word.decode()] = want.get(word.decode(), 0) + 1
+    for counted in (maxent.COUNTED, 0):
+        monkeypatch.setattr(maxent, "COUNTED", counted)
+        assert {r.word: r.n for r in maxent.word_counts(table).collect()} == want

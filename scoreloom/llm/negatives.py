@@ -5,12 +5,15 @@
 2. An anchor gets a table for each eight dimensions: the sums of all 256 subsets of its components there, made by doubling.  The
    packed byte of a candidate is the index, so a plane's share of the inner product is one lookup for each eight dimensions, and
    planes combine by shift and add.  Tables are made for some hundred anchors at once, so that a lookup fetches a row of sums.
-3. Anchors come in chunks, and every chunk meets every block once, joined by block number: no task holds more than one block, its
-   chunk and their scores.  A meeting gives the best few rows of each anchor, and windows merge these.
+3. Anchors come in chunks, and every chunk meets every block once: a cartesian product of a few ranges of blocks and many groups
+   of chunks, each task reading both from where they lie, so that nothing is written for each pair or sent to the driver.
+   A task holds the chunks of its group, one block after the other, and the best few rows of each of its anchors; windows merge
+   what the tasks found.
 4. The first round looks at rows of the anchor's label (one slice of a block, which is sorted by label), the second at all others,
    below each of the scores that the first one found.
 
-The work is anchors x rows by nature; what is shuffled is blocks and anchor chunks, not pairs.
+The work is anchors x rows by nature; what is shuffled is rows and anchors once, and some rows of each anchor from each range of
+blocks.  No join may be a broadcast: Spark takes a table's file size for its size in memory, and does not see that rows multiply.
 
 Rows with a null label or vector, or with null or non-finite components, take no part.  Vectors of different lengths never meet.
 A row that is equal to the anchor in id, label and score with it counts as the anchor itself once; further such rows are others.
@@ -26,11 +29,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.llm import arrow
-from scoreloom.session import staged
+from scoreloom.session import staged, tasks_for
 
 POSITIVES, NEGATIVES = 5, 5
 BLOCK_PARTS = 1 << 17  # components in a block: 2048 vectors of 64 dimensions
 CHUNK_PARTS = 1 << 14  # components in a chunk of anchors: their tables take 2 MB in 16 bits, 8 MB in 64
+BLOCK_TASKS, CHUNK_TASKS = 16, 512  # ranges of blocks and groups of chunks, at most, that meet
 EACH_ANCHOR, EACH_LABEL, LABELS = 100, 7, 10
 
 
@@ -75,7 +79,8 @@ def packed_blocks(rows: DataFrame, groups: int) -> DataFrame:
                 ], names=["block", "size", "planes", "ids", "labels", "bits"])
 
     order = [F.col("block"), F.col("size"), F.col("label"), F.col("vec_id").asc_nulls_last()]
-    return dealt(rows, "block", groups).repartition(groups, "block").sortWithinPartitions(*order).mapInArrow(
+    tasks = min(groups, tasks_for(rows.sparkSession, groups * BLOCK_PARTS // 64))  # fifty blocks a file
+    return dealt(rows, "block", groups).repartition(tasks, "block").sortWithinPartitions(*order).mapInArrow(
         run, "block int, size int, planes int, ids array<long>, labels array<long>, bits binary")
 
 
@@ -121,32 +126,57 @@ def best(scores: np.ndarray, most: int) -> np.ndarray:
     return at[np.argsort(~scores[at], kind="stable")[:most]]
 
 
-def meetings(blocks: DataFrame, anchors: DataFrame, groups: int, find, schema: str) -> DataFrame:
-    """What `find` gives for each chunk of `anchors` and each block: (slots, places in the block, further columns)."""
+def leading(rows: list[np.ndarray], most: int) -> list[np.ndarray]:
+    """Of (slot, limit, score, itself, unknown, id) the first `most` rows of each slot and limit, in the order of the windows."""
+    slot, limit, score, itself, unknown, ids = rows
+    order = np.lexsort((ids, unknown, ~itself, ~score, limit, slot))
+    change = np.ones(len(order), bool)
+    change[1:] = (slot[order][1:] != slot[order][:-1]) | (limit[order][1:] != limit[order][:-1])
+    starts = np.flatnonzero(change)
+    place = np.arange(len(order)) - np.repeat(starts, np.diff(starts, append=len(order)))
+    return [x[order[place < most]] for x in rows]
+
+
+def meetings(blocks: DataFrame, anchors: DataFrame, chunks: int, find, most: int) -> DataFrame:
+    """chunk, slot, id, limit, score, itself: the first `most` rows of each slot and limit that each task found.
+
+    Every chunk of `anchors` meets every block of its vector length; `find` gives slots, places in the block, limits, scores, and
+    which rows are the anchor itself.
+    """
     fields = ["label", "slot", "vec_id", "parts", *(["limits"] if "limits" in anchors.columns else [])]
-    chunks = anchors.groupBy("chunk", "size").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("anchors"))
-    everywhere = chunks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).repartition(groups, "block")
-    met = everywhere.join(blocks.repartition(groups, "block"), ["block", "size"])
+    packed = anchors.groupBy("chunk", "size").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("anchors"))
+    met = blocks.coalesce(BLOCK_TASKS).join(
+        packed.repartition(min(chunks, CHUNK_TASKS)).hint("shuffle_replicate_nl"), "size")  # the left side is read once a task
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        after: dict[int, int] = {}  # rows from which what is held of a chunk is sorted and cut
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                size = row.column("size")[0].as_py()
+                size, chunk = row.column("size")[0].as_py(), row.column("chunk")[0].as_py()
                 ids = row.column("ids").flatten()
                 labels = row.column("labels").flatten().to_numpy()
                 bits = np.frombuffer(row.column("bits")[0].as_py(), np.uint8).reshape(
                     row.column("planes")[0].as_py(), -1, len(ids)) if size else np.zeros((1, 0, len(ids)), np.uint8)
                 own = pa.RecordBatch.from_struct_array(row.column("anchors").flatten())
                 parts = own.column("parts").flatten().to_numpy().reshape(len(own), size)
-                slots, places, *rest = find(own, parts, labels, bits, ids)
-                if len(slots):
-                    chunk = pa.array(np.full(len(slots), row.column("chunk")[0].as_py(), np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [chunk, own.column("slot").take(pa.array(slots)), ids.take(pa.array(places)), *map(pa.array, rest)],
-                        names=[field.split()[0] for field in schema.split(", ")])
-
-    return met.mapInArrow(run, schema)
+                slots, places, limit, score, itself = find(own, parts, labels, bits, ids)
+                if len(slots) == 0:
+                    continue
+                new = [own.column("slot").to_numpy()[slots], limit, score, itself, ids.is_null().to_numpy(zero_copy_only=False)[places],
+                       ids.fill_null(0).to_numpy(zero_copy_only=False)[places]]
+                held[chunk] = [np.concatenate(x) for x in zip(held[chunk], new, strict=True)] if chunk in held else new
+                if len(held[chunk][0]) >= after.get(chunk, 0):
+                    held[chunk] = leading(held[chunk], most)
+                    after[chunk] = 2 * len(held[chunk][0])
+        for chunk, rows in held.items():
+            slot, limit, score, itself, unknown, ids = leading(rows, most)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(slot), chunk, np.int32)), pa.array(slot), pa.array(ids, mask=unknown), pa.array(limit),
+                pa.array(score), pa.array(itself)], names=["chunk", "slot", "id", "limit", "score", "itself"])
+
+    return met.mapInArrow(run, "chunk int, slot int, id long, limit long, score long, itself boolean")
 
 
 def same_label(own: pa.RecordBatch, parts: np.ndarray, labels: np.ndarray, bits: np.ndarray, ids: pa.Array) -> tuple:
@@ -166,7 +196,8 @@ def same_label(own: pa.RecordBatch, parts: np.ndarray, labels: np.ndarray, bits:
             place.append(low + top)
             score.append(scores[top].astype(np.int64))
             itself.append((names[low + top] == mine[a]) & known[low + top] & (score[-1] == norms[a]))
-    return tuple(map(np.concatenate, (found, place, score, itself)))
+    found, place, score, itself = map(np.concatenate, (found, place, score, itself))
+    return found, place, np.zeros(len(found), np.int64), score, itself
 
 
 def other_labels(own: pa.RecordBatch, parts: np.ndarray, labels: np.ndarray, bits: np.ndarray, ids: pa.Array) -> tuple:
@@ -186,7 +217,8 @@ def other_labels(own: pa.RecordBatch, parts: np.ndarray, labels: np.ndarray, bit
             place.append(others[top])
             limit.append(np.full(len(top), high))
             score.append(among[top])
-    return tuple(map(np.concatenate, (found, place, limit, score)))
+    found, place, limit, score = map(np.concatenate, (found, place, limit, score))
+    return found, place, limit, score, np.zeros(len(found), bool)
 
 
 def hard_negatives(rows: DataFrame) -> DataFrame:
@@ -199,7 +231,8 @@ def hard_negatives(rows: DataFrame) -> DataFrame:
     number = Window.partitionBy("chunk").orderBy("size", "label", "vec_id", "parts")
     anchors = staged(dealt(part.where(anchor), "chunk", chunks).withColumn("slot", F.row_number().over(number)), "anchors")
 
-    near = meetings(blocks, anchors, groups, same_label, "chunk int, slot int, positive_id long, positive_score long, itself boolean")
+    near = meetings(blocks, anchors, chunks, same_label, POSITIVES + 1).withColumnsRenamed(
+        {"id": "positive_id", "score": "positive_score"})
     each = Window.partitionBy("chunk", "slot")
     top = near.withColumn("place", F.row_number().over(each.orderBy(
         F.desc("positive_score"), F.desc("itself"), F.col("positive_id").asc_nulls_last()))).where(F.col("place") <= POSITIVES + 1)
@@ -209,12 +242,12 @@ def hard_negatives(rows: DataFrame) -> DataFrame:
     positives = staged(kept.select("chunk", "slot", "positive_id", "positive_score"), "positives")
 
     limits = positives.groupBy("chunk", "slot").agg(F.sort_array(F.collect_set("positive_score")).alias("limits"))
-    far = meetings(blocks, anchors.join(limits, ["chunk", "slot"]), groups, other_labels,
-                   "chunk int, slot int, negative_id long, positive_score long, negative_score long")
+    far = meetings(blocks, anchors.join(limits.hint("merge"), ["chunk", "slot"]), chunks, other_labels, NEGATIVES).withColumnsRenamed(
+        {"id": "negative_id", "limit": "positive_score", "score": "negative_score"})
     within = Window.partitionBy("chunk", "slot", "positive_score").orderBy(F.desc("negative_score"), F.col("negative_id").asc_nulls_last())
     negatives = far.withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= NEGATIVES)
-    return negatives.join(positives, ["chunk", "slot", "positive_score"]).join(
-        anchors.select("chunk", "slot", F.col("vec_id").alias("anchor_id")), ["chunk", "slot"]).select(
+    names = anchors.select("chunk", "slot", F.col("vec_id").alias("anchor_id"))
+    return negatives.join(positives.hint("merge"), ["chunk", "slot", "positive_score"]).join(names.hint("merge"), ["chunk", "slot"]).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 

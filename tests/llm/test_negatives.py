@@ -62,6 +62,26 @@ def test_equals_all_inner_products(spark, parts, monkeypatch):
     assert len(want) > 100 and sorted(map(tuple, found.collect()), key=str) == want
 
 
+def test_several_blocks_and_chunks_a_task(spark, monkeypatch):
+    for name, value in (("BLOCK_PARTS", 64), ("CHUNK_PARTS", 64), ("BLOCK_TASKS", 1), ("CHUNK_TASKS", 2)):
+        monkeypatch.setattr(negatives, name, value, raising=False)
+    table = spark.createDataFrame([(*r, "x", 1) for r in ROWS], DDL).repartition(3)
+    assert sorted(map(tuple, negatives.hard_negatives(table).collect()), key=str) == brute(ROWS)
+
+
+def test_nothing_is_broadcast(spark, monkeypatch):
+    """Spark takes anchors x blocks, by the file of the anchors, for a table that the driver can hold."""
+    plans, staged = [], negatives.staged
+
+    def seen(df, *label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df if not label else staged(df, *label)
+
+    monkeypatch.setattr(negatives, "staged", seen)
+    seen(negatives.hard_negatives(spark.createDataFrame([(*r, "x", 1) for r in ROWS], DDL)))
+    assert len(plans) > 1 and not any("Broadcast" in plan for plan in plans)
+
+
 def test_products_of_any_size():
     generator = np.random.default_rng(5)
     for size, most in ((1, 3), (8, 200), (13, 40_000), (24, 2**40), (64, 160)):
